@@ -7,11 +7,12 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HASH_METHODS = ("md5", "sha224", "sha3_224")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _sha3_224(s: pd.Series) -> pd.Series:
     # Arrow batch in, batch out; only hashlib has SHA-3, Spark has no built-in.
     return s.map(lambda v: None if v is None else hashlib.sha3_224(v.encode("utf-8")).hexdigest())

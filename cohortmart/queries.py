@@ -54,3 +54,347 @@ def export_6months(spark, sf_dir):
 def export_6months_as_coded(spark, sf_dir):
     """O36 as the reference scripts compute it: 30 days, farthest diagnosis, NA kept."""
     return X.export_frame(clinical_mart(spark, sf_dir), "6months", X.AS_CODED)
+
+
+# ------------------------------------------------------- column operators --
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from cohortmart.fixtures import (  # noqa: E402
+    HOSPITAL, LINEITEM_IDS, LINEITEM_MEASURES, imaging_batch, lineitem_measures, read_table)
+from cohortmart.functions import columns as C  # noqa: E402
+from cohortmart.operators import anonymize as A  # noqa: E402
+from cohortmart.operators import identity as I  # noqa: E402
+from cohortmart.operators import quality as QC  # noqa: E402
+from cohortmart.operators import reshape as R  # noqa: E402
+from cohortmart.operators import visits as V  # noqa: E402
+from cohortmart.plans import ingest as G  # noqa: E402
+from cohortmart.sources import files as FS  # noqa: E402
+from cohortmart.session import scratch_path  # noqa: E402
+
+# Fixed load timestamp for reproducible mapping outputs (``datetime()`` is
+# injectable; production runs use the query's current timestamp).
+LOAD_TIME_SQL = "TIMESTAMP_NTZ '2020-01-01 00:00:00'"
+# Two incremental imaging loads: visits before this date, then all visits.
+FIRST_LOAD_BEFORE = "1998-01-01"
+
+
+@register("age_parts")
+def age_parts(spark, sf_dir):
+    """Whole years and months (0…12, HALF_UP) of every visit age."""
+    vd = clinical_mart(spark, sf_dir).visit_dimension
+    return vd.select("encounter_num", "patient_age",
+                     C.age_years(F.col("patient_age")).alias("age_years"),
+                     C.age_months(F.col("patient_age")).cast("long").alias("age_months"))
+
+
+@register("age_group")
+def age_group(spark, sf_dir):
+    """Age band of every visit (first matching band wins)."""
+    vd = clinical_mart(spark, sf_dir).visit_dimension
+    return vd.select("encounter_num",
+                     C.age_group(C.age_years(F.col("patient_age"))).alias("agegroup"))
+
+
+@register("typed_value")
+def typed_value(spark, sf_dir):
+    """Rendered cell value of every writable fact (N NULLs write nothing)."""
+    f = clinical_mart(spark, sf_dir).observation_fact
+    return (f.filter(C.writable_fact(F.col("valtype_cd"), F.col("nval_num")))
+            .select("encounter_num", "concept_cd", "instance_num",
+                    C.typed_value(F.col("valtype_cd"), F.col("tval_char"),
+                                  F.col("nval_num")).alias("value")))
+
+
+@register("cde_columns")
+def cde_columns(spark, sf_dir):
+    """CDE columns in upload order with the number of facts of each."""
+    m = clinical_mart(spark, sf_dir)
+    counts = m.observation_fact.groupBy("concept_cd").agg(F.count(F.lit(1)).alias("n_facts"))
+    return (R.cde_frame(m.concept_dimension).join(counts, "concept_cd", "left")
+            .select("concept_cd", "upload_id",
+                    F.coalesce(F.col("n_facts"), F.lit(0)).alias("n_facts")))
+
+
+@register("concept_catalog")
+def concept_catalog(spark, sf_dir):
+    """One row per concept with its value type and a mixed-type flag."""
+    return R.concept_catalog(clinical_mart(spark, sf_dir).observation_fact)
+
+
+@register("dataset_constant")
+def dataset_constant(spark, sf_dir):
+    """The dataset value written into every export row."""
+    f = clinical_mart(spark, sf_dir).observation_fact
+    return f.agg(F.min("provider_id").alias("dataset"))
+
+
+# -------------------------------------------------------- visit operators --
+
+def _visits(m):
+    return m.visit_dimension.select("patient_num", "encounter_num", "start_date", "patient_age",
+                                    "location_cd")
+
+
+@register("first_visits")
+def first_visits(spark, sf_dir):
+    """Visits on each patient's first date with the patient code (ties kept)."""
+    m = clinical_mart(spark, sf_dir)
+    return (V.visits_at_extreme(_visits(m), "min").join(m.patient_mapping, "patient_num")
+            .select("patient_num", "patient_ide", "encounter_num", "start_date", "patient_age"))
+
+
+@register("last_visits")
+def last_visits(spark, sf_dir):
+    """Visits on each patient's last date."""
+    m = clinical_mart(spark, sf_dir)
+    return (V.visits_at_extreme(_visits(m), "max").join(m.patient_mapping, "patient_num")
+            .select("patient_num", "patient_ide", "encounter_num", "start_date", "patient_age"))
+
+
+@register("first_mri")
+def first_mri(spark, sf_dir):
+    """First MRI date and encounter per patient."""
+    return V.first_mri(_visits(clinical_mart(spark, sf_dir)))
+
+
+@register("valid_diagnosis")
+def valid_diagnosis(spark, sf_dir):
+    """Visits holding a valid diagnosis (left-semi join)."""
+    m = clinical_mart(spark, sf_dir)
+    valid = V.valid_diagnosis_encounters(m.observation_fact)
+    return (m.visit_dimension.join(valid, "encounter_num", "left_semi")
+            .select("encounter_num", "patient_num", "start_date"))
+
+
+def _six(spark, sf_dir, opts=X.DEFAULT):
+    m = clinical_mart(spark, sf_dir)
+    visits = _visits(m)
+    mri = V.first_mri(visits)
+    valid = V.valid_diagnosis_encounters(m.observation_fact, exclude_values=opts.exclude_diagnoses)
+    return m, visits, mri, valid
+
+
+@register("mri_diag_candidates")
+def mri_diag_candidates(spark, sf_dir):
+    """Band join — valid diagnosis visits within 180 days of the first MRI."""
+    m, visits, mri, valid = _six(spark, sf_dir)
+    return (V.diagnosis_candidates(visits, mri, valid, V.DEFAULT_WINDOW_SECONDS)
+            .select("patient_num", "encounter_num", "encounter_num_mri", "abs_dt"))
+
+
+@register("mri_nearest_diag")
+def mri_nearest_diag(spark, sf_dir):
+    """The closest valid diagnosis per patient."""
+    m, visits, mri, valid = _six(spark, sf_dir)
+    return V.nearest_diagnosis(V.diagnosis_candidates(visits, mri, valid,
+                                                      V.DEFAULT_WINDOW_SECONDS), "closest")
+
+
+@register("diag_cognitive_visits")
+def diag_cognitive_visits(spark, sf_dir):
+    """MMSE / MoCA visits nearest the chosen diagnosis (left join)."""
+    return X.six_month_selection(clinical_mart(spark, sf_dir), X.DEFAULT)
+
+
+@register("pivot_observations")
+def pivot_observations(spark, sf_dir):
+    """EAV → wide per encounter; winner = greatest (instance, value)."""
+    m = clinical_mart(spark, sf_dir)
+    f = m.observation_fact.filter(C.writable_fact(F.col("valtype_cd"), F.col("nval_num")))
+    v = C.typed_value(F.col("valtype_cd"), F.col("tval_char"), F.col("nval_num"))
+    cells = f.select("encounter_num", "concept_cd", R.winner_struct(
+        F.col("instance_num"), F.when(F.col("valtype_cd") == "N", F.col("nval_num")),
+        value=v).alias("w"))
+    concepts = sorted(R.Catalog.collect(m.observation_fact).valtypes)
+    return R.pivot_cells(R.winning_cells(cells, ["encounter_num"]), ["encounter_num"], concepts)
+
+
+# ---------------------------------------------------------------- reshape --
+
+@register("unpivot_measures")
+def unpivot_measures(spark, sf_dir):
+    """Melt the lineitem measures to (Attribute, Value), NULLs kept."""
+    return R.unpivot(R.UnpivotSpec(lineitem_measures(spark, sf_dir), ids=LINEITEM_IDS,
+                                   values=LINEITEM_MEASURES))
+
+
+@register("unpivot_many")
+def unpivot_many(spark, sf_dir):
+    """Two wide tables melted and appended by name (missing id → NULL)."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return R.unpivot_many([
+        R.UnpivotSpec(lineitem_measures(spark, sf_dir), ids=LINEITEM_IDS, values=LINEITEM_MEASURES,
+                      id_aliases={"l_orderkey": "entity_id", "l_linenumber": "line_no"}),
+        R.UnpivotSpec(orders, ids=("o_orderkey",), values=("o_totalprice",),
+                      id_aliases={"o_orderkey": "entity_id"}),
+    ])
+
+
+@register("split_subjectcode")
+def split_subjectcode(spark, sf_dir):
+    """PATIENT_ID and VISIT_ID split from the subject code of each scan."""
+    return C.split_subjectcode(imaging_batch(spark, sf_dir)["volumes"])
+
+
+# --------------------------------------------------------------- identity --
+
+def _two_loads(spark, sf_dir):
+    visits = imaging_batch(spark, sf_dir)["mri_visits"]
+    early = visits.filter(G.parse_visit_date(F.col("VISIT_DATE"))
+                          < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    _, first = I.assign_patient_num(early, None, HOSPITAL, HOSPITAL)
+    return I.assign_patient_num(visits, first, HOSPITAL, HOSPITAL)
+
+
+@register("assign_patient_num")
+def assign_patient_num(spark, sf_dir):
+    """Patient numbers after two loads (known ids reused, new ones appended)."""
+    return _two_loads(spark, sf_dir)[1]
+
+
+@register("new_patient_ids")
+def new_patient_ids(spark, sf_dir):
+    """Patients of the second load not yet mapped (left-anti join), numbered."""
+    return _two_loads(spark, sf_dir)[0]
+
+
+@register("assign_encounter_num")
+def assign_encounter_num(spark, sf_dir):
+    """Encounter numbers for every visit code."""
+    visits = imaging_batch(spark, sf_dir)["mri_visits"]
+    return I.assign_encounter_num(visits, None, HOSPITAL, HOSPITAL)[1]
+
+
+# ---------------------------------------------------------------- mapping --
+
+def _ingest(spark, sf_dir):
+    b = imaging_batch(spark, sf_dir)
+    return G.ingest_imaging(b["volumes"], b["mri_visits"], measures=LINEITEM_MEASURES,
+                            hospital=HOSPITAL, load_time=F.expr(LOAD_TIME_SQL))
+
+
+@register("map_encounter_mapping")
+def map_encounter_mapping(spark, sf_dir):
+    """Imaging mapping → encounter_mapping."""
+    return _ingest(spark, sf_dir).targets["encounter_mapping"]
+
+
+@register("map_visit_dimension")
+def map_visit_dimension(spark, sf_dir):
+    """Imaging mapping → visit_dimension (3-way join)."""
+    return _ingest(spark, sf_dir).targets["visit_dimension"]
+
+
+@register("map_patient_mapping")
+def map_patient_mapping(spark, sf_dir):
+    """Imaging mapping → patient_mapping."""
+    return _ingest(spark, sf_dir).targets["patient_mapping"]
+
+
+@register("map_observation_fact")
+def map_observation_fact(spark, sf_dir):
+    """Imaging mapping → observation_fact (4-way join, constants, newId)."""
+    return _ingest(spark, sf_dir).targets["observation_fact"]
+
+
+# ---------------------------------------------------------- anonymization --
+
+@register("anonymize_flat_md5")
+def anonymize_flat_md5(spark, sf_dir):
+    """First column of the mindate export replaced by its md5."""
+    return A.anonymize_flat(export_mindate(spark, sf_dir), (0,), "md5")
+
+
+@register("anonymize_flat_sha224")
+def anonymize_flat_sha224(spark, sf_dir):
+    """First column hashed with SHA-224."""
+    return A.anonymize_flat(export_mindate(spark, sf_dir), (0,), "sha224")
+
+
+@register("anonymize_flat_sha3")
+def anonymize_flat_sha3(spark, sf_dir):
+    """The flat-file ``sha224`` choice, i.e. SHA3-224 (Arrow UDF)."""
+    from cohortmart.functions.hashing import flat_csv_method
+    return A.anonymize_flat(export_mindate(spark, sf_dir), (0,), flat_csv_method("sha224"))
+
+
+@register("anonymize_mart_md5")
+def anonymize_mart_md5(spark, sf_dir):
+    """Fact table of the md5-anonymized mart (ids hashed consistently)."""
+    return A.anonymize_mart(clinical_mart(spark, sf_dir), "md5").observation_fact
+
+
+@register("export_mindate_anon")
+def export_mindate_anon(spark, sf_dir):
+    """Mindate export over the md5-anonymized mart."""
+    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "mindate")
+
+
+@register("add_dataset_column")
+def add_dataset_column(spark, sf_dir):
+    """``Dataset`` constant appended to a table that lacks it."""
+    return C.set_or_append(first_visits(spark, sf_dir), "Dataset", HOSPITAL)
+
+
+# ---------------------------------------------------------- sinks, checks --
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Mindate export written as flat CSV and read back with its schema
+    (NULL and '' both come back as NULL, as with the reference's files)."""
+    df = export_mindate(spark, sf_dir)
+    path = FS.write_csv(df, scratch_path(spark, "csv"))
+    return FS.read_csv(spark, path, df.schema)
+
+
+@register("batch_scan")
+def batch_scan(spark, sf_dir):
+    """O2: every file of one named batch folder, tagged with batch and file."""
+    visits = imaging_batch(spark, sf_dir)["mri_visits"]
+    root = scratch_path(spark, "batches")
+    FS.write_csv(visits, f"{root}/batch_1")
+    return FS.read_batch(spark, root, "batch_1", visits.schema, file_col=None)
+
+
+@register("merge_volumes")
+def merge_volumes(spark, sf_dir):
+    """O3: per-part output files merged into one volumes table with one scan."""
+    vol = imaging_batch(spark, sf_dir)["volumes"]
+    root = scratch_path(spark, "volumes")
+    FS.write_csv(vol, root)
+    return FS.merge_outputs(spark, f"{root}/*.csv", vol.schema)
+
+
+@register("append_export")
+def append_export(spark, sf_dir):
+    """A previous export is appended only if no key collides (here: skipped)."""
+    new = export_mindate(spark, sf_dir)
+    prev_path = FS.write_csv(export_maxdate(spark, sf_dir), scratch_path(spark, "prev"))
+    prev = FS.read_csv(spark, prev_path, new.schema)
+    return FS.append_export(new, prev, ["subjectcode"])
+
+
+@register("export_counters")
+def export_counters(spark, sf_dir):
+    """CDE columns, inserted rows and written facts of the mindate export."""
+    return X.export(clinical_mart(spark, sf_dir), "mindate").counters()
+
+
+@register("key_violations")
+def key_violations(spark, sf_dir):
+    """Fact keys present more than once (repeated line numbers of an order)."""
+    return QC.key_violations(clinical_mart(spark, sf_dir).observation_fact, QC.FACT_KEY)
+
+
+@register("null_demographics")
+def null_demographics(spark, sf_dir):
+    """Subjects of the mindate selection with NULL age or gender."""
+    sel = X.select_extreme(clinical_mart(spark, sf_dir), "min")
+    return QC.null_demographics(sel.demo, sel.key_cols)
+
+
+@register("bad_valtype")
+def bad_valtype(spark, sf_dir):
+    """Facts whose value type is neither N nor T."""
+    return QC.bad_valtype(clinical_mart(spark, sf_dir).observation_fact)

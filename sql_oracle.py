@@ -70,8 +70,34 @@ observation_fact AS (
 """
 
 
-def with_views(*ctes: str, select: str) -> str:
-    parts = [VIEWS.strip()] + [c.strip() for c in ctes]
+STAR = ("patient_mapping", "encounter_mapping", "patient_dimension", "visit_dimension",
+        "observation_fact")
+# Identifier columns hashed by mart anonymization, per view.
+ANON_IDS = {
+    "patient_mapping": ("patient_ide", "patient_num"),
+    "encounter_mapping": ("encounter_ide", "patient_ide", "encounter_num"),
+    "patient_dimension": ("patient_num",),
+    "visit_dimension": ("encounter_num", "patient_num"),
+    "observation_fact": ("encounter_num", "patient_num"),
+}
+
+
+def views(anon: str | None = None) -> str:
+    """The clinical view; with ``anon='md5'`` the star views carry hashed ids."""
+    if anon is None:
+        return VIEWS.strip()
+    body = VIEWS
+    for t in STAR:
+        body = body.replace(f"\n{t} AS (", f"\nraw_{t} AS (")
+    extra = []
+    for t, ids in ANON_IDS.items():
+        cols = ", ".join(f"{anon}(cast({c} AS varchar)) AS {c}" for c in ids)
+        extra.append(f"{t} AS (SELECT {cols}, * EXCLUDE ({', '.join(ids)}) FROM raw_{t})")
+    return body.strip() + ",\n" + ",\n".join(extra)
+
+
+def with_views(*ctes: str, select: str, anon: str | None = None) -> str:
+    parts = [views(anon)] + [c.strip() for c in ctes]
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
@@ -146,7 +172,7 @@ def _assemble(key_cols: list[str], leading: list[str], integer_months: bool,
     return [cells, wide], final
 
 
-def export_extreme_sql(which: str) -> str:
+def export_extreme_sql(which: str, anon: str | None = None) -> str:
     agg = "min" if which == "min" else "max"
     ctes = [
         f"""edge AS (SELECT patient_num, {agg}(start_date) AS start_date
@@ -166,7 +192,7 @@ def export_extreme_sql(which: str) -> str:
           WHERE rn = 1)""",
     ]
     extra, final = _assemble(["subjectcode"], [], integer_months=False)
-    return with_views(*ctes, *extra, select=final)
+    return with_views(*ctes, *extra, select=final, anon=anon)
 
 
 def export_longitude_sql() -> str:
@@ -263,10 +289,239 @@ def export_six_months_sql(window_seconds: int, pick: str, exclude: tuple[str, ..
     return with_views(*ctes, *extra, select=final)
 
 
+
+# ------------------------------------------------------- operator oracles --
+
+def _wrap(sql: str, select: str) -> str:
+    """``select`` over the result of ``sql`` (a full WITH … SELECT) as ``t``."""
+    return select.replace("{t}", f"({sql}) t")
+
+
+def _extreme_parts(which: str) -> tuple[list[str], str]:
+    sql = export_extreme_sql(which)
+    return sql, sql
+
+
+MINDATE = export_extreme_sql("min")
+MAXDATE = export_extreme_sql("max")
+TEXT_COLS = CDES + ("priority",)
+
+EDGE = """edge AS (SELECT patient_num, {agg}(start_date) AS start_date
+                  FROM visit_dimension GROUP BY patient_num)"""
+
+
+def _visits_at(which: str) -> str:
+    return with_views(EDGE.format(agg=which), select="""
+      SELECT v.patient_num, pm.patient_ide, v.encounter_num, v.start_date,
+             cast(v.patient_age AS double) AS patient_age
+      FROM visit_dimension v JOIN edge e
+        ON v.patient_num = e.patient_num AND v.start_date = e.start_date
+      JOIN patient_mapping pm ON pm.patient_num = v.patient_num""")
+
+
+SIX = six_month_ctes(180 * 86400, "closest", ("NA",))
+
+IMAGING = [
+    f"""mri_visits AS (
+      SELECT concat('P', cast(o_custkey AS varchar)) AS PATIENT_ID,
+             concat('V', cast(o_orderkey AS varchar)) AS VISIT_ID,
+             strftime(o_orderdate, '%d/%m/%Y') AS VISIT_DATE,
+             cast((4000 + (o_custkey % 55) * 100 + (o_orderkey % 100)) / 100.0 AS decimal(18,5)) AS PATIENT_AGE
+      FROM orders)""",
+    """volumes AS (
+      SELECT concat('P', cast(o_custkey AS varchar), '_V', cast(o_orderkey AS varchar)) AS subjectcode,
+             cast(l_quantity AS decimal(18,5)) AS l_quantity,
+             cast(l_extendedprice AS decimal(18,5)) AS l_extendedprice,
+             cast(l_discount AS decimal(18,5)) AS l_discount,
+             cast(l_tax AS decimal(18,5)) AS l_tax
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+    """volumes_df AS (
+      SELECT split_part(subjectcode, '_', 1) AS PATIENT_ID, split_part(subjectcode, '_', 2) AS VISIT_ID,
+             * FROM volumes)""",
+    """uv AS (
+      SELECT PATIENT_ID, VISIT_ID, Attribute, Value FROM (
+        SELECT PATIENT_ID, VISIT_ID, l_quantity, l_extendedprice, l_discount, l_tax FROM volumes_df)
+      UNPIVOT INCLUDE NULLS (Value FOR Attribute IN (l_quantity, l_extendedprice, l_discount, l_tax)))""",
+    f"""ing_pm AS (
+      SELECT *, row_number() OVER (ORDER BY patient_ide, patient_ide_source, project_id) AS patient_num
+      FROM (SELECT DISTINCT PATIENT_ID AS patient_ide, '{HOSPITAL}' AS patient_ide_source,
+                            '{HOSPITAL}' AS project_id FROM mri_visits) k)""",
+    f"""ing_em AS (
+      SELECT *, row_number() OVER (ORDER BY encounter_ide, encounter_ide_source, project_id,
+                                            patient_ide, patient_ide_source) AS encounter_num
+      FROM (SELECT DISTINCT VISIT_ID AS encounter_ide, '{HOSPITAL}' AS encounter_ide_source,
+                            '{HOSPITAL}' AS project_id, PATIENT_ID AS patient_ide,
+                            '{HOSPITAL}' AS patient_ide_source FROM mri_visits) k)""",
+]
+LOAD_TIME = "TIMESTAMP '2020-01-01 00:00:00'"
+PARSE_DATE = "cast(strptime({c}, '%d/%m/%Y') AS timestamp)"
+
+OBS_IMAGING = f"""of_rows AS (
+      SELECT em1.encounter_num, pm2.patient_num, uv.Attribute AS concept_cd,
+             em1.project_id AS provider_id, {PARSE_DATE.format(c='mv1.VISIT_DATE')} AS start_date,
+             '@' AS modifier_cd, 1 AS instance_num, 'N' AS valtype_cd, 'E' AS tval_char,
+             cast(uv.Value AS decimal(18,5)) AS nval_num, 'MRI' AS location_cd,
+             {LOAD_TIME} AS import_date
+      FROM uv JOIN mri_visits mv1 ON uv.VISIT_ID = mv1.VISIT_ID
+              JOIN ing_em em1 ON uv.VISIT_ID = em1.encounter_ide
+              JOIN ing_pm pm2 ON em1.patient_ide = pm2.patient_ide)"""
+
+TWO_LOADS = [
+    f"""pk_all AS (SELECT DISTINCT PATIENT_ID AS patient_ide, '{HOSPITAL}' AS patient_ide_source,
+                                 '{HOSPITAL}' AS project_id FROM mri_visits)""",
+    f"""pk1 AS (SELECT DISTINCT PATIENT_ID AS patient_ide, '{HOSPITAL}' AS patient_ide_source,
+                              '{HOSPITAL}' AS project_id FROM mri_visits
+              WHERE {PARSE_DATE.format(c='VISIT_DATE')} < TIMESTAMP '1998-01-01 00:00:00')""",
+    """m1 AS (SELECT *, row_number() OVER (ORDER BY patient_ide, patient_ide_source, project_id)
+                    AS patient_num FROM pk1)""",
+    """fresh AS (SELECT a.* FROM pk_all a WHERE NOT EXISTS (
+                   SELECT 1 FROM m1 WHERE m1.patient_ide = a.patient_ide
+                     AND m1.patient_ide_source = a.patient_ide_source
+                     AND m1.project_id = a.project_id))""",
+    """m2 AS (SELECT *, (SELECT coalesce(max(patient_num), 0) FROM m1)
+                    + row_number() OVER (ORDER BY patient_ide, patient_ide_source, project_id)
+                    AS patient_num FROM fresh)""",
+]
+
+FACT_COLS = ("encounter_num, patient_num, concept_cd, provider_id, start_date, modifier_cd, "
+             "instance_num, valtype_cd, tval_char, cast(nval_num AS double) AS nval_num")
+
+
+def _counters_sql() -> str:
+    body = MINDATE[len("WITH "):]
+    ctes_part, final = body.rsplit("\nSELECT ", 1)
+    return ("WITH " + ctes_part + ",\nflat AS (SELECT " + final + "),\n"
+            + f"""allcells AS (SELECT count(*) AS n FROM observation_fact f
+                 JOIN members m ON f.encounter_num = m.encounter_num WHERE {WRITABLE})
+            SELECT 'cde_columns' AS counter, cast({len(CDES)} AS bigint) AS value
+            UNION ALL SELECT 'inserts', count(*) FROM flat
+            UNION ALL SELECT 'updates', n FROM allcells""")
+
+
+def _pivot_observations_sql() -> str:
+    concepts = sorted(list(CDES[5:]) + [c for c, _ in LOCALS])
+    cols = ",\n  ".join(f"max(CASE WHEN concept_cd = '{c}' THEN v END) AS {_q(c)}" for c in concepts)
+    return with_views(f"""cells AS (
+      SELECT encounter_num, concept_cd, v FROM (
+        SELECT f.encounter_num, f.concept_cd, {TYPED_VALUE} AS v,
+               row_number() OVER (PARTITION BY f.encounter_num, f.concept_cd ORDER BY
+                 f.instance_num DESC NULLS LAST,
+                 CASE WHEN f.valtype_cd = 'N' THEN f.nval_num END DESC NULLS LAST,
+                 {TYPED_VALUE} DESC NULLS LAST) AS rn
+        FROM observation_fact f WHERE {WRITABLE}) x WHERE rn = 1)""",
+                      select=f"SELECT encounter_num,\n  {cols}\nFROM cells GROUP BY encounter_num")
+
+
 ORACLES: dict[str, str] = {
-    "export_mindate": export_extreme_sql("min"),
-    "export_maxdate": export_extreme_sql("max"),
+    "export_mindate": MINDATE,
+    "export_maxdate": MAXDATE,
     "export_longitude": export_longitude_sql(),
     "export_6months": export_six_months_sql(180 * 86400, "closest", ("NA",)),
     "export_6months_as_coded": export_six_months_sql(180 * 3600 * 4, "farthest", ()),
+    "age_parts": with_views(select="""
+      SELECT encounter_num, cast(patient_age AS double) AS patient_age,
+             cast(floor(patient_age) AS bigint) AS age_years,
+             cast(round((patient_age - floor(patient_age)) * 12) AS bigint) AS age_months
+      FROM visit_dimension"""),
+    "age_group": with_views(select="SELECT encounter_num, "
+                            + AGE_GROUP.format(y="cast(floor(patient_age) AS bigint)")
+                            + " AS agegroup FROM visit_dimension"),
+    "typed_value": with_views(select=f"""
+      SELECT f.encounter_num, f.concept_cd, f.instance_num, {TYPED_VALUE} AS value
+      FROM observation_fact f WHERE {WRITABLE}"""),
+    "cde_columns": with_views(select="""
+      SELECT c.concept_cd, c.upload_id, coalesce(n.n_facts, 0) AS n_facts
+      FROM concept_dimension c
+      LEFT JOIN (SELECT concept_cd, count(*) AS n_facts FROM observation_fact GROUP BY concept_cd) n
+        ON n.concept_cd = c.concept_cd
+      WHERE c.sourcesystem_cd = 'CDE'"""),
+    "concept_catalog": with_views(select="""
+      SELECT concept_cd, min(valtype_cd) AS valtype_cd,
+             min(valtype_cd) <> max(valtype_cd) AS mixed_valtype,
+             count(*) AS n_facts, min(provider_id) AS provider_id
+      FROM observation_fact GROUP BY concept_cd"""),
+    "dataset_constant": with_views(select="SELECT min(provider_id) AS dataset FROM observation_fact"),
+    "first_visits": _visits_at("min"),
+    "last_visits": _visits_at("max"),
+    "first_mri": with_views(SIX[0], select="SELECT * FROM mri"),
+    "valid_diagnosis": with_views(SIX[1], select="""
+      SELECT encounter_num, patient_num, start_date FROM visit_dimension
+      WHERE encounter_num IN (SELECT encounter_num FROM valid)"""),
+    "mri_diag_candidates": with_views(*SIX[:3], select="""
+      SELECT patient_num, encounter_num, encounter_num_mri, cast(abs_dt AS bigint) AS abs_dt
+      FROM cand"""),
+    "mri_nearest_diag": with_views(*SIX[:4], select="""
+      SELECT patient_num, mri_date, encounter_num_mri, diag_date, encounter_num_diag,
+             cast(age_diag AS double) AS age_diag FROM diag"""),
+    "diag_cognitive_visits": with_views(*SIX, select="""
+      SELECT patient_num, mri_date, encounter_num_mri, diag_date, encounter_num_diag,
+             cast(age_diag AS double) AS age_diag, encounter_num_mmse, encounter_num_moca FROM tt"""),
+    "pivot_observations": _pivot_observations_sql(),
+    "unpivot_measures": with_views(select="""
+      SELECT l_orderkey, l_linenumber, Attribute, Value FROM (
+        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+      UNPIVOT INCLUDE NULLS (Value FOR Attribute IN (l_quantity, l_extendedprice, l_discount, l_tax))"""),
+    "unpivot_many": with_views(select="""
+      SELECT l_orderkey AS entity_id, l_linenumber AS line_no, Attribute, Value FROM (
+        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+      UNPIVOT INCLUDE NULLS (Value FOR Attribute IN (l_quantity, l_extendedprice, l_discount, l_tax))
+      UNION ALL
+      SELECT o_orderkey, cast(NULL AS integer), 'o_totalprice', o_totalprice FROM orders"""),
+    "split_subjectcode": with_views(*IMAGING[:3], select="""
+      SELECT PATIENT_ID, VISIT_ID, subjectcode, cast(l_quantity AS double) AS l_quantity,
+             cast(l_extendedprice AS double) AS l_extendedprice, cast(l_discount AS double) AS l_discount,
+             cast(l_tax AS double) AS l_tax FROM volumes_df"""),
+    "assign_patient_num": with_views(IMAGING[0], *TWO_LOADS,
+                                     select="SELECT * FROM m1 UNION ALL SELECT * FROM m2"),
+    "new_patient_ids": with_views(IMAGING[0], *TWO_LOADS, select="SELECT * FROM m2"),
+    "assign_encounter_num": with_views(IMAGING[0], IMAGING[5], select="SELECT * FROM ing_em"),
+    "map_encounter_mapping": with_views(*IMAGING, select=f"""
+      SELECT DISTINCT encounter_ide, encounter_ide_source, project_id, patient_ide, patient_ide_source,
+             encounter_num, {LOAD_TIME} AS import_date FROM ing_em"""),
+    "map_visit_dimension": with_views(*IMAGING, select=f"""
+      SELECT DISTINCT em.encounter_num, pm.patient_num,
+             {PARSE_DATE.format(c='mv.VISIT_DATE')} AS start_date,
+             cast(mv.PATIENT_AGE AS double) AS patient_age, 'MRI' AS location_cd,
+             {LOAD_TIME} AS import_date
+      FROM ing_em em JOIN mri_visits mv ON em.encounter_ide = mv.VISIT_ID
+                     JOIN ing_pm pm ON em.patient_ide = pm.patient_ide"""),
+    "map_patient_mapping": with_views(*IMAGING, select=f"""
+      SELECT DISTINCT patient_ide, patient_ide_source, project_id, patient_num,
+             {LOAD_TIME} AS import_date FROM ing_pm"""),
+    "map_observation_fact": with_views(*IMAGING, OBS_IMAGING, select="""
+      SELECT encounter_num, patient_num, concept_cd, provider_id, start_date, modifier_cd,
+             instance_num, valtype_cd, tval_char, cast(nval_num AS double) AS nval_num,
+             row_number() OVER (ORDER BY encounter_num NULLS FIRST, concept_cd NULLS FIRST,
+                                         nval_num NULLS FIRST, patient_num NULLS FIRST)
+               AS text_search_index,
+             location_cd, import_date
+      FROM of_rows"""),
+    "anonymize_flat_md5": _wrap(MINDATE, "SELECT md5(subjectcode) AS subjectcode, "
+                                         "* EXCLUDE (subjectcode) FROM {t}"),
+    "anonymize_mart_md5": with_views(select=f"SELECT {FACT_COLS} FROM observation_fact",
+                                     anon="md5"),
+    "export_mindate_anon": export_extreme_sql("min", anon="md5"),
+    "add_dataset_column": _wrap(_visits_at("min"), f"SELECT *, '{HOSPITAL}' AS Dataset FROM {{t}}"),
+    "csv_roundtrip": _wrap(MINDATE, "SELECT " + ", ".join(
+        [f"nullif({_q(c)}, '') AS {_q(c)}" for c in ("subjectcode",) + TEXT_COLS]
+        + ["quantity", "totalprice"]) + " FROM {t}"),
+    "merge_volumes": with_views(*IMAGING[:2], select="""
+      SELECT subjectcode, cast(l_quantity AS double) AS l_quantity,
+             cast(l_extendedprice AS double) AS l_extendedprice, cast(l_discount AS double) AS l_discount,
+             cast(l_tax AS double) AS l_tax FROM volumes"""),
+    "append_export": MINDATE,
+    "export_counters": _counters_sql(),
+    "key_violations": with_views(select="""
+      SELECT encounter_num, concept_cd, provider_id, instance_num, start_date, modifier_cd,
+             count(*) AS n_rows FROM observation_fact
+      GROUP BY encounter_num, concept_cd, provider_id, instance_num, start_date, modifier_cd
+      HAVING count(*) > 1"""),
+    "null_demographics": _wrap(MINDATE.split("\ncells AS (")[0].rstrip().rstrip(",")
+                               .replace("WITH ", "WITH ", 1) + "\nSELECT subjectcode, "
+                               "cast(age AS double) AS age, sex_cd FROM demo "
+                               "WHERE age IS NULL OR sex_cd IS NULL",
+                               "SELECT * FROM {t}"),
+    "bad_valtype": with_views(select=f"""
+      SELECT {FACT_COLS} FROM observation_fact
+      WHERE valtype_cd NOT IN ('N', 'T') OR valtype_cd IS NULL"""),
 }
