@@ -23,13 +23,20 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
 
 def sequence_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
-                 start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                 start: int = 0, num_partitions: int | None = None,
+                 spread_ties: bool = True) -> DataFrame:
     """``df`` plus ``id_col`` = start + 1 … start + n following ``order_cols``
     (ties broken arbitrarily; give a total order for reproducible ids)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [qcol(c) for c in order_cols]
+    if spread_ties:
+        # Exact copies share every order value and a range partitioner cannot
+        # split them; a per-row tiebreak lets a hot group of copies spread over
+        # several ranges (copies are interchangeable, so ids stay correct).
+        df = df.withColumn("__tie", F.monotonically_increasing_id())
+        cols.append(F.col("__tie"))
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
@@ -40,12 +47,12 @@ def sequence_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
         offsets.append((r["__pid"], run))
         run += r["n"]
     if not offsets:
-        return ranged.drop("__pid", "__mid").withColumn(id_col, F.lit(None).cast("long"))
+        return ranged.drop("__pid", "__mid", "__tie").withColumn(id_col, F.lit(None).cast("long"))
     off = spark.createDataFrame(offsets, "__pid int, __off long")
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), _LOCAL_BITS)
     return (ranged.join(F.broadcast(off), "__pid")
             .withColumn(id_col, (F.lit(start) + F.col("__off") + local + 1).cast("long"))
-            .drop("__pid", "__mid", "__off"))
+            .drop("__pid", "__mid", "__off", "__tie"))
 
 
 def new_keys(incoming: DataFrame, existing: DataFrame | None, key_cols: Sequence[str]) -> DataFrame:
@@ -69,7 +76,8 @@ def assign_ids(incoming: DataFrame, existing: DataFrame | None, key_cols: Sequen
     """(new mapping rows, full mapping).  New keys get max(existing) + rank of the
     key; re-running with the same batch adds nothing."""
     fresh = new_keys(incoming, existing, key_cols)
-    numbered = sequence_ids(fresh, key_cols, id_col, start=max_id(existing, id_col))
+    numbered = sequence_ids(fresh, key_cols, id_col, start=max_id(existing, id_col),
+                            spread_ties=False)  # distinct keys: no ties
     numbered = numbered.select(*[qcol(c) for c in key_cols], qcol(id_col))
     if existing is None:
         return numbered, numbered

@@ -37,7 +37,7 @@ def parse_visit_date(col: Column, mode: str = "strict") -> Column:
     if mode == "strict":
         d = F.to_date(col, VISIT_DATE_FORMAT)
     elif mode == "lenient":
-        d = F.try_to_date(col, F.lit(VISIT_DATE_FORMAT))
+        d = F.try_to_date(col, VISIT_DATE_FORMAT)
     else:
         raise ValueError("mode must be 'strict' or 'lenient'")
     return d.cast("timestamp_ntz")
@@ -99,7 +99,7 @@ def imaging_spec(date_mode: str = "strict") -> MappingSpec:
                                                  "patient_num"))),
                 ("location_cd", Const(IMAGING_LOCATION)),
                 ("import_date", LoadTime()),
-            )),
+            ), driver="uv"),
         ),
     )
 

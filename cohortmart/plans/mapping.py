@@ -69,6 +69,7 @@ class Target:
     name: str
     columns: tuple[tuple[str, Source], ...]
     distinct: bool = False
+    driver: str | None = None     # alias of the large source, joined last
 
 
 @dataclass(frozen=True)
@@ -97,30 +98,54 @@ def _resolver(alias: str, column: str) -> Column:
     return qcol(f"{alias}__{column}")
 
 
-def _join_aliases(spec: MappingSpec, aliases: set[str],
-                  tables: Mapping[str, DataFrame]) -> DataFrame:
-    order = sorted(aliases, key=list(spec.sources).index)
+def _classes(joins: Sequence[Join]) -> list[set[tuple[str, str]]]:
+    """Equivalence classes of (alias, column) under the inner equi-join conditions."""
+    classes: list[set[tuple[str, str]]] = []
+    for j in joins:
+        hit = [c for c in classes if j.left in c or j.right in c]
+        merged = {j.left, j.right}.union(*hit) if hit else {j.left, j.right}
+        classes = [c for c in classes if c not in hit] + [merged]
+    return classes
+
+
+def _join_aliases(spec: MappingSpec, aliases: set[str], tables: Mapping[str, DataFrame],
+                  driver: str | None = None) -> DataFrame:
+    """Inner-join the aliases along the declared equalities and their transitive
+    closure (a = b and a = c imply b = c).  With a ``driver`` alias (the large
+    source) the other aliases are joined first and the driver last, so the
+    large side is shuffled once on its join key."""
+    declared = list(spec.sources)
+    classes = [{m for m in c if m[0] in aliases} for c in _classes(spec.joins)]
+    classes = [c for c in classes if len(c) > 1]
+    order = sorted(aliases - ({driver} if driver else set()), key=declared.index)
+    if driver:
+        order.append(driver)
     done = {order[0]}
     df = _prefixed(order[0], tables[spec.sources[order[0]]])
-    pending = [j for j in spec.joins if j.left[0] in aliases and j.right[0] in aliases]
-    while len(done) < len(aliases):
-        progress = False
-        for j in list(pending):
-            a, b = j.left[0], j.right[0]
-            if (a in done) == (b in done):
+    remaining = order[1:]
+    while remaining:
+        for new in remaining:
+            if new == driver and len(remaining) > 1:
                 continue
-            new = b if a in done else a
-            df = df.join(_prefixed(new, tables[spec.sources[new]]),
-                         _resolver(*j.left) == _resolver(*j.right), "inner")
-            done.add(new)
-            pending.remove(j)
-            progress = True
-        if not progress:
-            raise ValueError(f"aliases {sorted(aliases - done)} are not joined to {sorted(done)}; "
+            conds = []
+            for c in classes:
+                mine = sorted(m for m in c if m[0] == new)
+                theirs = sorted(m for m in c if m[0] in done)
+                if mine and theirs:
+                    conds.append(_resolver(*mine[0]) == _resolver(*theirs[0]))
+                    # several columns of the new alias in one class: equal to each other too
+                    conds += [_resolver(*mine[0]) == _resolver(*x) for x in mine[1:]]
+            if conds:
+                cond = conds[0]
+                for c2 in conds[1:]:
+                    cond = cond & c2
+                df = df.join(_prefixed(new, tables[spec.sources[new]]), cond, "inner")
+                done.add(new)
+                remaining.remove(new)
+                break
+        else:
+            raise ValueError(f"aliases {remaining} are not joined to {sorted(done)}; "
                              "a mapping never builds a cross product")
-    # remaining conditions between already-joined aliases (cycles) become filters
-    for j in pending:
-        df = df.filter(_resolver(*j.left) == _resolver(*j.right))
     return df
 
 
@@ -137,7 +162,7 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
             used |= set(spec.where_aliases)
         if not used:
             raise ValueError(f"target {t.name} reads no source")
-        df = _join_aliases(spec, used, tables)
+        df = _join_aliases(spec, used, tables, t.driver if t.driver in used else None)
         if spec.where is not None and set(spec.where_aliases) <= used:
             df = df.filter(spec.where(_resolver))
         seq: tuple[str, Sequence_] | None = None
