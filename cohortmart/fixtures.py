@@ -3,7 +3,7 @@
 The driver ships TPC-H-like parquet tables; these functions read them lazily
 and present them as the star tables of a mart, and as a wide imaging batch,
 so every job runs over whole tables whose size grows with the scale factor.
-The same views are written in SQL for the DuckDB oracle (``oracle.py``).
+The same views are written in SQL for the DuckDB oracle (``sql_oracle.py``).
 """
 
 from __future__ import annotations
@@ -161,3 +161,28 @@ def imaging_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                                 F.col("o_orderkey").cast("string")).alias("subjectcode"),
                        *[F.col(c).cast(DEC).alias(c) for c in LINEITEM_MEASURES]))
     return {"mri_visits": mri_visits, "volumes": volumes}
+
+
+def capture_mart(spark: SparkSession, sf_dir: str, load_time=None) -> Mart:
+    """Capture mart filled by the imaging ingest of :func:`imaging_batch`.
+
+    The imaging mapping does not fill patient_dimension; here it is derived
+    from customer (sex rule of the clinical view) through the new patient
+    numbers.  The capture concept dictionary has no CDE entries, so exports
+    over it carry the demographic columns and the measure concepts.
+    """
+    from cohortmart.plans.ingest import ingest_imaging
+    b = imaging_batch(spark, sf_dir)
+    res = ingest_imaging(b["volumes"], b["mri_visits"], measures=LINEITEM_MEASURES,
+                         hospital=HOSPITAL, load_time=load_time)
+    t = res.targets
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey")
+    pd = (t["patient_mapping"].join(
+            customer, t["patient_mapping"].patient_ide
+            == F.concat(F.lit("P"), customer.c_custkey.cast("string")))
+          .select("patient_num",
+                  F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("sex_cd")))
+    cd = spark.createDataFrame([], "concept_cd string, sourcesystem_cd string, upload_id int")
+    return Mart(patient_mapping=t["patient_mapping"], encounter_mapping=t["encounter_mapping"],
+                patient_dimension=pd, visit_dimension=t["visit_dimension"], concept_dimension=cd,
+                observation_fact=t["observation_fact"], name="capture")

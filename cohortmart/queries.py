@@ -398,3 +398,33 @@ def null_demographics(spark, sf_dir):
 def bad_valtype(spark, sf_dir):
     """Facts whose value type is neither N nor T."""
     return QC.bad_valtype(clinical_mart(spark, sf_dir).observation_fact)
+
+
+
+# ------------------------------------------------- mart variants (O38, O39) --
+
+@register("export_local_mindate")
+def export_local_mindate(spark, sf_dir):
+    """Mindate over the capture mart filled by the imaging ingest."""
+    from cohortmart.fixtures import capture_mart
+    return X.export_frame(capture_mart(spark, sf_dir, F.expr(LOAD_TIME_SQL)), "mindate")
+
+
+@register("export_maxdate_anon")
+def export_maxdate_anon(spark, sf_dir):
+    """Maxdate over the md5-anonymized mart."""
+    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "maxdate")
+
+
+@register("export_longitude_anon")
+def export_longitude_anon(spark, sf_dir):
+    """Longitude over the md5-anonymized mart."""
+    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "longitude")
+
+
+@register("export_6months_anon")
+def export_6months_anon(spark, sf_dir):
+    """6months over the md5-anonymized mart with the fixed dataset value."""
+    from cohortmart.plans.jobs import strategy_for
+    s = strategy_for("6months", anonymized=True)
+    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "6months", s.options)

@@ -172,7 +172,7 @@ def _assemble(key_cols: list[str], leading: list[str], integer_months: bool,
     return [cells, wide], final
 
 
-def export_extreme_sql(which: str, anon: str | None = None) -> str:
+def export_extreme_sql(which: str, anon: str | None = None, cdes=CDES, locals_=LOCALS) -> str:
     agg = "min" if which == "min" else "max"
     ctes = [
         f"""edge AS (SELECT patient_num, {agg}(start_date) AS start_date
@@ -191,11 +191,11 @@ def export_extreme_sql(which: str, anon: str | None = None) -> str:
             FROM sk JOIN patient_dimension pd ON pd.patient_num = sk.patient_num) x
           WHERE rn = 1)""",
     ]
-    extra, final = _assemble(["subjectcode"], [], integer_months=False)
+    extra, final = _assemble(["subjectcode"], [], integer_months=False, cdes=cdes, locals_=locals_)
     return with_views(*ctes, *extra, select=final, anon=anon)
 
 
-def export_longitude_sql() -> str:
+def export_longitude_sql(anon: str | None = None) -> str:
     ctes = [
         """em AS (SELECT patient_ide AS subjectcode, encounter_ide AS subjectvisitid, encounter_num
                  FROM encounter_mapping)""",
@@ -212,7 +212,7 @@ def export_longitude_sql() -> str:
     ]
     extra, final = _assemble(["subjectcode", "subjectvisitid"], ["subjectvisitdate"],
                              integer_months=True)
-    return with_views(*ctes, *extra, select=final)
+    return with_views(*ctes, *extra, select=final, anon=anon)
 
 
 def six_month_ctes(window_seconds: int, pick: str, exclude: tuple[str, ...]) -> list[str]:
@@ -263,7 +263,7 @@ def six_month_ctes(window_seconds: int, pick: str, exclude: tuple[str, ...]) ->
 
 
 def export_six_months_sql(window_seconds: int, pick: str, exclude: tuple[str, ...],
-                          dataset_sql: str | None = None) -> str:
+                          dataset_sql: str | None = None, anon: str | None = None) -> str:
     ctes = six_month_ctes(window_seconds, pick, exclude) + [
         """stacked AS (
           SELECT patient_num, encounter_num, min(role_rank) AS role_rank FROM (
@@ -286,7 +286,7 @@ def export_six_months_sql(window_seconds: int, pick: str, exclude: tuple[str, ..
     ]
     kw = {"dataset_sql": dataset_sql} if dataset_sql else {}
     extra, final = _assemble(["subjectcode"], [], integer_months=False, prefer_nonempty=True, **kw)
-    return with_views(*ctes, *extra, select=final)
+    return with_views(*ctes, *extra, select=final, anon=anon)
 
 
 
@@ -525,3 +525,41 @@ ORACLES: dict[str, str] = {
       SELECT {FACT_COLS} FROM observation_fact
       WHERE valtype_cd NOT IN ('N', 'T') OR valtype_cd IS NULL"""),
 }
+
+
+def _local_mindate_sql() -> str:
+    """mindate over the capture mart built by the imaging ingest (cap_* views)."""
+    import re
+    measures = ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
+    core = export_extreme_sql("min", cdes=DEMOGRAPHICS, locals_=tuple((m, "num") for m in measures))
+    body = core[len("WITH "):]
+    body = body[len(VIEWS.strip()) + 2:]   # drop the clinical views; keep the export CTEs
+    for t in STAR:
+        body = re.sub(rf"\b{t}\b", f"cap_{t}", body)
+    cap = [
+        f"""cap_observation_fact AS (
+          SELECT encounter_num, patient_num, concept_cd, provider_id, start_date, modifier_cd,
+                 instance_num, valtype_cd, tval_char, nval_num FROM of_rows)""",
+        """cap_visit_dimension AS (
+          SELECT DISTINCT em.encounter_num, pm.patient_num,
+                 cast(strptime(mv.VISIT_DATE, '%d/%m/%Y') AS timestamp) AS start_date,
+                 cast(mv.PATIENT_AGE AS decimal(18,5)) AS patient_age, 'MRI' AS location_cd
+          FROM ing_em em JOIN mri_visits mv ON em.encounter_ide = mv.VISIT_ID
+                         JOIN ing_pm pm ON em.patient_ide = pm.patient_ide)""",
+        """cap_patient_mapping AS (SELECT DISTINCT patient_ide, patient_ide_source, project_id,
+                                         patient_num FROM ing_pm)""",
+        """cap_patient_dimension AS (
+          SELECT pm.patient_num, CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex_cd
+          FROM ing_pm pm JOIN customer c ON pm.patient_ide = concat('P', cast(c.c_custkey AS varchar)))""",
+    ]
+    head = with_views(*IMAGING, OBS_IMAGING, *cap, select="")
+    return head.rstrip() + ",\n" + body
+
+
+ORACLES.update({
+    "export_local_mindate": _local_mindate_sql(),
+    "export_maxdate_anon": export_extreme_sql("max", anon="md5"),
+    "export_longitude_anon": export_longitude_sql(anon="md5"),
+    "export_6months_anon": export_six_months_sql(180 * 86400, "closest", ("NA",),
+                                                 dataset_sql="'CLM'", anon="md5"),
+})
