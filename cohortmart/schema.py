@@ -72,6 +72,17 @@ STAR_SCHEMAS = {
     "observation_fact": OBSERVATION_FACT,
 }
 
+# Bucketing of the star tables: exports join facts to selected encounters on
+# encounter_num and aggregate visits per patient, so facts and encounter maps
+# are bucketed by encounter_num and patient-level tables by patient_num.
+BUCKET_KEYS = {
+    "patient_mapping": "patient_num",
+    "encounter_mapping": "encounter_num",
+    "patient_dimension": "patient_num",
+    "visit_dimension": "patient_num",
+    "observation_fact": "encounter_num",
+}
+
 # Identifier columns that carry a patient or encounter identity; these are the
 # columns hashed by mart anonymization so that joins still line up.
 ID_COLUMNS = ("patient_num", "encounter_num", "patient_ide", "encounter_ide")
@@ -115,3 +126,23 @@ class Mart:
     def write_parquet(self, root: str, mode: str = "overwrite") -> None:
         for t, df in self.tables().items():
             df.write.mode(mode).parquet(f"{root.rstrip('/')}/{t}")
+
+    def save_bucketed(self, database: str, root: str, buckets: int,
+                      mode: str = "overwrite") -> "Mart":
+        """Write the star tables as bucketed catalog tables stored under ``root``
+        (shared storage) and return the mart reading them back.
+
+        Joins and aggregations on the bucket key then find their input already
+        hash-partitioned, so the large fact table is not shuffled by the export
+        join on encounter_num; only the smaller side is shuffled to match.
+        """
+        spark = self.observation_fact.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+                  f"LOCATION '{root.rstrip('/')}/_{database}.db'")
+        for t, df in self.tables().items():
+            w = df.write.mode(mode).format("parquet").option("path", f"{root.rstrip('/')}/{t}")
+            key = BUCKET_KEYS.get(t)
+            if key is not None:
+                w = w.bucketBy(buckets, key).sortBy(key)
+            w.saveAsTable(f"{database}.{t}")
+        return Mart.from_catalog(spark, database, name=self.name)

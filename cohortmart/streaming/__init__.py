@@ -1 +1 @@
-"""streaming."""
+"""Incremental ingest of batch folders with Structured Streaming."""

@@ -1,0 +1,74 @@
+"""Batch-folder imaging ingest as a file stream.
+
+Batches arrive as folders ``<volumes_root>/<batch>/*.csv`` and
+``<visits_root>/<batch>/*.csv``.  A file-stream source over the volume files
+hands each micro-batch to ``foreachBatch``, which reads the visit files of
+the same batches, runs the imaging ingest against the id maps written by
+earlier micro-batches, and writes every target under
+``<out_root>/<table>/epoch=<id>`` with overwrite.  Re-running an epoch after
+a failure rewrites the same folder from the same inputs, so the output is
+exactly-once; ids continue from the maps of earlier epochs only.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from cohortmart.plans.ingest import ingest_imaging
+from cohortmart.sources.files import CSV_READ_OPTIONS, read_csv
+
+BATCH_COL = "__batch"
+
+
+def _existing(spark: SparkSession, root: str, table: str, epoch: int) -> DataFrame | None:
+    path = f"{root.rstrip('/')}/{table}"
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no earlier epoch yet
+        return None
+    return df.filter(F.col("epoch") < epoch).drop("epoch")
+
+
+def ingest_micro_batch(spark: SparkSession, volumes: DataFrame, epoch: int, visits_root: str,
+                       visit_schema: T.StructType | str, out_root: str,
+                       measures: Sequence[str] | None, hospital: str) -> None:
+    # One small row per batch folder of this micro-batch (bounded by maxFilesPerTrigger).
+    batches = sorted(r[0] for r in volumes.select(BATCH_COL).distinct().collect())
+    if not batches:
+        return
+    visits = read_csv(spark, [f"{visits_root.rstrip('/')}/{b}" for b in batches], visit_schema)
+    pm = _existing(spark, out_root, "patient_mapping_ids", epoch)
+    em = _existing(spark, out_root, "encounter_mapping_ids", epoch)
+    res = ingest_imaging(volumes.drop(BATCH_COL), visits, measures=measures, hospital=hospital,
+                         existing_patients=pm, existing_encounters=em)
+    outputs = dict(res.targets)
+    outputs["patient_mapping_ids"] = res.patient_mapping_new
+    outputs["encounter_mapping_ids"] = res.encounter_mapping_new
+    for table, df in outputs.items():
+        df.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{table}/epoch={epoch}")
+
+
+def start_imaging_ingest(spark: SparkSession, volumes_root: str, visits_root: str,
+                         out_root: str, checkpoint: str, volume_schema: T.StructType | str,
+                         visit_schema: T.StructType | str, measures: Sequence[str] | None = None,
+                         hospital: str = "MockHospital", max_files_per_trigger: int = 1000,
+                         available_now: bool = True) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops."""
+    stream = (spark.readStream.options(**CSV_READ_OPTIONS).schema(volume_schema)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger))
+              .csv(f"{volumes_root.rstrip('/')}/*"))
+    stream = stream.withColumn(
+        BATCH_COL, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+    def each(df: DataFrame, epoch_id: int) -> None:
+        ingest_micro_batch(df.sparkSession, df, epoch_id, visits_root, visit_schema, out_root,
+                           measures, hospital)
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
