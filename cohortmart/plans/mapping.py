@@ -158,11 +158,11 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
         used: set[str] = set()
         for _, src in t.columns:
             used |= _aliases(src)
-        if spec.where is not None:
-            used |= set(spec.where_aliases)
         if not used:
             raise ValueError(f"target {t.name} reads no source")
         df = _join_aliases(spec, used, tables, t.driver if t.driver in used else None)
+        # the selection condition restricts its source aliases: it applies to the
+        # targets that read all of them and leaves the others untouched
         if spec.where is not None and set(spec.where_aliases) <= used:
             df = df.filter(spec.where(_resolver))
         seq: tuple[str, Sequence_] | None = None
