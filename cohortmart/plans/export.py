@@ -36,7 +36,7 @@ from cohortmart.operators.visits import (
     first_mri, nearest_diagnosis, stack_encounters, valid_diagnosis_encounters,
     visits_at_extreme)
 from cohortmart.schema import Mart
-from cohortmart.session import is_case_sensitive
+from cohortmart.session import ensure_checkpoint_dir, is_case_sensitive
 
 # --- fixed values: demographic columns every export carries ---------------
 DEMOGRAPHICS = ("subjectageyears", "subjectage", "gender", "dataset", "agegroup")
@@ -58,7 +58,10 @@ class ExportOptions:
     ``dataset_const``: value of the ``dataset`` column, default the smallest
     provider_id of the facts.  ``dataset``: when set, a ``Dataset`` column with
     this value is set or appended (needs a case-sensitive session because the
-    export also has ``dataset``).
+    export also has ``dataset``).  ``checkpoint_selection``: the 6-months
+    per-patient selection (one row per patient, built from two filtered fact
+    scans) feeds both the fact join and the demographic row; it is written
+    once to the shared checkpoint folder instead of being recomputed.
     """
 
     window_seconds: int = DEFAULT_WINDOW_SECONDS
@@ -68,6 +71,7 @@ class ExportOptions:
     valtype_policy: str = "strict"
     dataset_const: str | None = None
     dataset: str | None = None
+    checkpoint_selection: bool = True
 
 
 DEFAULT = ExportOptions()
@@ -166,6 +170,9 @@ def six_month_selection(mart: Mart, opts: ExportOptions) -> DataFrame:
 
 def select_six_months(mart: Mart, opts: ExportOptions) -> Selection:
     tt = six_month_selection(mart, opts)
+    if opts.checkpoint_selection:
+        ensure_checkpoint_dir(tt.sparkSession)
+        tt = tt.checkpoint(eager=True)
     pm = _pm(mart)
     members = (stack_encounters(tt, SIX_MONTH_ROLES).join(pm, "patient_num")
                .select("subjectcode", "encounter_num", "role_rank"))
