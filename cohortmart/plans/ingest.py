@@ -9,7 +9,7 @@ patient_mapping and observation_fact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -112,7 +112,7 @@ class IngestResult:
     patient_mapping: DataFrame
     encounter_mapping_new: DataFrame
     encounter_mapping: DataFrame
-    targets: dict[str, DataFrame]
+    targets: Mapping[str, DataFrame]
 
 
 def ingest_imaging(volumes: DataFrame, mri_visits: DataFrame, measures: Sequence[str] | None = None,

@@ -149,12 +149,33 @@ def _join_aliases(spec: MappingSpec, aliases: set[str], tables: Mapping[str, Dat
     return df
 
 
+class Targets(Mapping):
+    """Target name → DataFrame, built on first access.  A target with a
+    ``Sequence_`` column runs its numbering job only when it is asked for."""
+
+    def __init__(self, build: Callable[[Target], DataFrame], targets: Sequence[Target]):
+        self._build = build
+        self._targets = {t.name: t for t in targets}
+        self._done: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._done:
+            self._done[name] = self._build(self._targets[name])
+        return self._done[name]
+
+    def __iter__(self):
+        return iter(self._targets)
+
+    def __len__(self) -> int:
+        return len(self._targets)
+
+
 def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
-                load_time: Column | None = None) -> dict[str, DataFrame]:
-    """Compile every target to a lazy DataFrame."""
+                load_time: Column | None = None) -> Targets:
+    """Compile every target to a DataFrame (lazily, on first access)."""
     now = load_time if load_time is not None else F.current_timestamp()
-    out: dict[str, DataFrame] = {}
-    for t in spec.targets:
+
+    def build(t: Target) -> DataFrame:
         used: set[str] = set()
         for _, src in t.columns:
             used |= _aliases(src)
@@ -191,5 +212,6 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
         if seq is not None:
             name, s = seq
             df = sequence_ids(df, s.order_by, name, start=s.offset)
-        out[t.name] = df.select(*[qcol(n) for n, _ in t.columns])
-    return out
+        return df.select(*[qcol(n) for n, _ in t.columns])
+
+    return Targets(build, spec.targets)

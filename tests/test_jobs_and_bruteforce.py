@@ -37,7 +37,7 @@ def test_mapping_refuses_cross_product(spark):
     spec = MappingSpec(sources={"a": "A", "b": "A"}, targets=(
         Target("t", (("x", Copy("a", "id")), ("y", Copy("b", "id")))),))
     try:
-        run_mapping(spec, {"A": a})
+        run_mapping(spec, {"A": a})["t"]      # targets are built on access
         raise AssertionError("expected refusal")
     except ValueError as e:
         assert "cross product" in str(e)
