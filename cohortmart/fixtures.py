@@ -119,8 +119,25 @@ def _observation_fact(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                     "tval_char", "nval_num"))
 
 
+_VIEWS: dict[tuple[int, str, str], tuple[SparkSession, Mart]] = {}
+
+
 def clinical_mart(spark: SparkSession, sf_dir: str, name: str = "harmonized") -> Mart:
-    """Star tables of the clinical view (FIXTURES.md §3), all lazy."""
+    """Star tables of the clinical view (FIXTURES.md §3), all lazy.
+
+    The view definitions (plans only, no data) are built once per session and
+    folder, like registering views; every use still reads the tables.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    hit = _VIEWS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    mart = _build_clinical_mart(spark, sf_dir, name)
+    _VIEWS[key] = (spark, mart)
+    return mart
+
+
+def _build_clinical_mart(spark: SparkSession, sf_dir: str, name: str) -> Mart:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")

@@ -68,12 +68,18 @@ def unpivot_many(specs: Sequence[UnpivotSpec]) -> DataFrame:
 
 def concept_catalog(facts: DataFrame) -> DataFrame:
     """One row per concept: a value type, whether types are mixed, fact count and
-    the smallest provider.  Min/max/count are partial aggregates, so the scan of
-    the fact table is combined map-side to one row per concept per task."""
-    return (facts.groupBy("concept_cd")
+    the smallest provider.
+
+    The pass over the whole fact table only counts per (concept, provider,
+    value type): string keys with a long buffer, so it is a hash aggregate
+    combined map-side (string min/max buffers would force a sort of every
+    fact).  The string min/max then run over that tiny table."""
+    triples = (facts.groupBy("concept_cd", "provider_id", "valtype_cd")
+               .agg(F.count(F.lit(1)).alias("n")))
+    return (triples.groupBy("concept_cd")
             .agg(F.min("valtype_cd").alias("valtype_cd"),
                  (F.min("valtype_cd") != F.max("valtype_cd")).alias("mixed_valtype"),
-                 F.count(F.lit(1)).alias("n_facts"),
+                 F.sum("n").alias("n_facts"),
                  F.min("provider_id").alias("provider_id")))
 
 
