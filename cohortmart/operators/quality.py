@@ -33,9 +33,3 @@ def bad_valtype(facts: DataFrame) -> DataFrame:
     """Reject table: facts whose value type is neither N nor T (or NULL)."""
     return facts.filter(~valid_valtype(F.col("valtype_cd")) | F.col("valtype_cd").isNull())
 
-
-def require_unique(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """``df`` with a lazy uniqueness assertion: the job fails if a key repeats."""
-    dup = key_violations(df, key_cols)
-    return df.join(dup.select(*key_cols, F.raise_error(F.lit(
-        f"duplicate key on {list(key_cols)}")).alias("__dup")), list(key_cols), "left_anti")
