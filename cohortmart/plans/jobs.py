@@ -10,7 +10,8 @@ from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cohortmart.operators.anonymize import anonymize_flat, anonymize_mart
 from cohortmart.functions.hashing import flat_csv_method
@@ -76,6 +77,21 @@ def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str,
     ``anonymized`` hashes the mart's ids first (consistently in every table).
     A ``Dataset`` column with ``dataset`` is set or appended.
     """
+    return export_csv_with_counters(marts, strategy, output_folder, dataset=dataset,
+                                    anonymized=anonymized, local=local, csv_name=csv_name,
+                                    hash_method=hash_method, as_coded=as_coded,
+                                    single_file=single_file)[0]
+
+
+def export_csv_with_counters(marts: Mapping[str, Mart], strategy: str, output_folder: str, *,
+                             dataset: str, anonymized: bool = False, local: bool = False,
+                             csv_name: str | None = None, hash_method: str = DEFAULT_HASH,
+                             as_coded: bool = False,
+                             single_file: bool = False) -> tuple[str, dict[str, int]]:
+    """:func:`extract_to_csv` that also returns run counters: CDE columns and
+    inserted rows.  The row count is an ``observe`` metric gathered while the
+    file is written, so it costs no extra pass (the written-facts count needs
+    one, see ``ExportResult.counters``)."""
     mart = marts["capture" if local else "harmonized"]
     if anonymized:
         mart = marts.get("anonymized") or anonymize_mart(mart, hash_method)
@@ -83,9 +99,12 @@ def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str,
     spark = mart.observation_fact.sparkSession
     path = f"{output_folder.rstrip('/')}/{csv_name or s.csv_name}"
     with case_sensitive(spark):
-        frame = export(mart, s.strategy, replace(s.options, dataset=dataset)).frame
-        write_csv(frame, path, single_file=single_file)
-    return path
+        res = export(mart, s.strategy, replace(s.options, dataset=dataset))
+        rows = Observation("export_rows")
+        write_csv(res.frame.observe(rows, F.count(F.lit(1)).alias("inserts")), path,
+                  single_file=single_file)
+    counters = {"cde_columns": res.n_cde_columns, "inserts": int(rows.get["inserts"])}
+    return path, counters
 
 
 def anonymize_csv(spark: SparkSession, input_csv: str, output_csv: str, schema,

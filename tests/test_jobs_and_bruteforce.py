@@ -10,7 +10,8 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from cohortmart.plans import export as X
-from cohortmart.plans.jobs import anonymize_csv, extract_to_csv, harmonize
+from cohortmart.plans.jobs import (anonymize_csv, export_csv_with_counters, extract_to_csv,
+                                   harmonize)
 from cohortmart.plans.mapping import Const, Copy, Expr, Join, MappingSpec, Target, run_mapping
 from cohortmart.session import local_path, scratch_path
 from cohortmart.sources.files import read_csv
@@ -77,6 +78,13 @@ def test_extract_to_csv_appends_dataset_column(spark):
     assert hashlib.md5(b"p1").hexdigest() in text and ",CLM," in text
 
 
+def test_export_counters_observed_while_writing(spark):
+    m = _mart(spark)
+    _, counters = export_csv_with_counters({"harmonized": m, "capture": m}, "longitude",
+                                           scratch_path(spark, "cnt"), dataset="DS")
+    assert counters == {"cde_columns": 8, "inserts": 2}
+
+
 def test_anonymize_csv_uses_sha3_for_sha224(spark):
     src = scratch_path(spark, "flat")
     spark.createDataFrame([("p1", "a")], "subjectcode string, x string").write.option(
