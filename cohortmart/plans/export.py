@@ -10,12 +10,16 @@ names of the concept dictionary and catalog):
   MMSE/MoCA visits nearest that diagnosis; facts of those ≤4 visits, the MRI
   visit winning, then diagnosis, MMSE, MoCA.
 
-Plan shape (every strategy): the selected (key, encounter) *members* are
-joined to the fact table on encounter_num — the one shuffle of the large
-table, after column pruning and the writable-fact filter — and reduced to one
-winner per (key, concept) by a partial ``max`` over an ordering struct, then
-pivoted with an explicit value list and left-joined onto the demographic row
-of each key.  Nothing per patient passes through the driver.
+Plan shape (every strategy): the strategy yields one row per (key, selected
+encounter) carrying the key's demographic candidate.  These rows are
+left-joined to the fact table on encounter_num — the one shuffle of the large
+table, after column pruning and the writable-fact filter (none when the
+facts are bucketed on encounter_num) — and a single grouped aggregate per key
+produces every output cell: per concept the ``max`` of an ordering struct
+(the winning fact), and the ``max`` demographic candidate.  The aggregate is
+partial (combined map-side), so a key holding a third of all facts is reduced
+in every map task before the one shuffle by key; keys without facts keep their
+row through the left join.  Nothing per patient passes through the driver.
 """
 
 from __future__ import annotations
@@ -29,8 +33,7 @@ from pyspark.sql import functions as F
 from cohortmart.functions.columns import (
     DEC, age_group, age_months, age_years, qcol, set_or_append, typed_value, valid_valtype,
     writable_fact)
-from cohortmart.operators.reshape import (
-    Catalog, cde_list, pivot_cells, winner_struct, winning_cells)
+from cohortmart.operators.reshape import Catalog, cde_list, winner_struct
 from cohortmart.operators.visits import (
     AS_CODED_WINDOW_SECONDS, DEFAULT_WINDOW_SECONDS, cognitive_visits, diagnosis_candidates,
     first_mri, nearest_diagnosis, stack_encounters, valid_diagnosis_encounters,
@@ -85,15 +88,15 @@ AS_CODED = ExportOptions(window_seconds=AS_CODED_WINDOW_SECONDS, pick="farthest"
 class Selection:
     """What a strategy hands to the common assembly.
 
-    ``members``: (key…, encounter_num, role_rank) — facts of these encounters
-    fill the row of the key.  ``demo``: (key…, leading…, age, sex_cd, tiebreak)
-    — several rows per key are reduced to the greatest ``tiebreak``.
+    ``rows``: (key…, leading…, encounter_num, role_rank, age, sex_cd,
+    tiebreak) — one row per key and selected encounter; facts of that
+    encounter fill the key's row, and of the demographic candidates of a key
+    the one with the greatest ``tiebreak`` wins.
     """
 
     key_cols: tuple[str, ...]
     leading_cols: tuple[str, ...]
-    members: DataFrame
-    demo: DataFrame
+    rows: DataFrame
     integer_months: bool = False
     prefer_nonempty: bool = False
 
@@ -132,27 +135,25 @@ def _pd(mart: Mart) -> DataFrame:
 def select_extreme(mart: Mart, which: str) -> Selection:
     visits = mart.visit_dimension.select("patient_num", "encounter_num", "start_date",
                                          "patient_age")
-    sel = visits_at_extreme(visits, which).join(_pm(mart), "patient_num")
-    members = sel.select("subjectcode", "encounter_num", F.lit(0).alias("role_rank"))
-    demo = sel.join(_pd(mart), "patient_num").select(
-        "subjectcode", F.col("patient_age").alias("age"), "sex_cd",
-        F.struct("encounter_num", "patient_num").alias("tiebreak"))
-    return Selection(("subjectcode",), (), members, demo)
+    sel = visits_at_extreme(visits, which).join(_pm(mart), "patient_num").join(_pd(mart),
+                                                                               "patient_num")
+    rows = sel.select("subjectcode", "encounter_num", F.lit(0).alias("role_rank"),
+                      F.col("patient_age").alias("age"), "sex_cd",
+                      F.struct("encounter_num", "patient_num").alias("tiebreak"))
+    return Selection(("subjectcode",), (), rows)
 
 
 def select_longitudinal(mart: Mart) -> Selection:
     em = mart.encounter_mapping.select(F.col("patient_ide").alias("subjectcode"),
                                        F.col("encounter_ide").alias("subjectvisitid"),
                                        "encounter_num")
-    members = em.select("subjectcode", "subjectvisitid", "encounter_num",
-                        F.lit(0).alias("role_rank"))
     vd = mart.visit_dimension.select("encounter_num", "patient_num", "start_date", "patient_age")
-    demo = (em.join(vd, "encounter_num").join(_pd(mart), "patient_num")
+    rows = (em.join(vd, "encounter_num").join(_pd(mart), "patient_num")
             .select("subjectcode", "subjectvisitid",
-                    F.col("start_date").alias("subjectvisitdate"),
-                    F.col("patient_age").alias("age"), "sex_cd",
+                    F.col("start_date").alias("subjectvisitdate"), "encounter_num",
+                    F.lit(0).alias("role_rank"), F.col("patient_age").alias("age"), "sex_cd",
                     F.struct("encounter_num", "patient_num").alias("tiebreak")))
-    return Selection(("subjectcode", "subjectvisitid"), ("subjectvisitdate",), members, demo,
+    return Selection(("subjectcode", "subjectvisitid"), ("subjectvisitdate",), rows,
                      integer_months=True)
 
 
@@ -173,13 +174,12 @@ def select_six_months(mart: Mart, opts: ExportOptions) -> Selection:
     if opts.checkpoint_selection:
         ensure_checkpoint_dir(tt.sparkSession)
         tt = tt.checkpoint(eager=True)
-    pm = _pm(mart)
-    members = (stack_encounters(tt, SIX_MONTH_ROLES).join(pm, "patient_num")
-               .select("subjectcode", "encounter_num", "role_rank"))
-    demo = (tt.join(pm, "patient_num").join(_pd(mart), "patient_num")
-            .select("subjectcode", F.col("age_diag").alias("age"), "sex_cd",
+    demo = tt.select("patient_num", F.col("age_diag").alias("age"), "encounter_num_diag")
+    rows = (stack_encounters(tt, SIX_MONTH_ROLES).join(demo, "patient_num")
+            .join(_pm(mart), "patient_num").join(_pd(mart), "patient_num")
+            .select("subjectcode", "encounter_num", "role_rank", "age", "sex_cd",
                     F.struct("encounter_num_diag", "patient_num").alias("tiebreak")))
-    return Selection(("subjectcode",), (), members, demo, prefer_nonempty=True)
+    return Selection(("subjectcode",), (), rows, prefer_nonempty=True)
 
 
 def selection_for(mart: Mart, strategy: str, opts: ExportOptions) -> Selection:
@@ -232,7 +232,9 @@ def _check_case(names: Sequence[str], spark) -> None:
         low[n.lower()] = n
 
 
-def _fact_cells(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
+def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
+    """Selected rows left-joined to their writable facts, with the ordering struct
+    ``w`` of each fact (NULL where a key's encounter has no fact)."""
     facts = mart.observation_fact.select("encounter_num", "concept_cd", "instance_num",
                                          "valtype_cd", "tval_char", "nval_num")
     vt, nval = F.col("valtype_cd"), F.col("nval_num")
@@ -242,28 +244,26 @@ def _fact_cells(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
         keep = writable_fact(vt, nval)
     else:
         raise ValueError("valtype_policy must be 'strict' or 'lenient'")
-    joined = facts.filter(keep).join(sel.members, "encounter_num")
+    joined = sel.rows.join(facts.filter(keep), "encounter_num", "left")
+    has_fact = F.col("concept_cd").isNotNull()
     v = typed_value(vt, F.col("tval_char"), nval)
     if opts.valtype_policy == "strict":
-        v = F.when(valid_valtype(vt), v).otherwise(F.raise_error(F.concat(
-            F.lit("unsupported valtype_cd in a selected fact: "),
-            F.coalesce(vt, F.lit("NULL")))).cast("string"))
+        v = F.when(~has_fact, F.lit(None).cast("string")).when(valid_valtype(vt), v).otherwise(
+            F.raise_error(F.concat(F.lit("unsupported valtype_cd in a selected fact: "),
+                                   F.coalesce(vt, F.lit("NULL")))).cast("string"))
     nonempty = (F.col("v") != F.lit("")).cast("int") if sel.prefer_nonempty else F.lit(0)
     w = winner_struct(nonempty, -F.col("role_rank"), F.col("encounter_num"),
                       F.col("instance_num"), F.when(vt == "N", nval), value=F.col("v"))
-    return (joined.withColumn("v", v)
-            .select(*sel.key_cols, "concept_cd", w.alias("w")))
+    return joined.withColumn("v", v).withColumn("w", F.when(has_fact, w))
 
 
-def _demographics(sel: Selection, opts: ExportOptions, dataset_const: str | None) -> DataFrame:
+def _demographic_columns(best: DataFrame, sel: Selection, opts: ExportOptions,
+                         dataset_const: str | None) -> tuple[DataFrame, dict[str, object]]:
+    """Apply the NULL policy and return the rendered demographic expressions."""
     keys = list(sel.key_cols)
-    rest = [*sel.leading_cols, "age", "sex_cd"]
-    best = (sel.demo.groupBy(*keys)
-            .agg(F.max(F.struct("tiebreak", *rest)).alias("d"))
-            .select(*keys, *[F.col(f"d.{c}").alias(c) for c in rest]))
-    age = F.col("age")
+    age, sex = F.col("__demo.age"), F.col("__demo.sex_cd")
     ds = F.lit(dataset_const).cast("string")
-    bad = age.isNull() | F.col("sex_cd").isNull() | ds.isNull()
+    bad = age.isNull() | sex.isNull() | ds.isNull()
     if opts.null_policy == "fail":
         best = best.filter(F.when(bad, F.raise_error(F.concat(
             F.lit("NULL value in age, gender or dataset for subject: "),
@@ -273,15 +273,15 @@ def _demographics(sel: Selection, opts: ExportOptions, dataset_const: str | None
     elif opts.null_policy != "keep":
         raise ValueError("null_policy must be 'fail', 'keep' or 'drop'")
     months = age_months(age)
-    months_txt = (months.cast("long") if sel.integer_months else months.cast(DEC)).cast("string")
     years = age_years(age)
-    return best.select(
-        *keys, *sel.leading_cols,
-        years.cast("string").alias("__d_subjectageyears"),
-        months_txt.alias("__d_subjectage"),
-        F.col("sex_cd").alias("__d_gender"),
-        ds.alias("__d_dataset"),
-        age_group(years).alias("__d_agegroup"))
+    exprs = {
+        "subjectageyears": years.cast("string"),
+        "subjectage": (months.cast("long") if sel.integer_months else months.cast(DEC)).cast("string"),
+        "gender": sex,
+        "dataset": ds,
+        "agegroup": age_group(years),
+    }
+    return best, exprs
 
 
 def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
@@ -300,26 +300,30 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     _check_case(names, spark)
     dataset_const = opts.dataset_const if opts.dataset_const is not None else catalog.dataset_const
 
-    cells = _fact_cells(mart, sel, opts)
-    pivot_cols = [n for n, _ in layout]
-    wide = pivot_cells(winning_cells(cells, sel.key_cols), sel.key_cols, pivot_cols)
-    wide = wide.select(*sel.key_cols, *[qcol(c).alias("__f_" + c) for c in pivot_cols])
-    demo = _demographics(sel, opts, dataset_const)
-    joined = demo.join(wide, list(sel.key_cols), "left")
-
-    out_cols = [qcol(c) for c in reserved]
-    for name, kind in layout:
-        f = qcol("__f_" + name)
+    joined = _joined(mart, sel, opts)
+    concept = F.col("concept_cd")
+    demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd")
+    aggs = [F.max(demo).alias("__demo")] + [
+        F.max(F.when(concept == F.lit(name), F.col("w"))).alias(f"__f{i}")
+        for i, (name, _) in enumerate(layout)]
+    best = joined.groupBy(*sel.key_cols).agg(*aggs)
+    best, demo_expr = _demographic_columns(best, sel, opts, dataset_const)
+
+    out_cols = [qcol(c) for c in sel.key_cols]
+    out_cols += [F.col(f"__demo.{c}").alias(c) for c in sel.leading_cols]
+    for i, (name, kind) in enumerate(layout):
+        f = F.col(f"__f{i}.v")
         if name in DEMOGRAPHICS:
-            out_cols.append(F.coalesce(f, qcol("__d_" + name)).alias(name))
+            out_cols.append(F.coalesce(f, demo_expr[name]).alias(name))
         elif kind == "num":
             out_cols.append(f.cast(DEC).alias(name))
         else:
             out_cols.append(f.alias(name))
-    frame = joined.select(*out_cols)
+    frame = best.select(*out_cols)
     if opts.dataset is not None:
         frame = set_or_append(frame, DATASET_COLUMN, opts.dataset)
     n_cde = len([c for c in cdes if c not in reserved])
+    cells = joined.filter(concept.isNotNull()).select(*sel.key_cols, "concept_cd", "w")
     return ExportResult(frame=frame, cells=cells, key_cols=sel.key_cols,
                         columns=tuple(frame.columns), n_cde_columns=n_cde)
 

@@ -391,7 +391,7 @@ def key_violations(spark, sf_dir):
 def null_demographics(spark, sf_dir):
     """Subjects of the mindate selection with NULL age or gender."""
     sel = X.select_extreme(clinical_mart(spark, sf_dir), "min")
-    return QC.null_demographics(sel.demo, sel.key_cols)
+    return QC.null_demographics(sel.rows, sel.key_cols).distinct()
 
 
 @register("bad_valtype")
