@@ -187,7 +187,8 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
         if spec.where is not None and set(spec.where_aliases) <= used:
             df = df.filter(spec.where(_resolver))
         seq: tuple[str, Sequence_] | None = None
-        cols: list[Column] = []
+        data: list[Column] = []              # columns read from the sources
+        consts: dict[str, Column] = {}       # constants and the load time
         for name, src in t.columns:
             if isinstance(src, Copy):
                 c = _resolver(src.alias, src.column)
@@ -205,13 +206,22 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
             else:
                 raise TypeError(f"unknown column source {src!r}")
             ty = spec.typed.get(t.name, {}).get(name)
-            cols.append((c.cast(ty) if ty else c).alias(name))
-        df = df.select(*cols)
+            c = (c.cast(ty) if ty else c).alias(name)
+            if isinstance(src, (Const, LoadTime)) and seq is None and not t.distinct:
+                consts[name] = c
+            else:
+                data.append(c)
+        if seq is not None:
+            # numbering materializes its input: carry only source-derived columns
+            # through it and add the constants afterwards
+            data += [c for n, c in consts.items() if n in seq[1].order_by]
+            consts = {n: c for n, c in consts.items() if n not in seq[1].order_by}
+        df = df.select(*data)
         if t.distinct:
             df = df.distinct()
         if seq is not None:
             name, s = seq
             df = sequence_ids(df, s.order_by, name, start=s.offset)
-        return df.select(*[qcol(n) for n, _ in t.columns])
+        return df.select(*[consts[n] if n in consts else qcol(n) for n, _ in t.columns])
 
     return Targets(build, spec.targets)
