@@ -65,6 +65,8 @@ class ExportOptions:
     per-patient selection (one row per patient, built from two filtered fact
     scans) feeds both the fact join and the demographic row; it is written
     once to the shared checkpoint folder instead of being recomputed.
+    ``wide_layout``: above this many output columns, facts are first reduced
+    to one winner per (key, concept) before the per-column aggregate.
     """
 
     window_seconds: int = DEFAULT_WINDOW_SECONDS
@@ -75,6 +77,7 @@ class ExportOptions:
     dataset_const: str | None = None
     dataset: str | None = None
     checkpoint_selection: bool = True
+    wide_layout: int = 64
 
 
 DEFAULT = ExportOptions()
@@ -302,11 +305,18 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
 
     joined = _joined(mart, sel, opts)
     concept = F.col("concept_cd")
-    demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd")
-    aggs = [F.max(demo).alias("__demo")] + [
+    demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd").alias("__demo")
+    source = joined.select(*sel.key_cols, "concept_cd", "w", demo)
+    if len(layout) > opts.wide_layout:
+        # Wide layouts: first one winner per (key, concept) — a partial
+        # aggregate — so the per-column conditionals below see at most one row
+        # per concept of a key instead of every fact.
+        source = (source.groupBy(*sel.key_cols, "concept_cd")
+                  .agg(F.max("w").alias("w"), F.max("__demo").alias("__demo")))
+    aggs = [F.max("__demo").alias("__demo")] + [
         F.max(F.when(concept == F.lit(name), F.col("w"))).alias(f"__f{i}")
         for i, (name, _) in enumerate(layout)]
-    best = joined.groupBy(*sel.key_cols).agg(*aggs)
+    best = source.groupBy(*sel.key_cols).agg(*aggs)
     best, demo_expr = _demographic_columns(best, sel, opts, dataset_const)
 
     out_cols = [qcol(c) for c in sel.key_cols]

@@ -222,3 +222,16 @@ def test_export_is_partition_count_invariant(spark):
 def test_missing_dataset_constant_fails(spark):
     with pytest.raises(Exception, match="NULL value in age, gender or dataset"):
         X.export_frame(_basic(spark, []), "mindate").collect()
+
+
+@pytest.mark.parametrize("strategy", ["mindate", "longitude", "6months"])
+def test_wide_layout_path_gives_same_rows(spark, strategy):
+    visits = [(1, 1, 0, 65.0, "MRI"), (2, 1, 3, 65.0, "CLINIC"), (3, 1, 3, 66.0, "CLINIC")]
+    facts = [(2, "DIAG_etiology_1", "T", "AD", None, 1), (1, "priority", "T", "mri", None, 1),
+             (2, "priority", "T", "", None, 1), (3, "quantity", "N", "E", 2, 1),
+             (3, "quantity", "N", "E", 5, 2), (1, "gender", "T", "X", None, 1)]
+    m = make_mart(spark, [(1, "M")], visits, facts)
+    narrow = sorted(map(tuple, X.export_frame(m, strategy).collect()))
+    wide = sorted(map(tuple, X.export_frame(
+        m, strategy, X.with_options(X.DEFAULT, wide_layout=0)).collect()))
+    assert narrow == wide and narrow

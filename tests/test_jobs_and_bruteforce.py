@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortmart.plans import export as X
@@ -150,10 +151,12 @@ def _brute_extreme(patients, visits, facts, which):
     return expected
 
 
-def test_extreme_exports_match_brute_force_with_hot_patient(spark):
+@pytest.mark.parametrize("wide_layout", [64, 0])   # single aggregate / pre-reduced winners
+def test_extreme_exports_match_brute_force_with_hot_patient(spark, wide_layout):
     m, patients, visits, facts = _random_mart(spark)
+    opts = X.with_options(X.DEFAULT, wide_layout=wide_layout)
     for which, strategy in (("min", "mindate"), ("max", "maxdate")):
-        got = {r.subjectcode: r.asDict() for r in X.export_frame(m, strategy).collect()}
+        got = {r.subjectcode: r.asDict() for r in X.export_frame(m, strategy, opts).collect()}
         exp = _brute_extreme(patients, visits, facts, which)
         assert set(got) == set(exp)
         for k, row in exp.items():
@@ -166,10 +169,12 @@ def test_extreme_exports_match_brute_force_with_hot_patient(spark):
             assert (None if g.get("c4") is None else f"{g['c4']:.5f}") == want, (k, which)
 
 
-def test_longitude_matches_brute_force(spark):
+@pytest.mark.parametrize("wide_layout", [64, 0])
+def test_longitude_matches_brute_force(spark, wide_layout):
     m, patients, visits, facts = _random_mart(spark, seed=11)
+    opts = X.with_options(X.DEFAULT, wide_layout=wide_layout)
     got = {(r.subjectcode, r.subjectvisitid): r.asDict()
-           for r in X.export_frame(m, "longitude").collect()}
+           for r in X.export_frame(m, "longitude", opts).collect()}
     assert len(got) == len(visits)
     for e, p, d, age, _ in visits:
         cells = {}
