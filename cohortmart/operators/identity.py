@@ -6,7 +6,8 @@ partitions, checkpointed (durable, lineage cut, so a lost executor cannot
 re-sample different range bounds), counted per partition (one small row per
 partition reaches the driver), and offset by the running total of the
 preceding partitions through a broadcast of that per-partition table, whose
-size is bounded by the partition count.
+size is bounded by the partition count.  Every step is deterministic on
+recomputation, so ids stay dense and unique when tasks are retried.
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ def sequence_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
         # Exact copies share every order value and a range partitioner cannot
         # split them; a per-row tiebreak lets a hot group of copies spread over
         # several ranges (copies are interchangeable, so ids stay correct).
-        df = df.withColumn("__tie", F.monotonically_increasing_id())
+        # The input is checkpointed first: row positions are then fixed, so the
+        # tiebreak (and the range a row goes to) is the same if a lost task is
+        # recomputed.
+        df = (df.checkpoint(eager=True)
+              .withColumn("__tie", F.monotonically_increasing_id()))
         cols.append(F.col("__tie"))
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("__pid", F.spark_partition_id())
