@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortmart.functions.columns import DEC, split_subjectcode
 from cohortmart.operators.identity import assign_encounter_num, assign_patient_num
+from cohortmart.operators.quality import key_violations
 from cohortmart.operators.reshape import UnpivotSpec, unpivot
 from cohortmart.plans.mapping import (
     Const, Copy, Expr, Join, LoadTime, MappingSpec, Sequence_, Target, run_mapping)
@@ -113,6 +114,7 @@ class IngestResult:
     encounter_mapping_new: DataFrame
     encounter_mapping: DataFrame
     targets: Mapping[str, DataFrame]
+    duplicate_visit_ids: DataFrame   # the mapping joins on VISIT_ID alone: must be empty
 
 
 def ingest_imaging(volumes: DataFrame, mri_visits: DataFrame, measures: Sequence[str] | None = None,
@@ -134,4 +136,5 @@ def ingest_imaging(volumes: DataFrame, mri_visits: DataFrame, measures: Sequence
     tables = {"mri_visits": visits, "EncounterMapping": em_full, "PatientMapping": pm_full,
               "unpivoted_volumes": unpivoted}
     targets = run_mapping(imaging_spec(date_mode), tables, load_time)
-    return IngestResult(volumes_df, unpivoted, pm_new, pm_full, em_new, em_full, targets)
+    dup = key_violations(visits, ["VISIT_ID"])
+    return IngestResult(volumes_df, unpivoted, pm_new, pm_full, em_new, em_full, targets, dup)

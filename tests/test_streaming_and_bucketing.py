@@ -57,3 +57,12 @@ def test_bucketed_mart_export_does_not_shuffle_facts(spark):
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, X.export_frame(m, "mindate").collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_ingest_reports_shared_visit_ids(spark):
+    from decimal import Decimal as D
+    from cohortmart.plans.ingest import ingest_imaging
+    vols = spark.createDataFrame([("P1_V1", D("1")), ("P2_V1", D("2"))], "subjectcode string, a decimal(18,5)")
+    visits = spark.createDataFrame([("P1", "V1", "01/02/2019", D("70")), ("P2", "V1", "01/02/2019", D("60"))], VIS)
+    res = ingest_imaging(vols, visits)
+    assert [r.VISIT_ID for r in res.duplicate_visit_ids.collect()] == ["V1"]
