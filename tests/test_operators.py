@@ -139,3 +139,31 @@ def test_fact_scan_reads_only_needed_columns(spark):
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in plan
+
+
+def test_read_batch_tags_batch_and_file(spark):
+    root = scratch_path(spark, "batches")
+    FS.write_csv(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), f"{root}/b7")
+    rows = FS.read_batch(spark, root, "b7", "k string, v int").collect()
+    assert sorted((r.k, r.v, r.batch) for r in rows) == [("a", 1, "b7"), ("b", 2, "b7")]
+    assert all("/b7/" in r.source_file for r in rows)
+
+
+def test_union_frames_fills_missing_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "id long, a string")
+    b = spark.createDataFrame([(2, "y")], "id long, b string")
+    got = sorted(map(tuple, FS.union_frames([a, b]).collect()), key=lambda t: t[0])
+    assert got == [(1, "x", None), (2, None, "y")]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
+def test_mart_parquet_roundtrip(spark):
+    from cohortmart.schema import Mart
+    m = clinical_mart(spark, SF)
+    root = scratch_path(spark, "mart")
+    m.write_parquet(root)
+    back = Mart.from_parquet(spark, root)
+    for t, df in m.tables().items():
+        assert back.tables()[t].count() == df.count(), t
+    a = sorted(map(tuple, X.export_frame(back, "maxdate").collect()))
+    assert a == sorted(map(tuple, X.export_frame(m, "maxdate").collect()))
