@@ -11,15 +11,16 @@ names of the concept dictionary and catalog):
   visit winning, then diagnosis, MMSE, MoCA.
 
 Plan shape (every strategy): the strategy yields one row per (key, selected
-encounter) carrying the key's demographic candidate.  These rows are
-left-joined to the fact table on encounter_num — the one shuffle of the large
-table, after column pruning and the writable-fact filter (none when the
-facts are bucketed on encounter_num) — and a single grouped aggregate per key
-produces every output cell: per concept the ``max`` of an ordering struct
-(the winning fact), and the ``max`` demographic candidate.  The aggregate is
-partial (combined map-side), so a key holding a third of all facts is reduced
-in every map task before the one shuffle by key; keys without facts keep their
-row through the left join.  Nothing per patient passes through the driver.
+encounter) carrying the key's demographic candidate.  These rows are joined
+to the fact table on encounter_num — the one shuffle of the large table,
+after column pruning and the writable-fact filter (none when the facts are
+bucketed on encounter_num); the join is inner so AQE can split a hot
+encounter — and the rows themselves are appended (fact-less) so every key
+keeps its row.  A single grouped aggregate per key then produces every output
+cell: per concept the ``max`` of an ordering struct (the winning fact), and
+the ``max`` demographic candidate.  The aggregate is partial (combined
+map-side), so a key holding a third of all facts is reduced in every map task
+before the one shuffle by key.  Nothing per patient passes through the driver.
 """
 
 from __future__ import annotations
@@ -236,8 +237,8 @@ def _check_case(names: Sequence[str], spark) -> None:
 
 
 def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
-    """Selected rows left-joined to their writable facts, with the ordering struct
-    ``w`` of each fact (NULL where a key's encounter has no fact)."""
+    """Selected rows joined to their writable facts, with the ordering struct
+    ``w`` of each fact."""
     facts = mart.observation_fact.select("encounter_num", "concept_cd", "instance_num",
                                          "valtype_cd", "tval_char", "nval_num")
     vt, nval = F.col("valtype_cd"), F.col("nval_num")
@@ -247,7 +248,10 @@ def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
         keep = writable_fact(vt, nval)
     else:
         raise ValueError("valtype_policy must be 'strict' or 'lenient'")
-    joined = sel.rows.join(facts.filter(keep), "encounter_num", "left")
+    # Inner join: AQE can split a hot encounter on the fact side and may
+    # broadcast a small row set; rows without facts are added back by a union
+    # in ``export`` so every key keeps its row.
+    joined = sel.rows.join(facts.filter(keep), "encounter_num", "inner")
     has_fact = F.col("concept_cd").isNotNull()
     v = typed_value(vt, F.col("tval_char"), nval)
     if opts.valtype_policy == "strict":
@@ -306,7 +310,10 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     joined = _joined(mart, sel, opts)
     concept = F.col("concept_cd")
     demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd").alias("__demo")
-    source = joined.select(*sel.key_cols, "concept_cd", "w", demo)
+    w_type = joined.schema["w"].dataType.simpleString()
+    source = joined.select(*sel.key_cols, "concept_cd", "w", demo).unionByName(
+        sel.rows.select(*sel.key_cols, F.lit(None).cast("string").alias("concept_cd"),
+                        F.lit(None).cast(w_type).alias("w"), demo))
     if len(layout) > opts.wide_layout:
         # Wide layouts: first one winner per (key, concept) — a partial
         # aggregate — so the per-column conditionals below see at most one row
