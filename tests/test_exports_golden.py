@@ -235,3 +235,34 @@ def test_wide_layout_path_gives_same_rows(spark, strategy):
     wide = sorted(map(tuple, X.export_frame(
         m, strategy, X.with_options(X.DEFAULT, wide_layout=0)).collect()))
     assert narrow == wide and narrow
+
+
+def test_hot_encounter_is_split_by_aqe_and_result_unchanged(spark):
+    # encounter 10 holds a third of all facts
+    visits = [(10, 1, 0, 65.0, "MRI")] + [(100 + i, 2 + i % 40, i % 7, 60.0, "CLINIC")
+                                           for i in range(200)]
+    patients = [(1, "F")] + [(2 + i, "M") for i in range(40)]
+    facts = [(10, f"c{i % 9}", "N", "E", i, i) for i in range(600)]
+    facts += [(100 + i % 200, f"c{i % 9}", "T", f"t{i}", None, 1) for i in range(1200)]
+    m = make_mart(spark, patients, visits, facts)
+    expected = sorted(map(tuple, X.export_frame(m, "longitude").collect()))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = X.export_frame(m, "longitude")
+        got = sorted(map(tuple, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == expected
+    assert "SortMergeJoin(skew=true)" in plan
