@@ -167,3 +167,12 @@ def test_mart_parquet_roundtrip(spark):
         assert back.tables()[t].count() == df.count(), t
     a = sorted(map(tuple, X.export_frame(back, "maxdate").collect()))
     assert a == sorted(map(tuple, X.export_frame(m, "maxdate").collect()))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
+@pytest.mark.parametrize("strategy", ["mindate", "maxdate", "6months", "longitude"])
+def test_export_keys_are_unique(spark, strategy):
+    from cohortmart.operators.quality import key_violations
+    res = X.export(clinical_mart(spark, SF), strategy)
+    assert res.frame.count() > 0
+    assert key_violations(res.frame, res.key_cols).count() == 0
