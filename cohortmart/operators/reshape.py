@@ -92,13 +92,16 @@ def cde_frame(concept_dimension: DataFrame, source: str = "CDE") -> DataFrame:
 def cde_list(concept_dimension: DataFrame, source: str = "CDE") -> list[str]:
     """Ordered CDE column names.  The concept dimension is a dictionary of
     column names (hundreds of rows); it is the only list collected."""
-    rows = cde_frame(concept_dimension, source).orderBy("upload_id", "concept_cd").collect()
+    rows = (cde_frame(concept_dimension, source).orderBy("upload_id", "concept_cd")
+            .limit(MAX_PIVOT_COLUMNS + 1).collect())   # bounded fetch
+    if len(rows) > MAX_PIVOT_COLUMNS:
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} CDE columns")
     out: list[str] = []
+    seen: set[str] = set()
     for r in rows:
-        if r.concept_cd is not None and r.concept_cd not in out:
+        if r.concept_cd is not None and r.concept_cd not in seen:
             out.append(r.concept_cd)
-    if len(out) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{len(out)} CDE columns exceed {MAX_PIVOT_COLUMNS}")
+            seen.add(r.concept_cd)
     return out
 
 

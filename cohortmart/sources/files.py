@@ -30,7 +30,8 @@ def read_batch(spark: SparkSession, root: str, batch: str, schema: T.StructType
     file each row came from.  An empty folder is an error (listing only, no job)."""
     path = f"{root.rstrip('/')}/{batch}"
     df = read_csv(spark, path, schema, **options)
-    if not df.inputFiles():
+    # the file index is listed on the driver anyway; only its size is read here
+    if len(df._jdf.inputFiles()) == 0:
         raise FileNotFoundError(f"batch folder {path} holds no files")
     cols = [F.col(c) for c in df.columns] + [F.lit(batch).alias(batch_col)]
     if file_col:
