@@ -27,9 +27,17 @@ def sequence_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
                  start: int = 0, num_partitions: int | None = None,
                  spread_ties: bool = True) -> DataFrame:
     """``df`` plus ``id_col`` = start + 1 … start + n following ``order_cols``
-    (ties broken arbitrarily; give a total order for reproducible ids)."""
+    (ties broken arbitrarily; give a total order for reproducible ids).  With
+    no ``order_cols`` the ids follow the stored row order (no shuffle)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if not order_cols:
+        # Unordered: dense unique ids in stored order.  The checkpoint fixes
+        # every row's partition and position; no shuffle, no sort.
+        ranged = (df.checkpoint(eager=True)
+                  .withColumn("__pid", F.spark_partition_id())
+                  .withColumn("__mid", F.monotonically_increasing_id()))
+        return _apply_offsets(spark, ranged, id_col, start)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [qcol(c) for c in order_cols]
     if spread_ties:
@@ -46,6 +54,11 @@ def sequence_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
+    return _apply_offsets(spark, ranged, id_col, start)
+
+
+def _apply_offsets(spark, ranged: DataFrame, id_col: str, start: int) -> DataFrame:
+    """id = start + rows in earlier partitions + position in the partition + 1."""
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, run = [], 0
     for r in sorted(counts, key=lambda r: r["__pid"]):

@@ -50,8 +50,10 @@ class LoadTime:
 
 @dataclass(frozen=True)
 class Sequence_:
-    """Dense row number starting at ``offset + 1`` in the order of the given target columns."""
-    order_by: tuple[str, ...]
+    """Dense row number starting at ``offset + 1`` in the order of the given target
+    columns; an empty ``order_by`` numbers rows in stored order (cheapest: no
+    range shuffle or sort, ids unique and dense but not reproducible)."""
+    order_by: tuple[str, ...] = ()
     offset: int = 0
 
 

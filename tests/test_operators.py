@@ -176,3 +176,9 @@ def test_export_keys_are_unique(spark, strategy):
     res = X.export(clinical_mart(spark, SF), strategy)
     assert res.frame.count() > 0
     assert key_violations(res.frame, res.key_cols).count() == 0
+
+
+def test_sequence_ids_unordered_dense_unique(spark):
+    df = spark.range(0, 777, numPartitions=5).select((F.col("id") % 3).alias("k"))
+    out = I.sequence_ids(df, [], "sid", start=5).collect()
+    assert sorted(r.sid for r in out) == list(range(6, 783))
