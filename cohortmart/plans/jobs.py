@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortmart.operators.anonymize import anonymize_flat, anonymize_mart
 from cohortmart.functions.hashing import flat_csv_method
+from cohortmart.operators.reshape import Catalog
 from cohortmart.plans.export import AS_CODED, DEFAULT, ExportOptions, export
 from cohortmart.plans.mapping import MappingSpec, run_mapping
 from cohortmart.schema import STAR_SCHEMAS, Mart
@@ -70,24 +71,27 @@ def strategy_for(strategy: str, anonymized: bool = False, as_coded: bool = False
 def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str, *,
                    dataset: str, anonymized: bool = False, local: bool = False,
                    csv_name: str | None = None, hash_method: str = DEFAULT_HASH,
-                   as_coded: bool = False, single_file: bool = False) -> str:
+                   as_coded: bool = False, single_file: bool = False,
+                   catalog: Catalog | None = None) -> str:
     """Flat export of one strategy to ``<output_folder>/<csv name>``.
 
     ``local`` reads the capture mart instead of the harmonized one;
     ``anonymized`` hashes the mart's ids first (consistently in every table).
-    A ``Dataset`` column with ``dataset`` is set or appended.
+    A ``Dataset`` column with ``dataset`` is set or appended.  ``catalog``
+    (``Catalog.collect`` of the same mart's facts) can be shared by several
+    exports of one mart so its fact scan runs once.
     """
     return export_csv_with_counters(marts, strategy, output_folder, dataset=dataset,
                                     anonymized=anonymized, local=local, csv_name=csv_name,
                                     hash_method=hash_method, as_coded=as_coded,
-                                    single_file=single_file)[0]
+                                    single_file=single_file, catalog=catalog)[0]
 
 
 def export_csv_with_counters(marts: Mapping[str, Mart], strategy: str, output_folder: str, *,
                              dataset: str, anonymized: bool = False, local: bool = False,
                              csv_name: str | None = None, hash_method: str = DEFAULT_HASH,
-                             as_coded: bool = False,
-                             single_file: bool = False) -> tuple[str, dict[str, int]]:
+                             as_coded: bool = False, single_file: bool = False,
+                             catalog: Catalog | None = None) -> tuple[str, dict[str, int]]:
     """:func:`extract_to_csv` that also returns run counters: CDE columns and
     inserted rows.  The row count is an ``observe`` metric gathered while the
     file is written, so it costs no extra pass (the written-facts count needs
@@ -99,7 +103,7 @@ def export_csv_with_counters(marts: Mapping[str, Mart], strategy: str, output_fo
     spark = mart.observation_fact.sparkSession
     path = f"{output_folder.rstrip('/')}/{csv_name or s.csv_name}"
     with case_sensitive(spark):
-        res = export(mart, s.strategy, replace(s.options, dataset=dataset))
+        res = export(mart, s.strategy, replace(s.options, dataset=dataset), catalog=catalog)
         rows = Observation("export_rows")
         write_csv(res.frame.observe(rows, F.count(F.lit(1)).alias("inserts")), path,
                   single_file=single_file)
