@@ -13,8 +13,9 @@ def build_session(master: str | None = None, app: str = "cohortmart",
     """Session with the settings the jobs are written for.
 
     AQE re-plans joins from runtime sizes (broadcast only when the measured
-    side is under ``autoBroadcastJoinThreshold``), splits skewed join
-    partitions and coalesces small shuffle partitions.  The UI stays off.
+    side is under its threshold; no broadcast from file-size estimates), splits
+    skewed join partitions and coalesces small shuffle partitions.  The UI
+    stays off.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -25,6 +26,12 @@ def build_session(master: str | None = None, app: str = "cohortmart",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Broadcast only what has been measured: the static planner sizes a
+        # stored table by its compressed files (parquet can expand 5-10x in
+        # memory), so estimate-based broadcasts are off; AQE still broadcasts a
+        # side whose shuffle output it measured below 10 MB.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # checkpoint files of DataFrames that went out of scope are removed

@@ -247,6 +247,7 @@ def test_hot_encounter_is_split_by_aqe_and_result_unchanged(spark):
     m = make_mart(spark, patients, visits, facts)
     expected = sorted(map(tuple, X.export_frame(m, "longitude").collect()))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256",

@@ -45,6 +45,7 @@ def test_bucketed_mart_export_does_not_shuffle_facts(spark):
         return
     m = clinical_mart(spark, SF)
     b = m.save_bucketed("cm_bucket_test", scratch_path(spark, "mart"), 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = X.export_frame(b, "mindate")
@@ -56,7 +57,7 @@ def test_bucketed_mart_export_does_not_shuffle_facts(spark):
         assert "Exchange" not in lines[scan[0] - 1]
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, X.export_frame(m, "mindate").collect()))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_ingest_reports_shared_visit_ids(spark):
