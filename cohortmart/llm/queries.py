@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import packing, pii, token_counts
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,24 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+#: The files' folder is the installed package's on every executor.
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy longest-match pieces of every whole text."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_VOCABULARY).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts, base digest, all spans."""
