@@ -99,10 +99,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(tokenizer)
-        ids_of = enc.encode(batch.column("text").to_pylist())
         doc, start, length, crc, total, body = [], [], [], [], [], []
-        for doc_id, raw in zip(batch.column("doc_id").to_pylist(), ids_of):
-            ids = np.append(np.frombuffer(raw, enc.dtype).astype("<u4"), np.uint32(end_id)).tobytes()
+        for doc_id, text_ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
+            ids = np.append(text_ids.astype("<u4"), np.uint32(end_id)).tobytes()
             n = len(ids) // 4
             for a in range(0, n, capacity):
                 piece = ids[4 * a:4 * (a + capacity)]

@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from . import common
+from .tokenizer import byte_to_char
 
 #: Distinct chunks whose counts are kept in a worker.
 CACHE_CHUNKS = 500_000
@@ -90,14 +91,6 @@ class Automaton:
         return n
 
 
-def byte_of_char() -> dict[str, int]:
-    """The printable stand-ins that byte-level vocabularies use for bytes:
-    printable Latin-1 stands for itself, the rest follow from U+0100 on."""
-    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(same)]
-    return {chr(b): b for b in same} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Counter(dict):
     """Chunk -> words << 32 | tokens, computed when first asked for."""
 
@@ -105,7 +98,7 @@ class Counter(dict):
         super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        suffix, table = spec["model"].get("end_of_word_suffix") or "", byte_of_char()
+        suffix, table = spec["model"].get("end_of_word_suffix") or "", {c: b for b, c in byte_to_char().items()}
         special = {t["content"] for t in spec["added_tokens"]}
         pieces = []
         for token in spec["model"]["vocab"]:

@@ -1,30 +1,48 @@
-"""Encoding whole texts with a public tokenizer file, chunk by chunk.
-
-Most white-space-separated chunks repeat, so each distinct chunk is encoded
-once and kept in a bounded cache.  That is exact only where the tokenizer
-never makes a token across the cut; the two kinds of file for which this holds
-are recognised by their declared pre-tokenizer, and a text in which a cut
-could fall inside white space is encoded whole, as are all texts of any other
-kind of file.
+"""Encoding whole texts with a public tokenizer file, each distinct chunk once.
+
+Texts are cut before single spaces, equal chunks of a batch are encoded once,
+and the ids of a text are gathered from its chunks' ids.  A chunk is made of
+words, whose ids are kept in a bounded cache and come from the tokenizer's own
+model.  That is exact only where no token reaches over a cut; the two kinds of
+file for which this holds are recognised by their declared steps.  A text in
+which a cut could fall inside white space is encoded whole, a chunk with
+characters outside Latin goes through the whole tokenizer, and files of any
+other kind encode every text at once.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
-#: Distinct chunks kept; the cache starts anew beyond it (about 120 MB).
-CACHE_CHUNKS = 600_000
+#: Distinct words and chunks kept in a worker (about 200 bytes each); each
+#: cache starts anew beyond it.
+CACHE_WORDS, CACHE_CHUNKS = 1_000_000, 1_000_000
+#: Bytes of text encoded, and chunks gathered, at a time.
+SLICE_BYTES, GATHER_CHUNKS = 4 << 20, 400_000
 
-_SPACE_BEFORE_SPACE = re.compile("[\\s\x85\xa0᠎​] ")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​]")
-#: A private-use character that stands alone between two chunks.
-_MARK = ""
+# Fixed value: how byte-level files of the first kind split a text into words.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Stands before each text, so that its first chunk (no space before it) is told from others.
+_FIRST = "\x01"
+#: White space (or the mark) before a space: a cut there may fall inside a token.
+_UNSAFE = "[\\s\x0b\x1c-\x1f\x85\xa0  -     　] |" + _FIRST
+_PLAIN = regex.compile("[\x00\x02-\x1b\x20-\x84\x86-ɏ]*")
+
+
+def byte_to_char() -> dict[int, str]:
+    """The printable stand-ins that byte-level vocabularies use for bytes:
+    printable Latin-1 stands for itself, the rest follow from U+0100 on."""
+    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(same)]
+    return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
@@ -32,7 +50,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -41,90 +59,102 @@ class Encoder:
         self.size = max(chain(spec["model"]["vocab"].values(), (t["id"] for t in spec["added_tokens"]))) + 1
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.kind = _kind(spec)
-        self.cache: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
         if self.kind == "spaced":
-            self.begins = np.zeros(self.size, bool)
-            self.begins[[i for t, i in spec["model"]["vocab"].items() if t[0] == "Ġ"]] = True
+            self.split = regex.compile(BYTE_LEVEL).findall
         elif self.kind == "words":
-            self.mark = self._bytes_of([_MARK])[0]
-
-    def _bytes_of(self, texts: list[str]) -> list[bytes]:
+            find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+            self.split = lambda chunk: find(chunk.lower())
+        # The model alone, for words whose bytes are already written as its characters.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.chars = byte_to_char()
+        # A word that no plain word contains, and that is one token: it tells where words end.
+        self.mark = self.chars[1]
+        self.mark_id = (self.model.encode(self.mark, add_special_tokens=False).ids or [None])[0]
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks_at_once(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk from one encoding of all of them joined."""
+    def _learn_words(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = list(words)
+        if not new:
+            return
+        mapped = f" {self.mark} ".join([w.encode().decode("latin-1").translate(self.chars) for w in [*new, ""]])
+        ids = np.array(self.model.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, self.dtype)
+        ends, w = np.flatnonzero(ids == self.mark_id), self.dtype.itemsize
+        raw, starts = ids.tobytes(), np.concatenate([[0], ends[:-1] + 1])
+        self.words.update(zip(new, [raw[a:b] for a, b in zip((starts * w).tolist(), (ends * w).tolist())]))
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the cache or learned now."""
+        new = [c for c in chunks if c not in self.chunks]
+        if len(self.chunks) + len(new) > CACHE_CHUNKS:
+            self.chunks.clear()
+            new = chunks
         if self.kind == "spaced":
-            ids = self._ids("".join(map("".join, zip(repeat(" "), chunks))))
-            starts = np.flatnonzero(self.begins[ids])
-            ends, width = np.append(starts[1:], len(ids)), 0
+            told = [c[1:] if c[:1] == _FIRST else " " + c for c in new]
         else:
-            ids = self._ids(f" {_MARK} ".join(["", *chunks]))
-            mark = np.frombuffer(self.mark, self.dtype)
-            width = len(mark)
-            hit = np.ones(max(0, len(ids) - width + 1), bool)
-            for i, m in enumerate(mark):
-                hit &= ids[i:len(ids) - width + 1 + i] == m
-            starts = np.flatnonzero(hit)
-            ends = np.append(starts[1:], len(ids))
-        if len(starts) != len(chunks):
-            return self._bytes_of([self._whole(c) for c in chunks])
-        raw, w = ids.tobytes(), self.dtype.itemsize
-        return [raw[a:b] for a, b in zip(((starts + width) * w).tolist(), (ends * w).tolist())]
-
-    def _whole(self, chunk: str) -> str:
-        return " " + chunk if self.kind == "spaced" else chunk
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-
-    def _learn(self, chunks: set[str]) -> None:
-        missing = [c for c in chunks if c not in self.cache]
-        if len(self.cache) + len(missing) > CACHE_CHUNKS:
-            self.cache.clear()
-            missing = list(chunks)
-        plain = [c for c in missing if c and not c[-1].isspace() and _MARK not in c]
-        if plain:
-            self.cache.update(zip(plain, self._chunks_at_once(plain)))
-        rest = [c for c in missing if c not in self.cache]
-        self.cache.update(zip(rest, self._bytes_of([self._whole(c) for c in rest])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes of ``dtype``."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        whole: list[int] = []
+            told = new
+        store = self.chunks
+        if not _PLAIN.fullmatch("".join(told)):
+            odd = [(c, t) for c, t in zip(new, told) if not _PLAIN.fullmatch(t)]
+            store.update(zip((c for c, _ in odd), self._whole([t for _, t in odd])))
+            both = [(c, t) for c, t in zip(new, told) if c not in store]
+            new, told = [c for c, _ in both], [t for _, t in both]
+        words = list(map(self.split, told))
+        self._learn_words(set(chain.from_iterable(words)))
+        get = self.words.__getitem__
+        store.update(zip(new, [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words]))
+        return list(map(store.__getitem__, chunks))
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.kind == "spaced":
-            for i, t in enumerate(texts):
-                if _SPACE_BEFORE_SPACE.search(t):
-                    whole.append(i)
-                else:
-                    cut.append((i, t.split(" ")))
-            first = {c[0] for _, c in cut}
-            if len(self.firsts) > CACHE_CHUNKS // 4:
-                self.firsts.clear()
-            new = [f for f in first if f not in self.firsts]
-            self.firsts.update(zip(new, self._bytes_of(new)))
-            self._learn(set(chain.from_iterable(c[1:] for _, c in cut)))
-            get = self.cache.__getitem__
-            for i, c in cut:
-                out[i] = self.firsts[c[0]] + b"".join(map(get, c[1:]))
-        elif self.kind == "words":
-            for i, t in enumerate(texts):
-                if _ODD_SPACE.search(t):
-                    whole.append(i)
-                else:
-                    cut.append((i, t.split()))
-            self._learn(set(chain.from_iterable(c for _, c in cut)))
-            get = self.cache.__getitem__
-            for i, c in cut:
-                out[i] = b"".join(map(get, c))
+            texts = pc.binary_join_element_wise(_FIRST, texts, "")
+        lists = pc.split_pattern(texts, " ")
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        ids = self._chunk_ids(coded.dictionary.to_pylist())
+        codes = coded.indices.to_numpy()
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        pool, first = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(length) - length
+        parts = []
+        for a in range(0, len(codes), GATHER_CHUNKS):
+            c = codes[a:a + GATHER_CHUNKS]
+            n = length[c]
+            before = np.cumsum(n) - n
+            parts.append(pool[np.repeat(first[c] - before, n) + np.arange(int(n.sum()))])
+        total = np.concatenate([[0], np.cumsum(length[codes])])
+        return np.concatenate(parts), total[ends]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (none of them null) as an array of ``dtype``."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        if self.kind == "other":
+            whole = np.ones(len(texts), bool)
+        elif self.kind == "spaced":
+            whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         else:
-            whole = list(range(len(texts)))
-        for i, b in zip(whole, self._bytes_of([texts[i] for i in whole])):
-            out[i] = b
-        return out  # type: ignore[return-value]
+            whole = np.zeros(len(texts), bool)
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        if whole.any():
+            at = np.flatnonzero(whole)
+            for i, raw in zip(at.tolist(), self._whole(texts.take(pa.array(at)).to_pylist())):
+                out[i] = np.frombuffer(raw, self.dtype)
+        at = np.flatnonzero(~whole)
+        size = np.cumsum(pc.binary_length(texts).to_numpy()[at]) // SLICE_BYTES
+        for rows in np.split(at, np.flatnonzero(np.diff(size)) + 1):
+            if len(rows):
+                ids, ends = self._cut(texts.take(pa.array(rows)))
+                for i, a, b in zip(rows.tolist(), [0, *ends.tolist()], ends.tolist()):
+                    out[i] = ids[a:b]
+        return out
 
 
 def _kind(spec: dict) -> str:
@@ -132,9 +162,9 @@ def _kind(spec: dict) -> str:
     if not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
         return "spaced"
     steps = pre.get("pretokenizers", [])
-    if (steps and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
-            and "\\s" in steps[0]["pattern"].get("Regex", "").rsplit("[^", 1)[-1]
-            and {n["type"] for n in norm.get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}):
+    if ([s["type"] for s in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed"
+            and steps[0]["invert"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+            and [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]):
         return "words"
     return "other"
 
