@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, token_counts
+from cohortmart.session import scratch_path
+
+from . import packing, pii, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +40,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as Arrow files and read back from them."""
+    path = scratch_path(spark, "token-files")
+    token_files.write(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY, path)
+    return token_files.read(spark, path)
+
+
+@query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts, base digest, all spans."""
