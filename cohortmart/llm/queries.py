@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortmart.session import scratch_path
 
-from . import packing, pii, sharding, token_counts, token_files
+from . import packing, pii, quality, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, by a network fitted on its labels."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts, base digest, all spans."""

@@ -24,9 +24,9 @@ import regex
 
 #: Distinct words and chunks kept in a worker (about 200 bytes each); each
 #: cache starts anew beyond it.
-CACHE_WORDS, CACHE_CHUNKS = 1_000_000, 1_000_000
-#: Bytes of text encoded, and chunks gathered, at a time.
-SLICE_BYTES, GATHER_CHUNKS = 4 << 20, 400_000
+CACHE_WORDS, CACHE_CHUNKS = 800_000, 800_000
+#: Bytes of text encoded at a time.
+SLICE_BYTES = 4 << 20
 
 # Fixed value: how byte-level files of the first kind split a text into words.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -62,15 +62,15 @@ class Encoder:
         if self.kind == "spaced":
             self.split = regex.compile(BYTE_LEVEL).findall
         elif self.kind == "words":
-            find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-            self.split = lambda chunk: find(chunk.lower())
+            self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         # The model alone, for words whose bytes are already written as its characters.
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.chars = byte_to_char()
         # A word that no plain word contains, and that is one token: it tells where words end.
-        self.mark = self.chars[1]
-        self.mark_id = (self.model.encode(self.mark, add_special_tokens=False).ids or [None])[0]
+        mark = self.chars[1]
+        self.mark_id = (self.model.encode(mark, add_special_tokens=False).ids or [None])[0]
+        self.chars[1] = f" {mark} "
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -85,7 +85,7 @@ class Encoder:
             new = list(words)
         if not new:
             return
-        mapped = f" {self.mark} ".join([w.encode().decode("latin-1").translate(self.chars) for w in [*new, ""]])
+        mapped = "\x01".join([*new, ""]).encode().decode("latin-1").translate(self.chars)
         ids = np.array(self.model.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, self.dtype)
         ends, w = np.flatnonzero(ids == self.mark_id), self.dtype.itemsize
         raw, starts = ids.tobytes(), np.concatenate([[0], ends[:-1] + 1])
@@ -93,44 +93,42 @@ class Encoder:
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache or learned now."""
-        new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > CACHE_CHUNKS:
+        found = list(map(self.chunks.get, chunks))
+        at = [i for i, f in enumerate(found) if f is None]
+        if len(self.chunks) + len(at) > CACHE_CHUNKS:
             self.chunks.clear()
-            new = chunks
-        if self.kind == "spaced":
-            told = [c[1:] if c[:1] == _FIRST else " " + c for c in new]
+        if not at:
+            return found
+        new = [chunks[i] for i in at]
+        told = [c[1:] if c[:1] == _FIRST else " " + c for c in new] if self.kind == "spaced" else new
+        odd = set() if _PLAIN.fullmatch("".join(told)) else {j for j, t in enumerate(told) if not _PLAIN.fullmatch(t)}
+        if self.kind == "spaced":  # a chunk of letters is one word
+            words = [(t,) if c.isalpha() else self.split(t) for c, t in zip(new, told)]
         else:
-            told = new
-        store = self.chunks
-        if not _PLAIN.fullmatch("".join(told)):
-            odd = [(c, t) for c, t in zip(new, told) if not _PLAIN.fullmatch(t)]
-            store.update(zip((c for c, _ in odd), self._whole([t for _, t in odd])))
-            both = [(c, t) for c, t in zip(new, told) if c not in store]
-            new, told = [c for c, _ in both], [t for _, t in both]
-        words = list(map(self.split, told))
+            words = [(low,) if (low := t.lower()).isalpha() else self.split(low) for t in told]
+        for j in odd:
+            words[j] = ()
         self._learn_words(set(chain.from_iterable(words)))
         get = self.words.__getitem__
-        store.update(zip(new, [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words]))
-        return list(map(store.__getitem__, chunks))
+        ids = [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words]
+        for j, raw in zip(odd, self._whole([told[j] for j in odd])):
+            ids[j] = raw
+        self.chunks.update(zip(new, ids))
+        for i, raw in zip(at, ids):
+            found[i] = raw
+        return found
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one text after the other, and where each ends."""
         if self.kind == "spaced":
             texts = pc.binary_join_element_wise(_FIRST, texts, "")
         lists = pc.split_pattern(texts, " ")
         ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        ids = self._chunk_ids(coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy()
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        pool, first = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(length) - length
-        parts = []
-        for a in range(0, len(codes), GATHER_CHUNKS):
-            c = codes[a:a + GATHER_CHUNKS]
-            n = length[c]
-            before = np.cumsum(n) - n
-            parts.append(pool[np.repeat(first[c] - before, n) + np.arange(int(n.sum()))])
-        total = np.concatenate([[0], np.cumsum(length[codes])])
-        return np.concatenate(parts), total[ends]
+        ids = pa.array(self._chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
+        flat = pa.DictionaryArray.from_arrays(coded.indices, ids).dictionary_decode()
+        at = np.frombuffer(flat.buffers()[1], np.int32)[:len(flat) + 1]
+        return np.frombuffer(flat.buffers()[2], self.dtype, at[-1] // self.dtype.itemsize), at[ends] // self.dtype.itemsize
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text (none of them null) as an array of ``dtype``."""
