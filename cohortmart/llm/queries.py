@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortmart.session import scratch_path
 
-from . import packing, pii, quality, sharding, token_counts, token_files
+from . import decontamination, fingerprints, packing, pii, quality, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words hit in every whole text."""
+    return decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row")
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and its edited text."""
+    return fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text, by a network fitted on its labels."""
