@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortmart.session import scratch_path
 
-from . import decontamination, fingerprints, packing, pii, quality, sharding, token_counts, token_files
+from . import decontamination, fingerprints, jaccard_join, packing, pii, quality, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 3-word shingles at 0.9."""
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words hit in every whole text."""
