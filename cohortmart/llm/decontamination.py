@@ -63,14 +63,15 @@ def item_terms(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
             common.materialize(vocabulary, "benchmark-vocabulary"))
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """The stored index: (row, doc_id, term, pos), ``END`` at the number of words."""
+def build_index(docs: DataFrame, vocabulary: DataFrame, keep: list[Column] = ()) -> DataFrame:
+    """The stored index: (row, doc_id, term, pos), ``END`` at the number of
+    words, and what else to ``keep`` of the row."""
     terms = vocabulary.unionByName(docs.sparkSession.createDataFrame([(" ", END)], "word string, term long"))
     words = F.concat(words_of(F.col("text")), F.array(F.lit(" ")))  # a word that no text has: where the words end
     # The row's number is given before its words are dealt out.
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
-    postings = (rows.select("row", "doc_id", F.posexplode("words").alias("pos", "word"))
-                .join(_small(terms), "word").select("row", "doc_id", "term", "pos"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"), *keep)
+    postings = (rows.select(*(c for c in rows.columns if c != "words"), F.posexplode("words").alias("pos", "word"))
+                .join(_small(terms), "word").drop("word"))
     return common.materialize(postings.sortWithinPartitions("term", "row", "pos"), "postings")
 
 
@@ -130,21 +131,33 @@ def proximity_matches(index: DataFrame, placed: DataFrame, within: int = 50) ->
     return a.join(b, ["row", "item", "block"]).filter(F.abs(F.col("pa") - F.col("pb")) <= within).select("row", "item").distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document row: row, doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[Column] = ()) -> DataFrame:
+    """Per document row: row, doc_id, what to ``keep`` of it, n_words, n_hit,
+    n_items, items_sha256, contaminated."""
     placed, vocabulary = item_terms(benchmark)
-    index = build_index(docs, vocabulary)
+    index = build_index(docs, vocabulary, keep)
     matches = common.materialize(phrase_matches(index, placed, window), "matches")
     hit = (matches.select("row", F.explode("starts").alias("s"), "shift", "w")
            .select("row", F.explode(F.expr("sequence(shift + s, shift + s + w - 1)")).alias("pos")).distinct()
            .groupBy("row").agg(F.count(F.lit(1)).alias("n_hit")))
     ids = _small(placed.select("item", "item_id").distinct())
     items = (matches.join(ids, "item").groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
-    ends = index.filter(F.col("term") == END).select("row", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    ends = index.filter(F.col("term") == END).withColumn("n_words", F.col("pos").cast("long")).drop("term", "pos")
     both = hit.join(items, "row")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     item_ids = F.coalesce("items", F.array().cast("array<string>"))
     return (ends.join(_small(both), "row", "left")
-            .select("row", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(item_ids).cast("long").alias("n_items"),
+            .select(*ends.columns, n_hit.alias("n_hit"), F.size(item_ids).cast("long").alias("n_items"),
                     F.sha2(F.array_join(item_ids, ",").cast("binary"), 256).alias("items_sha256"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words"))))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents that are not contaminated, their columns unchanged.  What
+    goes is named by id and text, so rows that share an id, or have none, are
+    judged by their own texts."""
+    h = F.xxhash64("text")
+    found = contamination(docs.select("doc_id", "text"), benchmark, window, keep=[h.alias("h")])
+    gone = common.materialize(found.filter("contaminated").select("doc_id", "h").distinct(), "contaminated")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
+    return docs.join(_small(gone), F.col("doc_id").eqNullSafe(F.col("gone_id")) & (h == F.col("gone_h")), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortmart.session import scratch_path
 
-from . import decontamination, fingerprints, jaccard_join, packing, pii, quality, sharding, token_counts, token_files
+from . import decontamination, fingerprints, jaccard_join, lm_scoring, packing, pii, quality, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every whole text, by a network trained on all of them."""
+    docs = read_table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, *lm_scoring.train(docs))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written as Arrow files and read back from them."""
