@@ -86,7 +86,7 @@ def rarest_terms(index: DataFrame, placed: DataFrame, window: int = WINDOW) -> D
     ranked = starts.withColumn("ranked", F.expr(
         "sort_array(transform(slice(places, start + 1, w), x -> struct(x.df as df, x.place as place)))"))
     return (ranked.filter("ranked[0].df > 0")
-            .select("item", "start", F.expr("ranked[0].place").alias("a"), F.expr("coalesce(ranked[1].place, ranked[0].place)").alias("b")))
+            .select("item", "start", F.expr("ranked[0].place").alias("a"), F.expr("coalesce(get(ranked, 1).place, ranked[0].place)").alias("b")))
 
 
 def candidates(index: DataFrame, placed: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -142,7 +142,7 @@ def _differing(bits: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, bits: list[bytes], threshold: int,
+def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, threshold: int,
                part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one list's entries that may link, from entries sorted by size.
     With ``part`` (0 or 1) only pairs across the two parts."""
@@ -174,33 +174,75 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, bits: list[byt
                 right.append(j[q])
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = np.concatenate(left), np.concatenate(right)
-    keep = may_link(n[a], n[b], _differing(bits, a, b), threshold)
-    return a[keep], b[keep]
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, by their exact sets."""
-    pairs = common.materialize(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    held = sets.join(_small(common.materialize(ids, "pair-ids")), "sid", "left_semi")
-    a, b = (held.select(F.col("sid").alias(s), F.col("hashes").alias(f"h{s}")) for s in "ab")
-
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("ha"), batch.column("hb")):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            keep.append(100 * both >= threshold * (len(x) + len(y) - both))
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return common.map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), fn, "a long, b long")
+class Sets:
+    """The documents and, by set, its key, size, parity bits and least id."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, shingle: int, threshold: int) -> None:
+        self.docs, self.shingle, self.threshold = docs, shingle, threshold
+        held = rows.filter("sid is not null")
+        self.ids = common.materialize(held.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "set-ids")
+        self.bits = common.materialize(held.groupBy("sid").agg(F.min("n").alias("n"), F.first("bits").alias("bits")), "set-bits")
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose parity bits leave room for a link."""
+        a, b = (self.bits.select(*(F.col(c).alias(f"{c}{s}") for c in ("sid", "n", "bits"))) for s in "ab")
+        both = (pairs.join(a, F.col("a") == F.col("sida")).join(b, F.col("b") == F.col("sidb"))
+                .select("a", "b", "na", "nb", "bitsa", "bitsb"))
+        threshold = self.threshold
+
+        def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x, y = (batch.column(f"bits{s}").to_pylist() for s in "ab")
+            rows = np.arange(len(x))
+            keep = may_link(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), _differing(x + y, rows, rows + len(x)), threshold)
+            return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return common.map_batches(both, fn, "a long, b long")
+
+    def exact(self, ids: DataFrame) -> DataFrame:
+        """(sid, hashes) of the sets with these keys, from their documents."""
+        shingle = self.shingle
+        lenders = common.materialize(self.ids.join(_small(ids), "sid", "left_semi").select("sid", F.col("doc_id").alias("lender")), "lenders")
+
+        def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            held = _sets(batch, shingle)
+            return pa.record_batch([pa.array([set_key(h) if len(h) else None for h in held], pa.int64()), batch.column("doc_id"),
+                                    pa.array([h.tobytes() for h in held], pa.binary())], ["sid", "doc_id", "hashes"])
+
+        named = lenders.filter("lender is not null").select(F.col("lender").alias("doc_id")).distinct()
+        lent = self.docs.join(_small(named), "doc_id", "left_semi").unionByName(self.docs.filter("doc_id is null"))
+        # An id may stand on several rows: the set's key tells which text is meant.
+        sets = common.map_batches(lent, fn, "sid long, doc_id long, hashes binary").join(_small(lenders), "sid")
+        sets = common.materialize(sets.filter("doc_id <=> lender").select("sid", "hashes"), "exact-sets")
+        if sets.count() > lenders.count():  # repeated rows
+            sets = common.materialize(sets.dropDuplicates(["sid"]), "exact-sets-once")
+        return sets
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link: by their bits, then by the exact sets."""
+        threshold = self.threshold
+        pairs = common.materialize(self.near(pairs), "pairs")
+        ids = common.materialize(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "pair-ids")
+        held = self.exact(ids)
+        a, b = (held.select(F.col("sid").alias(s), F.col("hashes").alias(f"h{s}")) for s in "ab")
+
+        def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            keep = []
+            for x, y in zip(batch.column("ha"), batch.column("hb")):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.searchsorted(y, x)
+                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                keep.append(100 * both >= threshold * (len(x) + len(y) - both))
+            return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return common.materialize(common.map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), fn, "a long, b long"), "links")
 
 
 def _shared_lists(index: DataFrame) -> DataFrame:
@@ -212,26 +254,14 @@ def _shared_lists(index: DataFrame) -> DataFrame:
                               .groupBy("token", "sid").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "lists")
 
 
-def _links_to_leaders(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Verified pairs of a set and a leader of one of its lists."""
+def _leader_pairs(lists: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of a set and a leader of one of its lists that may link."""
     least = [F.min(F.struct(F.xxhash64("sid", F.lit(0)).alias("h"), "sid", "n", "pos")).alias("l0")]
     least += [F.min(F.struct(F.xxhash64("sid", "token", F.lit(r)).alias("h"), "sid", "n", "pos")).alias(f"l{r}") for r in range(1, LEADERS)]
     leaders = lists.groupBy("token").agg(*least).select("token", F.array(*(f"l{r}" for r in range(LEADERS))).alias("leaders"))
-    pairs = (lists.join(leaders, "token").select("sid", "n", "pos", F.explode(F.array_distinct("leaders")).alias("l"))
-             .filter("sid <> l.sid").filter(_room(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), threshold))
-             .select(F.greatest("sid", "l.sid").alias("a"), F.least("sid", "l.sid").alias("b")).distinct())
-    bits = sets.select("sid", "n", "bits")
-    a, b = (bits.select(*(F.col(c).alias(f"{c}{s}") for c in ("sid", "n", "bits"))) for s in "ab")
-    near = pairs.join(a, F.col("a") == F.col("sida")).join(b, F.col("b") == F.col("sidb")).select("a", "b", "na", "nb", "bitsa", "bitsb")
-
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (batch.column(f"bits{s}").to_pylist() for s in "ab")
-        rows = np.arange(len(x))
-        differ = _differing(x + y, rows, rows + len(x))
-        keep = may_link(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), differ, threshold)
-        return batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return _verify(common.map_batches(near, fn, "a long, b long"), sets, threshold)
+    return (lists.join(leaders, "token").select("sid", "n", "pos", F.explode(F.array_distinct("leaders")).alias("l"))
+            .filter("sid <> l.sid").filter(_room(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), threshold))
+            .select(F.greatest("sid", "l.sid").alias("a"), F.least("sid", "l.sid").alias("b")).distinct())
 
 
 def _room(na: Column, pa_: Column, nb: Column, pb: Column, threshold: int) -> Column:
@@ -240,8 +270,8 @@ def _room(na: Column, pa_: Column, nb: Column, pb: Column, threshold: int) -> Co
             & (F.least(na - pa_, nb - pb) * (100 + threshold) >= threshold * (na + nb)))
 
 
-def _links_in_lists(lists: DataFrame, groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Verified pairs from the lists that hold several components."""
+def _list_pairs(lists: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+    """Pairs that may link, from the lists that hold several components."""
     grouped = (lists.join(groups, F.col("sid") == F.col("vertex"), "left")
                .select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("component")))
     several = (grouped.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("length"))
@@ -252,20 +282,19 @@ def _links_in_lists(lists: DataFrame, groups: DataFrame, sets: DataFrame, thresh
     dealt = (entries.withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")))
-    bits = sets.select("sid", "bits")
-    dealt = dealt.join(bits, "sid").select("token", "i", "j", "sid", "n", "pos", "component", "mine", "bits")
+    dealt = dealt.select("token", "i", "j", "sid", "n", "pos", "component", "mine")
     ordered = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "pos", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in
-                ("token", "i", "j", "sid", "n", "pos", "component", "mine", "bits"))))
+                ("token", "i", "j", "sid", "n", "pos", "component", "mine"))))
         seen: set[tuple[int, int]] = set()
         for (_, i, j), run_ in groupby(rows, key=lambda r: r[:3]):
             held = list(run_)
             if len(held) < 2:
                 continue
-            sid, n, pos, comp, mine_, raw = zip(*(r[3:] for r in held))
-            a, b = list_pairs(np.array(n), np.array(pos), np.array(comp), list(raw), threshold,
+            sid, n, pos, comp, mine_ = zip(*(r[3:] for r in held))
+            a, b = list_pairs(np.array(n), np.array(pos), np.array(comp), threshold,
                               None if i == j else (np.array(mine_) == j).astype(int))
             new = {(max(sid[x], sid[y]), min(sid[x], sid[y])) for x, y in zip(a.tolist(), b.tolist())} - seen
             if new:
@@ -276,7 +305,7 @@ def _links_in_lists(lists: DataFrame, groups: DataFrame, sets: DataFrame, thresh
                 yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     lists.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
-    return _verify(ordered.mapInArrow(run, "a long, b long").distinct(), sets, threshold)
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -291,40 +320,22 @@ def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
         held = _sets(batch, shingle)
         prefix = [ordered_prefix(h, sketch.value, threshold).view(np.int64) if len(h) else None for h in held]
         return pa.record_batch([batch.column("doc_id"), pa.array([set_key(h) if len(h) else None for h in held], pa.int64()),
-                                pa.array([len(h) for h in held], pa.int32()), pa.array(prefix, pa.list_(pa.int64()))],
-                               ["doc_id", "sid", "n", "prefix"])
+                                pa.array([len(h) for h in held], pa.int32()), pa.array(prefix, pa.list_(pa.int64())),
+                                pa.array([parity_bits(h) if len(h) else None for h in held], pa.binary())],
+                               ["doc_id", "sid", "n", "prefix", "bits"])
 
-    rows = common.materialize(common.map_batches(docs, index, "doc_id long, sid long, n int, prefix array<long>"), "sets")
+    rows = common.materialize(common.map_batches(docs, index, "doc_id long, sid long, n int, prefix array<long>, bits binary"), "sets")
     lists = _shared_lists(rows.filter("sid is not null"))
-    open_sets = _small(common.materialize(lists.select("sid").distinct(), "open-sets"))
-    # Of each set in a list, the row with the least id lends its text.
-    lenders = (rows.join(open_sets, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")))
-    lenders = common.materialize(lenders, "lenders")
-
-    def exact(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held = _sets(batch, shingle)
-        return pa.record_batch([pa.array([set_key(h) if len(h) else None for h in held], pa.int64()), batch.column("doc_id"),
-                                pa.array([len(h) for h in held], pa.int32()), pa.array([h.tobytes() for h in held], pa.binary()),
-                                pa.array([parity_bits(h) if len(h) else b"" for h in held], pa.binary())],
-                               ["sid", "doc_id", "n", "hashes", "bits"])
-
-    schema = "sid long, doc_id long, n int, hashes binary, bits binary"
-    lent = docs.join(_small(lenders.select("doc_id").distinct()), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
-    # An id may stand on several rows: the set's key tells which text is meant.
-    sets = common.map_batches(lent, exact, schema).join(_small(lenders.select("sid", F.col("doc_id").alias("lender"))), "sid")
-    sets = common.materialize(sets.filter("doc_id <=> lender").drop("doc_id", "lender"), "exact-sets")
-    if sets.count() > lenders.count():  # repeated rows
-        sets = common.materialize(sets.dropDuplicates(["sid"]), "exact-sets-once")
-    links = common.materialize(_links_to_leaders(lists, sets, threshold), "links")
-    groups = common.materialize(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
-    more = _links_in_lists(lists, groups, sets, threshold)
-    classes = common.materialize(components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))), "classes")
+    sets = Sets(docs, rows, shingle, threshold)
+    edge = [F.col("a").alias("u"), F.col("b").alias("v")]
+    links = sets.linked(_leader_pairs(lists, threshold))
+    groups = common.materialize(components(links.select(*edge)), "groups")
+    links = links.unionByName(sets.linked(_list_pairs(lists, groups, threshold)))
+    classes = common.materialize(components(links.select(*edge)), "classes")
     # Ids: the least of each set, then the least of each component.
-    of_set = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("copies"))
-    placed = of_set.join(classes, F.col("sid") == F.col("vertex"), "left").withColumn("component", F.coalesce("component", "sid"))
-    least = placed.groupBy("component").agg(F.min("own").alias("component_id"), F.sum("copies").alias("members"))
-    named = (placed.join(least, "component").filter("members > 1").select("sid", "component_id"))
-    named = common.materialize(named, "named")
+    placed = sets.ids.join(classes, F.col("sid") == F.col("vertex"), "left").withColumn("component", F.coalesce("component", "sid"))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("members"))
+    named = common.materialize(placed.join(least, "component").filter("members > 1").select("sid", "component_id"), "named")
     return (rows.select("doc_id", "sid", F.col("n").cast("long").alias("n_shingles")).join(_small(named), "sid", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortmart.session import scratch_path
 
-from . import decontamination, fingerprints, jaccard_join, lm_scoring, packing, pii, quality, sharding, token_counts, token_files
+from . import decontamination, fingerprints, jaccard_join, lm_scoring, oracles, packing, pii, quality, sharding, token_counts, token_files
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_jaccard_join": oracles.JACCARD_JOIN, "op7_decontamination": oracles.DECONTAMINATION}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
