@@ -19,7 +19,8 @@ joined.  A list is sorted by size and cut into blocks; a pair of blocks is
 skipped when the sizes and positions in it leave no room for a link, and
 inside the rest pairs fall to the same two filters, to a common component, and
 to the sets' parity bitmaps (the bits that differ are a lower bound of the
-elements that differ).  A list longer than ``LIST`` is dealt over pairs of
+elements that differ; only long lists carry them, pairs of short ones are
+looked up).  A list longer than ``LIST`` is dealt over pairs of
 parts, each pair of parts to a task of its own.
 
 All that is left is verified on the exact sets.  Sketch, lists and components
@@ -50,8 +51,9 @@ SHINGLE, THRESHOLD = 3, 90
 #: Cells of the count sketch (4 bytes each); more cells only sharpen the order.
 CELLS = 1 << 20
 _CELL_CHUNKS = 64
-#: Leaders each list offers; entries of a list joined in one task; a block.
-LEADERS, LIST, BLOCK = 3, 4096, 64
+#: Leaders each list offers; entries of a list joined in one task; a block;
+#: a list from which on its entries bring their parity bits along.
+LEADERS, LIST, BLOCK, LONG = 6, 4096, 64, 33
 #: Rows of a table of ids that may be broadcast (16 bytes a row).
 BROADCAST_ROWS = 2_000_000
 _MAX_BITS = 1 << 16
@@ -135,17 +137,22 @@ def _differing(bits: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     low = np.minimum(size[a], size[b])
     for s in np.unique(low):
         at = np.flatnonzero(low == s)
+        used = np.unique(np.concatenate([a[at], b[at]]))
+        place = np.zeros(len(bits), np.int64)
+        place[used] = np.arange(len(used))
+        folded = np.stack([fold(np.frombuffer(bits[i], np.uint8)[None], s)[0] for i in used])
+        words = folded.view(np.uint64)  # bitmaps have 8 bytes at least
         for c in range(0, len(at), 4096):
             rows = at[c:c + 4096]
-            x, y = (np.stack([fold(np.frombuffer(bits[i], np.uint8)[None], s)[0] for i in side[rows]]) for side in (a, b))
-            out[rows] = np.bitwise_count(x ^ y).sum(1)
+            out[rows] = np.bitwise_count(words[place[a[rows]]] ^ words[place[b[rows]]]).sum(1)
     return out
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, threshold: int,
-               part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, threshold: int, part: np.ndarray | None = None,
+               bits: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one list's entries that may link, from entries sorted by size.
-    With ``part`` (0 or 1) only pairs across the two parts."""
+    With ``part`` (0 or 1) only pairs across the two parts; ``bits``: parity
+    bits, where the entries bring them."""
     left, right = [], []
     starts = np.arange(0, len(n), BLOCK)
     room = n - pos  # the shingles from the common one on
@@ -170,8 +177,12 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, threshold: int
                 ok = np.triu(ok, 1)
             if ok.any():
                 p, q = np.nonzero(ok)
-                left.append(i[p])
-                right.append(j[q])
+                p, q = i[p], j[q]
+                if bits is not None:
+                    keep = may_link(n[p], n[q], _differing(bits, p, q), threshold)
+                    p, q = p[keep], q[keep]
+                left.append(p)
+                right.append(q)
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(left), np.concatenate(right)
@@ -270,32 +281,34 @@ def _room(na: Column, pa_: Column, nb: Column, pb: Column, threshold: int) -> Co
             & (F.least(na - pa_, nb - pb) * (100 + threshold) >= threshold * (na + nb)))
 
 
-def _list_pairs(lists: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+def _list_pairs(lists: DataFrame, groups: DataFrame, bits: DataFrame, threshold: int) -> DataFrame:
     """Pairs that may link, from the lists that hold several components."""
     grouped = (lists.join(groups, F.col("sid") == F.col("vertex"), "left")
                .select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("component")))
     several = (grouped.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("length"))
-               .filter("lo <> hi").select("token", F.ceil(F.col("length") / LIST).cast("int").alias("parts")))
+               .filter("lo <> hi").select("token", (F.col("length") >= LONG).alias("long"), F.ceil(F.col("length") / LIST).cast("int").alias("parts")))
     entries = common.materialize(grouped.join(_small(common.materialize(several, "open-lists")), "token"), "open-entries")
     # A list of more than one part: one group for each pair of parts (i <= j), an entry in all pairs of its part.
     mine = F.pmod(F.xxhash64("sid", F.lit(9)), F.col("parts")).cast("int")
     dealt = (entries.withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")))
-    dealt = dealt.select("token", "i", "j", "sid", "n", "pos", "component", "mine")
+    columns = ["token", "i", "j", "sid", "n", "pos", "component", "mine"]
+    brought = dealt.filter("long").join(bits.select("sid", "bits"), "sid").select(*columns, "bits")
+    dealt = dealt.filter("not long").select(*columns, F.lit(None).cast("binary").alias("bits")).unionByName(brought)
     ordered = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "pos", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in
-                ("token", "i", "j", "sid", "n", "pos", "component", "mine"))))
+                (*columns, "bits"))))
         seen: set[tuple[int, int]] = set()
         for (_, i, j), run_ in groupby(rows, key=lambda r: r[:3]):
             held = list(run_)
             if len(held) < 2:
                 continue
-            sid, n, pos, comp, mine_ = zip(*(r[3:] for r in held))
+            sid, n, pos, comp, mine_, raw = zip(*(r[3:] for r in held))
             a, b = list_pairs(np.array(n), np.array(pos), np.array(comp), threshold,
-                              None if i == j else (np.array(mine_) == j).astype(int))
+                              None if i == j else (np.array(mine_) == j).astype(int), None if raw[0] is None else list(raw))
             new = {(max(sid[x], sid[y]), min(sid[x], sid[y])) for x, y in zip(a.tolist(), b.tolist())} - seen
             if new:
                 if len(seen) > 1_000_000:
@@ -330,7 +343,7 @@ def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     edge = [F.col("a").alias("u"), F.col("b").alias("v")]
     links = sets.linked(_leader_pairs(lists, threshold))
     groups = common.materialize(components(links.select(*edge)), "groups")
-    links = links.unionByName(sets.linked(_list_pairs(lists, groups, threshold)))
+    links = links.unionByName(sets.linked(_list_pairs(lists, groups, sets.bits, threshold)))
     classes = common.materialize(components(links.select(*edge)), "classes")
     # Ids: the least of each set, then the least of each component.
     placed = sets.ids.join(classes, F.col("sid") == F.col("vertex"), "left").withColumn("component", F.coalesce("component", "sid"))
