@@ -153,6 +153,25 @@ def _build_clinical_mart(spark: SparkSession, sf_dir: str, name: str) -> Mart:
     )
 
 
+#: Measure concepts of the wide mart, as many as a brain atlas has and some more.
+WIDE_MEASURES = 140
+
+
+def wide_mart(spark: SparkSession, sf_dir: str) -> Mart:
+    """The clinical mart and, per line item, a fact of one of ``WIDE_MEASURES``
+    measure concepts (``vol_<number>``, by part)."""
+    mart = clinical_mart(spark, sf_dir)
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    measures = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").alias("encounter_num"), F.col("o_custkey").alias("patient_num"),
+        F.concat(F.lit("vol_"), (F.col("l_partkey") % WIDE_MEASURES).cast("string")).alias("concept_cd"),
+        F.lit(HOSPITAL).alias("provider_id"), F.col("o_orderdate").alias("start_date"), F.lit("@").alias("modifier_cd"),
+        F.col("l_linenumber").alias("instance_num"), F.lit("N").alias("valtype_cd"), F.lit("E").alias("tval_char"),
+        F.col("l_extendedprice").cast(DEC).alias("nval_num"))
+    return mart.with_tables(observation_fact=mart.observation_fact.unionByName(measures))
+
+
 def lineitem_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide table: ids plus the four double measures of lineitem."""
     return read_table(spark, sf_dir, "lineitem").select(*LINEITEM_IDS, *LINEITEM_MEASURES)

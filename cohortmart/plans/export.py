@@ -10,23 +10,24 @@ names of the concept dictionary and catalog):
   MMSE/MoCA visits nearest that diagnosis; facts of those ≤4 visits, the MRI
   visit winning, then diagnosis, MMSE, MoCA.
 
-Plan shape (every strategy): the strategy yields one row per (key, selected
-encounter) carrying the key's demographic candidate.  These rows are joined
-to the fact table on encounter_num — the one shuffle of the large table,
-after column pruning and the writable-fact filter (none when the facts are
-bucketed on encounter_num); the join is inner so AQE can split a hot
-encounter — and the rows themselves are appended (fact-less) so every key
-keeps its row.  A single grouped aggregate per key then produces every output
-cell: per concept the ``max`` of an ordering struct (the winning fact), and
-the ``max`` demographic candidate.  The aggregate is partial (combined
-map-side), so a key holding a third of all facts is reduced in every map task
-before the one shuffle by key.  Nothing per patient passes through the driver.
+Plan shape (every strategy and width): the strategy yields one row per (key,
+selected encounter) carrying the key's demographic candidate, written once.
+These rows are joined to the fact table on encounter_num - the one shuffle of
+the large table, after column pruning and the writable-fact filter (none when
+the facts are bucketed on encounter_num); the join is inner so AQE can split a
+hot encounter.  A partial aggregate leaves one winner per (key, concept), so a
+key holding a third of all facts is reduced in every map task; the pivot then
+writes each winner into its cell, and the demographics of the key are joined
+to it, so keys without facts keep their row.  Nothing per patient passes
+through the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from cohortmart.functions.columns import (
     DEC, age_group, age_months, age_years, qcol, set_or_append, typed_value, valid_valtype,
     writable_fact)
-from cohortmart.operators.reshape import Catalog, cde_list, winner_struct
+from cohortmart.functions.hashing import hash_column
+from cohortmart.operators.reshape import Catalog, cde_list, pivot_cells, winner_struct
 from cohortmart.operators.visits import (
     AS_CODED_WINDOW_SECONDS, DEFAULT_WINDOW_SECONDS, cognitive_visits, diagnosis_candidates,
     first_mri, nearest_diagnosis, stack_encounters, valid_diagnosis_encounters,
@@ -62,12 +64,13 @@ class ExportOptions:
     ``dataset_const``: value of the ``dataset`` column, default the smallest
     provider_id of the facts.  ``dataset``: when set, a ``Dataset`` column with
     this value is set or appended (needs a case-sensitive session because the
-    export also has ``dataset``).  ``checkpoint_selection``: the 6-months
-    per-patient selection (one row per patient, built from two filtered fact
-    scans) feeds both the fact join and the demographic row; it is written
-    once to the shared checkpoint folder instead of being recomputed.
-    ``wide_layout``: above this many output columns, facts are first reduced
-    to one winner per (key, concept) before the per-column aggregate.
+    export also has ``dataset``).  ``checkpoint_selection``: the selected rows
+    feed both the fact join and the demographics; they are written once to the
+    shared checkpoint folder instead of being computed twice.
+    ``key_policy``: ``fail`` (two encounters with one longitudinal key stop the
+    export) or ``merge`` (their facts fill one row, demographics of the
+    greatest encounter).  ``hash_ids``: hash method for the key columns of the
+    result; visits and winners are chosen on the raw ids.
     """
 
     window_seconds: int = DEFAULT_WINDOW_SECONDS
@@ -78,7 +81,8 @@ class ExportOptions:
     dataset_const: str | None = None
     dataset: str | None = None
     checkpoint_selection: bool = True
-    wide_layout: int = 64
+    key_policy: str = "fail"
+    hash_ids: str | None = None
 
 
 DEFAULT = ExportOptions()
@@ -103,6 +107,7 @@ class Selection:
     rows: DataFrame
     integer_months: bool = False
     prefer_nonempty: bool = False
+    one_row_per_key: bool = False
 
 
 @dataclass(frozen=True)
@@ -121,7 +126,8 @@ class ExportResult:
                                     F.lit(self.n_cde_columns).cast("long").alias("value"))
         inserts = self.frame.agg(F.count(F.lit(1)).alias("value")).select(
             F.lit("inserts").alias("counter"), "value")
-        updates = self.cells.agg(F.count(F.lit(1)).alias("value")).select(
+        # a written fact has a rendered value; reading it applies the value type policy
+        updates = self.cells.agg(F.count("w.v").alias("value")).select(
             F.lit("updates").alias("counter"), "value")
         return cde.unionByName(inserts).unionByName(updates)
 
@@ -158,7 +164,7 @@ def select_longitudinal(mart: Mart) -> Selection:
                     F.lit(0).alias("role_rank"), F.col("patient_age").alias("age"), "sex_cd",
                     F.struct("encounter_num", "patient_num").alias("tiebreak")))
     return Selection(("subjectcode", "subjectvisitid"), ("subjectvisitdate",), rows,
-                     integer_months=True)
+                     integer_months=True, one_row_per_key=True)
 
 
 def six_month_selection(mart: Mart, opts: ExportOptions) -> DataFrame:
@@ -264,17 +270,16 @@ def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
     return joined.withColumn("v", v).withColumn("w", F.when(has_fact, w))
 
 
-def _demographic_columns(best: DataFrame, sel: Selection, opts: ExportOptions,
+def _demographic_columns(best: DataFrame, sel: Selection, key: str, opts: ExportOptions,
                          dataset_const: str | None) -> tuple[DataFrame, dict[str, object]]:
     """Apply the NULL policy and return the rendered demographic expressions."""
-    keys = list(sel.key_cols)
     age, sex = F.col("__demo.age"), F.col("__demo.sex_cd")
     ds = F.lit(dataset_const).cast("string")
     bad = age.isNull() | sex.isNull() | ds.isNull()
     if opts.null_policy == "fail":
         best = best.filter(F.when(bad, F.raise_error(F.concat(
             F.lit("NULL value in age, gender or dataset for subject: "),
-            F.coalesce(F.col(keys[0]).cast("string"), F.lit("NULL"))))).otherwise(F.lit(True)))
+            F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))).otherwise(F.lit(True)))
     elif opts.null_policy == "drop":
         best = best.filter(~bad)
     elif opts.null_policy != "keep":
@@ -307,29 +312,37 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     _check_case(names, spark)
     dataset_const = opts.dataset_const if opts.dataset_const is not None else catalog.dataset_const
 
+    if opts.checkpoint_selection:
+        ensure_checkpoint_dir(spark)
+        sel = replace(sel, rows=sel.rows.checkpoint(eager=True))
     joined = _joined(mart, sel, opts)
-    concept = F.col("concept_cd")
-    demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd").alias("__demo")
-    w_type = joined.schema["w"].dataType.simpleString()
-    source = joined.select(*sel.key_cols, "concept_cd", "w", demo).unionByName(
-        sel.rows.select(*sel.key_cols, F.lit(None).cast("string").alias("concept_cd"),
-                        F.lit(None).cast(w_type).alias("w"), demo))
-    if len(layout) > opts.wide_layout:
-        # Wide layouts: first one winner per (key, concept) — a partial
-        # aggregate — so the per-column conditionals below see at most one row
-        # per concept of a key instead of every fact.
-        source = (source.groupBy(*sel.key_cols, "concept_cd")
-                  .agg(F.max("w").alias("w"), F.max("__demo").alias("__demo")))
-    aggs = [F.max("__demo").alias("__demo")] + [
-        F.max(F.when(concept == F.lit(name), F.col("w"))).alias(f"__f{i}")
-        for i, (name, _) in enumerate(layout)]
-    best = source.groupBy(*sel.key_cols).agg(*aggs)
-    best, demo_expr = _demographic_columns(best, sel, opts, dataset_const)
-
-    out_cols = [qcol(c) for c in sel.key_cols]
+    keys = {k: f"__k{i}" for i, k in enumerate(sel.key_cols)}
+    renamed = [qcol(k).alias(v) for k, v in keys.items()]
+    # One plan for every width: one winner per (key, concept), then one cell per concept.
+    winners = (joined.select(*renamed, "concept_cd", "w").groupBy(*keys.values(), "concept_cd")
+               .agg(F.max("w").alias("w")).select(*keys.values(), "concept_cd", F.col("w.v").alias("v")))
+    cells = pivot_cells(winners, list(keys.values()), [n for n, _ in layout])
+    demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd")
+    best = (sel.rows.select(*[qcol(k).alias(f"__d{v}") for k, v in keys.items()], demo.alias("__demo"))
+            .groupBy(*[f"__d{v}" for v in keys.values()])
+            .agg(F.max("__demo").alias("__demo"), F.count(F.lit(1)).alias("__n")))
+    if sel.one_row_per_key:
+        if opts.key_policy == "fail":
+            first = F.col(f"__d{keys[sel.key_cols[0]]}").cast("string")
+            best = best.filter(F.when(F.col("__n") > 1, F.raise_error(F.concat(
+                F.lit("more than one encounter for a key of subject: "),
+                F.coalesce(first, F.lit("NULL"))))).otherwise(F.lit(True)))
+        elif opts.key_policy != "merge":
+            raise ValueError("key_policy must be 'fail' or 'merge'")
+    on = [F.col(f"__d{v}").eqNullSafe(F.col(v)) for v in keys.values()]
+    best = best.join(cells, reduce(and_, on), "left").drop(*keys.values())
+    best = best.withColumnsRenamed({f"__d{v}": v for v in keys.values()})
+    best, demo_expr = _demographic_columns(best, sel, keys[sel.key_cols[0]], opts, dataset_const)
+
+    out_cols = [(hash_column(F.col(v), opts.hash_ids) if opts.hash_ids else F.col(v)).alias(k) for k, v in keys.items()]
     out_cols += [F.col(f"__demo.{c}").alias(c) for c in sel.leading_cols]
-    for i, (name, kind) in enumerate(layout):
-        f = F.col(f"__f{i}.v")
+    for name, kind in layout:
+        f = qcol(name)
         if name in DEMOGRAPHICS:
             out_cols.append(F.coalesce(f, demo_expr[name]).alias(name))
         elif kind == "num":
@@ -340,8 +353,8 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     if opts.dataset is not None:
         frame = set_or_append(frame, DATASET_COLUMN, opts.dataset)
     n_cde = len([c for c in cdes if c not in reserved])
-    cells = joined.filter(concept.isNotNull()).select(*sel.key_cols, "concept_cd", "w")
-    return ExportResult(frame=frame, cells=cells, key_cols=sel.key_cols,
+    facts = joined.filter(F.col("concept_cd").isNotNull()).select(*sel.key_cols, "concept_cd", "w")
+    return ExportResult(frame=frame, cells=facts, key_cols=sel.key_cols,
                         columns=tuple(frame.columns), n_cde_columns=n_cde)
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmart.operators.anonymize import anonymize_flat, anonymize_mart
+from cohortmart.operators.anonymize import anonymize_flat
 from cohortmart.functions.hashing import flat_csv_method
 from cohortmart.operators.reshape import Catalog
 from cohortmart.plans.export import AS_CODED, DEFAULT, ExportOptions, export
@@ -76,7 +76,8 @@ def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str,
     """Flat export of one strategy to ``<output_folder>/<csv name>``.
 
     ``local`` reads the capture mart instead of the harmonized one;
-    ``anonymized`` hashes the mart's ids first (consistently in every table).
+    ``anonymized`` hashes the ids of the result (the hash of an id is the same
+    in every table and export of the method).
     A ``Dataset`` column with ``dataset`` is set or appended.  ``catalog``
     (``Catalog.collect`` of the same mart's facts) can be shared by several
     exports of one mart so its fact scan runs once.
@@ -97,13 +98,12 @@ def export_csv_with_counters(marts: Mapping[str, Mart], strategy: str, output_fo
     file is written, so it costs no extra pass (the written-facts count needs
     one, see ``ExportResult.counters``)."""
     mart = marts["capture" if local else "harmonized"]
-    if anonymized:
-        mart = marts.get("anonymized") or anonymize_mart(mart, hash_method)
     s = strategy_for(strategy, anonymized, as_coded)
     spark = mart.observation_fact.sparkSession
     path = f"{output_folder.rstrip('/')}/{csv_name or s.csv_name}"
     with case_sensitive(spark):
-        res = export(mart, s.strategy, replace(s.options, dataset=dataset), catalog=catalog)
+        res = export(mart, s.strategy, replace(s.options, dataset=dataset, hash_ids=hash_method if anonymized else None),
+                     catalog=catalog)
         rows = Observation("export_rows")
         write_csv(res.frame.observe(rows, F.count(F.lit(1)).alias("inserts")), path,
                   single_file=single_file)

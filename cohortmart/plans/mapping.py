@@ -110,6 +110,31 @@ def _classes(joins: Sequence[Join]) -> list[set[tuple[str, str]]]:
     return classes
 
 
+def _with_bridges(spec: MappingSpec, aliases: set[str]) -> set[str]:
+    """The aliases and those that a shortest chain of declared joins needs to
+    connect them."""
+    near: dict[str, set[str]] = {}
+    for c in _classes(spec.joins):
+        for a, _ in c:
+            near.setdefault(a, set()).update(b for b, _ in c if b != a)
+    order = sorted(aliases, key=list(spec.sources).index)
+    joined = {order[0]}
+    for goal in order[1:]:
+        paths, seen = [[a] for a in sorted(joined)], set(joined)
+        while paths and goal not in joined:
+            path = paths.pop(0)
+            if path[-1] == goal:
+                joined.update(path)
+                break
+            for b in sorted(near.get(path[-1], ())):
+                if b not in seen:
+                    seen.add(b)
+                    paths.append([*path, b])
+        if goal not in joined:
+            return aliases  # not connected at all: refused where the joins are built
+    return joined
+
+
 def _join_aliases(spec: MappingSpec, aliases: set[str], tables: Mapping[str, DataFrame],
                   driver: str | None = None) -> DataFrame:
     """Inner-join the aliases along the declared equalities and their transitive
@@ -176,6 +201,9 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
                 load_time: Column | None = None) -> Targets:
     """Compile every target to a DataFrame (lazily, on first access)."""
     now = load_time if load_time is not None else F.current_timestamp()
+    if spec.where is not None and not any(
+            set(spec.where_aliases) <= set().union(*(_aliases(src) for _, src in t.columns)) for t in spec.targets):
+        raise ValueError(f"no target reads all of {spec.where_aliases}: the selection would never apply")
 
     def build(t: Target) -> DataFrame:
         used: set[str] = set()
@@ -183,7 +211,8 @@ def run_mapping(spec: MappingSpec, tables: Mapping[str, DataFrame],
             used |= _aliases(src)
         if not used:
             raise ValueError(f"target {t.name} reads no source")
-        df = _join_aliases(spec, used, tables, t.driver if t.driver in used else None)
+        needed = _with_bridges(spec, used)
+        df = _join_aliases(spec, needed, tables, t.driver if t.driver in used else None)
         # the selection condition restricts its source aliases: it applies to the
         # targets that read all of them and leaves the others untouched
         if spec.where is not None and set(spec.where_aliases) <= used:

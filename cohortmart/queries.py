@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortmart.fixtures import clinical_mart
+from cohortmart.fixtures import clinical_mart, wide_mart
 from cohortmart.plans import export as X
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,9 +124,12 @@ def concept_catalog(spark, sf_dir):
 
 @register("dataset_constant")
 def dataset_constant(spark, sf_dir):
-    """The dataset value written into every export row."""
-    f = clinical_mart(spark, sf_dir).observation_fact
-    return f.agg(F.min("provider_id").alias("dataset"))
+    """The dataset value written into every export row, of a fact table with
+    several providers (some NULL)."""
+    k = F.col("encounter_num")
+    f = clinical_mart(spark, sf_dir).observation_fact.withColumn(
+        "provider_id", F.when(k % 7 > 0, F.concat("provider_id", F.lit("_"), (7 - k % 7).cast("string"))))
+    return f.groupBy("concept_cd").agg(F.min("provider_id").alias("dataset"), F.count_distinct("provider_id").alias("providers"))
 
 
 # -------------------------------------------------------- visit operators --
@@ -271,7 +274,7 @@ def assign_encounter_num(spark, sf_dir):
 def _ingest(spark, sf_dir):
     b = imaging_batch(spark, sf_dir)
     return G.ingest_imaging(b["volumes"], b["mri_visits"], measures=LINEITEM_MEASURES,
-                            hospital=HOSPITAL, load_time=F.expr(LOAD_TIME_SQL))
+                            hospital=HOSPITAL, load_time=F.expr(LOAD_TIME_SQL), fact_order=G.FACT_ORDER)
 
 
 @register("map_encounter_mapping")
@@ -298,6 +301,74 @@ def map_observation_fact(spark, sf_dir):
     return _ingest(spark, sf_dir).targets["observation_fact"]
 
 
+def _second_load(spark, sf_dir):
+    """The targets of a first load (early visits) and of a second (all visits)."""
+    b = imaging_batch(spark, sf_dir)
+    early = b["mri_visits"].filter(G.parse_visit_date(F.col("VISIT_DATE")) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    first = G.ingest_imaging(b["volumes"], early, LINEITEM_MEASURES, HOSPITAL, load_time=F.expr(LOAD_TIME_SQL))
+    second = G.ingest_imaging(b["volumes"], b["mri_visits"], LINEITEM_MEASURES, HOSPITAL, first.patient_mapping,
+                              first.encounter_mapping, load_time=F.expr(LOAD_TIME_SQL))
+    return first.targets, second.targets
+
+
+@register("map_second_load_patients")
+def map_second_load_patients(spark, sf_dir):
+    """patient_mapping after two loads appended; no patient twice."""
+    first, second = _second_load(spark, sf_dir)
+    return first["patient_mapping"].unionByName(second["patient_mapping"])
+
+
+@register("map_second_load_encounters")
+def map_second_load_encounters(spark, sf_dir):
+    """encounter_mapping after two loads appended; no visit twice."""
+    first, second = _second_load(spark, sf_dir)
+    return first["encounter_mapping"].unionByName(second["encounter_mapping"])
+
+
+@register("ingest_rejects")
+def ingest_rejects(spark, sf_dir):
+    """Rows that a load leaves out (here every tenth visit lost its patient)."""
+    b = imaging_batch(spark, sf_dir)
+    k = F.substring("VISIT_ID", 2, 20).cast("long")
+    visits = b["mri_visits"].withColumn("PATIENT_ID", F.when(k % 10 > 0, F.col("PATIENT_ID")))
+    return G.ingest_imaging(b["volumes"], visits, LINEITEM_MEASURES, HOSPITAL, policy="report").rejects
+
+
+@register("harmonize_visits")
+def harmonize_visits(spark, sf_dir):
+    """Mart to mart mapping with a selection and a bridge table."""
+    from cohortmart.plans.jobs import harmonize
+    from cohortmart.plans.mapping import Const, Copy, Join, MappingSpec, Target
+    spec = MappingSpec(
+        sources={"pm": "patient_mapping", "em": "encounter_mapping", "vd": "visit_dimension"},
+        joins=(Join(("pm", "patient_ide"), ("em", "patient_ide")), Join(("em", "encounter_num"), ("vd", "encounter_num"))),
+        targets=(Target("visit_dimension", (
+            ("encounter_num", Copy("vd", "encounter_num")), ("patient_num", Copy("pm", "patient_num")),
+            ("start_date", Copy("vd", "start_date")), ("patient_age", Copy("vd", "patient_age")),
+            ("location_cd", Const("HARMONIZED"))), driver="vd"),),
+        where=lambda c: c("vd", "location_cd") == "MRI", where_aliases=("vd",))
+    return harmonize(clinical_mart(spark, sf_dir), spec).visit_dimension
+
+
+@register("extract_csv_readback")
+def extract_csv_readback(spark, sf_dir):
+    """The CSV export job with its ``Dataset`` column, read back."""
+    from cohortmart.plans.jobs import case_sensitive, extract_to_csv
+    path = extract_to_csv({"harmonized": clinical_mart(spark, sf_dir)}, "maxdate", scratch_path(spark, "job"), dataset="CLM")
+    with case_sensitive(spark):  # the file has both ``dataset`` and ``Dataset``
+        back = FS.read_csv(spark, path, "subjectcode string, agegroup string, priority string, totalprice decimal(18,5), `Dataset` string")
+        return back.checkpoint(eager=True)  # names are resolved while both can be told apart
+
+
+@register("text_roundtrip")
+def text_roundtrip(spark, sf_dir):
+    """Padded, quoted and multi-line text through a CSV file and back."""
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('", x\n  '))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return FS.read_csv(spark, FS.write_csv(docs, scratch_path(spark, "text")), docs.schema).select(
+        "doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
 # ---------------------------------------------------------- anonymization --
 
 @register("anonymize_flat_md5")
@@ -327,8 +398,8 @@ def anonymize_mart_md5(spark, sf_dir):
 
 @register("export_mindate_anon")
 def export_mindate_anon(spark, sf_dir):
-    """Mindate export over the md5-anonymized mart."""
-    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "mindate")
+    """Mindate export with md5 ids (chosen on raw ids, hashed in the result)."""
+    return X.export_frame(clinical_mart(spark, sf_dir), "mindate", X.with_options(X.DEFAULT, hash_ids="md5"))
 
 
 @register("add_dataset_column")
@@ -359,11 +430,22 @@ def batch_scan(spark, sf_dir):
 
 @register("merge_volumes")
 def merge_volumes(spark, sf_dir):
-    """O3: per-part output files merged into one volumes table with one scan."""
+    """O3: per-part output files merged by column name; the columns of half the
+    files stand in another order, and one is missing there."""
     vol = imaging_batch(spark, sf_dir)["volumes"]
-    root = scratch_path(spark, "volumes")
-    FS.write_csv(vol, root)
-    return FS.merge_outputs(spark, f"{root}/*.csv", vol.schema)
+    root, odd = scratch_path(spark, "volumes"), F.substring_index("subjectcode", "_V", -1).cast("long") % 2 == 1
+    FS.write_csv(vol.filter(~odd), f"{root}/a")
+    FS.write_csv(vol.filter(odd).select("l_tax", "l_discount", "subjectcode", "l_quantity"), f"{root}/b")
+    return FS.merge_outputs(spark, f"{root}/*/*.csv", vol.schema)
+
+
+@register("append_export_merged")
+def append_export_merged(spark, sf_dir):
+    """A previous export with other subjects is appended (its codes differ here)."""
+    new = export_mindate(spark, sf_dir)
+    other = export_maxdate(spark, sf_dir).withColumn("subjectcode", F.concat(F.lit("old-"), "subjectcode"))
+    prev = FS.read_csv(spark, FS.write_csv(other, scratch_path(spark, "prev")), new.schema)
+    return FS.append_export(new, prev, ["subjectcode"])
 
 
 @register("append_export")
@@ -389,15 +471,21 @@ def key_violations(spark, sf_dir):
 
 @register("null_demographics")
 def null_demographics(spark, sf_dir):
-    """Subjects of the mindate selection with NULL age or gender."""
-    sel = X.select_extreme(clinical_mart(spark, sf_dir), "min")
+    """Subjects of the mindate selection with NULL age or gender (the sex of
+    every ninth patient is unknown here)."""
+    m = clinical_mart(spark, sf_dir)
+    sex = F.when(F.col("patient_num") % 9 > 0, F.col("sex_cd"))
+    sel = X.select_extreme(m.with_tables(patient_dimension=m.patient_dimension.withColumn("sex_cd", sex)), "min")
     return QC.null_demographics(sel.rows, sel.key_cols).distinct()
 
 
 @register("bad_valtype")
 def bad_valtype(spark, sf_dir):
-    """Facts whose value type is neither N nor T."""
-    return QC.bad_valtype(clinical_mart(spark, sf_dir).observation_fact)
+    """Facts whose value type is neither N nor T (line facts of every 13th
+    visit are typed D here, of every 17th not at all)."""
+    k, line = F.col("encounter_num"), F.col("concept_cd") == "quantity"
+    vt = F.when(line & (k % 13 == 0), F.lit("D")).when(~(line & (k % 17 == 0)), F.col("valtype_cd"))
+    return QC.bad_valtype(clinical_mart(spark, sf_dir).observation_fact.withColumn("valtype_cd", vt))
 
 
 
@@ -412,19 +500,52 @@ def export_local_mindate(spark, sf_dir):
 
 @register("export_maxdate_anon")
 def export_maxdate_anon(spark, sf_dir):
-    """Maxdate over the md5-anonymized mart."""
-    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "maxdate")
+    """Maxdate with md5 ids."""
+    return X.export_frame(clinical_mart(spark, sf_dir), "maxdate", X.with_options(X.DEFAULT, hash_ids="md5"))
 
 
 @register("export_longitude_anon")
 def export_longitude_anon(spark, sf_dir):
-    """Longitude over the md5-anonymized mart."""
-    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "longitude")
+    """Longitude with md5 patient and visit ids."""
+    return X.export_frame(clinical_mart(spark, sf_dir), "longitude", X.with_options(X.DEFAULT, hash_ids="md5"))
 
 
 @register("export_6months_anon")
 def export_6months_anon(spark, sf_dir):
-    """6months over the md5-anonymized mart with the fixed dataset value."""
+    """6months with md5 ids and the fixed dataset value."""
     from cohortmart.plans.jobs import strategy_for
     s = strategy_for("6months", anonymized=True)
-    return X.export_frame(A.anonymize_mart(clinical_mart(spark, sf_dir), "md5"), "6months", s.options)
+    return X.export_frame(clinical_mart(spark, sf_dir), "6months", X.with_options(s.options, hash_ids="md5"))
+
+
+# ------------------------------------------------ imaging-width exports (O33) --
+
+@register("export_mindate_wide")
+def export_mindate_wide(spark, sf_dir):
+    """Mindate with 140 measure concepts beside the CDEs and local concepts."""
+    return X.export_frame(wide_mart(spark, sf_dir), "mindate")
+
+
+@register("export_longitude_wide")
+def export_longitude_wide(spark, sf_dir):
+    """Longitude with 140 measure concepts."""
+    return X.export_frame(wide_mart(spark, sf_dir), "longitude")
+
+
+# ------------------------------------- capture-mart variants of O38 (--local) --
+
+def _capture(spark, sf_dir):
+    from cohortmart.fixtures import capture_mart
+    return capture_mart(spark, sf_dir, F.expr(LOAD_TIME_SQL))
+
+
+@register("export_local_maxdate")
+def export_local_maxdate(spark, sf_dir):
+    """Maxdate over the capture mart."""
+    return X.export_frame(_capture(spark, sf_dir), "maxdate")
+
+
+@register("export_local_longitude")
+def export_local_longitude(spark, sf_dir):
+    """Longitude over the capture mart."""
+    return X.export_frame(_capture(spark, sf_dir), "longitude")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,39 +11,81 @@ from pyspark.sql import types as T
 
 from cohortmart.functions.columns import qcol
 
-# RFC-4180 flat files: quotes doubled, NULL and '' both written as empty.
-CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
-                     "nullValue": ""}
-CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
+FILE_COLUMN = "__file"
+
+# RFC-4180 flat files: quotes doubled, NULL and '' both written as empty; text
+# keeps its own white space and line breaks.
+CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# A quoted line break makes a file unsplittable (multiLine); exports are written
+# as part files, so scans stay parallel.  A value that does not parse fails the scan.
+CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST",
+                    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of every distinct header.  One row a file reaches
+    the driver, which lists the files anyway."""
+    lines = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             .filter("file_block_start = 0").withColumn("at", F.monotonically_increasing_id()))
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header")).collect()
+    by: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(first):
+        by.setdefault(tuple(next(csv.reader([r.header.lstrip("\ufeff")]))), []).append(r.file_path)
+    return [(list(h), files) for h, files in by.items()]
+
+
+def _read(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
+          missing: str = "fail", **options: str) -> DataFrame | None:
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    want = {f.name: f for f in schema.fields}
+    out = None
+    for header, files in _files_by_header(spark, path):
+        lacking = [n for n in want if n not in header]
+        if lacking and missing == "fail":
+            raise ValueError(f"columns {lacking} are not in the header of {files[0]}")
+        found = T.StructType([want.get(h) or T.StructField(h, T.StringType()) for h in header])
+        df = spark.read.options(**{**CSV_READ_OPTIONS, **options}).schema(found).csv(files)
+        part = df.select(*[qcol(n) if n in header else F.lit(None).cast(f.dataType).alias(n) for n, f in want.items()],
+                         F.col("_metadata.file_path").alias(FILE_COLUMN))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-             **options: str) -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass over the data)."""
-    opts = {**CSV_READ_OPTIONS, **options}
-    return spark.read.options(**opts).schema(schema).csv(path)
+             missing: str = "fail", **options: str) -> DataFrame:
+    """Header CSV with an explicit schema (no inference pass over the data).
+
+    Columns are found by their header names, in whatever order a file has
+    them; further columns of a file are left out.  A column that a file lacks
+    is an error, or NULL with ``missing="null"``.
+    """
+    out = _read(spark, path, schema, missing, **options)
+    return spark.createDataFrame([], schema) if out is None else out.drop(FILE_COLUMN)
 
 
 def read_batch(spark: SparkSession, root: str, batch: str, schema: T.StructType | str,
                batch_col: str = "batch", file_col: str | None = "source_file",
                **options: str) -> DataFrame:
     """All CSV files of one named batch folder, tagged with the batch name and the
-    file each row came from.  An empty folder is an error (listing only, no job)."""
+    file each row came from.  A folder that is missing or empty is an error."""
     path = f"{root.rstrip('/')}/{batch}"
-    df = read_csv(spark, path, schema, **options)
-    # the file index is listed on the driver anyway; only its size is read here
-    if len(df._jdf.inputFiles()) == 0:
+    df = _read(spark, path, schema, **options)
+    if df is None:
         raise FileNotFoundError(f"batch folder {path} holds no files")
-    cols = [F.col(c) for c in df.columns] + [F.lit(batch).alias(batch_col)]
+    columns = [qcol(c) for c in df.columns if c != FILE_COLUMN]
+    columns.append(F.lit(batch).alias(batch_col))
     if file_col:
-        cols.append(F.col("_metadata.file_path").alias(file_col))
-    return df.select(*cols)
+        columns.append(F.col(FILE_COLUMN).alias(file_col))
+    return df.select(*columns)
 
 
 def merge_outputs(spark: SparkSession, pattern: str | Sequence[str], schema: T.StructType | str,
-                  **options: str) -> DataFrame:
-    """Many per-subject output files with the same header → one table, one scan."""
-    return read_csv(spark, pattern, schema, **options)
+                  missing: str = "null", **options: str) -> DataFrame:
+    """Many per-subject output files → one table, by column name; one scan for
+    each distinct header, columns missing in a file become NULL."""
+    return read_csv(spark, pattern, schema, missing=missing, **options)
 
 
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
@@ -58,27 +101,35 @@ def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """Flat CSV with header.  Part files by default (parallel write); ``single_file``
     funnels the rows through one task and is meant for small exports."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df  # the work before it stays parallel
     out.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
-def append_export(new: DataFrame, previous: DataFrame | None, key_cols: Sequence[str]) -> DataFrame:
-    """Append a previous export, all or nothing.
-
-    The previous rows are added only when they have exactly the new columns and
-    no key of theirs is already present; one colliding key (or a column
-    mismatch) skips the whole previous file.  The collision test is a left-semi
-    join counted once on the cluster.
-    """
-    if previous is None:
-        return new
+def append_problem(new: DataFrame, previous: DataFrame, key_cols: Sequence[str]) -> str | None:
+    """Why a previous export can't be appended, or None: other columns, a NULL
+    or repeated key in it, or a key that the new export has."""
     if previous.columns != new.columns:
+        return "columns differ"
+    keys = [qcol(c) for c in key_cols]
+    null = F.lit(False)
+    for k in keys:
+        null = null | k.isNull()
+    held = (new.select(*keys, F.lit(0).alias("__prev")).unionByName(previous.select(*keys, F.lit(1).alias("__prev")))
+            .groupBy(*keys).agg(F.sum("__prev").alias("__p"), F.count(F.lit(1)).alias("__n")).filter("__p > 0"))
+    found = held.agg(F.max(null.cast("int")).alias("nulls"), F.max((F.col("__p") > 1).cast("int")).alias("repeated"),
+                     F.max((F.col("__n") > F.col("__p")).cast("int")).alias("clash")).first()
+    for flag, reason in (("nulls", "NULL key"), ("repeated", "repeated key"), ("clash", "key already present")):
+        if found[flag]:
+            return reason
+    return None
+
+
+def append_export(new: DataFrame, previous: DataFrame | None, key_cols: Sequence[str]) -> DataFrame:
+    """Append a previous export, all or nothing: it is added only if
+    :func:`append_problem` finds none (one aggregate over the keys)."""
+    if previous is None or previous.columns != new.columns:
         return new
-    keys = list(key_cols)
     prev = previous.select(*[qcol(c).cast(f.dataType).alias(f.name) for c, f in
                              zip(previous.columns, new.schema.fields)])
-    clash = prev.select(*keys).join(new.select(*keys), keys, "left_semi").limit(1).count()
-    if clash:
-        return new
-    return new.unionByName(prev)
+    return new if append_problem(new, prev, key_cols) else new.unionByName(prev)

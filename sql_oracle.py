@@ -195,7 +195,7 @@ def export_extreme_sql(which: str, anon: str | None = None, cdes=CDES, locals_=L
     return with_views(*ctes, *extra, select=final, anon=anon)
 
 
-def export_longitude_sql(anon: str | None = None) -> str:
+def export_longitude_sql(anon: str | None = None, cdes=CDES, locals_=LOCALS) -> str:
     ctes = [
         """em AS (SELECT patient_ide AS subjectcode, encounter_ide AS subjectvisitid, encounter_num
                  FROM encounter_mapping)""",
@@ -211,7 +211,7 @@ def export_longitude_sql(anon: str | None = None) -> str:
           WHERE rn = 1)""",
     ]
     extra, final = _assemble(["subjectcode", "subjectvisitid"], ["subjectvisitdate"],
-                             integer_months=True)
+                             integer_months=True, cdes=cdes, locals_=locals_)
     return with_views(*ctes, *extra, select=final, anon=anon)
 
 
@@ -297,9 +297,24 @@ def _wrap(sql: str, select: str) -> str:
     return select.replace("{t}", f"({sql}) t")
 
 
-def _extreme_parts(which: str) -> tuple[list[str], str]:
-    sql = export_extreme_sql(which)
-    return sql, sql
+def hashed_ids(sql: str, *ids: str) -> str:
+    """An export with its id columns hashed in the result."""
+    return _wrap(sql, "SELECT " + ", ".join(f"md5({c}) AS {c}" for c in ids) + f", * EXCLUDE ({', '.join(ids)}) FROM {{t}}")
+
+
+# Measure concepts of the wide mart, sorted as text like all local concepts.
+WIDE = tuple(sorted([*LOCALS, *((f"vol_{i}", "num") for i in range(140))]))
+WIDE_FACTS = f"""
+  UNION ALL
+  SELECT o_orderkey, o_custkey, concat('vol_', cast(l_partkey % 140 AS varchar)), o_orderdate, l_linenumber, 'N', 'E',
+         cast(l_extendedprice AS decimal(18,5))
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+observation_fact AS ("""
+
+
+def wide(sql: str) -> str:
+    """An export over the mart with the measure facts."""
+    return sql.replace("),\nobservation_fact AS (", WIDE_FACTS, 1)
 
 
 MINDATE = export_extreme_sql("min")
@@ -440,7 +455,10 @@ ORACLES: dict[str, str] = {
              min(valtype_cd) <> max(valtype_cd) AS mixed_valtype,
              count(*) AS n_facts, min(provider_id) AS provider_id
       FROM observation_fact GROUP BY concept_cd"""),
-    "dataset_constant": with_views(select="SELECT min(provider_id) AS dataset FROM observation_fact"),
+    "dataset_constant": with_views(select="""
+      SELECT concept_cd, min(p) AS dataset, count(DISTINCT p) AS providers FROM (
+        SELECT concept_cd, CASE WHEN encounter_num % 7 > 0 THEN provider_id || '_' || (7 - encounter_num % 7) END AS p
+        FROM observation_fact) GROUP BY concept_cd"""),
     "first_visits": _visits_at("min"),
     "last_visits": _visits_at("max"),
     "first_mri": with_views(SIX[0], select="SELECT * FROM mri"),
@@ -500,15 +518,37 @@ ORACLES: dict[str, str] = {
                                          "* EXCLUDE (subjectcode) FROM {t}"),
     "anonymize_mart_md5": with_views(select=f"SELECT {FACT_COLS} FROM observation_fact",
                                      anon="md5"),
-    "export_mindate_anon": export_extreme_sql("min", anon="md5"),
+    "export_mindate_anon": hashed_ids(MINDATE, "subjectcode"),
     "add_dataset_column": _wrap(_visits_at("min"), f"SELECT *, '{HOSPITAL}' AS Dataset FROM {{t}}"),
     "csv_roundtrip": _wrap(MINDATE, "SELECT " + ", ".join(
         [f"nullif({_q(c)}, '') AS {_q(c)}" for c in ("subjectcode",) + TEXT_COLS]
         + ["quantity", "totalprice"]) + " FROM {t}"),
     "merge_volumes": with_views(*IMAGING[:2], select="""
       SELECT subjectcode, cast(l_quantity AS double) AS l_quantity,
-             cast(l_extendedprice AS double) AS l_extendedprice, cast(l_discount AS double) AS l_discount,
-             cast(l_tax AS double) AS l_tax FROM volumes"""),
+             CASE WHEN cast(split_part(subjectcode, '_V', 2) AS bigint) % 2 = 0 THEN cast(l_extendedprice AS double) END AS l_extendedprice,
+             cast(l_discount AS double) AS l_discount, cast(l_tax AS double) AS l_tax FROM volumes"""),
+    "map_second_load_patients": with_views(IMAGING[0], *TWO_LOADS, select=f"""
+      SELECT *, {LOAD_TIME} AS import_date FROM (SELECT * FROM m1 UNION ALL SELECT * FROM m2)"""),
+    "map_second_load_encounters": with_views(IMAGING[0], f"""
+      k AS (SELECT DISTINCT VISIT_ID AS encounter_ide, '{HOSPITAL}' AS encounter_ide_source, '{HOSPITAL}' AS project_id,
+                   PATIENT_ID AS patient_ide, '{HOSPITAL}' AS patient_ide_source,
+                   {PARSE_DATE.format(c='VISIT_DATE')} < TIMESTAMP '1998-01-01 00:00:00' AS early FROM mri_visits)""", select=f"""
+      SELECT encounter_ide, encounter_ide_source, project_id, patient_ide, patient_ide_source,
+             row_number() OVER (ORDER BY early DESC, encounter_ide, patient_ide) AS encounter_num, {LOAD_TIME} AS import_date
+      FROM k"""),
+    "ingest_rejects": with_views(*IMAGING[:3], select="""
+      SELECT NULL AS PATIENT_ID, VISIT_ID, 'visit without a key' AS reason FROM mri_visits
+      WHERE cast(substr(VISIT_ID, 2) AS bigint) % 10 = 0
+      UNION ALL SELECT PATIENT_ID, VISIT_ID, 'scan without a visit' FROM volumes_df
+      WHERE cast(substr(VISIT_ID, 2) AS bigint) % 10 = 0"""),
+    "harmonize_visits": with_views(select="""
+      SELECT v.encounter_num, pm.patient_num, v.start_date, cast(v.patient_age AS double) AS patient_age, 'HARMONIZED' AS location_cd
+      FROM visit_dimension v JOIN encounter_mapping em ON em.encounter_num = v.encounter_num
+      JOIN patient_mapping pm ON pm.patient_ide = em.patient_ide WHERE v.location_cd = 'MRI'"""),
+    "extract_csv_readback": _wrap(MAXDATE, "SELECT subjectcode, agegroup, nullif(priority, '') AS priority, totalprice, "
+                                           "'CLM' AS \"Dataset\" FROM {t}"),
+    "text_roundtrip": """SELECT doc_id, length('  "' || text || '", x' || chr(10) || '  ')::INTEGER AS n_chars,
+      md5('  "' || text || '", x' || chr(10) || '  ') AS digest FROM documents""",
     "append_export": MINDATE,
     "export_counters": _counters_sql(),
     "key_violations": with_views(select="""
@@ -516,22 +556,33 @@ ORACLES: dict[str, str] = {
              count(*) AS n_rows FROM observation_fact
       GROUP BY encounter_num, concept_cd, provider_id, instance_num, start_date, modifier_cd
       HAVING count(*) > 1"""),
-    "null_demographics": _wrap(MINDATE.split("\ncells AS (")[0].rstrip().rstrip(",")
-                               .replace("WITH ", "WITH ", 1) + "\nSELECT subjectcode, "
-                               "cast(age AS double) AS age, sex_cd FROM demo "
-                               "WHERE age IS NULL OR sex_cd IS NULL",
-                               "SELECT * FROM {t}"),
+    "null_demographics": with_views(EDGE.format(agg="min"), select="""
+      SELECT DISTINCT pm.patient_ide AS subjectcode, cast(v.patient_age AS double) AS age,
+             CASE WHEN pd.patient_num % 9 > 0 THEN pd.sex_cd END AS sex_cd
+      FROM visit_dimension v JOIN edge e ON v.patient_num = e.patient_num AND v.start_date = e.start_date
+      JOIN patient_mapping pm ON pm.patient_num = v.patient_num JOIN patient_dimension pd ON pd.patient_num = v.patient_num
+      WHERE v.patient_age IS NULL OR pd.patient_num % 9 = 0 OR pd.sex_cd IS NULL"""),
     "bad_valtype": with_views(select=f"""
-      SELECT {FACT_COLS} FROM observation_fact
-      WHERE valtype_cd NOT IN ('N', 'T') OR valtype_cd IS NULL"""),
+      SELECT {FACT_COLS.replace('valtype_cd', 'vt AS valtype_cd')} FROM (
+        SELECT *, CASE WHEN concept_cd = 'quantity' AND encounter_num % 13 = 0 THEN 'D'
+                       WHEN NOT (concept_cd = 'quantity' AND encounter_num % 17 = 0) THEN valtype_cd END AS vt
+        FROM observation_fact)
+      WHERE vt NOT IN ('N', 'T') OR vt IS NULL"""),
+    "batch_scan": with_views(IMAGING[0], select="""
+      SELECT PATIENT_ID, VISIT_ID, VISIT_DATE, cast(PATIENT_AGE AS double) AS PATIENT_AGE, 'batch_1' AS batch FROM mri_visits"""),
+    "append_export_merged": _wrap(MINDATE, "SELECT * FROM {t}") + " UNION ALL BY NAME " + _wrap(
+        MAXDATE, "SELECT " + ", ".join(f"nullif({_q(c)}, '') AS {_q(c)}" for c in TEXT_COLS)
+        + ", quantity, totalprice, 'old-' || subjectcode AS subjectcode FROM {t}"),
 }
 
 
-def _local_mindate_sql() -> str:
-    """mindate over the capture mart built by the imaging ingest (cap_* views)."""
+LOCAL_LAYOUT = {"cdes": DEMOGRAPHICS,
+                "locals_": tuple((m, "num") for m in ("l_discount", "l_extendedprice", "l_quantity", "l_tax"))}
+
+
+def _local_sql(core: str) -> str:
+    """An export over the capture mart built by the imaging ingest (cap_* views)."""
     import re
-    measures = ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
-    core = export_extreme_sql("min", cdes=DEMOGRAPHICS, locals_=tuple((m, "num") for m in measures))
     body = core[len("WITH "):]
     body = body[len(VIEWS.strip()) + 2:]   # drop the clinical views; keep the export CTEs
     for t in STAR:
@@ -546,6 +597,7 @@ def _local_mindate_sql() -> str:
                  cast(mv.PATIENT_AGE AS decimal(18,5)) AS patient_age, 'MRI' AS location_cd
           FROM ing_em em JOIN mri_visits mv ON em.encounter_ide = mv.VISIT_ID
                          JOIN ing_pm pm ON em.patient_ide = pm.patient_ide)""",
+        """cap_encounter_mapping AS (SELECT DISTINCT encounter_ide, patient_ide, encounter_num FROM ing_em)""",
         """cap_patient_mapping AS (SELECT DISTINCT patient_ide, patient_ide_source, project_id,
                                          patient_num FROM ing_pm)""",
         """cap_patient_dimension AS (
@@ -557,9 +609,12 @@ def _local_mindate_sql() -> str:
 
 
 ORACLES.update({
-    "export_local_mindate": _local_mindate_sql(),
-    "export_maxdate_anon": export_extreme_sql("max", anon="md5"),
-    "export_longitude_anon": export_longitude_sql(anon="md5"),
-    "export_6months_anon": export_six_months_sql(180 * 86400, "closest", ("NA",),
-                                                 dataset_sql="'CLM'", anon="md5"),
+    "export_local_mindate": _local_sql(export_extreme_sql("min", **LOCAL_LAYOUT)),
+    "export_local_maxdate": _local_sql(export_extreme_sql("max", **LOCAL_LAYOUT)),
+    "export_local_longitude": _local_sql(export_longitude_sql(**LOCAL_LAYOUT)),
+    "export_maxdate_anon": hashed_ids(MAXDATE, "subjectcode"),
+    "export_longitude_anon": hashed_ids(export_longitude_sql(), "subjectcode", "subjectvisitid"),
+    "export_6months_anon": hashed_ids(export_six_months_sql(180 * 86400, "closest", ("NA",), dataset_sql="'CLM'"), "subjectcode"),
+    "export_mindate_wide": wide(export_extreme_sql("min", locals_=WIDE)),
+    "export_longitude_wide": wide(export_longitude_sql(locals_=WIDE)),
 })

@@ -224,17 +224,51 @@ def test_missing_dataset_constant_fails(spark):
         X.export_frame(_basic(spark, []), "mindate").collect()
 
 
-@pytest.mark.parametrize("strategy", ["mindate", "longitude", "6months"])
-def test_wide_layout_path_gives_same_rows(spark, strategy):
-    visits = [(1, 1, 0, 65.0, "MRI"), (2, 1, 3, 65.0, "CLINIC"), (3, 1, 3, 66.0, "CLINIC")]
-    facts = [(2, "DIAG_etiology_1", "T", "AD", None, 1), (1, "priority", "T", "mri", None, 1),
-             (2, "priority", "T", "", None, 1), (3, "quantity", "N", "E", 2, 1),
-             (3, "quantity", "N", "E", 5, 2), (1, "gender", "T", "X", None, 1)]
-    m = make_mart(spark, [(1, "M")], visits, facts)
-    narrow = sorted(map(tuple, X.export_frame(m, strategy).collect()))
-    wide = sorted(map(tuple, X.export_frame(
-        m, strategy, X.with_options(X.DEFAULT, wide_layout=0)).collect()))
-    assert narrow == wide and narrow
+@pytest.mark.parametrize("strategy", ["mindate", "longitude"])
+def test_imaging_width_keeps_every_cell_and_the_column_order(spark, strategy):
+    visits = [(1, 1, 0, 65.0, "MRI"), (2, 2, 0, 60.0, "MRI")]
+    names = [f"vol_{i}" for i in range(150)]
+    facts = [(1, n, "N", "E", i, 1) for i, n in enumerate(names)] + [(2, "vol_3", "N", "E", 7, 2), (2, "vol_3", "N", "E", 9, 1)]
+    df = X.export_frame(make_mart(spark, [(1, "M"), (2, "F")], visits, facts), strategy)
+    rows = {r.subjectcode: r for r in df.collect()}
+    one, two = (rows[k] for k in sorted(rows))
+    assert [float(one[n]) for n in names] == [float(i) for i in range(150)]
+    assert two["vol_3"] == 7 and sum(two[n] is not None for n in names) == 1
+    assert df.columns[-150:] == sorted(names)
+
+
+def test_one_selection_and_one_fact_scan(spark):
+    from cohortmart.operators.reshape import Catalog
+    from cohortmart.schema import Mart
+    from cohortmart.session import scratch_path
+    m = make_mart(spark, [(1, "M")], [(1, 1, 0, 65.0, "MRI")], [(1, "priority", "T", "x", None, 1)])
+    root = scratch_path(spark, "mart")
+    m.write_parquet(root)
+    back = Mart.from_parquet(spark, root)
+    df = X.export_frame(back, "mindate", catalog=Catalog.collect(back.observation_fact))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("nval_num") and plan.count("Relation [") == 1  # the facts; the selection is a written table
+
+
+def test_longitudinal_key_held_by_two_encounters(spark):
+    visits = [(1, 1, 0, 65.0, "MRI"), (2, 1, 3, 66.0, "CLINIC")]
+    m = make_mart(spark, [(1, "M")], visits, [(1, "a", "T", "x", None, 1), (2, "b", "T", "y", None, 1)])
+    same = m.with_tables(encounter_mapping=m.encounter_mapping.withColumn("encounter_ide", F.lit("V")))
+    with pytest.raises(Exception, match="more than one encounter"):
+        X.export_frame(same, "longitude").collect()
+    rows = X.export_frame(same, "longitude", X.with_options(X.DEFAULT, key_policy="merge")).collect()
+    assert len(rows) == 1 and (rows[0].a, rows[0].b) == ("x", "y")
+
+
+def test_hashed_ids_choose_on_raw_ids(spark):
+    import hashlib
+    visits = [(1, 1, 0, 65.0, "MRI"), (2, 1, 0, 66.0, "CLINIC")]
+    m = make_mart(spark, [(1, "M")], visits, [(1, "a", "T", "x", None, 1), (2, "a", "T", "y", None, 1)])
+    plain, = X.export_frame(m, "mindate").collect()
+    df = X.export_frame(m, "mindate", X.with_options(X.DEFAULT, hash_ids="md5"))
+    hashed, = df.collect()
+    assert hashed.subjectcode == hashlib.md5(plain.subjectcode.encode()).hexdigest() and hashed.a == plain.a == "y"
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
 
 
 def test_hot_encounter_is_split_by_aqe_and_result_unchanged(spark):

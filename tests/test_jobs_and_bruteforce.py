@@ -151,10 +151,10 @@ def _brute_extreme(patients, visits, facts, which):
     return expected
 
 
-@pytest.mark.parametrize("wide_layout", [64, 0])   # single aggregate / pre-reduced winners
-def test_extreme_exports_match_brute_force_with_hot_patient(spark, wide_layout):
+@pytest.mark.parametrize("written_once", [True, False])
+def test_extreme_exports_match_brute_force_with_hot_patient(spark, written_once):
     m, patients, visits, facts = _random_mart(spark)
-    opts = X.with_options(X.DEFAULT, wide_layout=wide_layout)
+    opts = X.with_options(X.DEFAULT, checkpoint_selection=written_once)
     for which, strategy in (("min", "mindate"), ("max", "maxdate")):
         got = {r.subjectcode: r.asDict() for r in X.export_frame(m, strategy, opts).collect()}
         exp = _brute_extreme(patients, visits, facts, which)
@@ -169,10 +169,10 @@ def test_extreme_exports_match_brute_force_with_hot_patient(spark, wide_layout):
             assert (None if g.get("c4") is None else f"{g['c4']:.5f}") == want, (k, which)
 
 
-@pytest.mark.parametrize("wide_layout", [64, 0])
-def test_longitude_matches_brute_force(spark, wide_layout):
+@pytest.mark.parametrize("written_once", [True, False])
+def test_longitude_matches_brute_force(spark, written_once):
     m, patients, visits, facts = _random_mart(spark, seed=11)
-    opts = X.with_options(X.DEFAULT, wide_layout=wide_layout)
+    opts = X.with_options(X.DEFAULT, checkpoint_selection=written_once)
     got = {(r.subjectcode, r.subjectvisitid): r.asDict()
            for r in X.export_frame(m, "longitude", opts).collect()}
     assert len(got) == len(visits)

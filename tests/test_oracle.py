@@ -26,7 +26,7 @@ def con():
 
 def test_every_query_registered_with_oracle_or_rows_only():
     rows_only = set(NAMES) - set(E.oracle_sql())
-    assert rows_only == {"anonymize_flat_sha224", "anonymize_flat_sha3", "batch_scan"}
+    assert rows_only == {"anonymize_flat_sha224", "anonymize_flat_sha3"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

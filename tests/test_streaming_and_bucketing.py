@@ -1,45 +1,17 @@
-"""Incremental batch-folder ingest and bucketed marts."""
+"""Bucketed marts and shared visit codes."""
 
 import os
 
-from pyspark.sql import functions as F
+import pytest
 
 from cohortmart.fixtures import clinical_mart
 from cohortmart.plans import export as X
 from cohortmart.session import scratch_path
-from cohortmart.sources.files import write_csv
-from cohortmart.streaming.ingest import start_imaging_ingest
 
 SF = "/root/testdata/sf0.001"
-VOL = "subjectcode string, a decimal(18,5), b decimal(18,5)"
 VIS = "PATIENT_ID string, VISIT_ID string, VISIT_DATE string, PATIENT_AGE decimal(18,5)"
 
 
-def _batch(spark, root, name, vols, visits):
-    write_csv(spark.createDataFrame(vols, VOL), f"{root}/volumes/{name}", single_file=True)
-    write_csv(spark.createDataFrame(visits, VIS), f"{root}/visits/{name}", single_file=True)
-
-
-def test_stream_ingest_is_incremental(spark):
-    from decimal import Decimal as D
-    root = scratch_path(spark, "stream")
-    _batch(spark, root, "b1", [("P1_V1", D("1.5"), D("2")), ("P2_V2", D("3"), None)],
-           [("P1", "V1", "01/02/2019", D("70.5")), ("P2", "V2", "03/04/2019", D("60"))])
-    args = dict(volumes_root=f"{root}/volumes", visits_root=f"{root}/visits", out_root=f"{root}/out",
-                checkpoint=f"{root}/ckpt", volume_schema=VOL, visit_schema=VIS)
-    start_imaging_ingest(spark, **args).awaitTermination()
-    _batch(spark, root, "b2", [("P1_V3", D("4"), D("5"))], [("P1", "V3", "05/06/2020", D("71"))])
-    start_imaging_ingest(spark, **args).awaitTermination()
-    pm = spark.read.parquet(f"{root}/out/patient_mapping_ids")
-    em = spark.read.parquet(f"{root}/out/encounter_mapping_ids")
-    assert sorted((r.patient_ide, r.patient_num) for r in pm.collect()) == [("P1", 1), ("P2", 2)]
-    assert sorted((r.encounter_ide, r.encounter_num) for r in em.collect()) == [
-        ("V1", 1), ("V2", 2), ("V3", 3)]
-    facts = spark.read.parquet(f"{root}/out/observation_fact")
-    assert facts.count() == 6          # 3 scans × 2 measures, NULL kept
-    assert facts.filter(F.col("encounter_num") == 3).select("patient_num").distinct().first()[0] == 1
-
-
 def test_bucketed_mart_export_does_not_shuffle_facts(spark):
     if not os.path.isdir(SF):
         return
@@ -65,5 +37,7 @@ def test_ingest_reports_shared_visit_ids(spark):
     from cohortmart.plans.ingest import ingest_imaging
     vols = spark.createDataFrame([("P1_V1", D("1")), ("P2_V1", D("2"))], "subjectcode string, a decimal(18,5)")
     visits = spark.createDataFrame([("P1", "V1", "01/02/2019", D("70")), ("P2", "V1", "01/02/2019", D("60"))], VIS)
-    res = ingest_imaging(vols, visits)
+    res = ingest_imaging(vols, visits, policy="report")
     assert [r.VISIT_ID for r in res.duplicate_visit_ids.collect()] == ["V1"]
+    with pytest.raises(ValueError, match="VISIT_ID"):
+        ingest_imaging(vols, visits)
