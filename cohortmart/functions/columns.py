@@ -76,12 +76,6 @@ def valid_valtype(valtype: Column) -> Column:
     return valtype.isin(VALTYPE_NUMERIC, VALTYPE_TEXT)
 
 
-def strict_valtype(valtype: Column) -> Column:
-    """``valtype`` itself, or a task failure for a value type other than N/T."""
-    return F.when(valid_valtype(valtype), valtype).otherwise(
-        F.raise_error(F.concat(F.lit("unsupported valtype_cd: "),
-                               F.coalesce(valtype, F.lit("NULL")))).cast("string"))
-
 
 def split_code_parts(code: Column, sep: str = "_") -> Column:
     """Array of the parts of a ``<patient>_<visit>`` subject code."""

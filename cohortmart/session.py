@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,18 +50,6 @@ def build_session(master: str | None = None, app: str = "cohortmart",
     return spark
 
 
-def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20,
-                           minimum: int = 200) -> int:
-    """Shuffle partition count so each reduce task holds about ``target_bytes``
-    (fits executor memory without spilling); AQE coalesces small ones.
-
-    For an export at 100 TB of facts, the pruned fact columns shuffled by the
-    member join are the largest exchange: size it from that volume, e.g.
-    ``spark.sql.shuffle.partitions = shuffle_partitions_for(20 << 40)``.
-    """
-    return max(minimum, -(-shuffle_bytes // target_bytes))
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir`` (or set on the context)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -78,9 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     d = tempfile.mkdtemp(prefix="cohortmart-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
@@ -100,5 +92,5 @@ def is_case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
 
 
-__all__ = ["build_session", "shuffle_partitions_for", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path",
+__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path",
            "local_path", "is_case_sensitive"]
