@@ -76,7 +76,6 @@ def valid_valtype(valtype: Column) -> Column:
     return valtype.isin(VALTYPE_NUMERIC, VALTYPE_TEXT)
 
 
-
 def split_code_parts(code: Column, sep: str = "_") -> Column:
     """Array of the parts of a ``<patient>_<visit>`` subject code."""
     return F.split(code, sep, -1)

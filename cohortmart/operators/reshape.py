@@ -113,11 +113,17 @@ class Catalog:
     dataset_const: str | None
 
     @classmethod
-    def collect(cls, facts: DataFrame) -> "Catalog":
-        # bounded fetch: at most MAX+1 rows ever reach the driver
-        rows = concept_catalog(facts).limit(MAX_PIVOT_COLUMNS + 1).collect()
-        if len(rows) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"more than {MAX_PIVOT_COLUMNS} distinct concepts to pivot")
+    def collect(cls, facts: DataFrame, max_columns: int = MAX_PIVOT_COLUMNS) -> "Catalog":
+        """From one pass over the facts."""
+        return cls.of(concept_catalog(facts), max_columns)
+
+    @classmethod
+    def of(cls, catalog: DataFrame, max_columns: int = MAX_PIVOT_COLUMNS) -> "Catalog":
+        """From a concept catalog, such as a mart stores.  More than
+        ``max_columns`` concepts are refused, so the fetch is bounded."""
+        rows = catalog.limit(max_columns + 1).collect()
+        if len(rows) > max_columns:
+            raise ValueError(f"more than {max_columns} distinct concepts to pivot")
         vt: dict[str, str] = {}
         providers = []
         for r in rows:

@@ -302,7 +302,7 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     opts = options
     spark = mart.observation_fact.sparkSession
     if catalog is None:
-        catalog = Catalog.collect(mart.observation_fact)
+        catalog = Catalog.of(mart.catalog) if mart.catalog is not None else Catalog.collect(mart.observation_fact)
     if cdes is None:
         cdes = cde_list(mart.concept_dimension)
     sel = selection_for(mart, strategy, opts)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -72,6 +73,9 @@ STAR_SCHEMAS = {
     "observation_fact": OBSERVATION_FACT,
 }
 
+# Folder of the stored concept catalog, beside the star tables.
+CATALOG = "concept_catalog"
+
 # Bucketing of the star tables: exports join facts to selected encounters on
 # encounter_num and aggregate visits per patient, so facts and encounter maps
 # are bucketed by encounter_num and patient-level tables by patient_num.
@@ -104,18 +108,29 @@ class Mart:
     concept_dimension: DataFrame
     observation_fact: DataFrame
     name: str = "harmonized"
+    #: The stored concept catalog of the facts, where the mart has one.
+    catalog: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "name"}
+        return {t: getattr(self, t) for t in STAR_SCHEMAS}
 
     def with_tables(self, **tables: DataFrame) -> "Mart":
+        if "observation_fact" in tables:  # the catalog describes the old facts
+            tables.setdefault("catalog", None)
         return replace(self, **tables)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, name: str = "harmonized") -> "Mart":
-        """Open ``<root>/<table>`` parquet folders lazily."""
-        return cls(**{t: spark.read.parquet(f"{root.rstrip('/')}/{t}") for t in STAR_SCHEMAS},
-                   name=name)
+        """Open ``<root>/<table>`` parquet folders lazily, and the stored concept
+        catalog where there is one."""
+        root = root.rstrip("/")
+        try:
+            catalog = spark.read.parquet(f"{root}/{CATALOG}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            catalog = None
+        return cls(**{t: spark.read.parquet(f"{root}/{t}") for t in STAR_SCHEMAS}, name=name, catalog=catalog)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, name: str | None = None) -> "Mart":
@@ -124,8 +139,15 @@ class Mart:
                    name=name or database)
 
     def write_parquet(self, root: str, mode: str = "overwrite") -> None:
+        """Write the star tables and the catalog of the facts that are now
+        stored, so that exports of the stored mart need no pass over them to
+        learn their columns."""
+        from cohortmart.operators.reshape import concept_catalog
+        root = root.rstrip("/")
         for t, df in self.tables().items():
-            df.write.mode(mode).parquet(f"{root.rstrip('/')}/{t}")
+            df.write.mode(mode).parquet(f"{root}/{t}")
+        facts = self.observation_fact.sparkSession.read.parquet(f"{root}/observation_fact")
+        concept_catalog(facts).write.mode("overwrite").parquet(f"{root}/{CATALOG}")
 
     def save_bucketed(self, database: str, root: str, buckets: int,
                       mode: str = "overwrite") -> "Mart":

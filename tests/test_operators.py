@@ -115,7 +115,10 @@ def test_append_export_all_or_nothing(spark):
 
 
 def test_batch_scan_requires_files(spark, tmp_path):
-    with pytest.raises(Exception):
+    os.mkdir(tmp_path / "empty")
+    with pytest.raises(FileNotFoundError, match="holds no files"):
+        FS.read_batch(spark, str(tmp_path), "empty", "a string")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         FS.read_batch(spark, str(tmp_path), "missing", "a string")
 
 
@@ -132,13 +135,35 @@ def test_six_months_plan_has_no_nested_loop_or_cartesian(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
-def test_fact_scan_reads_only_needed_columns(spark):
-    from cohortmart.fixtures import read_table
-    f = read_table(spark, SF, "orders").filter(F.col("o_orderpriority") == "1-URGENT") \
-        .select("o_orderkey")
-    plan = f._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in plan
+def test_export_reads_only_needed_fact_columns(spark):
+    from cohortmart.schema import Mart
+    root = scratch_path(spark, "mart")
+    clinical_mart(spark, SF).write_parquet(root)
+    plan = X.export_frame(Mart.from_parquet(spark, root), "mindate")._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.split("\n") if "ReadSchema" in line and "nval_num" in line]
+    assert len(reads) == 1 and "provider_id" not in reads[0] and "modifier_cd" not in reads[0]
+    assert "PushedFilters" in reads[0]
+
+
+def test_csv_keeps_text_and_finds_columns_by_name(spark):
+    rows = [("  padded  ", 1), ("two\nlines, \"quoted\"", 2), ("plain", 3)]
+    df = spark.createDataFrame(rows, "t string, n int")
+    path = FS.write_csv(df, scratch_path(spark, "csv"), single_file=True)
+    assert sorted(map(tuple, FS.read_csv(spark, path, "n int, t string").collect())) == sorted((n, t) for t, n in rows)
+    with pytest.raises(ValueError, match="not in the header"):
+        FS.read_csv(spark, path, "n int, other string")
+    assert {r.other for r in FS.read_csv(spark, path, "n int, other string", missing="null").collect()} == {None}
+    bad = FS.write_csv(spark.createDataFrame([("x",)], "n string"), scratch_path(spark, "csv"))
+    with pytest.raises(Exception):
+        FS.read_csv(spark, bad, "n int").collect()
+
+
+def test_append_refuses_null_and_repeated_keys(spark):
+    new = spark.createDataFrame([("a", "1")], "subjectcode string, v string")
+    for rows, why in (([("b", "1"), ("b", "2")], "repeated key"), ([(None, "1")], "NULL key"), ([("a", "2")], "key already present"), ([("b", "2")], None)):
+        prev = spark.createDataFrame(rows, new.schema)
+        assert FS.append_problem(new, prev, ["subjectcode"]) == why
+        assert FS.append_export(new, prev, ["subjectcode"]).count() == (1 if why else 1 + len(rows))
 
 
 def test_read_batch_tags_batch_and_file(spark):
@@ -165,6 +190,8 @@ def test_mart_parquet_roundtrip(spark):
     back = Mart.from_parquet(spark, root)
     for t, df in m.tables().items():
         assert back.tables()[t].count() == df.count(), t
+    assert m.catalog is None and {r.concept_cd for r in back.catalog.collect()} >= {"priority", "quantity"}
+    assert back.with_tables(observation_fact=m.observation_fact).catalog is None
     a = sorted(map(tuple, X.export_frame(back, "maxdate").collect()))
     assert a == sorted(map(tuple, X.export_frame(m, "maxdate").collect()))
 
