@@ -142,6 +142,14 @@ class TokenFile:
                     yield d["doc_id"], start, pieces
 
 
+def even_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """A key for each of n partitions that Spark's hash deals to it alone."""
+    span = int(n * (np.log(n + 1) + 12))
+    k = F.col("id").cast("int")
+    found = dict(spark.range(span).groupBy(F.pmod(F.hash(k), F.lit(n)).alias("p")).agg(F.min(k).alias("k")).collect())  # n rows
+    return np.array([found.get(p, span + p) for p in range(n)], np.int32)
+
+
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> DataFrame:
     """Write the files; returns the manifest (one row a file, at most
     ``MAX_FILES``), which is also kept as a Parquet table beside them."""
@@ -149,16 +157,17 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> D
     files = max(1, min(MAX_FILES, -(-docs.count() // FILE_DOCS)))
     bounds = docs.approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files) if files > 1 else []
     bounds = np.array(sorted(set(bounds)), np.float64)
+    keys = even_keys(docs.sparkSession, files)  # one file a task
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc, ids = encoder(tokenizer), batch.column("doc_id")
         bucket = np.searchsorted(bounds, ids.fill_null(-(1 << 62)).to_numpy(), side="left").astype(np.int32)
         raw = [np.append(x, enc.dtype.type(end_id)).tobytes() for x in enc.encode(batch.column("text"))]
-        return pa.record_batch([ids, pa.array(bucket), pa.array([enc.dtype.itemsize] * len(raw), pa.int32()),
-                                pa.array(raw, pa.binary())], ["doc_id", "bucket", "width", "ids"])
+        return pa.record_batch([ids, pa.array(bucket), pa.array(keys[bucket]), pa.array([enc.dtype.itemsize] * len(raw), pa.int32()),
+                                pa.array(raw, pa.binary())], ["doc_id", "bucket", "dealt", "width", "ids"])
 
-    encoded = common.map_batches(docs, encode, "doc_id long, bucket int, width int, ids binary")
-    ordered = encoded.repartition(files, "bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "ids")
+    encoded = common.map_batches(docs, encode, "doc_id long, bucket int, dealt int, width int, ids binary")
+    ordered = encoded.repartition(files, "dealt").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "ids")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
