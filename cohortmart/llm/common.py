@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,13 +27,30 @@ def text_column(docs: DataFrame, null_as_empty: bool = True) -> DataFrame:
                        (F.coalesce(text, F.lit("")) if null_as_empty else text).alias("text"))
 
 
+#: What a Python worker keeps between tasks: its owner and how to drop it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def kept(owner: str, drop: Callable[[], None]) -> None:
+    _KEPT[owner] = drop
+
+
+def release(owner: str | None = None) -> None:
+    """Drop what other operators' tasks have left in this worker: workers live
+    on between stages, their caches should not."""
+    for name, drop in _KEPT.items():
+        if name != owner:
+            drop()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str | T.StructType, setup: Callable[[], object] | None = None) -> DataFrame:
+                schema: str | T.StructType, owner: str | None = None) -> DataFrame:
     """Apply ``fn`` (a module-level function or a closure over small values) to
-    each Arrow batch; ``None`` emits nothing."""
+    each Arrow batch; ``None`` emits nothing.  ``owner``: whose cache it uses."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(owner)
         for batch in batches:
             out = fn(batch)
             if out is not None:
@@ -54,8 +71,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def unsigned(col: Column) -> Column:
-    return F.when(col < 0, col + F.lit(1 << 32)).otherwise(col)
-
-
-__all__ = ["BATCH_ROWS", "read_table", "text_column", "map_batches", "materialize", "unsigned"]
+__all__ = ["BATCH_ROWS", "read_table", "text_column", "kept", "release", "map_batches", "materialize"]

@@ -72,6 +72,7 @@ def count_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
     size = cells // _CELL_CHUNKS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         total = np.zeros(cells, np.uint32)
         for batch in batches:
             held = _sets(batch, k)

@@ -210,6 +210,7 @@ def _round(docs: DataFrame, net: Net, codes: Codes, rate: float) -> Net:
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        common.release()
         start, codes_ = sent.value
         trainer = Trainer(start, rate)
         for batch in batches:

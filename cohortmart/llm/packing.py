@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             names.append("ids")
         return pa.record_batch(columns, names)
 
-    return common.map_batches(common.text_column(docs), fn, PIECES + (", ids binary" if with_ids else ""))
+    return common.map_batches(common.text_column(docs), fn, PIECES + (", ids binary" if with_ids else ""), "encoder")
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

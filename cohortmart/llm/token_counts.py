@@ -130,6 +130,9 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
+common.kept("counter", counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per row: words and greedy pieces of the lower-cased text, by the
     vocabulary file ``vocabulary`` (a path that every executor can open)."""
@@ -141,4 +144,4 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
                                 pa.array([x & ((1 << _WORDS_SHIFT) - 1) for x in both], pa.int64())],
                                ["doc_id", "n_words", "n_tokens"])
 
-    return common.map_batches(common.text_column(docs), fn, "doc_id long, n_words long, n_tokens long")
+    return common.map_batches(common.text_column(docs), fn, "doc_id long, n_words long, n_tokens long", "counter")

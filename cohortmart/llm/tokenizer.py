@@ -22,9 +22,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .common import kept
+
 #: Distinct words and chunks kept in a worker (about 200 bytes each); each
 #: cache starts anew beyond it.
-CACHE_WORDS, CACHE_CHUNKS = 800_000, 800_000
+CACHE_WORDS, CACHE_CHUNKS = 400_000, 400_000
 #: Bytes of text encoded at a time.
 SLICE_BYTES = 4 << 20
 
@@ -171,3 +173,6 @@ def _kind(spec: dict) -> str:
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker and file."""
     return Encoder(path)
+
+
+kept("encoder", encoder.cache_clear)
