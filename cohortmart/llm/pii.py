@@ -54,8 +54,14 @@ HOMOGLYPHS.update({chr(0xFF01 + i): chr(0x21 + i) for i in range(94)})
 # Other decimal digits follow a rule too: ten in a row from each block's zero.
 for _zero in (0x0660, 0x06F0, 0x0966, 0x09E6, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6):
     HOMOGLYPHS.update({chr(_zero + i): str(i) for i in range(10)})
+# Characters that show nothing.
+HOMOGLYPHS.update(dict.fromkeys("\u200b\u200c\u200d\u2060\ufeff\u00ad", ""))
 _GLYPH = re.compile("[" + "".join(re.escape(c) for c in HOMOGLYPHS) + "]")
 
+# Letters that stand for digits in a run that has digits.
+LETTER_DIGITS = str.maketrans("OoIl", "0011")
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])(?=[OoIl]*[0-9])[0-9OoIl]++(?![A-Za-z0-9])")
+
 # Digits spelled in English.
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
            "seven": "7", "eight": "8", "nine": "9"}
@@ -143,7 +149,8 @@ class Tape:
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> "Tape":
         """Replace disjoint ascending ``(from, to, replacement)`` pieces; the
-        characters of a replacement all map to the whole piece."""
+        characters of a replacement all map to the whole piece.  What is taken
+        out marks the character before it."""
         out = Tape("")
         parts, start, end, made, at = [], [], [], bytearray(), 0
         for a, b, new in edits:
@@ -154,6 +161,8 @@ class Tape:
             start += [self.start[a]] * len(new)
             end += [self.end[b - 1]] * len(new)
             made += b"\1" * len(new)
+            if not new and made:
+                made[-1] = 1
             at = b
         out.text = "".join(parts) + self.text[at:]
         out.start, out.end, out.made = start + list(self.start[at:]), end + list(self.end[at:]), bytes(made) + self.made[at:]
@@ -164,6 +173,10 @@ def _glyph_edits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), HOMOGLYPHS[m.group()]) for m in _GLYPH.finditer(text)]
 
 
+def _letter_edits(text: str) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), m.group().translate(LETTER_DIGITS)) for m in _LETTERED.finditer(text) if not m.group().isdigit()]
+
+
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     """Each spelled word takes the gap behind it with it, so a run of words
     becomes a run of digits."""
@@ -206,6 +219,8 @@ def find_added(text: str, base: list[Span]) -> list[Span]:
     tape = Tape(text)
     if not text.isascii() and (edits := _glyph_edits(text)):
         tape = tape.rewrite(edits)
+    if _DIGIT.search(tape.text) and (edits := _letter_edits(tape.text)):
+        tape = tape.rewrite(edits)
     if edits := _digit_edits(tape.text):
         tape = tape.rewrite(edits)
     if _MAYBE_AT_DOT.search(tape.text) and (edits := _at_dot_edits(tape.text)):

@@ -158,9 +158,9 @@ def _gradients(net: Net, texts: list[bytes], labels: np.ndarray, weights: np.nda
     return [dembed, dconv, np.bincount(filt, g, FILTERS).astype(np.float32), x.T @ dh, dh.sum(0), h.T @ dz, dz.sum(keepdims=True)]
 
 
-def train(texts: list[bytes], labels: np.ndarray, share: float, steps: int = STEPS, seed: int = 7) -> Net:
+def train(texts: list[bytes], labels: np.ndarray, share: float = 0.5, steps: int = STEPS, seed: int = 7) -> Net:
     """Adam on the weighted log loss for some ``steps`` of ``BATCH_DOCS``
-    texts; ``share``: of label 1 among all labels."""
+    texts; ``share``: the weight of label 1."""
     net, r = Net.new(seed), np.random.default_rng(seed)
     ones = labels.mean()
     weights = np.where(labels == 1, share / ones, (1 - share) / (1 - ones))
@@ -188,9 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("y").alias("y")))
-    counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
-        return float(next(iter(counts), 0.5))
+    classes = [r.y for r in known.select("y").distinct().collect()]
+    if len(classes) < 2:
+        return float(classes[0] if classes else 0.5)
     ids = [r for y in (0, 1) for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, y int")  # at most 2 x per_class rows
     texts: dict[int, tuple[bytes, int]] = {}
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     y = np.array([r[1] for r in rows], np.float64)
     if not 0 < y.sum() < len(y):
         return float(y.mean()) if len(y) else 0.5
-    return train([r[0] for r in rows], y, counts[1] / (counts[0] + counts[1]))
+    return train([r[0] for r in rows], y)
 
 
 def _bytes(texts: pa.Array) -> list[np.ndarray]:

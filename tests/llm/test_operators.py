@@ -542,6 +542,8 @@ def test_personal_data_base_spans():
     ("call plus one five five five one two three four five six seven.", "phone", "plus one five five five one two three four five six seven"),
     ("card four one one one one one one one one one one one one one one one!", "card", "four one one one one one one one one one one one one one one one"),
     ("ip １９２.１６８.０.１ is full width", "ip", "１９２.１６８.０.１"),
+    ("hidden jo\u200b@mail.com break", "email", "jo\u200b@mail.com"),
+    ("card 4l11 1111 1111 1111 has an l", "card", "4l11 1111 1111 1111"),
 ])
 def test_personal_data_behind_disguises(text, kind, span):
     base, spans = pii.find(text)
@@ -550,7 +552,7 @@ def test_personal_data_behind_disguises(text, kind, span):
 
 
 @pytest.mark.parametrize("text", ["meet me at noon", "a dot on the i", "one two three", "at one dot two", "look at example.com",
-                                  "Éé ñ ß at des und dot", "", "two at the most (at best)"])
+                                  "Éé ñ ß at des und dot", "", "two at the most (at best)", "a soft\u00adhyphen", "10l0 and Ol1"])
 def test_plain_texts_have_none(text):
     assert pii.find(text) == ([], [])
 
