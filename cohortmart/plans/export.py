@@ -38,7 +38,7 @@ from cohortmart.functions.columns import (
 from cohortmart.functions.hashing import hash_column
 from cohortmart.operators.reshape import Catalog, cde_list, pivot_cells, winner_struct
 from cohortmart.operators.visits import (
-    AS_CODED_WINDOW_SECONDS, DEFAULT_WINDOW_SECONDS, cognitive_visits, diagnosis_candidates,
+    AS_CODED_WINDOW_SECONDS, DEFAULT_WINDOW_SECONDS, DIAGNOSIS_CONCEPT, MMSE_CONCEPT, MOCA_CONCEPT, cognitive_visits, diagnosis_candidates,
     first_mri, nearest_diagnosis, stack_encounters, valid_diagnosis_encounters,
     visits_at_extreme)
 from cohortmart.schema import Mart
@@ -171,7 +171,12 @@ def six_month_selection(mart: Mart, opts: ExportOptions) -> DataFrame:
     """Per patient: MRI, diagnosis (with age), MMSE and MoCA encounters."""
     visits = mart.visit_dimension.select("patient_num", "encounter_num", "start_date",
                                          "patient_age", "location_cd")
-    facts = mart.observation_fact
+    # One pass over the facts for the three concepts that the selection reads.
+    facts = (mart.observation_fact.filter(F.col("concept_cd").isin(DIAGNOSIS_CONCEPT, MMSE_CONCEPT, MOCA_CONCEPT))
+             .select("patient_num", "encounter_num", "start_date", "concept_cd", "tval_char"))
+    if opts.checkpoint_selection:
+        ensure_checkpoint_dir(facts.sparkSession)
+        facts = facts.checkpoint(eager=True)
     mri = first_mri(visits)
     valid = valid_diagnosis_encounters(facts, exclude_values=opts.exclude_diagnoses)
     cand = diagnosis_candidates(visits, mri, valid, opts.window_seconds)
@@ -182,7 +187,6 @@ def six_month_selection(mart: Mart, opts: ExportOptions) -> DataFrame:
 def select_six_months(mart: Mart, opts: ExportOptions) -> Selection:
     tt = six_month_selection(mart, opts)
     if opts.checkpoint_selection:
-        ensure_checkpoint_dir(tt.sparkSession)
         tt = tt.checkpoint(eager=True)
     demo = tt.select("patient_num", F.col("age_diag").alias("age"), "encounter_num_diag")
     rows = (stack_encounters(tt, SIX_MONTH_ROLES).join(demo, "patient_num")

@@ -116,6 +116,23 @@ def cde_columns(spark, sf_dir):
                     F.coalesce(F.col("n_facts"), F.lit(0)).alias("n_facts")))
 
 
+@register("cde_dictionary")
+def cde_dictionary(spark, sf_dir):
+    """The CDEs of a dictionary derived from the part table, in upload order."""
+    k = F.col("p_partkey")
+    parts = read_table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("concept_cd"), F.when(k % 3 == 0, F.lit("CDE")).when(k % 3 == 1, F.lit("LOCAL")).alias("sourcesystem_cd"),
+        (F.lit(1_000_000) - k).cast("int").alias("upload_id"))
+    return R.cde_frame(parts)
+
+
+@register("concept_catalog_mixed")
+def concept_catalog_mixed(spark, sf_dir):
+    """The catalog of facts in which some concepts hold text and numbers."""
+    vt = F.when((F.col("encounter_num") % 5 == 0) & F.col("concept_cd").isin("priority", "quantity"), F.lit("T")).otherwise(F.col("valtype_cd"))
+    return R.concept_catalog(clinical_mart(spark, sf_dir).observation_fact.withColumn("valtype_cd", vt))
+
+
 @register("concept_catalog")
 def concept_catalog(spark, sf_dir):
     """One row per concept with its value type and a mixed-type flag."""
@@ -390,6 +407,29 @@ def anonymize_flat_sha3(spark, sf_dir):
     return A.anonymize_flat(export_mindate(spark, sf_dir), (0,), flat_csv_method("sha224"))
 
 
+def _hash_profile(spark, sf_dir, method):
+    """Rows, distinct digests, distinct keys, and whether all digests are 56
+    lower-case hexadecimal digits."""
+    keys = export_mindate(spark, sf_dir).select("subjectcode", F.col("subjectcode").alias("key"))
+    h = F.col("subjectcode")
+    return A.anonymize_flat(keys, (0,), method).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(h).alias("digests"),
+        F.min(h.rlike("^[0-9a-f]{56}$").cast("int")).alias("well_formed"), F.count_distinct("key").alias("keys"))
+
+
+@register("sha224_profile")
+def sha224_profile(spark, sf_dir):
+    """SHA-224 keeps keys apart and has its form."""
+    return _hash_profile(spark, sf_dir, "sha224")
+
+
+@register("sha3_profile")
+def sha3_profile(spark, sf_dir):
+    """The flat-file ``sha224`` choice, SHA3-224, keeps keys apart and has its form."""
+    from cohortmart.functions.hashing import flat_csv_method
+    return _hash_profile(spark, sf_dir, flat_csv_method("sha224"))
+
+
 @register("anonymize_mart_md5")
 def anonymize_mart_md5(spark, sf_dir):
     """Fact table of the md5-anonymized mart (ids hashed consistently)."""

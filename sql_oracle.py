@@ -320,6 +320,8 @@ def wide(sql: str) -> str:
 MINDATE = export_extreme_sql("min")
 MAXDATE = export_extreme_sql("max")
 TEXT_COLS = CDES + ("priority",)
+PROFILE = ("SELECT count(*) AS n_rows, count(DISTINCT subjectcode) AS digests, 1 AS well_formed, "
+           "count(DISTINCT subjectcode) AS keys FROM {t}")
 
 EDGE = """edge AS (SELECT patient_num, {agg}(start_date) AS start_date
                   FROM visit_dimension GROUP BY patient_num)"""
@@ -450,6 +452,15 @@ ORACLES: dict[str, str] = {
       LEFT JOIN (SELECT concept_cd, count(*) AS n_facts FROM observation_fact GROUP BY concept_cd) n
         ON n.concept_cd = c.concept_cd
       WHERE c.sourcesystem_cd = 'CDE'"""),
+    "cde_dictionary": """SELECT p_name AS concept_cd, cast(1000000 - p_partkey AS integer) AS upload_id
+      FROM part WHERE p_partkey % 3 = 0""",
+    "concept_catalog_mixed": with_views(select="""
+      SELECT concept_cd, min(vt) AS valtype_cd, min(vt) <> max(vt) AS mixed_valtype, count(*) AS n_facts,
+             min(provider_id) AS provider_id
+      FROM (SELECT *, CASE WHEN encounter_num % 5 = 0 AND concept_cd IN ('priority', 'quantity') THEN 'T' ELSE valtype_cd END AS vt
+            FROM observation_fact) GROUP BY concept_cd"""),
+    "sha224_profile": _wrap(MINDATE, PROFILE),
+    "sha3_profile": _wrap(MINDATE, PROFILE),
     "concept_catalog": with_views(select="""
       SELECT concept_cd, min(valtype_cd) AS valtype_cd,
              min(valtype_cd) <> max(valtype_cd) AS mixed_valtype,

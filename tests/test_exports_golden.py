@@ -301,3 +301,11 @@ def test_hot_encounter_is_split_by_aqe_and_result_unchanged(spark):
                 spark.conf.set(k, v)
     assert got == expected
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_column_order_is_key_cdes_by_upload_then_concepts(spark):
+    m = make_mart(spark, [(1, "M")], [(1, 1, 0, 65.0, "MRI")], [(1, "zeta", "T", "x", None, 1), (1, "alpha", "N", "E", 2, 1)])
+    cd = spark.createDataFrame([("second", "CDE", 2), ("gender", "CDE", 1), ("local", "LOCAL", 0), ("third", "CDE", 3)],
+                               "concept_cd string, sourcesystem_cd string, upload_id int")
+    df = X.export_frame(m.with_tables(concept_dimension=cd), "mindate")
+    assert df.columns == ["subjectcode", "gender", "second", "third", "subjectageyears", "subjectage", "dataset", "agegroup", "alpha", "zeta"]
