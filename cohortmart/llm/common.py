@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,7 @@ from cohortmart.session import scratch_path
 
 #: Rows in one Arrow batch.  A batch of whole texts stays a few MB, so a Python
 #: worker holds one batch and its results whatever the partition's size.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,28 @@ def release(owner: str | None = None) -> None:
             drop()
 
 
+def tidy() -> None:
+    """Give memory that a task has freed back to the system; the worker stays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def in_task(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str | None = None):
+    """``fn`` over a task's batches, with the worker's memory kept small before and after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(owner)
+        try:
+            yield from fn(batches)
+        finally:
+            tidy()
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str | T.StructType, owner: str | None = None) -> DataFrame:
     """Apply ``fn`` (a module-level function or a closure over small values) to
@@ -50,13 +73,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release(owner)
         for batch in batches:
             out = fn(batch)
             if out is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(in_task(run, owner), schema)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -71,4 +93,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["BATCH_ROWS", "read_table", "text_column", "kept", "release", "map_batches", "materialize"]
+__all__ = ["BATCH_ROWS", "read_table", "text_column", "in_task", "kept", "release", "tidy", "map_batches", "materialize"]

@@ -72,7 +72,6 @@ def count_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
     size = cells // _CELL_CHUNKS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.release()
         total = np.zeros(cells, np.uint32)
         for batch in batches:
             held = _sets(batch, k)
@@ -94,7 +93,8 @@ def count_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
                                   ["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    parts = docs.mapInArrow(count, schema).repartition(_CELL_CHUNKS, "chunk").mapInArrow(add, schema).collect()
+    parts = (docs.mapInArrow(common.in_task(count), schema).repartition(_CELL_CHUNKS, "chunk")
+             .mapInArrow(common.in_task(add), schema).collect())
     out = np.zeros(cells, np.uint32)
     for c, raw in parts:
         out[c * size:(c + 1) * size] = np.frombuffer(raw, np.uint32)
@@ -319,7 +319,7 @@ def _list_pairs(lists: DataFrame, groups: DataFrame, bits: DataFrame, threshold:
                 yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     lists.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(common.in_task(run), "a long, b long").distinct()
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

@@ -210,7 +210,6 @@ def _round(docs: DataFrame, net: Net, codes: Codes, rate: float) -> Net:
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        common.release()
         start, codes_ = sent.value
         trainer = Trainer(start, rate)
         for batch in batches:
@@ -233,9 +232,9 @@ def _round(docs: DataFrame, net: Net, codes: Codes, rate: float) -> Net:
                                   ["chunk", "weights"])
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
-    copies = docs.mapInArrow(train, "chunk int, part int, words long, weights binary")
+    copies = docs.mapInArrow(common.in_task(train), "chunk int, part int, words long, weights binary")
     rows = (copies.repartition(_CHUNKS, "chunk").sortWithinPartitions("chunk", "part")  # the same sums in every run
-            .mapInArrow(average, "chunk int, weights binary").collect())
+            .mapInArrow(common.in_task(average), "chunk int, weights binary").collect())
     if not rows:
         return net
     return net.filled(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows)]))

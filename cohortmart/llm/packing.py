@@ -154,7 +154,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if rows:
             yield from packed()
 
-    placed = common.materialize(cut.repartition(groups).mapInArrow(run, schema), "placed")
+    placed = common.materialize(cut.repartition(groups).mapInArrow(common.in_task(run), schema), "placed")
     sizes = sorted(placed.groupBy("group").agg(F.max("in_group").alias("last")).collect())  # at most MAX_GROUPS rows
     first, offsets = 0, []
     for group, last in sizes:

@@ -37,7 +37,7 @@ DIM, FILTERS, HIDDEN, STEP = 8, 32, 16, 4
 SEGMENT = 256  # half a chunk
 _WINDOWS = SEGMENT // STEP
 _PAD = 255  # never a byte of UTF-8
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 
 
 class Net(NamedTuple):

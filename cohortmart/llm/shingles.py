@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at a time (several arrays of 8 bytes each per byte).
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -191,7 +191,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> D
             yield done()
 
     manifest = f"{path.rstrip('/')}/manifest"
-    ordered.mapInArrow(store, MANIFEST).write.mode("overwrite").parquet(manifest)
+    ordered.mapInArrow(common.in_task(store, "encoder"), MANIFEST).write.mode("overwrite").parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
 
 
@@ -217,4 +217,4 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         column.append(value)
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in out], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(load, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(common.in_task(load), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -28,7 +28,7 @@ from .common import kept
 #: cache starts anew beyond it.
 CACHE_WORDS, CACHE_CHUNKS = 400_000, 400_000
 #: Bytes of text encoded at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Fixed value: how byte-level files of the first kind split a text into words.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
