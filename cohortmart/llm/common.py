@@ -67,10 +67,11 @@ def in_task(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str | T.StructType, owner: str | None = None) -> DataFrame:
+                schema: str | T.StructType, owner: str | None = None, rows: int = BATCH_ROWS) -> DataFrame:
     """Apply ``fn`` (a module-level function or a closure over small values) to
-    each Arrow batch; ``None`` emits nothing.  ``owner``: whose cache it uses."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    each Arrow batch of at most ``rows``; ``None`` emits nothing.  ``owner``:
+    whose cache it uses."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

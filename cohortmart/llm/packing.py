@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
-from .tokenizer import encoder
+from .tokenizer import BATCH_ROWS, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             names.append("ids")
         return pa.record_batch(columns, names)
 
-    return common.map_batches(common.text_column(docs), fn, PIECES + (", ids binary" if with_ids else ""), "encoder")
+    return common.map_batches(common.text_column(docs), fn, PIECES + (", ids binary" if with_ids else ""), "encoder", BATCH_ROWS)
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .tokenizer import encoder
+from .tokenizer import BATCH_ROWS, encoder
 
 SEQUENCE, BATCH, END_ID = 2048, 256, 1
 FILE_DOCS, MAX_FILES = 8192, 20_000
@@ -166,7 +166,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> D
         return pa.record_batch([ids, pa.array(bucket), pa.array(keys[bucket]), pa.array([enc.dtype.itemsize] * len(raw), pa.int32()),
                                 pa.array(raw, pa.binary())], ["doc_id", "bucket", "dealt", "width", "ids"])
 
-    encoded = common.map_batches(docs, encode, "doc_id long, bucket int, dealt int, width int, ids binary", "encoder")
+    encoded = common.map_batches(docs, encode, "doc_id long, bucket int, dealt int, width int, ids binary", "encoder", BATCH_ROWS)
     ordered = encoded.repartition(files, "dealt").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "ids")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

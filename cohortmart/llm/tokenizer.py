@@ -26,9 +26,10 @@ from .common import kept
 
 #: Distinct words and chunks kept in a worker (about 200 bytes each); each
 #: cache starts anew beyond it.
-CACHE_WORDS, CACHE_CHUNKS = 400_000, 400_000
-#: Bytes of text encoded at a time.
-SLICE_BYTES = 2 << 20
+CACHE_WORDS, CACHE_CHUNKS = 600_000, 600_000
+#: Rows of a batch (more share more chunks), and bytes of text encoded at a time.
+BATCH_ROWS = 1000
+SLICE_BYTES = 4 << 20
 
 # Fixed value: how byte-level files of the first kind split a text into words.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
