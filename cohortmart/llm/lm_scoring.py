@@ -4,9 +4,12 @@ A small bidirectional window network in numpy predicts every word of a
 document from the two words on either side of it, the word itself masked; the
 sum of the conditional log-probabilities is the document's score.
 
-Words are the ``WORDS`` most frequent of the corpus (counted over all of it),
-others fall into hashed classes.  A word's code is two digits, each a softmax:
-``p(high | context) p(low | context, high)``.
+The ``WORDS`` most frequent words of the corpus are classes of their own, others
+fall into hashed classes.  A class's code is two digits, each a softmax:
+``p(high | context) p(low | context, high)``.  A word of a hashed class then
+counts by its share of the class, ``p(word | class)``, from the counts of the
+whole vocabulary: a written table that each document's distinct words are
+joined to.  One more place in each class stands for words never seen.
 
 Training covers the whole corpus.  Each document belongs to one of ``ROUNDS``
 rounds by hash.  In a round every partition trains its own copy of the network
@@ -26,7 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -44,6 +47,8 @@ ROUNDS, RATE, BATCH = 3, 4e-3, 2048
 _CHUNKS = 16
 #: Positions scored at a time.
 _BLOCK = 1 << 15
+#: Parts of a nat in which the shares of words in their classes are summed.
+_UNIT = 10**9
 
 
 class Net(NamedTuple):
@@ -70,19 +75,30 @@ class Net(NamedTuple):
         return Net(*(flat[e - x.size:e].reshape(x.shape).astype(np.float32) for x, e in zip(self, ends)))
 
 
-def word_counts(docs: DataFrame, top: int = WORDS) -> np.ndarray:
-    """Hashes of the most frequent words, most frequent first."""
+def vocabulary_table(docs: DataFrame) -> DataFrame:
+    """Every word's hash and count (word, n), as a written table."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         held = document_words(batch.column("text"))
         words, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         return pa.record_batch([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    counted = common.map_batches(docs, count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "word").limit(top).collect()
+    return common.materialize(common.map_batches(docs, count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def _most_frequent(counts: DataFrame, top: int) -> list:
+    return counts.orderBy(F.desc("n"), "word").limit(top).collect()
+
+
+def _hashes(rows: list) -> np.ndarray:
     return np.array([r.word for r in rows], np.int64).view(np.uint64)
 
 
+def word_counts(docs: DataFrame, top: int = WORDS) -> np.ndarray:
+    """Hashes of the most frequent words, most frequent first."""
+    return _hashes(_most_frequent(vocabulary_table(docs), top))
+
+
 class Codes:
     """Word hash -> class: the rank of a frequent word, a hashed class of others."""
 
@@ -98,6 +114,29 @@ class Codes:
         return np.where(self.words[at] == hashes, self.rank[at], other)
 
 
+class Vocabulary(NamedTuple):
+    codes: Codes
+    counts: DataFrame      # word, n: all words of the corpus
+    places: list[int]      # of each hashed class: its running words, its distinct words and one
+
+
+def vocabulary(docs: DataFrame, top: int = WORDS) -> Vocabulary:
+    """The words' codes and counts, from every document."""
+    counts = vocabulary_table(docs)
+    frequent = _most_frequent(counts, top)
+    places = [1] * UNKNOWN
+    for r in counts.groupBy(_hashed_class("word").alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        places[r.c] += r.n
+    for r in frequent:
+        places[r.word % UNKNOWN] -= r.n + 1
+    return Vocabulary(Codes(_hashes(frequent)), counts, places)
+
+
+def _hashed_class(word: str) -> Column:
+    """``Codes``'s hashed class (UNKNOWN is a power of two) of a signed hash."""
+    return F.col(word).bitwiseAND(F.lit(UNKNOWN - 1)).cast("int")
+
+
 def sequence(documents: list[np.ndarray], codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """All documents' codes one after the other with padding around each, and
     where each begins."""
@@ -240,19 +279,28 @@ def _round(docs: DataFrame, net: Net, codes: Codes, rate: float) -> Net:
     return net.filled(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows)]))
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE) -> tuple[Net, Codes]:
-    """The network and the words' codes, from every document."""
+def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE) -> tuple[Net, Vocabulary]:
+    """The network and the vocabulary, from every document."""
     docs = common.text_column(docs)
-    codes, net = Codes(word_counts(docs)), Net.new()
+    words, net = vocabulary(docs), Net.new()
     turn = F.pmod(F.xxhash64("doc_id", F.lit(rounds)), F.lit(rounds))
     for r in range(rounds):
-        net = _round(docs.filter(turn == r), net, codes, rate / (1 + r))
-    return net, codes
+        net = _round(docs.filter(turn == r), net, words.codes, rate / (1 + r))
+    return net, words
+
+
+def _rare_words(held: list[np.ndarray], codes: Codes) -> pa.Array:
+    """Each document's distinct words of hashed classes, and how often they stand in it."""
+    found = [np.unique(d[codes(d) >= WORDS], return_counts=True) for d in held]
+    ends = np.cumsum([0, *(len(w) for w, _ in found)], dtype=np.int32)
+    word = np.concatenate([np.zeros(0, np.uint64), *(w for w, _ in found)]).view(np.int64)
+    times = np.concatenate([np.zeros(0, np.int32), *(t for _, t in found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(word), pa.array(times)], ["word", "times"]))
 
 
-def score(docs: DataFrame, net: Net, codes: Codes) -> DataFrame:
+def score(docs: DataFrame, net: Net, words: Vocabulary) -> DataFrame:
     """Per row: doc_id, n_words, log_likelihood (the sum), mean_log_likelihood."""
-    sent = docs.sparkSession.sparkContext.broadcast((net, codes))
+    sent = docs.sparkSession.sparkContext.broadcast((net, words.codes))
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         net_, codes_ = sent.value
@@ -262,7 +310,18 @@ def score(docs: DataFrame, net: Net, codes: Codes) -> DataFrame:
         size = np.array([len(d) for d in held], np.int64)
         both = total[starts + size] - total[starts]
         both[size == 0] = 0
-        return pa.record_batch([batch.column("doc_id"), pa.array(size), pa.array(both), pa.array(both / np.maximum(size, 1))],
-                               ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return common.map_batches(common.text_column(docs), fn, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+        return pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array(size), pa.array(both), _rare_words(held, codes_)],
+                               ["row", "doc_id", "n_words", "by_class", "rare"])
+
+    scored = common.materialize(common.map_batches(
+        common.text_column(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), fn,
+        "row long, doc_id long, n_words long, by_class double, rare array<struct<word: long, times: int>>"), "classes-scored")
+    # Summed in whole billionths, so the order of the words doesn't matter.
+    places = F.element_at(F.array(*(F.lit(n).cast("double") for n in words.places)), _hashed_class("word") + 1)
+    share = F.round(F.log((F.coalesce("n", F.lit(0)) + 1) / places) * _UNIT).cast("long")
+    shares = (scored.select("row", F.inline("rare")).join(words.counts.hint("shuffle_hash"), "word", "left")
+              .groupBy("row").agg(F.sum(F.col("times") * share).alias("shares")))
+    total = F.col("by_class") + F.coalesce("shares", F.lit(0)) / _UNIT
+    return (scored.drop("rare").join(shares, "row", "left").withColumn("log_likelihood", total)
+            .select("doc_id", "n_words", "log_likelihood",
+                    (F.col("log_likelihood") / F.greatest("n_words", F.lit(1))).alias("mean_log_likelihood")))

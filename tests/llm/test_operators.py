@@ -204,6 +204,42 @@ def test_language_model_scores(spark, docs, rows, nothing):
     assert lm_scoring.score(nothing, *lm_scoring.train(nothing)).count() == 0
 
 
+def test_every_word_counts_by_its_share_of_its_class(spark):
+    """By hand: the class's score by the network, plus log p(word | class) of
+    each word that is not among the frequent ones."""
+    texts = ["a a a a b b b", "c c d E e e f", "g a b c unique", None]
+    corpus = frame(spark, list(enumerate(texts)))
+    net, words = lm_scoring.Net.new(), lm_scoring.vocabulary(common.text_column(corpus), top=2)
+    hashed = lambda t: int(shingles.document_words(pa.array([t]))[0][0])
+    n = Counter(hashed(w) for t in texts if t for w in t.split())
+    top = set(words.codes.words.tolist())
+    assert len(top) == 2 and hashed("a") in top
+    places = Counter()
+    for w, k in n.items():
+        if w not in top:
+            places[w % 32] += k + 1
+    asked = [*texts, "c c never neverseen", "a b a", ""]
+    held = shingles.document_words(pa.array([t or "" for t in asked]))
+    got = {r.doc_id: r for r in lm_scoring.score(frame(spark, list(enumerate(asked))), net, words).collect()}
+    for i, d in enumerate(held):
+        by_class = lm_scoring.log_probabilities(net, lm_scoring.sequence([d], words.codes)[0]).sum()
+        share = sum(np.log((n[w] + 1) / (places[w % 32] + 1)) for w in d.tolist() if w not in top)
+        assert abs(got[i].log_likelihood - by_class - share) < 1e-4, asked[i]
+        assert abs(got[i].mean_log_likelihood * max(1, len(d)) - got[i].log_likelihood) < 1e-9
+    assert len(got) == len(asked) and words.counts.count() == len(n)
+
+
+def test_junk_scores_below_prose(spark):
+    r = random.Random(2)
+    known = [f"word{i}" for i in range(2000)]
+    prose = [" ".join(r.choice(known) for _ in range(300)) for _ in range(60)]
+    corpus = frame(spark, list(enumerate(prose)))
+    trained = lm_scoring.train(corpus, rounds=1)
+    junk = " ".join(f"{r.getrandbits(60):x}" for _ in range(300))
+    got = {x.doc_id: x.mean_log_likelihood for x in lm_scoring.score(frame(spark, [(0, prose[0]), (1, junk)]), *trained).collect()}
+    assert got[1] < got[0] - 2
+
+
 def test_frequent_words_are_counted_over_everything(spark):
     texts = ["a a a b", "b c c c c A", None, "d"]
     top = lm_scoring.word_counts(common.text_column(frame(spark, list(enumerate(texts)))), top=2)
