@@ -8,7 +8,8 @@ Two layers of spans, always in code points of the source text, end exclusive:
   ``@`` and ``.`` - and each keeps, for every character it writes, the source
   interval it came from.  The detectors run on the rewritten text and a hit is
   mapped back through those intervals.  A hit counts only if a rewritten
-  character lies in it and no base span of its kind overlaps it.
+  character lies in it and no base span of its kind covers it: a base span
+  may be a fragment of an identifier that is disguised in part.
 
 Cases: a null or empty text has no spans; repeated rows and repeated ids are
 scored row by row; extra columns are ignored; texts of any length are scanned
@@ -233,8 +234,8 @@ def find_added(text: str, base: list[Span]) -> list[Span]:
         if 1 not in tape.made[s.start:s.end]:
             continue
         a, b = tape.start[s.start], tape.end[s.end - 1]
-        i = bisect_right(taken[s.kind], (b,)) - 1
-        if all(e <= a or f >= b for f, e in taken[s.kind][max(0, i - 1):i + 2]):
+        i = bisect_right(taken[s.kind], (a, len(text))) - 1  # base spans of a kind are disjoint
+        if i < 0 or taken[s.kind][i][1] < b:
             out.append(Span(s.kind, a, b))
     return out
 

@@ -587,6 +587,28 @@ def test_personal_data_behind_disguises(text, kind, span):
     assert pii.redact(text, spans) == text.replace(span, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("text, kind, part, span", [
+    ("jоhn@mail.com", "email", "hn@mail.com", "jоhn@mail.com"),
+    ("john\u200bsmith@mail.com", "email", "smith@mail.com", "john\u200bsmith@mail.com"),
+    ("to john@mail.cоm now", "email", "john@mail.c", "john@mail.cоm"),
+    ("call +1 212 555 01 one two three four!", "phone", "+1 212 555 01", "+1 212 555 01 one two three four"),
+    ("call +1 212 555 01９９!", "phone", "+1 212 555 01", "+1 212 555 01９９"),
+    ("card 4111 1111 1111 1111 １０２", "card", "4111 1111 1111 1111", "4111 1111 1111 1111 １０２"),
+])
+def test_personal_data_disguised_in_part(text, kind, part, span):
+    base, spans = pii.find(text)
+    found = [(s.kind, text[s.start:s.end]) for s in spans]
+    assert (kind, span) in found and set(base) <= set(spans)
+    assert [(s.kind, text[s.start:s.end]) for s in base] == [(kind, part)]
+    assert pii.redact(text, spans) == text.replace(span, f"[{kind.upper()}]")
+
+
+def test_personal_data_that_a_base_span_covers_is_not_added():
+    for t in ("john@mail.com\u200b", "see \u200bjohn@mail.com\u200b there", "ip 10.0.0.1\u200b"):
+        base, spans = pii.find(t)
+        assert len(base) == 1 and spans == base
+
+
 @pytest.mark.parametrize("text", ["meet me at noon", "a dot on the i", "one two three", "at one dot two", "look at example.com",
                                   "Éé ñ ß at des und dot", "", "two at the most (at best)", "a soft\u00adhyphen", "10l0 and Ol1"])
 def test_plain_texts_have_none(text):
