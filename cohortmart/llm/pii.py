@@ -9,7 +9,10 @@ Two layers of spans, always in code points of the source text, end exclusive:
   interval it came from.  The detectors run on the rewritten text and a hit is
   mapped back through those intervals.  A hit counts only if a rewritten
   character lies in it and no base span of its kind covers it: a base span
-  may be a fragment of an identifier that is disguised in part.
+  may be a fragment of an identifier that is disguised in part.  Spelled digits
+  and at/dot spellings are read twice, strictly and widely (short runs of
+  digits beside other digits, dots between digits, ``[@]``, ``[.]``), as the
+  wide reading may also run on into prose; the detectors decide in both.
 
 Cases: a null or empty text has no spans; repeated rows and repeated ids are
 scored row by row; extra columns are ignored; texts of any length are scanned
@@ -77,6 +80,19 @@ _AT = r"(?:[ \t]*+[\[({<][ \t]*+at[ \t]*+[\])}>][ \t]*+|[ \t]++at[ \t]++|[ \t]*+
 _DOT = r"(?:[ \t]*+[\[({<][ \t]*+dot[ \t]*+[\])}>][ \t]*+|[ \t]++dot[ \t]++|\.)"
 _DISGUISED = re.compile(rf"(?i)(?<!{_LOCAL})({_LOCAL}++)({_AT})([A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+)")
 _DOT_SPELLED = re.compile(r"(?i)[ \t]*+[\[({<][ \t]*+dot[ \t]*+[\])}>][ \t]*+|[ \t]++dot[ \t]++")
+# The wide reading: the same with symbols in brackets, and words that stand alone.
+_WIDE_AT = _AT.replace("at[ \\t]*+[\\])", "(?:at|@)[ \\t]*+[\\])", 1)
+_WIDE_DOT = _DOT.replace("dot[ \\t]*+[\\])", "(?:dot|\\.)[ \\t]*+[\\])", 1)
+_WIDE_DISGUISED = re.compile(rf"(?i)(?<!{_LOCAL})({_LOCAL}++)({_WIDE_AT})([A-Za-z0-9-]++(?:{_WIDE_DOT}[A-Za-z0-9-]++)+)")
+_WIDE_DOT_SPELLED = re.compile("(?i)" + _WIDE_DOT[3:-4])
+_DIGIT_DOT = re.compile(rf"(?i)(?<=[0-9])(?:{_WIDE_DOT[3:-4]})(?=[0-9])")
+_MAYBE_WIDE = re.compile(r"(?i)[\[({< \t]dot[\])}> \t]|[\[({<][ \t]*+(?:at|@|\.)[ \t]*+[\])}>]|@[ \t]")
+_ALONE = rf"{_WORD}(?![A-Za-z0-9])"
+_WIDE_RUN = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[ \t\r\n,-]{{1,3}})?+{_ALONE}(?:[ \t\r\n,-]{{1,3}}{_ALONE})*+")
+#: What a short run stands next to, within so many characters.
+_NEAR = 12
+_BEFORE = re.compile(rf"(?i)(?:[0-9][ \t-]{{1,3}}|\+[ \t]?|[0-9A-Za-z](?:{_WIDE_DOT[3:-1]}))\Z")
+_AFTER = re.compile(rf"(?i)[ \t-]{{1,3}}[0-9]|(?:{_WIDE_DOT[3:-1]})[0-9A-Za-z]")
 _TLD = re.compile(r"[A-Za-z]{2,24}\Z")
 
 
@@ -181,8 +197,20 @@ def _letter_edits(text: str) -> list[tuple[int, int, str]]:
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     """Each spelled word takes the gap behind it with it, so a run of words
     becomes a run of digits."""
+    return _run_edits(text, list(_SPELLED_RUN.finditer(text)))
+
+
+def _wide_digit_edits(text: str) -> list[tuple[int, int, str]]:
+    """Also of runs of fewer words, where digits, a dot or a plus stand next to them."""
+    return _run_edits(text, [run for run in _WIDE_RUN.finditer(text)
+                             if run.group()[:4].lower() == "plus" or _AFTER.match(text, run.end(), run.end() + _NEAR)
+                             or _BEFORE.search(text[max(0, run.start() - _NEAR):run.start()])
+                             or len(_SPELLED_WORD.findall(run.group())) >= MIN_SPELLED])
+
+
+def _run_edits(text: str, runs: list[re.Match]) -> list[tuple[int, int, str]]:
     edits = []
-    for run in _SPELLED_RUN.finditer(text):
+    for run in runs:
         words = list(_SPELLED_WORD.finditer(text, run.start(), run.end()))
         for m, after in zip(words, [*words[1:], None]):
             word = m.group().lower()
@@ -190,20 +218,23 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def _at_dot_edits(text: str) -> list[tuple[int, int, str]]:
+def _at_dot_edits(text: str, wide: bool = False) -> list[tuple[int, int, str]]:
     """At and dot spellings, where a whole address can be read around them: a
     spelled ``at`` needs a dotted domain that ends in letters; bare words
-    (" at ", " dot ") only count together, so plain prose is left alone."""
+    (" at ", " dot ") only count together, so plain prose is left alone.
+    Read widely, an ``@`` with a space behind it counts before any such domain
+    (one with a space only before it may be a mention)."""
+    spelled = _WIDE_DOT_SPELLED if wide else _DOT_SPELLED
     edits = []
-    for m in _DISGUISED.finditer(text):
+    for m in (_WIDE_DISGUISED if wide else _DISGUISED).finditer(text):
         at, domain = m.group(2), m.group(3)
-        dots = list(_DOT_SPELLED.finditer(text, m.start(3), m.end(3)))
+        dots = list(spelled.finditer(text, m.start(3), m.end(3)))
         bare_at = at.strip().lower() == "at"
         if at == "@" and not dots:
             continue
-        if bare_at and not dots or at.strip() == "@" and at != "@" and not dots:
+        if bare_at and not dots or at.strip() == "@" and not dots and not (wide and at[-1] in " \t"):
             continue
-        last = re.split(r"(?i)\.|" + _DOT_SPELLED.pattern[4:], domain)[-1]
+        last = re.split(spelled.pattern + r"|\.", domain)[-1]
         if not _TLD.match(last):
             continue
         if at != "@":
@@ -215,6 +246,25 @@ def _at_dot_edits(text: str) -> list[tuple[int, int, str]]:
 _MAYBE_AT_DOT = re.compile(r"(?i)[\[({< \t]dot[\])}> \t]|[\[({<][ \t]*+at[ \t]*+[\])}>]")
 
 
+def _strict(tape: Tape) -> Tape:
+    if edits := _digit_edits(tape.text):
+        tape = tape.rewrite(edits)
+    if _MAYBE_AT_DOT.search(tape.text) and (edits := _at_dot_edits(tape.text)):
+        tape = tape.rewrite(edits)
+    return tape
+
+
+def _wide(tape: Tape) -> Tape:
+    if edits := _wide_digit_edits(tape.text):
+        tape = tape.rewrite(edits)
+    if _MAYBE_WIDE.search(tape.text):
+        if edits := _at_dot_edits(tape.text, wide=True):
+            tape = tape.rewrite(edits)
+        if edits := [(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(tape.text)]:
+            tape = tape.rewrite(edits)
+    return tape
+
+
 def find_added(text: str, base: list[Span]) -> list[Span]:
     """Identifiers behind a disguise, mapped back to the source."""
     tape = Tape(text)
@@ -222,20 +272,24 @@ def find_added(text: str, base: list[Span]) -> list[Span]:
         tape = tape.rewrite(edits)
     if _DIGIT.search(tape.text) and (edits := _letter_edits(tape.text)):
         tape = tape.rewrite(edits)
-    if edits := _digit_edits(tape.text):
-        tape = tape.rewrite(edits)
-    if _MAYBE_AT_DOT.search(tape.text) and (edits := _at_dot_edits(tape.text)):
-        tape = tape.rewrite(edits)
+    strict, wide = _strict(tape), _wide(tape)
+    found = _hits(strict, [base])
+    return found + _hits(wide, [base, found]) if wide.text != strict.text else found
+
+
+def _hits(tape: Tape, known: list[list[Span]]) -> list[Span]:
+    """Spans with a rewritten character that no known span of their kind covers."""
     if 1 not in tape.made:
         return []
-    taken = {k: sorted((s.start, s.end) for s in base if s.kind == k) for k in KINDS}
+    taken = [sorted((s.start, s.end) for s in spans if s.kind == k) for spans in known for k in KINDS]
     out = []
     for s in find_base(tape.text):
         if 1 not in tape.made[s.start:s.end]:
             continue
         a, b = tape.start[s.start], tape.end[s.end - 1]
-        i = bisect_right(taken[s.kind], (a, len(text))) - 1  # base spans of a kind are disjoint
-        if i < 0 or taken[s.kind][i][1] < b:
+        # In a list, spans that begin later end later too.
+        at = [(held, bisect_right(held, (a, tape.end[-1])) - 1) for held in taken[KINDS.index(s.kind)::len(KINDS)]]
+        if all(i < 0 or held[i][1] < b for held, i in at):
             out.append(Span(s.kind, a, b))
     return out
 

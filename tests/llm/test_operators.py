@@ -603,6 +603,38 @@ def test_personal_data_disguised_in_part(text, kind, part, span):
     assert pii.redact(text, spans) == text.replace(span, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("text, kind, span", [
+    ("host 192 dot 168 dot 1 dot 10 is up", "ip", "192 dot 168 dot 1 dot 10"),
+    ("host 192 [dot] 168 [dot] 1 [dot] 10.", "ip", "192 [dot] 168 [dot] 1 [dot] 10"),
+    ("host 10[.]0[.]0[.]1", "ip", "10[.]0[.]0[.]1"),
+    ("at one nine two dot one six eight dot one dot one zero now", "ip", "one nine two dot one six eight dot one dot one zero"),
+    ("at 192.one six eight.one.10 now", "ip", "192.one six eight.one.10"),
+    ("call +1 555 01 two three!", "phone", "+1 555 01 two three"),
+    ("call plus one 555 010 99", "phone", "plus one 555 010 99"),
+    ("card 4111 one one 11 1111 1 one one 1", "card", "4111 one one 11 1111 1 one one 1"),
+    ("to user[@]example[.]com", "email", "user[@]example[.]com"),
+    ("to user@example[.]com", "email", "user@example[.]com"),
+    ("to john @ example.com", "email", "john @ example.com"),
+])
+def test_personal_data_read_widely(text, kind, span):
+    base, spans = pii.find(text)
+    assert not base and [(s.kind, text[s.start:s.end]) for s in spans] == [(kind, span)]
+    assert pii.redact(text, spans) == text.replace(span, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", ["thanks @john.doe there", "2 apples @ 2.50 each", "5 dot 3 and one dot two", "in 2010 one of two",
+                                  "256 dot 1 dot 1 dot 1", "1. one 2. two 3. three", "a [.] b [@] c", "+1 one two"])
+def test_plain_texts_read_widely_have_none(text):
+    assert pii.find(text) == ([], [])
+
+
+def test_wide_reading_loses_nothing_and_takes_linear_time():
+    text = "card ４１１１ 1111 1111 1111 two times"  # read widely, 17 digits and no card
+    assert [text[s.start:s.end] for s in pii.find(text)[1]] == ["４１１１ 1111 1111 1111"]
+    for t in ("one " * 60_000 + "onex", "1 one " * 40_000, "1 dot " * 40_000, "1[.]" * 60_000, "a [@] " * 40_000, "a @ b." * 40_000):
+        pii.find(t)
+
+
 def test_personal_data_that_a_base_span_covers_is_not_added():
     for t in ("john@mail.com\u200b", "see \u200bjohn@mail.com\u200b there", "ip 10.0.0.1\u200b"):
         base, spans = pii.find(t)
