@@ -36,7 +36,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids."""
-    return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_VOCABULARY).select(
+    return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, added=True).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -51,7 +51,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written as Arrow files and read back from them."""
     path = scratch_path(spark, "token-files")
-    token_files.write(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY, path)
+    token_files.write(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY, path, added=True)
     return token_files.read(spark, path)
 
 

@@ -150,7 +150,7 @@ def even_keys(spark: SparkSession, n: int) -> np.ndarray:
     return np.array([found.get(p, span + p) for p in range(n)], np.int32)
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """Write the files; returns the manifest (one row a file, at most
     ``MAX_FILES``), which is also kept as a Parquet table beside them."""
     docs = common.text_column(docs)
@@ -160,7 +160,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> D
     keys = even_keys(docs.sparkSession, files)  # one file a task
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc, ids = encoder(tokenizer), batch.column("doc_id")
+        enc, ids = encoder(tokenizer, added), batch.column("doc_id")
         bucket = np.searchsorted(bounds, ids.fill_null(-(1 << 62)).to_numpy(), side="left").astype(np.int32)
         raw = [np.append(x, enc.dtype.type(end_id)).tobytes() for x in enc.encode(batch.column("text"))]
         return pa.record_batch([ids, pa.array(bucket), pa.array(keys[bucket]), pa.array([enc.dtype.itemsize] * len(raw), pa.int32()),

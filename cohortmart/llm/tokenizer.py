@@ -8,6 +8,10 @@ file for which this holds are recognised by their declared steps.  A text in
 which a cut could fall inside white space is encoded whole, a chunk with
 characters outside Latin goes through the whole tokenizer, and files of any
 other kind encode every text at once.
+
+Strings of the file's added tokens (``<|endoftext|>``) are ordinary text to the
+encoder unless ``added`` is set; then they are those tokens, as in the
+tokenizer's own setting, and a text that holds one is encoded whole.
 """
 
 from __future__ import annotations
@@ -51,17 +55,21 @@ def byte_to_char() -> dict[int, str]:
 class Encoder:
     """Token ids of whole texts; the same ids as encoding each text at once."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added  # True: their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.size = max(chain(spec["model"]["vocab"].values(), (t["id"] for t in spec["added_tokens"]))) + 1
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.kind = _kind(spec)
+        #: Strings that make a text be encoded whole.
+        self.literals = [t["content"] for t in spec["added_tokens"]] if added else []
+        if added and any(t["normalized"] for t in spec["added_tokens"]):
+            self.kind = "other"
         if self.kind == "spaced":
             self.split = regex.compile(BYTE_LEVEL).findall
         elif self.kind == "words":
@@ -143,6 +151,8 @@ class Encoder:
             whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         else:
             whole = np.zeros(len(texts), bool)
+        for literal in self.literals:
+            whole = whole | pc.match_substring(texts, literal).to_numpy(zero_copy_only=False)
         out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
         if whole.any():
             at = np.flatnonzero(whole)
@@ -171,9 +181,9 @@ def _kind(spec: dict) -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """One encoder for each Python worker and file."""
-    return Encoder(path)
+    return Encoder(path, added)
 
 
 kept("encoder", encoder.cache_clear)

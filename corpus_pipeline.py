@@ -44,7 +44,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of at most 2048 ids."""
-    return packing.pack(docs, BYTE_VOCABULARY).select(
+    return packing.pack(docs, BYTE_VOCABULARY, added=True).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

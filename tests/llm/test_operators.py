@@ -17,7 +17,9 @@ from tokenizers import Tokenizer
 
 from cohortmart.llm import (common, decontamination, fingerprints, jaccard_join, lm_scoring, packing, pii, quality,
                             sharding, shingles, token_counts, token_files, tokenizer)
+from cohortmart.llm.queries import REGISTRY
 from cohortmart.session import scratch_path
+from corpus_pipeline import STAGES
 
 WORDS_FILE, BYTES_FILE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -75,6 +77,27 @@ def test_encoder_equals_the_whole_tokenizer():
         assert [x.tolist() for x in tokenizer.Encoder(path).encode(pa.array(texts))] == want
 
 
+def test_encoder_with_added_tokens_equals_the_unmodified_tokenizer():
+    r = random.Random(4)
+    bits = ["a", "B", "the ", " ", "\n", "  ", "'s", "9", "é", "日本", "<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "\x01"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 30))) for _ in range(2000)] + ["", "end <|endoftext|> here"]
+    for path, one in ((WORDS_FILE, [806, 49407, 763]), (BYTES_FILE, [437, 220, 50256, 994])):
+        want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in tokenizer.Encoder(path, added=True).encode(pa.array(texts))] == want and want[-1] == one
+
+
+def test_queries_and_pipeline_encode_added_tokens(spark, tmp_path):
+    texts = ["end <|endoftext|> here", "<|startoftext|>Plain words", "plain words only", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for path, got in ((BYTES_FILE, {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in REGISTRY["op2_packing"](spark, str(tmp_path)).collect()}),
+                      (BYTES_FILE, {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in dict(STAGES)["packing"](spark, docs, "").collect()}),
+                      (WORDS_FILE, {r.doc_id: (r.n_tokens, r.ids_crc32) for r in REGISTRY["op4_token_files"](spark, str(tmp_path)).collect()})):
+        plain = Tokenizer.from_file(path)
+        ids = [np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4") for t in texts]
+        assert got == {i: (len(x), zlib.crc32(x)) for i, x in enumerate(ids)}
+
+
 def test_encoder_caches_start_anew(monkeypatch):
     monkeypatch.setattr(tokenizer, "CACHE_CHUNKS", 5)
     monkeypatch.setattr(tokenizer, "CACHE_WORDS", 5)
