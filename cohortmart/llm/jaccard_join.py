@@ -322,9 +322,13 @@ def _list_pairs(lists: DataFrame, groups: DataFrame, bits: DataFrame, threshold:
     return ordered.mapInArrow(common.in_task(run), "a long, b long").distinct()
 
 
-def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, hashes: bool = False) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id reachable by
-    links, its own included)."""
+    links, its own included); ``hashes`` adds the text's hash (h)."""
     spark = docs.sparkSession
     docs = common.text_column(docs)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
@@ -333,12 +337,15 @@ def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     def index(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = _sets(batch, shingle)
         prefix = [ordered_prefix(h, sketch.value, threshold).view(np.int64) if len(h) else None for h in held]
-        return pa.record_batch([batch.column("doc_id"), pa.array([set_key(h) if len(h) else None for h in held], pa.int64()),
+        return pa.record_batch([*(batch.column(c) for c in named_by), pa.array([set_key(h) if len(h) else None for h in held], pa.int64()),
                                 pa.array([len(h) for h in held], pa.int32()), pa.array(prefix, pa.list_(pa.int64())),
                                 pa.array([parity_bits(h) if len(h) else None for h in held], pa.binary())],
-                               ["doc_id", "sid", "n", "prefix", "bits"])
+                               [*named_by, "sid", "n", "prefix", "bits"])
 
-    rows = common.materialize(common.map_batches(docs, index, "doc_id long, sid long, n int, prefix array<long>, bits binary"), "sets")
+    named_by = ["doc_id", "h"] if hashes else ["doc_id"]
+    rows = common.materialize(common.map_batches(
+        docs.withColumn("h", _text_hash()) if hashes else docs, index,
+        ", ".join(f"{c} long" for c in named_by) + ", sid long, n int, prefix array<long>, bits binary"), "sets")
     lists = _shared_lists(rows.filter("sid is not null"))
     sets = Sets(docs, rows, shingle, threshold)
     edge = [F.col("a").alias("u"), F.col("b").alias("v")]
@@ -350,13 +357,17 @@ def join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     placed = sets.ids.join(classes, F.col("sid") == F.col("vertex"), "left").withColumn("component", F.coalesce("component", "sid"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("members"))
     named = common.materialize(placed.join(least, "component").filter("members > 1").select("sid", "component_id"), "named")
-    return (rows.select("doc_id", "sid", F.col("n").cast("long").alias("n_shingles")).join(_small(named), "sid", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    return (rows.select(*named_by, "sid", F.col("n").cast("long").alias("n_shingles")).join(_small(named), "sid", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *named_by[1:]))
 
 
 def representatives(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
     """The documents less all but the least id of every component; the near
-    copies of a pipeline (words in a row and similarity as given)."""
-    found = common.materialize(join(docs, shingle, threshold), "joined")
-    gone = common.materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    copies of a pipeline (words in a row and similarity as given).  What goes
+    is named by id and text, so rows that share an id are judged by their own
+    texts; rows without an id stay."""
+    found = common.materialize(join(docs, shingle, threshold, hashes=True), "joined")
+    gone = common.materialize(found.filter("doc_id <> component_id").select("doc_id", "h").distinct(), "near-copies")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (_text_hash() == F.col("gone_h"))
+    return docs.join(_small(gone), same, "left_anti").select(*docs.columns)

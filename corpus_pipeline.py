@@ -5,8 +5,8 @@ returns a DataFrame.  All but the last return the columns of ``documents``.
 
 Cases, whatever the stage: null and empty texts pass the filters they can't
 fail (an empty text is judged by the classifier like any other), a null id is
-kept by the joins, repeated rows of one id stand or fall together, and a table
-without rows gives one without rows.
+kept by the joins, repeated rows of one id and text stand or fall together, and
+a table without rows gives one without rows.
 """
 
 from __future__ import annotations

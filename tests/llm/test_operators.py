@@ -396,6 +396,14 @@ def test_jaccard_representatives(spark):
     assert {r.doc_id for r in kept} == want and set(kept[0].asDict()) == {"doc_id", "text", *EXTRA}
 
 
+def test_jaccard_representatives_of_a_repeated_id(spark):
+    """Row (5, a) falls as a copy of 1, which must not take (5, b) with it: it
+    stands for 7."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    kept = jaccard_join.representatives(frame(spark, [(1, a), (5, a), (5, b), (7, b), (None, "alone here"), (5, None)])).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (5, b), (None, "alone here"), (5, None)])
+
+
 def test_parity_bits_bound_the_difference():
     r = np.random.default_rng(1)
     for _ in range(100):
