@@ -79,28 +79,31 @@ def rarest_terms(index: DataFrame, placed: DataFrame, window: int = WINDOW) -> D
     """Every window that can occur: (item, start, a, b) with the places of its
     two rarest terms (b is a in a window of one word)."""
     counts = index.filter(F.col("term") != END).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    by_item = (placed.join(_small(counts), "term", "left").fillna(0, ["df"]).groupBy("item", "n")
-               .agg(F.sort_array(F.collect_list(F.struct("place", "df"))).alias("places")))
-    width = F.least(F.lit(window), F.col("n"))
-    starts = by_item.select("item", "places", width.alias("w"), F.explode(F.sequence(F.lit(0), F.col("n") - width)).alias("start"))
-    ranked = starts.withColumn("ranked", F.expr(
-        "sort_array(transform(slice(places, start + 1, w), x -> struct(x.df as df, x.place as place)))"))
+    words = placed.join(_small(counts), "term", "left").fillna(0, ["df"])
+    # A window's words are the frame of its first word: a row holds ``window`` of them, however long the item.
+    frame = Window.partitionBy("item").orderBy("place").rowsBetween(0, window - 1)
+    ranked = (words.withColumn("ranked", F.sort_array(F.collect_list(F.struct("df", "place")).over(frame)))
+              .filter(F.col("place") <= F.col("n") - F.least(F.lit(window), F.col("n"))))
     return (ranked.filter("ranked[0].df > 0")
-            .select("item", "start", F.expr("ranked[0].place").alias("a"), F.expr("coalesce(get(ranked, 1).place, ranked[0].place)").alias("b")))
+            .select("item", F.col("place").alias("start"), F.expr("ranked[0].place").alias("a"),
+                    F.expr("coalesce(get(ranked, 1).place, ranked[0].place)").alias("b")))
 
 
 def candidates(index: DataFrame, placed: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(row, item, shift): both rarest terms of some window stand in place."""
-    windows = common.materialize(rarest_terms(index, placed, window), "windows")
-    pairs = windows.groupBy("item").agg(F.collect_set(F.struct("a", "b")).alias("pairs"))
-    anchors = (windows.select("item", F.explode(F.array("a", "b")).alias("place")).distinct()
+    """(row, item, shift): both rarest terms of some window stand in place.
+
+    A pair of places of an item brings one row for each of the two, so a
+    (row, item, shift, pair) with as many rows as the pair has places has both;
+    nothing grows with the square of an item's length."""
+    pairs = common.materialize(rarest_terms(index, placed, window).select("item", "a", "b").distinct(), "windows")
+    anchors = (pairs.select("item", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("place"))
                .join(placed.select("item", "place", "term"), ["item", "place"]))
-    found = (index.filter(F.col("term") != END).join(_small(anchors), "term")
-             .select("row", "item", (F.col("pos") - F.col("place")).alias("shift"), "place")
-             .groupBy("row", "item", "shift").agg(F.collect_set("place").alias("found")))
-    return (found.join(_small(pairs), "item")
-            .filter(F.expr("exists(pairs, p -> array_contains(found, p.a) and array_contains(found, p.b))"))
-            .select("row", "item", "shift"))
+    anchors = common.materialize(anchors, "anchors")
+    return (index.filter(F.col("term") != END).join(_small(anchors), "term")
+            .select("row", "item", (F.col("pos") - F.col("place")).alias("shift"), "a", "b")
+            .groupBy("row", "item", "shift", "a", "b").agg(F.count(F.lit(1)).alias("here"))
+            .filter(F.col("here") == F.when(F.col("a") == F.col("b"), 1).otherwise(2))
+            .select("row", "item", "shift").distinct())
 
 
 def phrase_matches(index: DataFrame, placed: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -108,10 +111,11 @@ def phrase_matches(index: DataFrame, placed: DataFrame, window: int = WINDOW) ->
     document, by their first place; a place p stands at word shift + p."""
     found = common.materialize(candidates(index, placed, window), "candidates")
     rows = _small(found)
+    # The shift says which place of the item a position must be, so each meets at most one.
     in_place = (index.filter(F.col("term") != END).join(rows, "row")
-                .join(_small(placed.select("item", "place", "n", "term")),
-                      ["item", "term"]).filter(F.col("pos") == F.col("shift") + F.col("place"))
-                .groupBy("row", "item", "shift", "n").agg(F.sort_array(F.collect_set("place")).alias("places")))
+                .withColumn("place", F.col("pos") - F.col("shift")).filter("place >= 0")
+                .join(_small(placed.select("item", "place", "n", "term")), ["item", "place", "term"])
+                .groupBy("row", "item", "shift", "n").agg(F.sort_array(F.collect_list("place")).alias("places")))
     return (in_place.withColumn("w", F.least(F.lit(window), F.col("n")))
             .withColumn("starts", F.expr("filter(places, (x, i) -> get(places, i + w - 1) = x + w - 1)"))
             .filter(F.size("starts") > 0).select("row", "item", "shift", "w", "starts"))
@@ -159,5 +163,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     h = F.xxhash64("text")
     found = contamination(docs.select("doc_id", "text"), benchmark, window, keep=[h.alias("h")])
     gone = common.materialize(found.filter("contaminated").select("doc_id", "h").distinct(), "contaminated")
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
-    return docs.join(_small(gone), F.col("doc_id").eqNullSafe(F.col("gone_id")) & (h == F.col("gone_h")), "left_anti")
+    gone_id, gone_h = common.fresh(docs, "gone_id"), common.fresh(docs, "gone_h")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("h").alias(gone_h))
+    return docs.join(_small(gone), F.col("doc_id").eqNullSafe(F.col(gone_id)) & (h == F.col(gone_h)), "left_anti")
