@@ -28,6 +28,14 @@ def text_column(docs: DataFrame, null_as_empty: bool = True) -> DataFrame:
                        (F.coalesce(text, F.lit("")) if null_as_empty else text).alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it a name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: What a Python worker keeps between tasks: its owner and how to drop it.
 _KEPT: dict[str, Callable[[], None]] = {}
 
@@ -94,4 +102,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["BATCH_ROWS", "read_table", "text_column", "in_task", "kept", "release", "tidy", "map_batches", "materialize"]
+__all__ = ["BATCH_ROWS", "read_table", "text_column", "fresh", "in_task", "kept", "release", "tidy", "map_batches", "materialize"]

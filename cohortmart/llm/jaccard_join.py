@@ -368,6 +368,7 @@ def representatives(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     texts; rows without an id stay."""
     found = common.materialize(join(docs, shingle, threshold, hashes=True), "joined")
     gone = common.materialize(found.filter("doc_id <> component_id").select("doc_id", "h").distinct(), "near-copies")
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (_text_hash() == F.col("gone_h"))
+    gone_id, gone_h = common.fresh(docs, "gone_id"), common.fresh(docs, "gone_h")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("h").alias(gone_h))
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (_text_hash() == F.col(gone_h))
     return docs.join(_small(gone), same, "left_anti").select(*docs.columns)

@@ -12,8 +12,8 @@ back to the classes' true shares.  Every document is scored whole in Arrow
 batches; a batch is worked on in slices, so long texts need little memory.
 
 Cases: a null or empty text is one chunk of padding and gets that chunk's
-score; repeated rows are scored row by row; labels without text or with null
-are left out, of repeated labels of an id the greatest counts; with labels of
+score; repeated rows are scored row by row; labels without a document or with null
+are left out, a labelled null text is learnt as an empty one, of repeated labels of an id the greatest counts; with labels of
 one class only (or none) every score is that class (or 0.5); extra columns are
 ignored.
 """
@@ -217,21 +217,26 @@ def _bytes(texts: pa.Array) -> list[np.ndarray]:
 
 
 def score(docs: DataFrame, net: Net | float, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents' columns and ``score``, ``predicted``."""
-    names = {f.name.lower() for f in docs.schema.fields}
-    extra = [n for n in ("score", "predicted") if n in names]
-    docs = docs.drop(*extra)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    """The documents' columns and ``score``, ``predicted`` (with underscores
+    behind them where the documents have columns of these names)."""
+    names = [common.fresh(docs, n) for n in ("score", "predicted")]
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         text = batch.column(batch.schema.get_field_index("text")).fill_null("")
         s = np.full(len(text), net) if isinstance(net, float) else score_texts(net, _bytes(text))
         return pa.record_batch([*batch.columns, pa.array(s.astype(np.float64)), pa.array((s >= threshold).astype(np.int32))],
-                               [*batch.schema.names, "score", "predicted"])
+                               [*batch.schema.names, *names])
 
     return common.map_batches(docs, fn, schema)
 
 
+def passed(docs: DataFrame, net: Net | float, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the network takes for label 1, their columns unchanged."""
+    scored = score(docs, net, threshold)
+    return scored.filter(F.col(scored.columns[-1]) == 1).drop(*scored.columns[-2:])
+
+
 def judged(docs: DataFrame, net: Net | float) -> DataFrame:
     """doc_id, held_out, score, predicted of each row."""
     return score(common.text_column(docs), net).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -7,13 +7,14 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline
 from cohortmart.llm import common, pii, quality
 from cohortmart.llm import queries as LQ
-from tests.llm.test_operators import BYTES_FILE, brute_components, brute_contamination
+from tests.llm.test_operators import BYTES_FILE, EXTRA, brute_components, brute_contamination
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -88,6 +89,19 @@ def test_stages(spark):
     assert all(sum(n for _, n in s) <= 2048 for s in by_sequence.values())
 
 
+def test_stages_leave_columns_with_clashing_names(spark):
+    docs = common.read_table(spark, SF, "documents").limit(60)
+    extra = [*EXTRA, "predicted", "gone_id", "gone_h", "h_", "score_", "component_id", "contaminated"]
+    for n in extra:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id")))
+    docs = common.materialize(docs, "test-clash")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, common.materialize(stage(spark, docs, SF), "test-clash")
+        if name != "packing":
+            assert docs.schema.simpleString() == before.schema.simpleString() and 0 < docs.count()
+            assert docs.filter(" or ".join(f"`{n}` <> concat('{n}', doc_id)" for n in extra)).count() == 0
+
+
 def test_stages_on_no_rows_and_on_odd_rows(spark):
     docs = common.read_table(spark, SF, "documents")
     odd = docs.limit(40).unionByName(spark.createDataFrame(
