@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
-from .tokenizer import BATCH_ROWS, encoder
+from .tokenizer import BATCH_ROWS, CACHE_BYTES, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -93,13 +93,13 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           with_ids: bool = False, added: bool = False) -> DataFrame:
+           with_ids: bool = False, added: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Each document's pieces: full windows from its start, then the rest;
     ``with_ids`` adds the piece's ids as little-endian unsigned 32-bit bytes;
-    ``added`` is the encoder's."""
+    ``added`` and ``cache_bytes`` are the encoder's."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoder(tokenizer, added)
+        enc = encoder(tokenizer, added, cache_bytes)
         doc, start, length, crc, total, body = [], [], [], [], [], []
         for doc_id, text_ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
             ids = np.append(text_ids.astype("<u4"), np.uint32(end_id)).tobytes()
@@ -169,9 +169,9 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         with_ids: bool = False, added: bool = False) -> DataFrame:
+         with_ids: bool = False, added: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Per piece: where it lies in its document and in its sequence."""
-    return place(pieces(docs, tokenizer, capacity, end_id, with_ids, added), capacity)
+    return place(pieces(docs, tokenizer, capacity, end_id, with_ids, added, cache_bytes), capacity)
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:

@@ -28,9 +28,10 @@ import regex
 
 from .common import kept
 
-#: Distinct words and chunks kept in a worker (about 200 bytes each); each
-#: cache starts anew beyond it.
-CACHE_WORDS, CACHE_CHUNKS = 600_000, 600_000
+#: Bytes of distinct words, and of distinct chunks, that an encoder keeps; each
+#: cache starts anew beyond it.  An entry counts as its text, its ids and what
+#: Python needs to hold the two.
+CACHE_BYTES, ENTRY_BYTES = 108 << 20, 150
 #: Rows of a batch (more share more chunks), and bytes of text encoded at a time.
 BATCH_ROWS = 1000
 SLICE_BYTES = 4 << 20
@@ -55,7 +56,7 @@ def byte_to_char() -> dict[int, str]:
 class Encoder:
     """Token ids of whole texts; the same ids as encoding each text at once."""
 
-    def __init__(self, path: str, added: bool = False) -> None:
+    def __init__(self, path: str, added: bool = False, cache_bytes: int = CACHE_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -84,6 +85,7 @@ class Encoder:
         self.chars[1] = f" {mark} "
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.cache_bytes, self.words_bytes, self.chunks_bytes = cache_bytes, 0, 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -91,9 +93,9 @@ class Encoder:
 
     def _learn_words(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
+        if self.words_bytes > self.cache_bytes:
             self.words.clear()
-            new = list(words)
+            self.words_bytes, new = 0, list(words)
         if not new:
             return
         mapped = "\x01".join([*new, ""]).encode().decode("latin-1").translate(self.chars)
@@ -101,13 +103,12 @@ class Encoder:
         ends, w = np.flatnonzero(ids == self.mark_id), self.dtype.itemsize
         raw, starts = ids.tobytes(), np.concatenate([[0], ends[:-1] + 1])
         self.words.update(zip(new, [raw[a:b] for a, b in zip((starts * w).tolist(), (ends * w).tolist())]))
+        self.words_bytes += ENTRY_BYTES * len(new) + len(mapped) + len(raw)
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache or learned now."""
         found = list(map(self.chunks.get, chunks))
         at = [i for i, f in enumerate(found) if f is None]
-        if len(self.chunks) + len(at) > CACHE_CHUNKS:
-            self.chunks.clear()
         if not at:
             return found
         new = [chunks[i] for i in at]
@@ -124,7 +125,11 @@ class Encoder:
         ids = [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words]
         for j, raw in zip(odd, self._whole([told[j] for j in odd])):
             ids[j] = raw
+        if self.chunks_bytes > self.cache_bytes:
+            self.chunks.clear()
+            self.chunks_bytes = 0
         self.chunks.update(zip(new, ids))
+        self.chunks_bytes += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, ids))
         for i, raw in zip(at, ids):
             found[i] = raw
         return found
@@ -181,9 +186,9 @@ def _kind(spec: dict) -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, added: bool = False) -> Encoder:
+def encoder(path: str, added: bool = False, cache_bytes: int = CACHE_BYTES) -> Encoder:
     """One encoder for each Python worker and file."""
-    return Encoder(path, added)
+    return Encoder(path, added, cache_bytes)
 
 
 kept("encoder", encoder.cache_clear)

@@ -98,13 +98,13 @@ def test_queries_and_pipeline_encode_added_tokens(spark, tmp_path):
         assert got == {i: (len(x), zlib.crc32(x)) for i, x in enumerate(ids)}
 
 
-def test_encoder_caches_start_anew(monkeypatch):
-    monkeypatch.setattr(tokenizer, "CACHE_CHUNKS", 5)
-    monkeypatch.setattr(tokenizer, "CACHE_WORDS", 5)
+def test_encoder_caches_start_anew():
     texts = ["one two three four five six seven", "two eight nine ten one", "one"]
-    e, plain = tokenizer.Encoder(BYTES_FILE), Tokenizer.from_file(BYTES_FILE)
-    for _ in range(2):
-        assert [x.tolist() for x in e.encode(pa.array(texts))] == [x.ids for x in plain.encode_batch(texts)]
+    e, plain = tokenizer.Encoder(BYTES_FILE, cache_bytes=600), Tokenizer.from_file(BYTES_FILE)
+    for i in range(12):
+        now = [f"{t} more{i} words{i}" for t in texts]
+        assert [x.tolist() for x in e.encode(pa.array(now))] == [x.ids for x in plain.encode_batch(now)]
+        assert max(len(e.words), len(e.chunks)) < 24  # of 40 and more
 
 
 def greedy_pieces():
@@ -473,6 +473,16 @@ def test_decontamination_without_broadcasts(spark, rows, monkeypatch):
     assert multiset(decontamination.contamination(frame(spark, rows), bench).drop("row")) == brute_contamination(rows, benchmark_rows(rows))
 
 
+def test_decontamination_by_long_items(spark):
+    r = random.Random(21)
+    words = [f"w{i}" for i in range(3000)] + ["the"] * 1500
+    item = [r.choice(words) for _ in range(20_000)]
+    bench = [(1, " ".join(item)), (2, "alone"), (3, " ".join(item[50:63])), (4, " ".join(["the"] * 40))]
+    rows = [(1, " ".join(item)), (2, " ".join(item[9000:9300])), (3, "none of it alone"), (4, " ".join(r.sample(item, 15_000))), (5, " ".join(["the"] * 60)), (6, "")]
+    bench_frame = spark.createDataFrame(bench, "item_id long, text string")
+    assert multiset(decontamination.contamination(frame(spark, rows), bench_frame).drop("row")) == brute_contamination(rows, bench)
+
+
 def test_proximity(spark):
     gap = " ".join(f"f{i}" for i in range(60))
     held = frame(spark, [(1, "rare1 a b rare2"), (2, f"rare2 {gap} rare1"), (3, "rare1 only"), (4, f"{gap} rare2 x rare1"), (5, "a a a"), (6, "b b b b")])
