@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortmart.llm import common, decontamination, jaccard_join, packing, pii, quality
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: What the encoder keeps: little, beside executors that four stages have grown.
+ENCODER_BYTES = 16 << 20
 #: Near copies: words in a row, and hundredths of similarity.
 SHINGLE, SIMILARITY = 5, 80
 
@@ -24,7 +26,7 @@ SHINGLE, SIMILARITY = 5, 80
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     net = quality.fit(docs, common.read_table(spark, sf_dir, "labels"))
-    return quality.score(docs, net).filter("predicted = 1").select(*docs.columns)
+    return quality.passed(docs, net)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of at most 2048 ids."""
-    return packing.pack(docs, BYTE_VOCABULARY, added=True).select(
+    return packing.pack(docs, BYTE_VOCABULARY, added=True, cache_bytes=ENCODER_BYTES).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
