@@ -32,9 +32,11 @@ from .common import kept
 #: cache starts anew beyond it.  An entry counts as its text, its ids and what
 #: Python needs to hold the two.
 CACHE_BYTES, ENTRY_BYTES = 108 << 20, 150
-#: Rows of a batch (more share more chunks), and bytes of text encoded at a time.
+#: Rows of a batch (more share more chunks), and bytes of text encoded at a time:
+#: what a slice needs for a moment is some 40 times as much, so an encoder with a
+#: small cache takes small slices too, a SLICE_SHARE of it.
 BATCH_ROWS = 1000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, SLICE_SHARE = 4 << 20, 32
 
 # Fixed value: how byte-level files of the first kind split a text into words.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -86,6 +88,7 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.cache_bytes, self.words_bytes, self.chunks_bytes = cache_bytes, 0, 0
+        self.slice_bytes = min(SLICE_BYTES, cache_bytes // SLICE_SHARE + 1)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -164,7 +167,7 @@ class Encoder:
             for i, raw in zip(at.tolist(), self._whole(texts.take(pa.array(at)).to_pylist())):
                 out[i] = np.frombuffer(raw, self.dtype)
         at = np.flatnonzero(~whole)
-        size = np.cumsum(pc.binary_length(texts).to_numpy()[at]) // SLICE_BYTES
+        size = np.cumsum(pc.binary_length(texts).to_numpy()[at]) // self.slice_bytes
         for rows in np.split(at, np.flatnonzero(np.diff(size)) + 1):
             if len(rows):
                 ids, ends = self._cut(texts.take(pa.array(rows)))
