@@ -18,7 +18,7 @@ from cohortmart.llm import common, decontamination, jaccard_join, packing, pii,
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: What the encoder keeps: little, beside executors that four stages have grown.
-ENCODER_BYTES = 16 << 20
+ENCODER_BYTES = 8 << 20
 #: Near copies: words in a row, and hundredths of similarity.
 SHINGLE, SIMILARITY = 5, 80
 
