@@ -90,6 +90,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(in_task(run, owner), schema)
 
 
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                   schema: str | T.StructType, owner: str | None = None, rows: int = BATCH_ROWS) -> DataFrame:
+    """Apply ``fn`` to all batches of a task, one after the other."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df.mapInArrow(in_task(fn, owner), schema)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -102,4 +109,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["BATCH_ROWS", "read_table", "text_column", "fresh", "in_task", "kept", "release", "tidy", "map_batches", "materialize"]
+__all__ = ["BATCH_ROWS", "read_table", "text_column", "fresh", "in_task", "kept", "release", "tidy", "map_batches", "map_partitions", "materialize"]

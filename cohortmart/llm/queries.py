@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortmart.session import scratch_path
 
-from . import decontamination, fingerprints, jaccard_join, lm_scoring, oracles, packing, pii, quality, sharding, token_counts, token_files
+from . import (alignment, byte_pairs, decontamination, fingerprints, jaccard_join, lm_scoring, oracles, packing, pii, quality,
+               sharding, spelling, token_counts, token_files)
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 #: The files' folder is the installed package's on every executor.
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 @query
@@ -90,3 +94,24 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts, base digest, all spans."""
     return pii.detect(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by merge ranks, and decoded again: digests of both."""
+    both = byte_pairs.round_trip(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    written = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every whole text, links scored by the corpus's counts."""
+    return alignment.link_scores(read_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents: near words, forms and roots."""
+    return spelling.group(read_table(spark, sf_dir, "documents"))
