@@ -177,8 +177,9 @@ def lineitem_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").select(*LINEITEM_IDS, *LINEITEM_MEASURES)
 
 
-def imaging_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """A wide imaging batch derived from orders and lineitem.
+def imaging_batch(spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None) -> dict[str, DataFrame]:
+    """A wide imaging batch derived from orders and lineitem, or of the orders
+    of a time span (``since`` its first day, ``before`` the day behind its last).
 
     * ``mri_visits`` — one row per order: PATIENT_ID ``P<custkey>``, VISIT_ID
       ``V<orderkey>``, VISIT_DATE as ``dd/MM/yyyy`` text, PATIENT_AGE decimal.
@@ -186,6 +187,10 @@ def imaging_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
       code ``P<custkey>_V<orderkey>``, then the four measures as decimal(18,5).
     """
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if since:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if before:
+        orders = orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", *LINEITEM_MEASURES)
     mri_visits = orders.select(
         F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("PATIENT_ID"),
@@ -199,6 +204,14 @@ def imaging_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"mri_visits": mri_visits, "volumes": volumes}
 
 
+def imaging_patients(spark: SparkSession, sf_dir: str, patient_mapping: DataFrame) -> DataFrame:
+    """patient_dimension of the imaging patients: the clinical view's sex rule
+    through their new numbers."""
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return (patient_mapping.join(customer, F.col("patient_ide") == F.concat(F.lit("P"), customer.c_custkey.cast("string")))
+            .select("patient_num", F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("sex_cd")))
+
+
 def capture_mart(spark: SparkSession, sf_dir: str, load_time=None) -> Mart:
     """Capture mart filled by the imaging ingest of :func:`imaging_batch`.
 
@@ -212,12 +225,7 @@ def capture_mart(spark: SparkSession, sf_dir: str, load_time=None) -> Mart:
     res = ingest_imaging(b["volumes"], b["mri_visits"], measures=LINEITEM_MEASURES,
                          hospital=HOSPITAL, load_time=load_time)
     t = res.targets
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey")
-    pd = (t["patient_mapping"].join(
-            customer, t["patient_mapping"].patient_ide
-            == F.concat(F.lit("P"), customer.c_custkey.cast("string")))
-          .select("patient_num",
-                  F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("sex_cd")))
+    pd = imaging_patients(spark, sf_dir, t["patient_mapping"])
     cd = spark.createDataFrame([], "concept_cd string, sourcesystem_cd string, upload_id int")
     return Mart(patient_mapping=t["patient_mapping"], encounter_mapping=t["encounter_mapping"],
                 patient_dimension=pd, visit_dimension=t["visit_dimension"], concept_dimension=cd,

@@ -74,8 +74,19 @@ def concept_catalog(facts: DataFrame) -> DataFrame:
     value type): string keys with a long buffer, so it is a hash aggregate
     combined map-side (string min/max buffers would force a sort of every
     fact).  The string min/max then run over that tiny table."""
-    triples = (facts.groupBy("concept_cd", "provider_id", "valtype_cd")
-               .agg(F.count(F.lit(1)).alias("n")))
+    return merged_catalog(concept_triples(facts))
+
+
+def concept_triples(facts: DataFrame) -> DataFrame:
+    """(concept_cd, provider_id, valtype_cd, n): what a catalog needs of some
+    facts.  The triples of several sets of facts together give the catalog of
+    all of them, so a load counts its own facts only."""
+    return (facts.groupBy("concept_cd", "provider_id", "valtype_cd")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def merged_catalog(triples: DataFrame) -> DataFrame:
+    """The concept catalog from triples, of one load or of many."""
     return (triples.groupBy("concept_cd")
             .agg(F.min("valtype_cd").alias("valtype_cd"),
                  (F.min("valtype_cd") != F.max("valtype_cd")).alias("mixed_valtype"),

@@ -9,7 +9,7 @@ patient_mapping and observation_fact.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,7 +48,8 @@ def parse_visit_date(col: Column, mode: str = "strict") -> Column:
 FACT_ORDER = ("encounter_num", "concept_cd", "nval_num", "patient_num")
 
 
-def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact_offset: int = 0) -> MappingSpec:
+def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact_offset: int = 0,
+                 bucket: Callable[[Column], Column] | None = None) -> MappingSpec:
     """The imaging capture mapping: 8 source aliases, 5 joins, 4 targets.
 
     The two identity maps deliver only the rows that this load adds (the
@@ -56,10 +57,14 @@ def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact
     ``fact_order``: columns that ``text_search_index`` follows; without any it
     numbers the facts as they are stored, in one materialisation and without a
     shuffle.  ``fact_offset``: the greatest number of earlier loads.
+    ``bucket``: every target gets a column ``bucket``, this of the patient code.
     """
     def vdate(alias):
         return Expr((alias,), lambda c: parse_visit_date(c(alias, "VISIT_DATE"), date_mode))
 
+    def bucketed(alias):
+        return () if bucket is None else (("bucket", Expr((alias,), lambda c: bucket(c(alias, "patient_ide")))),)
+
     return MappingSpec(
         sources={"mv": "mri_visits", "em": "EncounterMapping", "pm": "PatientMapping",
                  "pm1": "PatientMappingNew", "uv": "unpivoted_volumes", "mv1": "mri_visits",
@@ -83,6 +88,7 @@ def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact
                 ("patient_ide_source", Copy("emn", "patient_ide_source")),
                 ("encounter_num", Copy("emn", "encounter_num")),
                 ("import_date", LoadTime()),
+                *bucketed("emn"),
             ), distinct=True),
             Target("visit_dimension", (
                 ("encounter_num", Copy("em", "encounter_num")),
@@ -91,6 +97,7 @@ def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact
                 ("patient_age", Expr(("mv",), lambda c: c("mv", "PATIENT_AGE").cast(DEC))),
                 ("location_cd", Const(IMAGING_LOCATION)),
                 ("import_date", LoadTime()),
+                *bucketed("pm"),
             ), distinct=True),
             Target("patient_mapping", (
                 ("patient_ide", Copy("pm1", "patient_ide")),
@@ -98,8 +105,10 @@ def imaging_spec(date_mode: str = "strict", fact_order: Sequence[str] = (), fact
                 ("project_id", Copy("pm1", "project_id")),
                 ("patient_num", Copy("pm1", "patient_num")),
                 ("import_date", LoadTime()),
+                *bucketed("pm1"),
             ), distinct=True),
             Target("observation_fact", (
+                *bucketed("pm2"),
                 ("encounter_num", Copy("em1", "encounter_num")),
                 ("patient_num", Copy("pm2", "patient_num")),
                 ("concept_cd", Copy("uv", "Attribute")),

@@ -589,3 +589,7 @@ def export_local_maxdate(spark, sf_dir):
 def export_local_longitude(spark, sf_dir):
     """Longitude over the capture mart."""
     return X.export_frame(_capture(spark, sf_dir), "longitude")
+
+
+# ------------------------------------------------------------ stored marts --
+from cohortmart import queries_stored  # noqa: E402,F401  (registers its queries)

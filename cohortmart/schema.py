@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cohortmart.sources.storage import Files
+
 DEC = T.DecimalType(18, 5)
 
 PATIENT_MAPPING = T.StructType([
@@ -73,8 +74,17 @@ STAR_SCHEMAS = {
     "observation_fact": OBSERVATION_FACT,
 }
 
-# Folder of the stored concept catalog, beside the star tables.
+# Folder of the stored concept catalog, beside the star tables: facts by concept,
+# provider and value type, counted write by write and summed up when read.  The
+# stamp beside it says which fact files it covers.
 CATALOG = "concept_catalog"
+CATALOG_STAMP = "_covers"
+CATALOG_DELTA = T.StructType([
+    T.StructField("concept_cd", T.StringType()),
+    T.StructField("provider_id", T.StringType()),
+    T.StructField("valtype_cd", T.StringType()),
+    T.StructField("n", T.LongType()),
+])
 
 # Bucketing of the star tables: exports join facts to selected encounters on
 # encounter_num and aggregate visits per patient, so facts and encounter maps
@@ -120,34 +130,45 @@ class Mart:
         return replace(self, **tables)
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, name: str = "harmonized") -> "Mart":
-        """Open ``<root>/<table>`` parquet folders lazily, and the stored concept
-        catalog where there is one."""
+    def from_parquet(cls, spark: SparkSession, root: str, name: str = "harmonized", stale: str = "recount") -> "Mart":
+        """Open ``<root>/<table>`` parquet folders lazily, with the stored concept
+        catalog where it covers the facts that are there.  Where facts were
+        added or taken away by another path, the catalog is left alone
+        (``stale="recount"``: exports count the facts themselves) or refused
+        (``stale="fail"``)."""
         root = root.rstrip("/")
-        try:
-            catalog = spark.read.parquet(f"{root}/{CATALOG}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            catalog = None
+        catalog = stored_catalog(spark, root)
+        if catalog is None and stale == "fail":
+            raise ValueError(f"the concept catalog of {root} does not cover its facts")
+        if stale not in ("recount", "fail"):
+            raise ValueError("stale must be 'recount' or 'fail'")
         return cls(**{t: spark.read.parquet(f"{root}/{t}") for t in STAR_SCHEMAS}, name=name, catalog=catalog)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str, name: str | None = None) -> "Mart":
-        """Open catalog tables ``<database>.<table>`` (bucketed tables keep their layout)."""
+    def from_catalog(cls, spark: SparkSession, database: str, name: str | None = None, root: str | None = None) -> "Mart":
+        """Open catalog tables ``<database>.<table>`` (bucketed tables keep their
+        layout); ``root``: where their files and the concept catalog are."""
         return cls(**{t: spark.table(f"{database}.{t}") for t in STAR_SCHEMAS},
-                   name=name or database)
+                   name=name or database, catalog=stored_catalog(spark, root.rstrip("/")) if root else None)
 
     def write_parquet(self, root: str, mode: str = "overwrite") -> None:
-        """Write the star tables and the catalog of the facts that are now
-        stored, so that exports of the stored mart need no pass over them to
-        learn their columns."""
-        from cohortmart.operators.reshape import concept_catalog
-        root = root.rstrip("/")
+        """Write (or append) the star tables and the concept catalog of the facts,
+        so that exports of the stored mart need no pass over them to learn their
+        columns.  An append counts the facts that it adds, from the files that it
+        wrote; all facts are counted only if the catalog did not cover those before."""
+        from cohortmart.operators.reshape import concept_triples
+        root, spark = root.rstrip("/"), self.observation_fact.sparkSession
+        facts = f"{root}/observation_fact"
+        covered = mode == "append" and stored_catalog(spark, root) is not None
+        before = set(spark.read.parquet(facts).inputFiles()) if covered else set()
         for t, df in self.tables().items():
             df.write.mode(mode).parquet(f"{root}/{t}")
-        facts = self.observation_fact.sparkSession.read.parquet(f"{root}/observation_fact")
-        concept_catalog(facts).write.mode("overwrite").parquet(f"{root}/{CATALOG}")
+        now = spark.read.parquet(facts)
+        if covered:
+            added = [f for f in now.inputFiles() if f not in before]
+            now = spark.read.schema(OBSERVATION_FACT).parquet(*added) if added else now.limit(0)
+        concept_triples(now).write.mode("append" if covered else "overwrite").parquet(f"{root}/{CATALOG}")
+        stamp_catalog(spark, root)
 
     def save_bucketed(self, database: str, root: str, buckets: int,
                       mode: str = "overwrite") -> "Mart":
@@ -167,4 +188,28 @@ class Mart:
             if key is not None:
                 w = w.bucketBy(buckets, key).sortBy(key)
             w.saveAsTable(f"{database}.{t}")
-        return Mart.from_catalog(spark, database, name=self.name)
+        from cohortmart.operators.reshape import concept_triples
+        concept_triples(spark.table(f"{database}.observation_fact")).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{CATALOG}")
+        stamp_catalog(spark, root)
+        return Mart.from_catalog(spark, database, name=self.name, root=root)
+
+
+def _covered(files: Files, root: str) -> str:
+    n, length = files.size(f"{root}/observation_fact")
+    return f"{n} files, {length} bytes"
+
+
+def stamp_catalog(spark: SparkSession, root: str) -> None:
+    """Note beside the stored catalog which fact files it covers."""
+    files, root = Files(spark), root.rstrip("/")
+    files.write(f"{root}/{CATALOG}/{CATALOG_STAMP}", _covered(files, root))
+
+
+def stored_catalog(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored concept catalog; None if there is none, or if the facts are not
+    those that it was counted from."""
+    from cohortmart.operators.reshape import merged_catalog
+    files, stamp = Files(spark), f"{root}/{CATALOG}/{CATALOG_STAMP}"
+    if not files.exists(stamp) or not files.exists(f"{root}/observation_fact") or files.read(stamp) != _covered(files, root):
+        return None
+    return merged_catalog(spark.read.schema(CATALOG_DELTA).parquet(f"{root}/{CATALOG}"))

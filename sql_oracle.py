@@ -629,3 +629,49 @@ ORACLES.update({
     "export_mindate_wide": wide(export_extreme_sql("min", locals_=WIDE)),
     "export_longitude_wide": wide(export_longitude_sql(locals_=WIDE)),
 })
+
+# ------------------------------------------------------------ stored marts --
+# The span of a visit's day is its load; numbers go on from load to load, in key order within one.
+SPAN = "CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN 1 WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN 2 ELSE 3 END"
+LOADED = [
+    f"""visits AS (SELECT concat('P', cast(o_custkey AS varchar)) AS patient_ide, concat('V', cast(o_orderkey AS varchar)) AS encounter_ide,
+                          {SPAN} AS load, o_orderdate AS start_date, o_orderkey,
+                          cast((4000 + (o_custkey % 55) * 100 + (o_orderkey % 100)) / 100.0 AS double) AS patient_age FROM orders)""",
+    "patients AS (SELECT patient_ide, row_number() OVER (ORDER BY min(load), patient_ide) AS patient_num FROM visits GROUP BY patient_ide)",
+    "numbered AS (SELECT *, row_number() OVER (ORDER BY load, encounter_ide) AS encounter_num FROM visits JOIN patients USING (patient_ide))",
+    """scans AS (SELECT l_orderkey, unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS concept_cd,
+                        unnest([cast(l_quantity AS decimal(18,5)), cast(l_extendedprice AS decimal(18,5)), cast(l_discount AS decimal(18,5)),
+                                cast(l_tax AS decimal(18,5))]) AS nval_num FROM lineitem)""",
+]
+
+
+def _loaded(select: str) -> str:
+    return "WITH " + ",\n".join(LOADED) + "\n" + select
+
+
+def _edge_visits(agg: str) -> str:
+    return _loaded(f"""SELECT patient_ide, encounter_ide, start_date, patient_age FROM visits
+      QUALIFY start_date = {agg}(start_date) OVER (PARTITION BY patient_ide)""")
+
+
+LATE_FACTS = """
+  UNION ALL
+  SELECT o_orderkey, o_custkey, 'latecomer', o_orderdate, 1, 'N', 'E', cast(o_orderkey % 97 AS decimal(18,5)) FROM orders),
+observation_fact AS ("""
+
+ORACLES.update({
+    "loads_patients": _loaded(f"SELECT patient_ide, '{HOSPITAL}' AS patient_ide_source, '{HOSPITAL}' AS project_id, patient_num FROM patients"),
+    "loads_visits": _loaded("SELECT encounter_num, encounter_ide, patient_num, start_date, patient_age, 'MRI' AS location_cd FROM numbered"),
+    "loads_facts": _loaded(f"""SELECT encounter_num, patient_num, concept_cd, '{HOSPITAL}' AS provider_id, start_date, '@' AS modifier_cd,
+      1 AS instance_num, 'N' AS valtype_cd, 'E' AS tval_char, cast(nval_num AS double) AS nval_num,
+      row_number() OVER (ORDER BY load, encounter_num, concept_cd, nval_num NULLS FIRST) AS text_search_index, 'MRI' AS location_cd
+      FROM scans JOIN numbered ON l_orderkey = o_orderkey"""),
+    "stored_first_visits": _edge_visits("min"),
+    "stored_last_visits": _edge_visits("max"),
+    "stored_export_mindate": _local_sql(export_extreme_sql("min", **LOCAL_LAYOUT)),
+    "stored_export_maxdate": _local_sql(export_extreme_sql("max", **LOCAL_LAYOUT)),
+    "ledger_offers": """SELECT k AS offer, status, n_files, (SELECT count(*) FROM orders) AS n_visits
+      FROM (VALUES (1, 'new', 5), (2, 'loaded', 5), (3, 'loaded', 4), (3, 'changed', 1)) t(k, status, n_files)""",
+    "stale_catalog_mindate": export_extreme_sql("min", locals_=tuple(sorted([*LOCALS, ("latecomer", "num")]))).replace(
+        "),\nobservation_fact AS (", LATE_FACTS, 1),
+})
