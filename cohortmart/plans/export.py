@@ -24,12 +24,12 @@ through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortmart.functions.columns import (
@@ -114,22 +114,33 @@ class Selection:
 class ExportResult:
     frame: DataFrame
     cells: DataFrame          # (key…, concept_cd, w) before the winner reduction
+    facts: Observation        # of the facts that the frame writes: their number, ``updates``
     key_cols: tuple[str, ...]
     columns: tuple[str, ...]
     n_cde_columns: int
+    keys: DataFrame           # the key columns of the frame's rows, from the selection alone
+
+    def observed(self) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+        """The frame, and the counters of its run: CDE columns, inserted rows and
+        written facts.  Both counts are taken while the frame is computed (by
+        whatever writes it), so they cost no pass of their own; ask for them
+        when the write is done."""
+        rows = Observation()
+        frame = self.frame.observe(rows, F.count(F.lit(1)).alias("inserts"))
+
+        def counters() -> dict[str, int]:
+            # An export without any row never starts its plan's tasks.
+            inserts, updates = rows.get.get("inserts") or 0, self.facts.get.get("updates") or 0
+            return {"cde_columns": self.n_cde_columns, "inserts": int(inserts), "updates": int(updates)}
+
+        return frame, counters
 
     def counters(self) -> DataFrame:
-        """Run counters as a long (counter, value) table: CDE columns, inserted
-        rows, written facts.  Each value is a distributed count."""
-        spark = self.frame.sparkSession
-        cde = spark.range(1).select(F.lit("cde_columns").alias("counter"),
-                                    F.lit(self.n_cde_columns).cast("long").alias("value"))
-        inserts = self.frame.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("inserts").alias("counter"), "value")
-        # a written fact has a rendered value; reading it applies the value type policy
-        updates = self.cells.agg(F.count("w.v").alias("value")).select(
-            F.lit("updates").alias("counter"), "value")
-        return cde.unionByName(inserts).unionByName(updates)
+        """The counters as a (counter, value) table, from one run of the export
+        whose rows go nowhere."""
+        frame, counters = self.observed()
+        frame.write.format("noop").mode("overwrite").save()
+        return self.frame.sparkSession.createDataFrame(list(counters().items()), "counter string, value long")
 
 
 # ------------------------------------------------------------- strategies --
@@ -323,7 +334,9 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     keys = {k: f"__k{i}" for i, k in enumerate(sel.key_cols)}
     renamed = [qcol(k).alias(v) for k, v in keys.items()]
     # One plan for every width: one winner per (key, concept), then one cell per concept.
-    winners = (joined.select(*renamed, "concept_cd", "w").groupBy(*keys.values(), "concept_cd")
+    facts_seen = Observation()
+    # A written fact has a rendered value; counting it applies the value type policy.
+    winners = (joined.select(*renamed, "concept_cd", "w").observe(facts_seen, F.count("w.v").alias("updates")).groupBy(*keys.values(), "concept_cd")
                .agg(F.max("w").alias("w")).select(*keys.values(), "concept_cd", F.col("w.v").alias("v")))
     cells = pivot_cells(winners, list(keys.values()), [n for n, _ in layout])
     demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd")
@@ -344,6 +357,7 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     best, demo_expr = _demographic_columns(best, sel, keys[sel.key_cols[0]], opts, dataset_const)
 
     out_cols = [(hash_column(F.col(v), opts.hash_ids) if opts.hash_ids else F.col(v)).alias(k) for k, v in keys.items()]
+    out_keys = [(hash_column(qcol(k), opts.hash_ids) if opts.hash_ids else qcol(k)).alias(k) for k in keys]
     out_cols += [F.col(f"__demo.{c}").alias(c) for c in sel.leading_cols]
     for name, kind in layout:
         f = qcol(name)
@@ -358,8 +372,8 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
         frame = set_or_append(frame, DATASET_COLUMN, opts.dataset)
     n_cde = len([c for c in cdes if c not in reserved])
     facts = joined.filter(F.col("concept_cd").isNotNull()).select(*sel.key_cols, "concept_cd", "w")
-    return ExportResult(frame=frame, cells=facts, key_cols=sel.key_cols,
-                        columns=tuple(frame.columns), n_cde_columns=n_cde)
+    return ExportResult(frame=frame, cells=facts, facts=facts_seen, key_cols=sel.key_cols,
+                        columns=tuple(frame.columns), n_cde_columns=n_cde, keys=sel.rows.select(*out_keys).distinct())
 
 
 def export_frame(mart: Mart, strategy: str, options: ExportOptions = DEFAULT, **kw) -> DataFrame:

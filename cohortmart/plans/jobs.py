@@ -10,16 +10,17 @@ from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from cohortmart.functions.columns import qcol
 from cohortmart.operators.anonymize import anonymize_flat
 from cohortmart.functions.hashing import flat_csv_method
 from cohortmart.operators.reshape import Catalog
-from cohortmart.plans.export import AS_CODED, DEFAULT, ExportOptions, export
+from cohortmart.plans.export import AS_CODED, DEFAULT, ExportOptions, ExportResult, export
 from cohortmart.plans.mapping import MappingSpec, run_mapping
 from cohortmart.schema import STAR_SCHEMAS, Mart
-from cohortmart.sources.files import read_csv, write_csv
+from cohortmart.sources.files import append_problem, read_csv, recover_folder, unreadable, write_csv
+from cohortmart.sources.storage import Files
 
 
 @dataclass(frozen=True)
@@ -72,7 +73,7 @@ def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str,
                    dataset: str, anonymized: bool = False, local: bool = False,
                    csv_name: str | None = None, hash_method: str = DEFAULT_HASH,
                    as_coded: bool = False, single_file: bool = False,
-                   catalog: Catalog | None = None) -> str:
+                   catalog: Catalog | None = None, append: bool = False) -> str:
     """Flat export of one strategy to ``<output_folder>/<csv name>``.
 
     ``local`` reads the capture mart instead of the harmonized one;
@@ -80,35 +81,54 @@ def extract_to_csv(marts: Mapping[str, Mart], strategy: str, output_folder: str,
     in every table and export of the method).
     A ``Dataset`` column with ``dataset`` is set or appended.  ``catalog``
     (``Catalog.collect`` of the same mart's facts) can be shared by several
-    exports of one mart so its fact scan runs once.
+    exports of one mart so its fact scan runs once.  ``append``: the rows of the
+    export that is there stay too, all or none of them.
     """
     return export_csv_with_counters(marts, strategy, output_folder, dataset=dataset,
                                     anonymized=anonymized, local=local, csv_name=csv_name,
                                     hash_method=hash_method, as_coded=as_coded,
-                                    single_file=single_file, catalog=catalog)[0]
+                                    single_file=single_file, catalog=catalog, append=append)[0]
 
 
 def export_csv_with_counters(marts: Mapping[str, Mart], strategy: str, output_folder: str, *,
                              dataset: str, anonymized: bool = False, local: bool = False,
                              csv_name: str | None = None, hash_method: str = DEFAULT_HASH,
                              as_coded: bool = False, single_file: bool = False,
-                             catalog: Catalog | None = None) -> tuple[str, dict[str, int]]:
-    """:func:`extract_to_csv` that also returns run counters: CDE columns and
-    inserted rows.  The row count is an ``observe`` metric gathered while the
-    file is written, so it costs no extra pass (the written-facts count needs
-    one, see ``ExportResult.counters``)."""
+                             catalog: Catalog | None = None, append: bool = False) -> tuple[str, dict[str, int | str]]:
+    """:func:`extract_to_csv` that also returns run counters: CDE columns,
+    inserted rows and written facts, counted while the file is written; with
+    ``append`` also why the previous export was left out, if it was
+    (``not_appended``)."""
     mart = marts["capture" if local else "harmonized"]
     s = strategy_for(strategy, anonymized, as_coded)
     spark = mart.observation_fact.sparkSession
     path = f"{output_folder.rstrip('/')}/{csv_name or s.csv_name}"
+    recover_folder(spark, path)
     with case_sensitive(spark):
         res = export(mart, s.strategy, replace(s.options, dataset=dataset, hash_ids=hash_method if anonymized else None),
                      catalog=catalog)
-        rows = Observation("export_rows")
-        write_csv(res.frame.observe(rows, F.count(F.lit(1)).alias("inserts")), path,
-                  single_file=single_file)
-    counters = {"cde_columns": res.n_cde_columns, "inserts": int(rows.get["inserts"])}
-    return path, counters
+        out, counters = res.observed()
+        problem: str | None = None
+        if append and Files(spark).exists(path):
+            previous, problem = _previous(spark, path, res)
+            out = out if previous is None else out.unionByName(previous)
+        write_csv(out, path, single_file=single_file)
+        found: dict[str, int | str] = dict(counters())
+    if problem:
+        found["not_appended"] = problem
+    return path, found
+
+
+def _previous(spark: SparkSession, path: str, res: ExportResult) -> tuple[DataFrame | None, str | None]:
+    """The export that is at ``path``, or why its rows cannot stay."""
+    try:
+        previous = read_csv(spark, path, res.frame.schema)
+    except ValueError as e:  # a column is missing
+        return None, str(e)
+    # The codes of the new rows are needed for the check alone: from the selection, without the facts.
+    keys = list(res.key_cols)
+    problem = unreadable(previous) or append_problem(res.keys, previous.select(*[qcol(k) for k in keys]), keys)
+    return (None, problem) if problem else (previous, None)
 
 
 def anonymize_csv(spark: SparkSession, input_csv: str, output_csv: str, schema,

@@ -388,6 +388,43 @@ def text_roundtrip(spark, sf_dir):
 
 # ---------------------------------------------------------- anonymization --
 
+@register("text_roundtrip_single")
+def text_roundtrip_single(spark, sf_dir):
+    """The same text through one CSV file, put together from parallel parts."""
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('", x\n  '))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return FS.read_csv(spark, FS.write_csv(docs, scratch_path(spark, "text"), single_file=True), docs.schema).select(
+        "doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+_JOB_COLUMNS = "subjectcode string, agegroup string, priority string, totalprice decimal(18,5), `Dataset` string"
+
+
+def _appending_job(spark, sf_dir, anonymized_first):
+    """Two export jobs into one file, the second with ``append``; between them a
+    replacement of the file died with the old folder set aside."""
+    from cohortmart.plans.jobs import case_sensitive, extract_to_csv
+    from cohortmart.sources.storage import Files
+    marts, out = {"harmonized": clinical_mart(spark, sf_dir)}, scratch_path(spark, "job")
+    path = extract_to_csv(marts, "mindate", out, dataset="OLD", csv_name="x.csv", anonymized=anonymized_first, hash_method="md5")
+    Files(spark).rename(path, f"{path}._old")
+    extract_to_csv(marts, "maxdate", out, dataset="CLM", csv_name="x.csv", append=True)
+    with case_sensitive(spark):
+        return FS.read_csv(spark, path, _JOB_COLUMNS).checkpoint(eager=True)
+
+
+@register("job_append_merged")
+def job_append_merged(spark, sf_dir):
+    """The previous export (with hashed codes here) stays beside the new one."""
+    return _appending_job(spark, sf_dir, True)
+
+
+@register("job_append_skipped")
+def job_append_skipped(spark, sf_dir):
+    """The previous export holds the same codes, so none of its rows stay."""
+    return _appending_job(spark, sf_dir, False)
+
+
 @register("anonymize_flat_md5")
 def anonymize_flat_md5(spark, sf_dir):
     """First column of the mindate export replaced by its md5."""

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import io
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortmart.functions.columns import qcol
+from cohortmart.sources.storage import Files
 
 FILE_COLUMN = "__file"
 
@@ -99,13 +102,92 @@ def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
-    """Flat CSV with header.  Part files by default (parallel write); ``single_file``
-    funnels the rows through one task and is meant for small exports."""
-    out = df.repartition(1) if single_file else df  # the work before it stays parallel
-    out.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    """Flat CSV with header, as a folder of part files, or of one file.
+
+    Overwriting goes through :func:`replace_folder`: what is there stays until
+    the new files are complete, so ``df`` may read from ``path`` itself.
+    ``single_file``: the parts are written in parallel without a header and then
+    put behind it by the file system."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    if mode == "append":
+        if single_file:
+            raise ValueError("a single file is replaced, not appended to")
+        df.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(path)
+        return path
+
+    def fill(folder: str) -> None:
+        if single_file:
+            _write_single(df, folder)
+        else:
+            df.write.options(**CSV_WRITE_OPTIONS).csv(folder)
+
+    replace_folder(df.sparkSession, path, fill)
     return path
 
 
+def _write_single(df: DataFrame, folder: str) -> None:
+    """``folder``/part-00000.csv: the header, then every part's bytes in order."""
+    files, parts = Files(df.sparkSession), f"{folder}/_parts"
+    df.write.options(**{**CSV_WRITE_OPTIONS, "header": "false"}).csv(parts)
+    line = io.StringIO()
+    csv.writer(line, lineterminator="\n").writerow(df.columns)
+    files.write(f"{folder}/part-00000.csv", line.getvalue())
+    names = [n for n in files.names(parts) if n.startswith("part-")]
+    files.concatenate(f"{folder}/part-00000.csv", [f"{parts}/{n}" for n in names])
+    files.delete(parts)
+
+
+def replace_folder(spark: SparkSession, path: str, fill: Callable[[str], None]) -> None:
+    """Replace the folder ``path`` by what ``fill`` writes into a new one.
+
+    The new folder is filled beside the old one and marked as complete; then the
+    old one steps aside, the new one takes its name, and the old one goes.  A run
+    that dies on the way loses nothing: :func:`recover_folder` (also the first
+    thing done here) finishes the exchange or undoes it."""
+    files, path = Files(spark), path.rstrip("/")
+    recover_folder(spark, path)
+    new = f"{path}{_NEW}"
+    fill(new)
+    files.write(f"{new}/{_COMPLETE}", "")
+    _exchange(files, path)
+
+
+#: Beside a folder while it is replaced, and the mark of a complete new one.
+_NEW, _OLD, _COMPLETE = "._new", "._old", "_complete"
+
+
+def _exchange(files: Files, path: str) -> None:
+    new, old = f"{path}{_NEW}", f"{path}{_OLD}"
+    if files.exists(path):
+        files.rename(path, old)
+    files.rename(new, path)
+    files.delete(old)
+    files.delete(f"{path}/{_COMPLETE}")
+
+
+def recover_folder(spark: SparkSession, path: str) -> str | None:
+    """Put right what a replacement that died has left of ``path``; what was done."""
+    files, path = Files(spark), path.rstrip("/")
+    new, old = f"{path}{_NEW}", f"{path}{_OLD}"
+    if files.exists(f"{path}/{_COMPLETE}"):  # the new folder is in place already
+        files.delete(old)
+        files.delete(f"{path}/{_COMPLETE}")
+        files.delete(new)
+        return "finished"
+    if files.exists(f"{new}/{_COMPLETE}"):
+        _exchange(files, path)
+        return "finished"
+    done = None
+    if files.exists(old) and not files.exists(path):
+        files.rename(old, path)
+        done = "undone"
+    if files.exists(new):
+        files.delete(new)
+        done = "undone"
+    return done
+
+
 def append_problem(new: DataFrame, previous: DataFrame, key_cols: Sequence[str]) -> str | None:
     """Why a previous export can't be appended, or None: other columns, a NULL
     or repeated key in it, or a key that the new export has."""
@@ -125,6 +207,15 @@ def append_problem(new: DataFrame, previous: DataFrame, key_cols: Sequence[str])
     return None
 
 
+def unreadable(df: DataFrame) -> str | None:
+    """Why a scan fails, or None: one pass that parses every value."""
+    try:
+        df.agg(F.max(F.xxhash64(*[qcol(c) for c in df.columns]))).collect()
+    except PySparkException as e:
+        return f"unreadable: {e.getCondition() or type(e).__name__}"
+    return None
+
+
 def append_export(new: DataFrame, previous: DataFrame | None, key_cols: Sequence[str]) -> DataFrame:
     """Append a previous export, all or nothing: it is added only if
     :func:`append_problem` finds none (one aggregate over the keys)."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import UnsupportedOperationException
 from pyspark.sql import SparkSession
 
 
@@ -47,6 +48,35 @@ class Files:
         finally:
             stream.close()
 
+    def concatenate(self, target: str, parts: list[str]) -> None:
+        """Put the bytes of ``parts`` behind those of ``target``: by the file
+        system where it can join files (no byte is moved then), else as one
+        stream of bytes, in as much memory as its buffer takes."""
+        fs, t = self._at(target)
+        full = [p for p in parts if fs.getFileStatus(self._at(p)[1]).getLen() > 0]
+        if not full:
+            return
+        paths = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Path, len(full))
+        for i, p in enumerate(full):
+            paths[i] = self._at(p)[1]
+        try:
+            fs.concat(t, paths)
+            return
+        except UnsupportedOperationException:
+            pass
+        head = self.read(target)
+        out = fs.create(t, True)
+        try:
+            out.write(bytearray(head.encode()))
+            for p in paths:
+                part = fs.open(p)
+                try:
+                    self._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, self._conf, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+
     def rename(self, source: str, target: str) -> bool:
         """Whether ``source`` became ``target``; not if that is there already."""
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._at(target)[1].toUri(), self._conf)

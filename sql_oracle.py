@@ -560,6 +560,8 @@ ORACLES: dict[str, str] = {
                                            "'CLM' AS \"Dataset\" FROM {t}"),
     "text_roundtrip": """SELECT doc_id, length('  "' || text || '", x' || chr(10) || '  ')::INTEGER AS n_chars,
       md5('  "' || text || '", x' || chr(10) || '  ') AS digest FROM documents""",
+    "text_roundtrip_single": """SELECT doc_id, length('  "' || text || '", x' || chr(10) || '  ')::INTEGER AS n_chars,
+      md5('  "' || text || '", x' || chr(10) || '  ') AS digest FROM documents""",
     "append_export": MINDATE,
     "export_counters": _counters_sql(),
     "key_violations": with_views(select="""
@@ -675,3 +677,7 @@ ORACLES.update({
     "stale_catalog_mindate": export_extreme_sql("min", locals_=tuple(sorted([*LOCALS, ("latecomer", "num")]))).replace(
         "),\nobservation_fact AS (", LATE_FACTS, 1),
 })
+_JOB = "SELECT {code} AS subjectcode, agegroup, nullif(priority, '') AS priority, totalprice, '{dataset}' AS \"Dataset\" FROM {{t}}"
+ORACLES["job_append_skipped"] = _wrap(MAXDATE, _JOB.format(code="subjectcode", dataset="CLM"))
+ORACLES["job_append_merged"] = (f"SELECT * FROM ({ORACLES['job_append_skipped']}) UNION ALL "
+                                f"SELECT * FROM ({_wrap(MINDATE, _JOB.format(code='md5(subjectcode)', dataset='OLD'))})")

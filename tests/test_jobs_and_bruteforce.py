@@ -10,12 +10,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from cohortmart.operators.reshape import Catalog
 from cohortmart.plans import export as X
-from cohortmart.plans.jobs import (anonymize_csv, export_csv_with_counters, extract_to_csv,
+from cohortmart.plans.jobs import (anonymize_csv, case_sensitive, export_csv_with_counters, extract_to_csv,
                                    harmonize)
 from cohortmart.plans.mapping import Const, Copy, Expr, Join, MappingSpec, Target, run_mapping
 from cohortmart.session import local_path, scratch_path
-from cohortmart.sources.files import read_csv
+from cohortmart.sources.files import read_csv, recover_folder, write_csv
+from cohortmart.sources.storage import Files
 from tests.helpers import day, make_mart
 
 
@@ -83,7 +85,71 @@ def test_export_counters_observed_while_writing(spark):
     m = _mart(spark)
     _, counters = export_csv_with_counters({"harmonized": m, "capture": m}, "longitude",
                                            scratch_path(spark, "cnt"), dataset="DS")
-    assert counters == {"cde_columns": 8, "inserts": 2}
+    written = X.export(m, "longitude").cells.filter("w.v is not null").count()
+    assert counters == {"cde_columns": 8, "inserts": 2, "updates": written} and written > 0
+    assert {r.counter: r.value for r in X.export(m, "longitude").counters().collect()} == counters
+
+
+def test_counters_scan_the_facts_once(spark):
+    m, read = _mart(spark), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    n = m.observation_fact.count()
+    facts = m.observation_fact.mapInArrow(counted, m.observation_fact.schema)
+    catalog = Catalog.collect(m.observation_fact)
+    export_csv_with_counters({"harmonized": m.with_tables(observation_fact=facts)}, "longitude", scratch_path(spark, "cnt"),
+                             dataset="DS", catalog=catalog)
+    assert read.value == n
+
+
+def test_job_appends_all_or_nothing_and_survives_a_crash(spark):
+    marts, out = {"harmonized": _mart(spark)}, scratch_path(spark, "job")
+    columns = "subjectcode string, `Dataset` string"
+
+    def codes(path):
+        with case_sensitive(spark):
+            return sorted(map(tuple, read_csv(spark, path, columns).collect()))
+
+    def run(**kw):
+        return export_csv_with_counters(marts, "mindate", out, csv_name="x.csv", **{"dataset": "DS", **kw})
+
+    path, _ = run(anonymized=True, hash_method="md5", dataset="OLD")
+    old = codes(path)
+    files = Files(spark)
+    files.rename(path, f"{path}._old")  # died between the two renames, the new folder incomplete
+    files.write(f"{path}._new/part-0.csv", "half")
+    path, counters = run(append=True)
+    both = codes(path)
+    assert set(old) < set(both) and len(both) == 2 * len(old) and "not_appended" not in counters
+    _, counters = run(append=True, dataset="NEW")  # its own codes are there already
+    assert counters["not_appended"] == "key already present" and {d for _, d in codes(path)} == {"NEW"}
+    assert not [n for n in files.names(out) if n != "x.csv"]
+    # A complete new folder that has not taken its name yet does so.
+    files.rename(path, f"{path}._old")
+    files.write(f"{path}._new/part-0.csv", "subjectcode,Dataset\nz,Z\n")
+    files.write(f"{path}._new/_complete", "")
+    assert recover_folder(spark, path) == "finished" and codes(path) == [("z", "Z")] and files.names(out) == ["x.csv"]
+    # A file that cannot be read is left out as a whole.
+    files.write(f"{path}/part-0.csv", "subjectcode\nz\n")
+    _, counters = run(append=True)
+    assert "not in the header" in counters["not_appended"] and len(codes(path)) == len(old)
+
+
+def test_single_file_has_one_header_and_no_single_task(spark):
+    df = spark.range(0, 1000, 1, 7).selectExpr("id", "concat('a \"q\" ', id, '\n') AS `odd, name`")
+    path = write_csv(df, scratch_path(spark, "one"), single_file=True)
+    assert Files(spark).names(path) == [".part-00000.csv.crc", "part-00000.csv"] or Files(spark).names(path) == ["part-00000.csv"]
+    assert Files(spark).read(f"{path}/part-00000.csv").startswith('id,"odd, name"\n')
+    got = read_csv(spark, path, "id long, `odd, name` string")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+    write_csv(df.limit(0), path, single_file=True)
+    assert Files(spark).read(f"{path}/part-00000.csv") == 'id,"odd, name"\n'
+    write_csv(read_csv(spark, write_csv(df, path), df.schema).filter("id < 10"), path)  # over what it reads
+    assert read_csv(spark, path, df.schema).count() == 10
 
 
 def test_anonymize_csv_uses_sha3_for_sha224(spark):
