@@ -397,6 +397,36 @@ def text_roundtrip_single(spark, sf_dir):
         "doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
+@register("text_roundtrip_split")
+def text_roundtrip_split(spark, sf_dir):
+    """O1: the same text, its file cut at record ends found by quote parity."""
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('", x\n  '))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    path = FS.write_csv(docs, scratch_path(spark, "text"), single_file=True)
+    return FS.read_csv(spark, path, docs.schema, split_bytes=0).select(
+        "doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+#: Files, each with a header of its own, that merge_volumes_mixed deals the scans to.
+MIXED_FILES = 24
+
+
+@register("merge_volumes_mixed")
+def merge_volumes_mixed(spark, sf_dir):
+    """Outputs with a header each and conflicting types, merged without a
+    given schema: whole numbers and decimals become decimals, numbers and words
+    text, and a column that one file alone has is NULL for the others."""
+    volumes = imaging_batch(spark, sf_dir)["volumes"].withColumn("k", F.expr("cast(split_part(subjectcode, '_V', 2) as bigint) % 24")).checkpoint()
+    root = scratch_path(spark, "mixed")
+    for k in range(MIXED_FILES):
+        quantity = F.col("l_quantity").cast("bigint" if k % 2 else "decimal(18,5)")
+        FS.write_csv(volumes.filter(F.col("k") == k).select(
+            "subjectcode", quantity.alias("l_quantity"), F.lit(str(k) if k % 3 else f"run{k}").alias("run"),
+            F.col("l_tax").alias(f"tax_{k}")), f"{root}/{k}")
+    merged = FS.merge_outputs(spark, [f"{root}/{k}" for k in range(MIXED_FILES)])
+    return merged.select("subjectcode", "l_quantity", "run", F.coalesce(*(f"tax_{k}" for k in range(MIXED_FILES))).alias("l_tax"))
+
+
 _JOB_COLUMNS = "subjectcode string, agegroup string, priority string, totalprice decimal(18,5), `Dataset` string"
 
 

@@ -681,3 +681,7 @@ _JOB = "SELECT {code} AS subjectcode, agegroup, nullif(priority, '') AS priority
 ORACLES["job_append_skipped"] = _wrap(MAXDATE, _JOB.format(code="subjectcode", dataset="CLM"))
 ORACLES["job_append_merged"] = (f"SELECT * FROM ({ORACLES['job_append_skipped']}) UNION ALL "
                                 f"SELECT * FROM ({_wrap(MINDATE, _JOB.format(code='md5(subjectcode)', dataset='OLD'))})")
+ORACLES["text_roundtrip_split"] = ORACLES["text_roundtrip"]
+ORACLES["merge_volumes_mixed"] = with_views(*IMAGING[:2], select="""
+  SELECT subjectcode, cast(l_quantity AS double) AS l_quantity, CASE WHEN k % 3 = 0 THEN concat('run', k) ELSE cast(k AS varchar) END AS run,
+         cast(l_tax AS double) AS l_tax FROM (SELECT *, cast(split_part(subjectcode, '_V', 2) AS bigint) % 24 AS k FROM volumes)""")

@@ -17,6 +17,7 @@ from cohortmart.plans import export as X
 from cohortmart.plans.ingest import parse_visit_date
 from cohortmart.session import local_path, scratch_path
 from cohortmart.sources import files as FS
+from cohortmart.sources.storage import Files
 
 SF = "/root/testdata/sf0.001"
 
@@ -209,3 +210,52 @@ def test_sequence_ids_unordered_dense_unique(spark):
     df = spark.range(0, 777, numPartitions=5).select((F.col("id") % 3).alias("k"))
     out = I.sequence_ids(df, [], "sid", start=5).collect()
     assert sorted(r.sid for r in out) == list(range(6, 783))
+
+
+def test_headers_are_read_from_the_first_bytes(spark):
+    root = scratch_path(spark, "headers")
+    files = Files(spark)
+    files.write(f"{root}/a.csv", "﻿n,\"two\nlines\"\r\n" + "".join(f"{i},\"x\n{i}\"\r\n" for i in range(5000)))
+    files.write(f"{root}/b.csv", "t\n" + "y\n" * 10)
+    files.write(f"{root}/c.csv", "n,\"two\nlines\"\n")
+    found = {tuple(h): [f.rsplit("/", 1)[-1] for f in fs] for h, fs in FS._files_by_header(spark, root)}
+    assert found == {("n", "two\nlines"): ["a.csv", "c.csv"], ("t",): ["b.csv"]}
+
+
+def test_large_quoted_file_is_read_by_several_tasks(spark, monkeypatch):
+    import random
+    r = random.Random(3)
+    rows = [(i, r.choice(["plain", "two\nlines", 'q"uo\n"te,\n\nd', "\n" * 40 + "x", "", "a" * r.randint(0, 300)])) for i in range(3000)]
+    root = scratch_path(spark, "big")
+    FS.write_csv(spark.createDataFrame(rows, "i int, t string").coalesce(1), root)
+    whole = sorted(map(tuple, FS.read_csv(spark, root, "t string, i int").collect()), key=str)
+    assert len(whole) == 3000
+    monkeypatch.setattr(FS, "SPLIT_BYTES", 1000)
+    with FS.settings(spark, {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}):
+        cut = FS.read_csv(spark, root, "t string, i int")
+        assert sorted(map(tuple, cut.collect()), key=str) == whole
+        parts = cut.select(F.spark_partition_id()).distinct().count()
+        monkeypatch.setattr(FS, "MAX_BLOCKS", -1)
+        assert sorted(map(tuple, FS.read_csv(spark, root, "t string, i int").collect()), key=str) == whole
+    assert parts > 5
+    bad = scratch_path(spark, "bad")
+    Files(spark).write(f"{bad}/x.csv", "i,t\n" + "1,x\n" * 500 + "no number,y\n")
+    with pytest.raises(Exception):
+        FS.read_csv(spark, bad, "i int, t string").collect()
+
+
+def test_merge_reconciles_types_of_many_headers(spark):
+    root, files = scratch_path(spark, "mixed"), Files(spark)
+    files.write(f"{root}/a.csv", "id,v,d,t\n1,10,2020-01-31,1\n2,,2020-02-29,x\n")
+    files.write(f"{root}/b.csv", "t,id,v,w\n7,3,1.50,2020-01-01\n")
+    files.write(f"{root}/c.csv", "id,w,e\n4,5,\n")
+    for k in range(40):
+        files.write(f"{root}/more{k:02}.csv", f"id,only{k}\n{100 + k},{k}\n")
+    schema = FS.reconciled_schema(spark, root)
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    assert [kinds[c] for c in ("id", "v", "d", "t", "w", "e")] == ["bigint", "decimal(18,5)", "date", "string", "string", "string"]
+    df = FS.merge_outputs(spark, root)
+    assert len(df.columns) == 6 + 40 and df.count() == 4 + 40
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r.id: r for r in df.collect()}
+    assert str(got[3].v) == "1.50000" and str(got[1].d) == "2020-01-31" and got[4].w == "5" and got[2].v is None and got[107].only7 == 7
