@@ -212,8 +212,14 @@ def imaging_patients(spark: SparkSession, sf_dir: str, patient_mapping: DataFram
             .select("patient_num", F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("sex_cd")))
 
 
-def capture_mart(spark: SparkSession, sf_dir: str, load_time=None) -> Mart:
-    """Capture mart filled by the imaging ingest of :func:`imaging_batch`.
+#: Clinical concepts that the 6-months selection reads.
+SELECTION_CONCEPTS = ("DIAG_etiology_1", "minimentalstate", "montrealcognitiveassessment")
+
+
+def capture_mart(spark: SparkSession, sf_dir: str, load_time=None, clinical: bool = False) -> Mart:
+    """Capture mart filled by the imaging ingest of :func:`imaging_batch`;
+    ``clinical`` adds the diagnosis and cognitive test facts of the same visits
+    (the clinical view's, under the capture mart's numbers).
 
     The imaging mapping does not fill patient_dimension; here it is derived
     from customer (sex rule of the clinical view) through the new patient
@@ -227,6 +233,15 @@ def capture_mart(spark: SparkSession, sf_dir: str, load_time=None) -> Mart:
     t = res.targets
     pd = imaging_patients(spark, sf_dir, t["patient_mapping"])
     cd = spark.createDataFrame([], "concept_cd string, sourcesystem_cd string, upload_id int")
+    facts = t["observation_fact"]
+    if clinical:
+        codes = (t["encounter_mapping"].select("encounter_ide", "patient_ide", F.col("encounter_num").alias("capture_num"))
+                 .join(t["patient_mapping"].select("patient_ide", F.col("patient_num").alias("capture_patient")), "patient_ide"))
+        tests = (clinical_mart(spark, sf_dir).observation_fact.filter(F.col("concept_cd").isin(*SELECTION_CONCEPTS))
+                 .withColumn("encounter_ide", F.concat(F.lit("V"), F.col("encounter_num").cast("string"))).join(codes, "encounter_ide")
+                 .withColumn("encounter_num", F.col("capture_num")).withColumn("patient_num", F.col("capture_patient"))
+                 .drop("encounter_ide", "patient_ide", "capture_num", "capture_patient"))
+        facts = facts.unionByName(tests, allowMissingColumns=True)
     return Mart(patient_mapping=t["patient_mapping"], encounter_mapping=t["encounter_mapping"],
                 patient_dimension=pd, visit_dimension=t["visit_dimension"], concept_dimension=cd,
-                observation_fact=t["observation_fact"], name="capture")
+                observation_fact=facts, name="capture")

@@ -658,5 +658,12 @@ def export_local_longitude(spark, sf_dir):
     return X.export_frame(_capture(spark, sf_dir), "longitude")
 
 
+@register("export_local_6months")
+def export_local_6months(spark, sf_dir):
+    """6months over a capture mart that holds diagnoses and cognitive tests too."""
+    from cohortmart.fixtures import capture_mart
+    return X.export_frame(capture_mart(spark, sf_dir, F.expr(LOAD_TIME_SQL), clinical=True), "6months")
+
+
 # ------------------------------------------------------------ stored marts --
 from cohortmart import queries_stored  # noqa: E402,F401  (registers its queries)

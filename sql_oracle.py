@@ -263,7 +263,7 @@ def six_month_ctes(window_seconds: int, pick: str, exclude: tuple[str, ...]) ->
 
 
 def export_six_months_sql(window_seconds: int, pick: str, exclude: tuple[str, ...],
-                          dataset_sql: str | None = None, anon: str | None = None) -> str:
+                          dataset_sql: str | None = None, anon: str | None = None, cdes=CDES, locals_=LOCALS) -> str:
     ctes = six_month_ctes(window_seconds, pick, exclude) + [
         """stacked AS (
           SELECT patient_num, encounter_num, min(role_rank) AS role_rank FROM (
@@ -285,7 +285,8 @@ def export_six_months_sql(window_seconds: int, pick: str, exclude: tuple[str, ..
           WHERE rn = 1)""",
     ]
     kw = {"dataset_sql": dataset_sql} if dataset_sql else {}
-    extra, final = _assemble(["subjectcode"], [], integer_months=False, prefer_nonempty=True, **kw)
+    extra, final = _assemble(["subjectcode"], [], integer_months=False, prefer_nonempty=True,
+                             cdes=cdes, locals_=locals_, **kw)
     return with_views(*ctes, *extra, select=final, anon=anon)
 
 
@@ -593,7 +594,7 @@ LOCAL_LAYOUT = {"cdes": DEMOGRAPHICS,
                 "locals_": tuple((m, "num") for m in ("l_discount", "l_extendedprice", "l_quantity", "l_tax"))}
 
 
-def _local_sql(core: str) -> str:
+def _local_sql(core: str, more_facts: str = "") -> str:
     """An export over the capture mart built by the imaging ingest (cap_* views)."""
     import re
     body = core[len("WITH "):]
@@ -603,7 +604,7 @@ def _local_sql(core: str) -> str:
     cap = [
         f"""cap_observation_fact AS (
           SELECT encounter_num, patient_num, concept_cd, provider_id, start_date, modifier_cd,
-                 instance_num, valtype_cd, tval_char, nval_num FROM of_rows)""",
+                 instance_num, valtype_cd, tval_char, nval_num FROM of_rows{more_facts})""",
         """cap_visit_dimension AS (
           SELECT DISTINCT em.encounter_num, pm.patient_num,
                  cast(strptime(mv.VISIT_DATE, '%d/%m/%Y') AS timestamp) AS start_date,
@@ -685,3 +686,14 @@ ORACLES["text_roundtrip_split"] = ORACLES["text_roundtrip"]
 ORACLES["merge_volumes_mixed"] = with_views(*IMAGING[:2], select="""
   SELECT subjectcode, cast(l_quantity AS double) AS l_quantity, CASE WHEN k % 3 = 0 THEN concat('run', k) ELSE cast(k AS varchar) END AS run,
          cast(l_tax AS double) AS l_tax FROM (SELECT *, cast(split_part(subjectcode, '_V', 2) AS bigint) % 24 AS k FROM volumes)""")
+
+_TESTS = ("DIAG_etiology_1", "minimentalstate", "montrealcognitiveassessment")
+ORACLES["export_local_6months"] = _local_sql(
+    export_six_months_sql(180 * 86400, "closest", ("NA",), cdes=DEMOGRAPHICS, locals_=tuple(sorted(
+        [*LOCAL_LAYOUT["locals_"], (_TESTS[0], "text"), (_TESTS[1], "num"), (_TESTS[2], "num")]))),
+    f"""
+          UNION ALL
+          SELECT em.encounter_num, pm.patient_num, f.concept_cd, '{HOSPITAL}', f.start_date, '@', f.instance_num, f.valtype_cd, f.tval_char, f.nval_num
+          FROM order_facts f JOIN ing_em em ON em.encounter_ide = concat('V', cast(f.encounter_num AS varchar))
+                             JOIN ing_pm pm ON pm.patient_ide = em.patient_ide
+          WHERE f.concept_cd IN {_TESTS}""")
