@@ -29,7 +29,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortmart.functions.columns import (
@@ -47,6 +47,7 @@ from cohortmart.session import ensure_checkpoint_dir, is_case_sensitive
 # --- fixed values: demographic columns every export carries ---------------
 DEMOGRAPHICS = ("subjectageyears", "subjectage", "gender", "dataset", "agegroup")
 DATASET_COLUMN = "Dataset"
+OUTCOME, ACCEPTED, NULL_DEMOGRAPHICS = "outcome", "accepted", "NULL age, gender or dataset"
 SIX_MONTH_ROLES = ("encounter_num_mri", "encounter_num_diag", "encounter_num_mmse",
                    "encounter_num_moca")
 # --------------------------------------------------------------------------
@@ -58,9 +59,11 @@ class ExportOptions:
 
     ``window_seconds``/``pick``/``exclude_diagnoses`` apply to ``6months``.
     ``null_policy``: ``fail`` (a NULL age, gender or dataset fails the job, as
-    the reference aborts), ``keep`` or ``drop`` the row.
+    the reference aborts), ``keep`` or ``drop`` the row, or ``tag`` every row
+    with its ``outcome`` (``ACCEPTED`` or ``NULL_DEMOGRAPHICS``), so that one
+    write can deal accepted and rejected rows to folders of their own.
     ``valtype_policy``: ``strict`` fails on a selected fact whose value type is
-    neither N nor T; ``lenient`` skips it (see quality.bad_valtype).
+    neither N nor T; ``lenient`` skips and counts it (see quality.bad_valtype).
     ``dataset_const``: value of the ``dataset`` column, default the smallest
     provider_id of the facts.  ``dataset``: when set, a ``Dataset`` column with
     this value is set or appended (needs a case-sensitive session because the
@@ -119,6 +122,8 @@ class ExportResult:
     columns: tuple[str, ...]
     n_cde_columns: int
     keys: DataFrame           # the key columns of the frame's rows, from the selection alone
+    tagged: bool = False      # the frame has an ``outcome``
+    lenient: bool = False     # facts of bad value types are skipped and counted
 
     def observed(self) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
         """The frame, and the counters of its run: CDE columns, inserted rows and
@@ -126,12 +131,20 @@ class ExportResult:
         whatever writes it), so they cost no pass of their own; ask for them
         when the write is done."""
         rows = Observation()
-        frame = self.frame.observe(rows, F.count(F.lit(1)).alias("inserts"))
+        accepted = F.col(OUTCOME) == ACCEPTED if self.tagged else F.lit(True)
+        counts = [F.count(F.when(accepted, 1)).alias("inserts")]
+        if self.tagged:
+            counts.append(F.count(F.when(~accepted, 1)).alias("rejected_subjects"))
+        frame = self.frame.observe(rows, *counts)
 
         def counters() -> dict[str, int]:
             # An export without any row never starts its plan's tasks.
-            inserts, updates = rows.get.get("inserts") or 0, self.facts.get.get("updates") or 0
-            return {"cde_columns": self.n_cde_columns, "inserts": int(inserts), "updates": int(updates)}
+            found = {"cde_columns": self.n_cde_columns, "inserts": rows.get.get("inserts"), "updates": self.facts.get.get("updates")}
+            if self.lenient:
+                found["skipped_facts"] = self.facts.get.get("skipped")
+            if self.tagged:
+                found["rejected_subjects"] = rows.get.get("rejected_subjects")
+            return {k: int(v or 0) for k, v in found.items()}
 
         return frame, counters
 
@@ -263,12 +276,10 @@ def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
     facts = mart.observation_fact.select("encounter_num", "concept_cd", "instance_num",
                                          "valtype_cd", "tval_char", "nval_num")
     vt, nval = F.col("valtype_cd"), F.col("nval_num")
-    if opts.valtype_policy == "strict":
-        keep = writable_fact(vt, nval) | ~valid_valtype(vt) | vt.isNull()
-    elif opts.valtype_policy == "lenient":
-        keep = writable_fact(vt, nval)
-    else:
+    if opts.valtype_policy not in ("strict", "lenient"):
         raise ValueError("valtype_policy must be 'strict' or 'lenient'")
+    bad = ~valid_valtype(vt) | vt.isNull()  # seen if a selected encounter has them: to fail, or to be counted
+    keep = writable_fact(vt, nval) | bad
     # Inner join: AQE can split a hot encounter on the fact side and may
     # broadcast a small row set; rows without facts are added back by a union
     # in ``export`` so every key keeps its row.
@@ -282,11 +293,11 @@ def _joined(mart: Mart, sel: Selection, opts: ExportOptions) -> DataFrame:
     nonempty = (F.col("v") != F.lit("")).cast("int") if sel.prefer_nonempty else F.lit(0)
     w = winner_struct(nonempty, -F.col("role_rank"), F.col("encounter_num"),
                       F.col("instance_num"), F.when(vt == "N", nval), value=F.col("v"))
-    return joined.withColumn("v", v).withColumn("w", F.when(has_fact, w))
+    return joined.withColumn("v", v).withColumn("w", F.when(has_fact, w)).withColumn("bad", has_fact & bad)
 
 
 def _demographic_columns(best: DataFrame, sel: Selection, key: str, opts: ExportOptions,
-                         dataset_const: str | None) -> tuple[DataFrame, dict[str, object]]:
+                         dataset_const: str | None) -> tuple[DataFrame, dict[str, object], Column]:
     """Apply the NULL policy and return the rendered demographic expressions."""
     age, sex = F.col("__demo.age"), F.col("__demo.sex_cd")
     ds = F.lit(dataset_const).cast("string")
@@ -297,8 +308,8 @@ def _demographic_columns(best: DataFrame, sel: Selection, key: str, opts: Export
             F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))).otherwise(F.lit(True)))
     elif opts.null_policy == "drop":
         best = best.filter(~bad)
-    elif opts.null_policy != "keep":
-        raise ValueError("null_policy must be 'fail', 'keep' or 'drop'")
+    elif opts.null_policy not in ("keep", "tag"):
+        raise ValueError("null_policy must be 'fail', 'keep', 'drop' or 'tag'")
     months = age_months(age)
     years = age_years(age)
     exprs = {
@@ -308,7 +319,7 @@ def _demographic_columns(best: DataFrame, sel: Selection, key: str, opts: Export
         "dataset": ds,
         "agegroup": age_group(years),
     }
-    return best, exprs
+    return best, exprs, F.when(bad, NULL_DEMOGRAPHICS).otherwise(ACCEPTED)
 
 
 def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
@@ -336,7 +347,12 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     # One plan for every width: one winner per (key, concept), then one cell per concept.
     facts_seen = Observation()
     # A written fact has a rendered value; counting it applies the value type policy.
-    winners = (joined.select(*renamed, "concept_cd", "w").observe(facts_seen, F.count("w.v").alias("updates")).groupBy(*keys.values(), "concept_cd")
+    counts = [F.count(F.when(~F.col("bad"), F.col("w.v"))).alias("updates")]
+    lenient = opts.valtype_policy == "lenient"
+    if lenient:
+        counts.append(F.count(F.when(F.col("bad"), 1)).alias("skipped"))
+    seen = joined.select(*renamed, "concept_cd", "w", "bad").observe(facts_seen, *counts)
+    winners = ((seen.filter(~F.col("bad")) if lenient else seen).groupBy(*keys.values(), "concept_cd")
                .agg(F.max("w").alias("w")).select(*keys.values(), "concept_cd", F.col("w.v").alias("v")))
     cells = pivot_cells(winners, list(keys.values()), [n for n, _ in layout])
     demo = F.struct("tiebreak", *sel.leading_cols, "age", "sex_cd")
@@ -354,7 +370,7 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     on = [F.col(f"__d{v}").eqNullSafe(F.col(v)) for v in keys.values()]
     best = best.join(cells, reduce(and_, on), "left").drop(*keys.values())
     best = best.withColumnsRenamed({f"__d{v}": v for v in keys.values()})
-    best, demo_expr = _demographic_columns(best, sel, keys[sel.key_cols[0]], opts, dataset_const)
+    best, demo_expr, outcome = _demographic_columns(best, sel, keys[sel.key_cols[0]], opts, dataset_const)
 
     out_cols = [(hash_column(F.col(v), opts.hash_ids) if opts.hash_ids else F.col(v)).alias(k) for k, v in keys.items()]
     out_keys = [(hash_column(qcol(k), opts.hash_ids) if opts.hash_ids else qcol(k)).alias(k) for k in keys]
@@ -367,13 +383,16 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
             out_cols.append(f.cast(DEC).alias(name))
         else:
             out_cols.append(f.alias(name))
+    if opts.null_policy == "tag":
+        out_cols.append(outcome.alias(OUTCOME))
     frame = best.select(*out_cols)
     if opts.dataset is not None:
         frame = set_or_append(frame, DATASET_COLUMN, opts.dataset)
     n_cde = len([c for c in cdes if c not in reserved])
-    facts = joined.filter(F.col("concept_cd").isNotNull()).select(*sel.key_cols, "concept_cd", "w")
+    facts = joined.filter(F.col("concept_cd").isNotNull() & (~F.col("bad") if lenient else F.lit(True))).select(*sel.key_cols, "concept_cd", "w")
     return ExportResult(frame=frame, cells=facts, facts=facts_seen, key_cols=sel.key_cols,
-                        columns=tuple(frame.columns), n_cde_columns=n_cde, keys=sel.rows.select(*out_keys).distinct())
+                        columns=tuple(frame.columns), n_cde_columns=n_cde, keys=sel.rows.select(*out_keys).distinct(),
+                        tagged=opts.null_policy == "tag", lenient=lenient)
 
 
 def export_frame(mart: Mart, strategy: str, options: ExportOptions = DEFAULT, **kw) -> DataFrame:

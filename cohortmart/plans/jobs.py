@@ -16,10 +16,10 @@ from cohortmart.functions.columns import qcol
 from cohortmart.operators.anonymize import anonymize_flat
 from cohortmart.functions.hashing import flat_csv_method
 from cohortmart.operators.reshape import Catalog
-from cohortmart.plans.export import AS_CODED, DEFAULT, ExportOptions, ExportResult, export
+from cohortmart.plans.export import AS_CODED, DEFAULT, OUTCOME, ExportOptions, ExportResult, export
 from cohortmart.plans.mapping import MappingSpec, run_mapping
 from cohortmart.schema import STAR_SCHEMAS, Mart
-from cohortmart.sources.files import append_problem, read_csv, recover_folder, unreadable, write_csv
+from cohortmart.sources.files import append_problem, read_csv, recover_folder, replace_folder, unreadable, write_csv
 from cohortmart.sources.storage import Files
 
 
@@ -131,6 +131,19 @@ def _previous(spark: SparkSession, path: str, res: ExportResult) -> tuple[DataFr
     return (None, problem) if problem else (previous, None)
 
 
+def export_outcomes(mart: Mart, strategy: str, path: str, options: ExportOptions = DEFAULT,
+                    catalog: Catalog | None = None) -> dict[str, int]:
+    """Accepted and rejected subjects and the counters from one run.
+
+    The rows go to ``<path>/outcome=<accepted or why not>`` (parquet) in one
+    write; facts of a bad value type are skipped.  The counters, rejected
+    subjects and skipped facts among them, are observed on the way."""
+    res = export(mart, strategy, replace(options, null_policy="tag", valtype_policy="lenient"), catalog=catalog)
+    frame, counters = res.observed()
+    replace_folder(mart.observation_fact.sparkSession, path, lambda folder: frame.write.partitionBy(OUTCOME).parquet(folder))
+    return counters()
+
+
 def anonymize_csv(spark: SparkSession, input_csv: str, output_csv: str, schema,
                   hash_df: str = DEFAULT_HASH, dataset: str | None = None) -> str:
     """Hash the first column of a flat CSV; the ``sha224`` choice means SHA3-224."""

@@ -596,6 +596,22 @@ def bad_valtype(spark, sf_dir):
 
 
 
+@register("export_outcomes")
+def export_outcomes(spark, sf_dir):
+    """Accepted and rejected subjects of one mindate run, with the
+    run's counters (here some sexes are unknown and some value types bad)."""
+    from cohortmart.plans.jobs import export_outcomes as run
+    m = clinical_mart(spark, sf_dir)
+    sex = F.when(F.col("patient_num") % 9 > 0, F.col("sex_cd"))
+    vt = F.when((F.col("concept_cd") == "quantity") & (F.col("encounter_num") % 13 == 0), F.lit("D")).otherwise(F.col("valtype_cd"))
+    odd = m.with_tables(patient_dimension=m.patient_dimension.withColumn("sex_cd", sex),
+                        observation_fact=m.observation_fact.withColumn("valtype_cd", vt))
+    path = scratch_path(spark, "outcomes")
+    found = run(odd, "mindate", path)
+    return spark.read.parquet(path).select("subjectcode", "quantity", "outcome", *[F.lit(found[c]).cast("long").alias(c) for c in
+                                           ("inserts", "rejected_subjects", "updates", "skipped_facts")])
+
+
 # ------------------------------------------------- mart variants (O38, O39) --
 
 @register("export_local_mindate")

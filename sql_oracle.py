@@ -697,3 +697,17 @@ ORACLES["export_local_6months"] = _local_sql(
           FROM order_facts f JOIN ing_em em ON em.encounter_ide = concat('V', cast(f.encounter_num AS varchar))
                              JOIN ing_pm pm ON pm.patient_ide = em.patient_ide
           WHERE f.concept_cd IN {_TESTS}""")
+ORACLES["export_outcomes"] = with_views(EDGE.format(agg="min"), """
+  picked AS (SELECT v.patient_num, v.encounter_num FROM visit_dimension v JOIN edge e
+             ON v.patient_num = e.patient_num AND v.start_date = e.start_date)""", """
+  facts AS (SELECT p.patient_num, f.*, f.concept_cd = 'quantity' AND f.encounter_num % 13 = 0 AS bad
+            FROM picked p JOIN observation_fact f ON f.encounter_num = p.encounter_num)""", """
+  best AS (SELECT patient_num, nval_num FROM facts WHERE concept_cd = 'quantity' AND NOT bad QUALIFY row_number() OVER
+             (PARTITION BY patient_num ORDER BY encounter_num DESC, instance_num DESC, nval_num DESC) = 1)""", """
+  n AS (SELECT count(*) FILTER (bad) AS skipped_facts,
+               count(*) FILTER (NOT bad AND (valtype_cd = 'T' OR nval_num IS NOT NULL)) AS updates FROM facts)""", select="""
+  SELECT pm.patient_ide AS subjectcode, cast(cast(b.nval_num AS decimal(18,5)) AS varchar) AS quantity,
+         CASE WHEN pm.patient_num % 9 = 0 THEN 'NULL age, gender or dataset' ELSE 'accepted' END AS outcome,
+         count(*) FILTER (pm.patient_num % 9 <> 0) OVER () AS inserts, count(*) FILTER (pm.patient_num % 9 = 0) OVER () AS rejected_subjects,
+         n.updates, n.skipped_facts
+  FROM (SELECT DISTINCT patient_num FROM picked) k JOIN patient_mapping pm USING (patient_num) LEFT JOIN best b USING (patient_num), n""")
