@@ -42,7 +42,7 @@ from .tokenizer import Encoder, byte_to_char
 #: Token ends that one piece merges; links in a block of documents, as a rule.
 PIECE_ENDS, BLOCK_LINKS = 1 << 16, 4_000_000
 #: Bytes of words, of chunks (A) and of chunks (B) that a worker keeps; longer chunks of B are not kept.
-A_CACHE_BYTES, B_CACHE_BYTES, ENTRY_BYTES, KEPT_CHARS = 40 << 20, 48 << 20, 150, 64
+A_CACHE_BYTES, B_CACHE_BYTES, ENTRY_BYTES, KEPT_CHARS = 64 << 20, 80 << 20, 150, 64
 #: Bytes of text encoded and aligned at a time, as a rule.
 SLICE_BYTES = 4 << 20
 
@@ -112,15 +112,24 @@ def _json_tokens(path: str) -> list[bytes]:
 
 
 class Table(NamedTuple):
-    """The bytes of each id, one after the other, their lengths, and how an id is written."""
+    """The bytes of each id, one after the other, their lengths, how an id is
+    written, and the least type that holds all ids."""
     tokens: pa.Array
     lengths: np.ndarray
     written: pa.Array  # id, then "," at 3 id, "|" at 3 id + 1, ";" at 3 id + 2
+    dtype: np.dtype
 
     @staticmethod
     def of(tokens: list[bytes]) -> Table:
         return Table(pa.array(tokens, pa.binary()), np.array([len(t) for t in tokens], np.int64),
-                     pa.array([f"{i}{c}".encode() for i in range(len(tokens)) for c in ",|;"], pa.binary()))
+                     pa.array([f"{i}{c}".encode() for i in range(len(tokens)) for c in ",|;"], pa.binary()),
+                     np.dtype("<u2") if len(tokens) <= 1 << 16 else np.dtype("<u4"))
+
+    def packed(self, ids: np.ndarray) -> bytes:
+        return ids.astype(self.dtype).tobytes()
+
+    def unpacked(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, self.dtype).astype(np.int32)
 
     def spelled(self, ids: np.ndarray) -> bytes:
         return _decoded(ids, self.tokens)
@@ -259,7 +268,8 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """The written table of documents and of their blocks' pairs (see ``ROWS``):
-    ids as little-endian unsigned 32-bit numbers, pairs as A << 32 | B, sorted."""
+    ids as little-endian numbers of 16 bits (32 where the vocabulary needs them),
+    pairs as A << 32 | B, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -271,7 +281,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
         def closed() -> pa.RecordBatch:
             pairs, numbers = _summed(held, held_n)
-            row = [[block], *[[None]] * 8, [pairs.tobytes()], [numbers.tobytes()]]
+            row = [[block], *[[None]] * 8, [pairs.tobytes()], [numbers.astype("<u4").tobytes()]]  # at most BLOCK_LINKS and a slice's
             return _record(row)
 
         for batch in batches:
@@ -287,7 +297,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 text_end = np.concatenate([[0], ends])[groups]
                 text_start = np.concatenate([[0], text_end[:-1]])
                 shas = [hashlib.sha256(written[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(text_start.tolist(), text_end.tolist())]
-                yield _record([[block] * len(a), ids[start:end], [x.tobytes() for x in a], [x.tobytes() for x in b],
+                yield _record([[block] * len(a), ids[start:end], [t.a.packed(x) for x in a], [t.b.packed(x) for x in b],
                                [len(x) for x in a], [len(x) for x in b], np.diff(groups, prepend=0), np.diff(n_links, prepend=0),
                                shas, [None] * len(a), [None] * len(a)])
                 if len(path.a):
@@ -324,7 +334,7 @@ def block_pairs(aligned: DataFrame) -> DataFrame:
         pairs = [np.frombuffer(p, np.int64) for p in batch.column("pairs").to_pylist()]
         if not pairs:
             return None
-        numbers = [np.frombuffer(n, np.int64) for n in batch.column("numbers").to_pylist()]
+        numbers = [np.frombuffer(n, "<u4").astype(np.int64) for n in batch.column("numbers").to_pylist()]
         block = np.repeat(batch.column("block").to_numpy(), [len(p) for p in pairs])
         return pa.record_batch([pa.array(block), pa.array(np.concatenate(pairs)), pa.array(np.concatenate(numbers))], ["block", "pair", "n"])
 
@@ -357,8 +367,8 @@ def link_scores(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair, count, best = (numbers.column(c).to_numpy()[order] for c in ("pair", "count", "best"))
         n_best, count_sum = [], []
         for batch in rows.to_batches(max_chunksize=512):
-            a = [np.frombuffer(x, np.int32) for x in batch.column("a").to_pylist()]
-            b = [np.frombuffer(x, np.int32) for x in batch.column("b").to_pylist()]
+            a = [t.a.unpacked(x) for x in batch.column("a").to_pylist()]
+            b = [t.b.unpacked(x) for x in batch.column("b").to_pylist()]
             flat_a, flat_b = _flat(a), _flat(b)
             path = t.path(flat_a, flat_b)
             keys, back = np.unique(flat_a[path.a].astype(np.int64) << 32 | flat_b[path.b], return_inverse=True)
