@@ -117,7 +117,7 @@ class Selection:
 class ExportResult:
     frame: DataFrame
     cells: DataFrame          # (key…, concept_cd, w) before the winner reduction
-    facts: Observation        # of the facts that the frame writes: their number, ``updates``
+    facts: Observation | None  # of the facts that the frame writes: their number, ``updates``
     key_cols: tuple[str, ...]
     columns: tuple[str, ...]
     n_cde_columns: int
@@ -130,6 +130,8 @@ class ExportResult:
         written facts.  Both counts are taken while the frame is computed (by
         whatever writes it), so they cost no pass of their own; ask for them
         when the write is done."""
+        if self.facts is None:
+            raise ValueError("this export does not observe its facts")
         rows = Observation()
         accepted = F.col(OUTCOME) == ACCEPTED if self.tagged else F.lit(True)
         counts = [F.count(F.when(accepted, 1)).alias("inserts")]
@@ -323,8 +325,9 @@ def _demographic_columns(best: DataFrame, sel: Selection, key: str, opts: Export
 
 
 def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
-           catalog: Catalog | None = None, cdes: Sequence[str] | None = None) -> ExportResult:
-    """Build the flat export of ``strategy`` over ``mart`` (lazy)."""
+           catalog: Catalog | None = None, cdes: Sequence[str] | None = None, observe: bool = True) -> ExportResult:
+    """Build the flat export of ``strategy`` over ``mart`` (lazy).  Without
+    ``observe`` its facts are not counted while it runs."""
     opts = options
     spark = mart.observation_fact.sparkSession
     if catalog is None:
@@ -351,7 +354,9 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
     lenient = opts.valtype_policy == "lenient"
     if lenient:
         counts.append(F.count(F.when(F.col("bad"), 1)).alias("skipped"))
-    seen = joined.select(*renamed, "concept_cd", "w", "bad").observe(facts_seen, *counts)
+    seen = joined.select(*renamed, "concept_cd", "w", "bad")
+    if observe:
+        seen = seen.observe(facts_seen, *counts)
     winners = ((seen.filter(~F.col("bad")) if lenient else seen).groupBy(*keys.values(), "concept_cd")
                .agg(F.max("w").alias("w")).select(*keys.values(), "concept_cd", F.col("w.v").alias("v")))
     cells = pivot_cells(winners, list(keys.values()), [n for n, _ in layout])
@@ -390,13 +395,13 @@ def export(mart: Mart, strategy: str, options: ExportOptions = DEFAULT,
         frame = set_or_append(frame, DATASET_COLUMN, opts.dataset)
     n_cde = len([c for c in cdes if c not in reserved])
     facts = joined.filter(F.col("concept_cd").isNotNull() & (~F.col("bad") if lenient else F.lit(True))).select(*sel.key_cols, "concept_cd", "w")
-    return ExportResult(frame=frame, cells=facts, facts=facts_seen, key_cols=sel.key_cols,
+    return ExportResult(frame=frame, cells=facts, facts=facts_seen if observe else None, key_cols=sel.key_cols,
                         columns=tuple(frame.columns), n_cde_columns=n_cde, keys=sel.rows.select(*out_keys).distinct(),
                         tagged=opts.null_policy == "tag", lenient=lenient)
 
 
 def export_frame(mart: Mart, strategy: str, options: ExportOptions = DEFAULT, **kw) -> DataFrame:
-    return export(mart, strategy, options, **kw).frame
+    return export(mart, strategy, options, observe=False, **kw).frame
 
 
 def with_options(base: ExportOptions, **changes) -> ExportOptions:
