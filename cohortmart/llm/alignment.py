@@ -11,11 +11,11 @@ merged independently and emit their links and common ends; an end of B whose
 equal in A went to the piece before is recognised at the boundary, and a group
 that a boundary cuts is stitched from the common ends on both sides.
 
-``align`` writes, in one pass, the ids of each document and, for every block of
-documents (bounded by links), the id pairs that it links with their numbers.
-The corpus-wide number of a pair is a sum over blocks; a block's documents and
-the numbers of the block's own pairs then meet by block, so no table of all
-pairs is held anywhere.
+``align`` writes, in one pass, for every block of documents (bounded by links)
+the id pairs that it links with their numbers, and for each document its links
+as places in that list of pairs.  The corpus-wide number of a pair is a sum over
+blocks; a block's documents and the numbers of the block's own pairs then meet
+by block, so no table of all pairs is held anywhere.
 
 Cases: a null or empty text, and one whose tokens do not spell it, has no
 tokens: zeros and an empty digest; repeated rows are aligned (and their links
@@ -40,9 +40,9 @@ from . import common
 from .tokenizer import Encoder, byte_to_char
 
 #: Token ends that one piece merges; links in a block of documents, as a rule.
-PIECE_ENDS, BLOCK_LINKS = 1 << 16, 4_000_000
+PIECE_ENDS, BLOCK_LINKS = 1 << 16, 1_500_000
 #: Bytes of words, of chunks (A) and of chunks (B) that a worker keeps; longer chunks of B are not kept.
-A_CACHE_BYTES, B_CACHE_BYTES, ENTRY_BYTES, KEPT_CHARS = 64 << 20, 80 << 20, 150, 64
+A_CACHE_BYTES, B_CACHE_BYTES, ENTRY_BYTES, KEPT_CHARS = 48 << 20, 64 << 20, 150, 64
 #: Bytes of text encoded and aligned at a time, as a rule.
 SLICE_BYTES = 4 << 20
 
@@ -112,24 +112,15 @@ def _json_tokens(path: str) -> list[bytes]:
 
 
 class Table(NamedTuple):
-    """The bytes of each id, one after the other, their lengths, how an id is
-    written, and the least type that holds all ids."""
+    """The bytes of each id, one after the other, their lengths, and how an id is written."""
     tokens: pa.Array
     lengths: np.ndarray
     written: pa.Array  # id, then "," at 3 id, "|" at 3 id + 1, ";" at 3 id + 2
-    dtype: np.dtype
 
     @staticmethod
     def of(tokens: list[bytes]) -> Table:
         return Table(pa.array(tokens, pa.binary()), np.array([len(t) for t in tokens], np.int64),
-                     pa.array([f"{i}{c}".encode() for i in range(len(tokens)) for c in ",|;"], pa.binary()),
-                     np.dtype("<u2") if len(tokens) <= 1 << 16 else np.dtype("<u4"))
-
-    def packed(self, ids: np.ndarray) -> bytes:
-        return ids.astype(self.dtype).tobytes()
-
-    def unpacked(self, raw: bytes) -> np.ndarray:
-        return np.frombuffer(raw, self.dtype).astype(np.int32)
+                     pa.array([f"{i}{c}".encode() for i in range(len(tokens)) for c in ",|;"], pa.binary()))
 
     def spelled(self, ids: np.ndarray) -> bytes:
         return _decoded(ids, self.tokens)
@@ -249,10 +240,12 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 common.kept("aligner", aligner.cache_clear)
 
-#: A row is a document (row, doc_id, a, b and its counts) or what its block links (pairs and numbers).
-ROWS = ("block long, doc_id long, a binary, b binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+#: A row is a document (its links by their pairs' places, and its counts) or what
+#: its block links (sorted pairs, A << 32 | B, and their numbers).
+ROWS = ("block long, doc_id long, links binary, wide boolean, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
         "pairs binary, numbers binary")
-_DOC = ["block", "doc_id", "a", "b", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+_COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
+_DOC = ["block", "doc_id", "links", "wide", *_COUNTS, "groups_sha256"]
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -266,69 +259,76 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+class _Block:
+    """Documents on the way into the written table, until their block is full."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.ends: list[np.ndarray] = []  # of each document's links, by slice
+        self.rows: list[list] = [[] for _ in range(6)]
+        self.links = 0
+
+    def add(self, t: Aligner, ids: list, texts: list[str]) -> None:
+        a, b = t.ids(texts)
+        flat_a, flat_b = _flat(a), _flat(b)
+        path = t.path(flat_a, flat_b)
+        written, ends = t.written(flat_a, flat_b, path)
+        last_a = np.cumsum([len(x) for x in a])
+        groups = np.searchsorted(path.cut_a, last_a, "right")
+        n_links = np.searchsorted(path.a, last_a - 1, "right")
+        text_end = np.concatenate([[0], ends])[groups]
+        text_start = np.concatenate([[0], text_end[:-1]])
+        shas = [hashlib.sha256(written[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(text_start.tolist(), text_end.tolist())]
+        for held, new in zip(self.rows, (ids, map(len, a), map(len, b), np.diff(groups, prepend=0).tolist(),
+                                         np.diff(n_links, prepend=0).tolist(), shas)):
+            held.extend(new)
+        self.keys.append(flat_a[path.a].astype(np.int64) << 32 | flat_b[path.b])
+        self.links += len(path.a)
+
+    def closed(self, block: int) -> Iterator[pa.RecordBatch]:
+        """The block's documents, in batches, and its pairs."""
+        pairs, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        self.keys, wide = [], len(pairs) > 1 << 16
+        at = at.astype("<u4" if wide else "<u2")
+        ids, n_a, n_b, n_groups, n_links, shas = self.rows
+        ends = np.cumsum([0, *n_links])
+        for s in range(0, len(ids), common.BATCH_ROWS):
+            e = min(s + common.BATCH_ROWS, len(ids))
+            links = [at[x:y].tobytes() for x, y in zip(ends[s:e].tolist(), ends[s + 1:e + 1].tolist())]
+            n = e - s
+            yield _record([[block] * n, ids[s:e], links, [wide] * n, n_a[s:e], n_b[s:e], n_groups[s:e], n_links[s:e], shas[s:e],
+                           [None] * n, [None] * n])
+        if len(pairs):
+            yield _record([[block], *[[None]] * 8, [pairs.tobytes()], [np.bincount(at, minlength=len(pairs)).astype("<u4").tobytes()]])
+
+
 def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """The written table of documents and of their blocks' pairs (see ``ROWS``):
-    ids as little-endian numbers of 16 bits (32 where the vocabulary needs them),
-    pairs as A << 32 | B, sorted."""
+    """The written table of documents and of their blocks' pairs (see ``ROWS``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        t, block = aligner(a_path, b_path), TaskContext.get().partitionId() << 24
-        held: list[np.ndarray] = []
-        held_n: list[np.ndarray] = []
-        links = 0
-
-        def closed() -> pa.RecordBatch:
-            pairs, numbers = _summed(held, held_n)
-            row = [[block], *[[None]] * 8, [pairs.tobytes()], [numbers.astype("<u4").tobytes()]]  # at most BLOCK_LINKS and a slice's
-            return _record(row)
-
+        t, number, block = aligner(a_path, b_path), TaskContext.get().partitionId() << 24, _Block()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for start, end in _slices(texts):
-                a, b = t.ids(texts[start:end])
-                flat_a, flat_b = _flat(a), _flat(b)
-                path = t.path(flat_a, flat_b)
-                written, ends = t.written(flat_a, flat_b, path)
-                last_a, last_b = np.cumsum([len(x) for x in a]), np.cumsum([len(x) for x in b])
-                groups = np.searchsorted(path.cut_a, last_a, "right")
-                n_links = np.searchsorted(path.a, last_a - 1, "right") if len(path.a) else np.zeros(len(a), np.int64)
-                text_end = np.concatenate([[0], ends])[groups]
-                text_start = np.concatenate([[0], text_end[:-1]])
-                shas = [hashlib.sha256(written[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(text_start.tolist(), text_end.tolist())]
-                yield _record([[block] * len(a), ids[start:end], [t.a.packed(x) for x in a], [t.b.packed(x) for x in b],
-                               [len(x) for x in a], [len(x) for x in b], np.diff(groups, prepend=0), np.diff(n_links, prepend=0),
-                               shas, [None] * len(a), [None] * len(a)])
-                if len(path.a):
-                    pairs, numbers = np.unique(flat_a[path.a].astype(np.int64) << 32 | flat_b[path.b], return_counts=True)
-                    held.append(pairs)
-                    held_n.append(numbers)
-                    links += len(path.a)
-                if links >= BLOCK_LINKS:
-                    yield closed()
-                    held, held_n, links, block = [], [], 0, block + 1
-                elif len(held) > 8:
-                    pairs, numbers = _summed(held, held_n)
-                    held, held_n = [pairs], [numbers]
-        if held:
-            yield closed()
+                block.add(t, ids[start:end], texts[start:end])
+                if block.links >= BLOCK_LINKS:
+                    yield from block.closed(number)
+                    number, block = number + 1, _Block()
+        if block.rows[0]:
+            yield from block.closed(number)
 
     return common.materialize(common.map_partitions(common.text_column(docs), run, ROWS, "aligner"), "aligned")
 
 
 def _record(columns: list) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), *[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], [*_DOC, "pairs", "numbers"])
 
 
-def _summed(pairs: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate(pairs), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate(numbers), len(keys)).astype(np.int64)
-
-
 def block_pairs(aligned: DataFrame) -> DataFrame:
-    """(block, pair, n): the pairs that each block links, as rows."""
+    """(block, pair, n), written: the pairs that each block links, as rows."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         pairs = [np.frombuffer(p, np.int64) for p in batch.column("pairs").to_pylist()]
@@ -338,7 +338,8 @@ def block_pairs(aligned: DataFrame) -> DataFrame:
         block = np.repeat(batch.column("block").to_numpy(), [len(p) for p in pairs])
         return pa.record_batch([pa.array(block), pa.array(np.concatenate(pairs)), pa.array(np.concatenate(numbers))], ["block", "pair", "n"])
 
-    return common.map_batches(aligned.filter("pairs is not null").select("block", "pairs", "numbers"), fn, "block long, pair long, n long", rows=1)
+    packed = aligned.filter("pairs is not null").select("block", "pairs", "numbers")
+    return common.materialize(common.map_batches(packed, fn, "block long, pair long, n long", rows=1), "block-pairs")  # a block a batch
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -362,25 +363,19 @@ def link_scores(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     result = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
     def scored(rows: pa.Table, numbers: pa.Table) -> pa.Table:
-        t = aligner(a_path, b_path)
-        order = np.argsort(numbers.column("pair").to_numpy())
-        pair, count, best = (numbers.column(c).to_numpy()[order] for c in ("pair", "count", "best"))
+        order = np.argsort(numbers.column("pair").to_numpy())  # the block's pairs in the order of its list
+        count, best = (numbers.column(c).to_numpy()[order].astype(np.int64) for c in ("count", "best"))
         n_best, count_sum = [], []
-        for batch in rows.to_batches(max_chunksize=512):
-            a = [t.a.unpacked(x) for x in batch.column("a").to_pylist()]
-            b = [t.b.unpacked(x) for x in batch.column("b").to_pylist()]
-            flat_a, flat_b = _flat(a), _flat(b)
-            path = t.path(flat_a, flat_b)
-            keys, back = np.unique(flat_a[path.a].astype(np.int64) << 32 | flat_b[path.b], return_inverse=True)
-            at = np.searchsorted(pair, keys)[back]
-            first = np.searchsorted(path.a, np.cumsum([0, *(len(x) for x in a)])[:-1])
-            n_best.append(np.add.reduceat(best[at].astype(np.int64), first))
-            count_sum.append(np.add.reduceat(count[at], first))
-        return pa.table([*(rows.column(c) for c in _DOC[1:2] + _DOC[4:8]), pa.array(np.concatenate(n_best)), pa.array(np.concatenate(count_sum)),
-                         rows.column("groups_sha256")], ["doc_id", *_DOC[4:8], "n_best", "count_sum", "groups_sha256"])
-
+        for links, wide in zip(rows.column("links").to_pylist(), rows.column("wide").to_pylist()):
+            at = np.frombuffer(links, "<u4" if wide else "<u2")
+            n_best.append(int(best[at].sum()))
+            count_sum.append(int(count[at].sum()))
+        return pa.table([rows.column("doc_id"), *(rows.column(c) for c in _COUNTS), pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()),
+                         rows.column("groups_sha256")], ["doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256"])
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
     matched = full.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(scored, result)
-    return matched.unionByName(empty.select("doc_id", *_DOC[4:8], F.lit(0).cast("long").alias("n_best"),
+    return matched.unionByName(empty.select("doc_id", *_COUNTS, F.lit(0).cast("long").alias("n_best"),
                                             F.lit(0).cast("long").alias("count_sum"), "groups_sha256"))
 
 
