@@ -5,6 +5,7 @@ import json
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -663,6 +664,74 @@ def test_personal_data_read_widely(text, kind, span):
     assert pii.redact(text, spans) == text.replace(span, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("text, kind, span", [
+    ("to 𝓳𝓸𝓱𝓷@mail.com now", "email", "𝓳𝓸𝓱𝓷@mail.com"),
+    ("to ⓙohn@mail.com now", "email", "ⓙohn@mail.com"),
+    ("to joһn@mail.com now", "email", "joһn@mail.com"),
+    ("to ʝo ᴊᴏʜɴ@mail.com now", "email", "ᴊᴏʜɴ@mail.com"),
+    ("to oﬃce@mail.com now", "email", "oﬃce@mail.com"),
+    ("to ꓙꓳꓧꓠ2@mail.com ｊ＠ｅｘ．ｃｏｍ", "email", "ｊ＠ｅｘ．ｃｏｍ"),
+    ("to j\u0336o\u0336h\u0336n@mail.com", "email", "j\u0336o\u0336h\u0336n@mail.com"),
+    ("ip ๑๙๒.၁၆၈.០.❶", "ip", "๑๙๒.၁၆၈.០.❶"),
+    ("+49 30 12 eins zwei drei vier!", "phone", "+49 30 12 eins zwei drei vier"),
+    ("PLUS VIER NEUN NULL FÜNF SECHS SIEBEN ACHT ZWO", "phone", "PLUS VIER NEUN NULL FÜNF SECHS SIEBEN ACHT ZWO"),
+    ("más tres cuatro cero cinco seis siete ocho nueve", "phone", "más tres cuatro cero cinco seis siete ocho nueve"),
+    ("plus trois trois zéro un deux quatre cinq sept huit neuf.", "phone", "plus trois trois zéro un deux quatre cinq sept huit neuf"),
+    ("192 punkt 168 punkt 1 punkt 10", "ip", "192 punkt 168 punkt 1 punkt 10"),
+    ("192 punto 168 point 1 [punto] 10", "ip", "192 punto 168 point 1 [punto] 10"),
+    ("name at firma punkt de", "email", "name at firma punkt de"),
+    ("jean arobase mail point fr", "email", "jean arobase mail point fr"),
+    ("ana (arroba) mail (punto) es", "email", "ana (arroba) mail (punto) es"),
+    ("ana [at] mail punto es", "email", "ana [at] mail punto es"),
+])
+def test_personal_data_in_other_scripts_and_languages(text, kind, span):
+    found = [(s.kind, text[s.start:s.end]) for s in pii.find(text)[1]]
+    assert (kind, span) in found and pii.redact(text, [s for s in pii.find(text)[1] if text[s.start:s.end] == span]).count("[") >= 1
+
+
+@pytest.mark.parametrize("text", ["look at this point in time", "un punto at the point de vue", "me @ some point in time", "\U0001f1fa\U0001f1f8 ❤️ ok",
+                                  "in 2010 un homme", "acht neun und null Punkt", "1º 2ª m² ½ …", "une arroba de trigo", "à huit heures"])
+def test_plain_texts_of_other_languages_have_none(text):
+    assert pii.find(text) == ([], [])
+
+
+def test_tapes_map_spans_as_character_lists_do():
+    r = random.Random(8)
+    for _ in range(400):
+        text = "".join(r.choice("abcde") for _ in range(r.randint(0, 30)))
+        tape, chars = pii.Tape(text), [(c, i, i + 1, False) for i, c in enumerate(text)]
+        for _ in range(3):
+            edits, new, at = [], [], 0
+            while at < len(chars):
+                if r.random() < 0.3:
+                    to = min(len(chars), at + r.randint(1, 3))
+                    word = "".join(r.choice("xyz") for _ in range(r.choice((0, 1, 2, to - at))))
+                    edits.append((at, to, word))
+                    each = [(chars[at + k][1], chars[at + k][2]) if len(word) == to - at else (chars[at][1], chars[to - 1][2]) for k in range(len(word))]
+                    new += [(c, a, b, True) for c, (a, b) in zip(word, each)]
+                    if not word and new:
+                        new[-1] = (*new[-1][:3], True)
+                    at = to
+                else:
+                    new.append(chars[at])
+                    at += 1
+            tape, chars = tape.rewrite(edits), new
+            assert tape.text == "".join(c for c, *_ in chars)
+            for s in range(len(chars)):
+                for e in range(s + 1, len(chars) + 1):
+                    assert tape.source(s, e) == (chars[s][1], chars[e - 1][2], any(c[3] for c in chars[s:e]))
+
+
+def test_personal_data_of_a_long_text_takes_bounded_memory():
+    text = ("Текст – и слово, " * 125_000)[:2_000_000] + " jоhn@mail.com"
+    tracemalloc.start()
+    spans = pii.find(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [text[s.start:s.end] for s in spans if s.kind == "email"][:1] == ["jоhn@mail.com"]
+    assert peak < 40 * len(text)  # a list of character places alone took 100 bytes a character
+
+
 @pytest.mark.parametrize("text", ["thanks @john.doe there", "2 apples @ 2.50 each", "5 dot 3 and one dot two", "in 2010 one of two",
                                   "256 dot 1 dot 1 dot 1", "1. one 2. two 3. three", "a [.] b [@] c", "+1 one two"])
 def test_plain_texts_read_widely_have_none(text):
