@@ -7,8 +7,11 @@ sums end up close together (the law the result keeps is ``bytes``).
 
 At scale the groups are dealt by hash over packing buckets of some thousand
 groups; each bucket packs into as many bins as there are shards, and the bins
-of all buckets (at most ``MAX_BUCKETS`` x shards vectors) are then matched to
-the shards, one bin of a bucket for each shard, again by the dot product.  A
+of all buckets are then matched to the shards, one bin of a bucket for each
+shard, again by the dot product.  Above ``MAX_BUCKETS`` buckets they are first
+matched in tasks, at most so many at a time, to the bins of a bucket one level
+up, level by level: neither a task nor the driver ever holds more than
+``MAX_BUCKETS`` x shards vectors, and a bucket's size doesn't grow.  A
 group heavier than one shard's share in any dimension can't be whole in one
 shard without breaking the law; it alone is cut into parts by hash (there are
 at most shards x dimensions such groups).
@@ -90,6 +93,33 @@ def _match(totals: pd.DataFrame, shards: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def _match_upper(shards: int):
+    """The bins of one upper bucket's buckets, matched to its own bins."""
+    def fn(group: pd.DataFrame) -> pd.DataFrame:
+        upper_bin = {(k, b): s for k, b, s in _match(group, shards)}
+        return group.assign(upper_bin=[upper_bin[k] for k in zip(group["bucket"], group["bin"])])
+    return fn
+
+
+def _bins_to_shards(totals: DataFrame, buckets: int, shards: int) -> DataFrame:
+    """(bucket, bin, shard) of every bin, from the bins' sums."""
+    sums = [F.sum(d).alias(d) for d in _DIMS]
+    levels = []
+    while buckets > MAX_BUCKETS:
+        buckets = -(-buckets // MAX_BUCKETS)
+        upper = totals.withColumn("upper", F.pmod("bucket", F.lit(buckets)).cast("int"))
+        schema = "bucket int, bin int, bytes long, tokens long, n long, upper int, upper_bin int"
+        levels.append(common.materialize(upper.groupBy("upper").applyInPandas(_match_upper(shards), schema), "shard-levels"))
+        totals = levels[-1].groupBy(F.col("upper").alias("bucket"), F.col("upper_bin").alias("bin")).agg(*sums)
+    top = totals.toPandas()  # <= MAX_BUCKETS x shards
+    out = F.broadcast(totals.sparkSession.createDataFrame(_match(top, shards), "bucket int, bin int, shard int"))
+    for level in reversed(levels):  # these grow with the input and are joined as tables
+        out = (level.select("bucket", "bin", "upper", "upper_bin")
+               .join(out.select(F.col("bucket").alias("upper"), F.col("bin").alias("upper_bin"), "shard"), ["upper", "upper_bin"])
+               .select("bucket", "bin", "shard"))
+    return out
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, tokens: Column | None = None) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot (dense from 0 in
     its shard), grown_shard (null: the law is not ``key``)."""
@@ -116,13 +146,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, tokens: Column | None = None) -
     rows = (rows.join(F.broadcast(heavy), _KEY, "left")
             .withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)).cast("int"))
             .drop("parts"))
-    buckets = max(1, min(MAX_BUCKETS, total.n // BUCKET_GROUPS))
+    buckets = max(1, total.n // BUCKET_GROUPS)
     items = group(rows, "part").withColumn("bucket", F.pmod(F.xxhash64(*_KEY, "part", F.lit(1)), F.lit(buckets)).cast("int"))
     schema = "h long, text_crc32 long, size long, part int, bytes long, tokens long, n long, bucket int, bin int"
     packed = common.materialize(items.groupBy("bucket").applyInPandas(_pack_bucket(shards), schema), "shard-bins")
-    totals = packed.groupBy("bucket", "bin").agg(*(F.sum(d).alias(d) for d in _DIMS)).toPandas()  # <= buckets x shards
-    to_shard = spark.createDataFrame(_match(totals, shards), "bucket int, bin int, shard int")
-    placed = packed.join(F.broadcast(to_shard), ["bucket", "bin"]).select(*_KEY, "part", "shard")
+    totals = packed.groupBy("bucket", "bin").agg(*(F.sum(d).alias(d) for d in _DIMS))
+    placed = packed.join(_bins_to_shards(totals, buckets, shards), ["bucket", "bin"]).select(*_KEY, "part", "shard")
     chunks = max(1, min(MAX_CHUNKS, total.n // CHUNK_ROWS))
     assigned = common.materialize(
         rows.join(placed, [*_KEY, "part"]).withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(2)), F.lit(chunks)).cast("int")),

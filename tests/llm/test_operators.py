@@ -337,6 +337,23 @@ def test_sharding_cuts_a_group_that_no_shard_can_hold(spark):
     assert max(load.values()) < 1.03 * min(load.values())
 
 
+def test_sharding_matches_buckets_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_GROUPS", 20)
+    monkeypatch.setattr(sharding, "MAX_BUCKETS", 6)
+    most, match = [], sharding._match
+    monkeypatch.setattr(sharding, "_match", lambda totals, shards: most.append(totals["bucket"].nunique()) or match(totals, shards))
+    r = random.Random(6)
+    rows = [(i, "w " * r.randint(1, 400) + str(i // 2)) for i in range(3000)]  # 150 buckets, then 25, then 5
+    got = sharding.shard(frame(spark, rows)).collect()
+    check_shards(got, rows)
+    load, homes = Counter(), defaultdict(set)
+    for x in got:
+        load[x.shard] += x.size
+        homes[(x.text_crc32, x.size)].add(x.shard)
+    assert max(load.values()) < 1.05 * min(load.values())
+    assert all(len(h) == 1 for h in homes.values()) and most == [5]  # what the driver matches
+
+
 def brute_components(rows, k, threshold):
     find_words = re.compile(r"[^\x20\x09-\x0D]+").findall
     sets = []
