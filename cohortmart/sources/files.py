@@ -30,11 +30,19 @@ CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine":
 
 
 def _files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of every distinct header, from the first bytes of
-    each file: every file is a task of its own that stops behind the header.
-    One row a file reaches the driver, which lists the files anyway."""
+    """(column names, files) of every distinct header.  A task reads whatever
+    blocks Spark's reader opens for it, even if Python stops behind the header,
+    so only files up to ``SPLIT_BYTES`` are a task each; the first bytes of larger
+    ones, few for what they hold, are fetched by the driver.  One row a file
+    reaches the driver, which lists the files anyway."""
+    listed = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select(
+        "path", F.col("_metadata.file_path").alias("file"), (F.col("length") > SPLIT_BYTES).alias("large"))
+    large = listed.filter("large").collect()
+    if large:
+        path = [r.path for r in listed.filter("not large").collect()]
+    files = Files(spark)
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")) if path else None
 
     def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
@@ -54,11 +62,11 @@ def _files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[tup
     # One file a partition, small batches: a task reads little of what it opens.
     with settings(spark, {"spark.sql.files.openCostInBytes": str(1 << 40), "spark.sql.files.maxPartitionBytes": str(1 << 40),
                           "spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
-        found = lines.mapInArrow(first_record, "file string, header string").collect()
+        found = [tuple(r) for r in lines.mapInArrow(first_record, "file string, header string").collect()] if path else []
     by: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(found):
-        header = r.header.lstrip("\ufeff").rstrip("\r")
-        by.setdefault(tuple(next(csv.reader([header]) if "\n" not in header else csv.reader(io.StringIO(header, newline="")))), []).append(r.file)
+    for file, header in sorted([*found, *((r.file, files.header(r.path)) for r in large)]):
+        header = header.lstrip("\ufeff").rstrip("\r")
+        by.setdefault(tuple(next(csv.reader([header]) if "\n" not in header else csv.reader(io.StringIO(header, newline="")))), []).append(file)
     return [(list(h), files) for h, files in by.items()]
 
 

@@ -244,6 +244,20 @@ def test_large_quoted_file_is_read_by_several_tasks(spark, monkeypatch):
         FS.read_csv(spark, bad, "i int, t string").collect()
 
 
+def test_header_of_a_large_file_is_read_by_no_task(spark, monkeypatch, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x y.csv").write_bytes('\ufeffid,"a ""q""\r\nb"\r\n'.encode() + b"1,2\r\n" * 5000)
+    (tmp_path / "a" / "z.csv").write_text("id,v\n1,2\n")
+    want = FS._files_by_header(spark, str(tmp_path / "a"))
+    monkeypatch.setattr(FS, "SPLIT_BYTES", 1000)
+    opened, reader = [], type(spark.read)
+    text = reader.text
+    monkeypatch.setattr(reader, "text", lambda self, paths, *a, **kw: opened.append(paths) or text(self, paths, *a, **kw))
+    assert FS._files_by_header(spark, str(tmp_path / "a")) == want
+    assert [h for h, _ in want] == [["id", 'a "q"\r\nb'], ["id", "v"]]
+    assert len(opened) == 1 and [f.rsplit("/", 1)[-1] for f in opened[0]] == ["z.csv"]
+
+
 def test_merge_reconciles_types_of_many_headers(spark):
     root, files = scratch_path(spark, "mixed"), Files(spark)
     files.write(f"{root}/a.csv", "id,v,d,t\n1,10,2020-01-31,1\n2,,2020-02-29,x\n")
