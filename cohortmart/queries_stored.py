@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmart.fixtures import HOSPITAL, LINEITEM_MEASURES, clinical_mart, imaging_batch, imaging_patients, read_table
+from cohortmart.fixtures import HOSPITAL, LINEITEM_MEASURES, clinical_mart, imaging_batch, imaging_batches, imaging_patients, read_table
 from cohortmart.plans import export as X
 from cohortmart.plans import ingest as G
 from cohortmart.plans import loads as L
@@ -34,8 +34,7 @@ def _kill() -> None:
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
-    bounds = [None, *SPANS, None]
-    return [imaging_batch(spark, sf_dir, a, b) for a, b in zip(bounds, bounds[1:])]
+    return imaging_batches(spark, sf_dir, SPANS)
 
 
 def _load(store: MartStore, name: str, batch: dict[str, DataFrame], **kw) -> Snapshot:
