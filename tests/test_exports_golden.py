@@ -309,3 +309,13 @@ def test_column_order_is_key_cdes_by_upload_then_concepts(spark):
                                "concept_cd string, sourcesystem_cd string, upload_id int")
     df = X.export_frame(m.with_tables(concept_dimension=cd), "mindate")
     assert df.columns == ["subjectcode", "gender", "second", "third", "subjectageyears", "subjectage", "dataset", "agegroup", "alpha", "zeta"]
+
+
+def test_longitudinal_facts_travel_without_the_codes(spark):
+    visits = [(1, 1, 0, 65.0, "MRI"), (2, 1, 3, 66.0, "CLINIC")]
+    facts = [(1, "a", "N", "E", 5, 1), (1, "a", "N", "E", 4, 2), (2, "a", "T", None, None, 1), (2, None, "D", "x", None, 1)]
+    df = X.export_frame(make_mart(spark, [(1, "M")], visits, facts), "longitude")
+    assert sorted((r.subjectvisitid, r.a) for r in df.collect()) == [("v1", "4.00000"), ("v2", "")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    reduced = [line for line in plan.splitlines() if "Aggregate [" in line and "concept_cd" in line.split("]")[0]]
+    assert reduced and all("__row" in line.split("]")[0] and "__k" not in line.split("]")[0] for line in reduced)
