@@ -546,22 +546,29 @@ def merge_volumes(spark, sf_dir):
     return FS.merge_outputs(spark, f"{root}/*/*.csv", vol.schema)
 
 
+def _two_exports(spark, sf_dir):
+    """The mindate and the maxdate export of one mart, its facts counted once."""
+    mart = clinical_mart(spark, sf_dir)
+    catalog = R.Catalog.collect(mart.observation_fact)
+    return [X.export(mart, s, catalog=catalog, observe=False) for s in ("mindate", "maxdate")]
+
+
 @register("append_export_merged")
 def append_export_merged(spark, sf_dir):
     """A previous export with other subjects is appended (its codes differ here)."""
-    new = export_mindate(spark, sf_dir)
-    other = export_maxdate(spark, sf_dir).withColumn("subjectcode", F.concat(F.lit("old-"), "subjectcode"))
-    prev = FS.read_csv(spark, FS.write_csv(other, scratch_path(spark, "prev")), new.schema)
-    return FS.append_export(new, prev, ["subjectcode"])
+    new, other = _two_exports(spark, sf_dir)
+    renamed = other.frame.withColumn("subjectcode", F.concat(F.lit("old-"), "subjectcode"))
+    prev = FS.read_csv(spark, FS.write_csv(renamed, scratch_path(spark, "prev")), new.frame.schema)
+    return FS.append_export(new.frame, prev, ["subjectcode"], new.keys)
 
 
 @register("append_export")
 def append_export(spark, sf_dir):
     """A previous export is appended only if no key collides (here: skipped)."""
-    new = export_mindate(spark, sf_dir)
-    prev_path = FS.write_csv(export_maxdate(spark, sf_dir), scratch_path(spark, "prev"))
-    prev = FS.read_csv(spark, prev_path, new.schema)
-    return FS.append_export(new, prev, ["subjectcode"])
+    new, other = _two_exports(spark, sf_dir)
+    prev_path = FS.write_csv(other.frame, scratch_path(spark, "prev"))
+    prev = FS.read_csv(spark, prev_path, new.frame.schema)
+    return FS.append_export(new.frame, prev, ["subjectcode"], new.keys)
 
 
 @register("export_counters")

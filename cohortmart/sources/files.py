@@ -408,11 +408,16 @@ def unreadable(df: DataFrame) -> str | None:
     return None
 
 
-def append_export(new: DataFrame, previous: DataFrame | None, key_cols: Sequence[str]) -> DataFrame:
+def append_export(new: DataFrame, previous: DataFrame | None, key_cols: Sequence[str], new_keys: DataFrame | None = None) -> DataFrame:
     """Append a previous export, all or nothing: it is added only if
-    :func:`append_problem` finds none (one aggregate over the keys)."""
+    :func:`append_problem` finds none (one aggregate over the keys).
+    ``new_keys``: the keys of ``new`` where they are to be had without
+    computing its rows."""
     if previous is None or previous.columns != new.columns:
         return new
     prev = previous.select(*[qcol(c).cast(f.dataType).alias(f.name) for c, f in
                              zip(previous.columns, new.schema.fields)])
-    return new if append_problem(new, prev, key_cols) else new.unionByName(prev)
+    keys = [qcol(c) for c in key_cols]
+    problem = (append_problem(new, prev, key_cols) if new_keys is None
+               else append_problem(new_keys.select(*keys), prev.select(*keys), key_cols))
+    return new if problem else new.unionByName(prev)

@@ -273,3 +273,31 @@ def test_merge_reconciles_types_of_many_headers(spark):
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     got = {r.id: r for r in df.collect()}
     assert str(got[3].v) == "1.50000" and str(got[1].d) == "2020-01-31" and got[4].w == "5" and got[2].v is None and got[107].only7 == 7
+
+
+def test_cells_are_gathered_before_they_are_spread_over_columns(spark):
+    cells = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "b", "z")], "id long, concept_cd string, v string")
+    wide = R.pivot_cells(cells, ["id"], ["a", "b"])
+    assert sorted(map(tuple, wide.collect())) == [(1, "x", "y"), (2, None, "z")]
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_COL" in plan
+
+
+def test_bitmap_filter_reaches_the_scan_below_a_union_and_a_join(spark):
+    from cohortmart.operators import identity as I
+    lines = spark.range(100).selectExpr("id as line", "id % 7 as n")
+    orders = spark.range(100).selectExpr("id as key")
+    facts = lines.join(orders, F.col("line") == F.col("key")).select(F.col("line").alias("k"), "n").unionByName(
+        spark.range(50).selectExpr("id as k", "id as n"))
+    kept = I.in_bitmap(facts, spark.createDataFrame([(3,), (60,)], "k long"), ["k"], 1 << 20)
+    assert sorted(r.k for r in kept.collect()) == [3, 3, 60]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("Join Inner") < plan.index("Join LeftSemi")
+
+
+def test_an_append_is_decided_by_the_keys_alone(spark):
+    keys = spark.createDataFrame([("a",), ("b",)], "subjectcode string")
+    new = keys.filter(F.when(F.col("subjectcode") > "", F.raise_error(F.lit("rows were computed"))).otherwise(F.lit(True)))
+    clash, fresh = (spark.createDataFrame([(k,)], "subjectcode string") for k in "bc")
+    assert "Union" not in FS.append_export(new, clash, ["subjectcode"], keys)._jdf.queryExecution().analyzed().toString()
+    assert "Union" in FS.append_export(new, fresh, ["subjectcode"], keys)._jdf.queryExecution().analyzed().toString()
