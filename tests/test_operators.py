@@ -283,6 +283,24 @@ def test_cells_are_gathered_before_they_are_spread_over_columns(spark):
     assert plan.count("Exchange") == 1 and "REPARTITION_BY_COL" in plan
 
 
+def test_columns_are_spread_last_without_an_expression_a_column_in_an_aggregate(spark):
+    cells = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (1, None, "n"), (2, "b", "z"), (2, "a", None), (3, "other", "o")],
+                                  "id long, concept_cd string, v string")
+    names = ["b", "a", *[f"c{i}" for i in range(12)]]
+    wide = R.pivot_cells(cells, ["id"], names)
+    empty = (None,) * 12
+    assert wide.columns == ["id", *names]
+    assert sorted(map(tuple, wide.collect())) == [(1, "y", "x", *empty), (2, "z", None, *empty), (3, None, None, *empty)]
+    # Rows that the wide ones are joined to: each keeps its place, and what is joined is narrow.
+    rows = spark.createDataFrame([(2, "two"), (4, "four"), (2, "again")], "key long, name string")
+    beside = R.pivot_cells(cells, ["id"], names, rows, F.col("key") == F.col("id"))
+    assert sorted(tuple(r)[:5] for r in beside.drop("id").collect()) == [(2, "again", "z", None, None), (2, "two", "z", None, None), (4, "four", None, None, None)]
+    for plan in (wide, beside):
+        lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not any("c11" in line for line in lines if "Project [" not in line)
+        assert sum("AS c11#" in line for line in lines) == 1 and "AS c11#" in lines[0]
+
+
 def test_bitmap_filter_reaches_the_scan_below_a_union_and_a_join(spark):
     from cohortmart.operators import identity as I
     lines = spark.range(100).selectExpr("id as line", "id % 7 as n")
